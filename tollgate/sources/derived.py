@@ -1,0 +1,215 @@
+"""Inputs derived from the driver tables by fixed rules.
+
+No driver table holds raw verdicts, scan attempts, SQL text or file paths, so
+they are derived row by row from ``documents``, ``conversations`` and
+``events``: their size grows with those tables.  Each rule is written once
+as a SQL expression in the subset shared by Spark SQL and DuckDB, so the
+oracle SQL derives byte-identical inputs.  The logic *under test* is never
+shared: it is written separately in each engine.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.taxonomy import RAW_TO_CANONICAL
+
+# ---------------------------------------------------------------------------
+# raw verdicts (item_id -> one JSON document per item)
+# ---------------------------------------------------------------------------
+# FIXED VALUES for the derivation: taxonomy rows 0..91 in order, then five
+# edge labels (unmapped, empty, null, upper case, hyphenated).
+VERDICT_LABELS: tuple[str | None, ...] = tuple(RAW_TO_CANONICAL) + (
+    "not_a_label", "", None, "SQL_INJECTION", "prompt-injection")
+
+
+def _label_lookup(idx_sql: str, dialect: str) -> str:
+    items = ", ".join("NULL" if x is None else f"'{x}'" for x in VERDICT_LABELS)
+    if dialect == "spark":
+        return f"element_at(array({items}), CAST({idx_sql} AS INT) + 1)"
+    return f"([{items}])[{idx_sql} + 1]"
+
+
+def verdict_json_sql(id_sql: str, dialect: str) -> str:
+    """SQL expression: raw verdict JSON for an integer item id."""
+    label = _label_lookup(f"({id_sql} % 97)", dialect)
+    i = id_sql
+    return f"""'{{' || concat_ws(',',
+      CASE WHEN {i} % 13 = 7 THEN NULL
+           WHEN {i} % 13 = 8 THEN '"safe":null'
+           WHEN {i} % 13 = 9 THEN '"safe":"yes"'
+           WHEN {i} % 13 = 10 THEN '"safe":0'
+           WHEN {i} % 3 = 0 THEN '"safe":true'
+           ELSE '"safe":false' END,
+      CASE WHEN {i} % 4 = 1 THEN NULL
+           WHEN {i} % 4 = 2 THEN '"reason":null'
+           ELSE '"reason":"rule ' || CAST({i} % 50 AS STRING) || ' matched"' END,
+      CASE WHEN {i} % 97 = 94 AND CAST(floor({i} / 97) AS BIGINT) % 2 = 0 THEN NULL
+           WHEN {label} IS NULL THEN '"threat_type":null'
+           ELSE '"threat_type":"' || {label} || '"' END,
+      CASE WHEN {i} % 11 = 0 THEN NULL
+           WHEN {i} % 11 = 1 THEN '"confidence":null'
+           ELSE '"confidence":' || CAST(CAST({i} * 37 % 101 AS DOUBLE) / 100 AS STRING) END,
+      CASE {i} % 6 WHEN 0 THEN '"severity":"critical"' WHEN 1 THEN '"severity":"HIGH"'
+           WHEN 2 THEN '"severity":"medium"' WHEN 3 THEN '"severity":"low"'
+           WHEN 4 THEN '"severity":"bogus"' ELSE NULL END,
+      '"detected_by":"layer-' || CAST({i} % 9 AS STRING) || '"',
+      '"matched_text":"hidden"'
+    ) || '}}'"""
+
+
+def raw_verdicts(df: DataFrame, id_col: str) -> DataFrame:
+    """``(item_id, raw)``: one external raw verdict per input row."""
+    return df.selectExpr(f"{id_col} AS item_id",
+                         f"{verdict_json_sql(id_col, 'spark')} AS raw")
+
+
+# ---------------------------------------------------------------------------
+# scan attempts, breaker outcomes and metered scans (from events)
+# ---------------------------------------------------------------------------
+ATTEMPT_COLUMNS_SQL = {
+    "request_id": "CAST(floor(event_id / 3) AS BIGINT)",
+    "endpoint": "'ep' || CAST(CAST(floor(event_id / 3) AS BIGINT) % 5 AS STRING)",
+    "scan_kind": ("CASE CAST(floor(event_id / 3) AS BIGINT) % 3 WHEN 0 THEN 'prompt' "
+                  "WHEN 1 THEN 'sql' ELSE 'file' END"),
+    "attempt": "CAST(event_id % 3 + 1 AS INT)",
+    "ts": "ts",
+    "kind": ("CASE WHEN event_type <> 'error' THEN 'ok' WHEN event_id % 4 = 0 THEN 'timeout' "
+             "WHEN event_id % 4 = 1 THEN 'connect' ELSE 'http' END"),
+    "status": ("CAST(CASE WHEN event_type <> 'error' THEN 200 WHEN event_id % 4 = 2 THEN 500 "
+               "WHEN event_id % 4 = 3 THEN 429 ELSE NULL END AS INT)"),
+    "message": ("CASE WHEN event_type <> 'error' THEN NULL WHEN event_id % 4 = 0 THEN 'timed out' "
+                "WHEN event_id % 4 = 1 THEN 'connection refused' "
+                "WHEN event_id % 4 = 2 THEN 'HTTP 500' ELSE 'HTTP 429' END"),
+}
+
+
+def attempts(events: DataFrame) -> DataFrame:
+    """Scan-attempt log: three attempts per request, failures from ``error`` events.
+
+    ``endpoint`` is a function of ``request_id`` only, so every attempt of a
+    request goes to the same endpoint.
+    """
+    return events.selectExpr(*[f"{sql} AS {name}" for name, sql in ATTEMPT_COLUMNS_SQL.items()])
+
+
+OUTCOME_COLUMNS_SQL = {
+    "endpoint": "user_id",
+    "event_id": "event_id",
+    "ts": "ts",
+    "ok": "event_type <> 'error'",
+}
+
+
+def outcomes(events: DataFrame) -> DataFrame:
+    """One call outcome per event; the breaker is keyed by ``endpoint``."""
+    return events.selectExpr(*[f"{sql} AS {name}" for name, sql in OUTCOME_COLUMNS_SQL.items()])
+
+
+SCAN_COLUMNS_SQL = {
+    "key_id": "user_id",
+    "event_id": "event_id",
+    "ts": "ts",
+    "tier": ("CASE user_id % 4 WHEN 0 THEN 'anonymous' WHEN 1 THEN 'community' "
+             "WHEN 2 THEN 'pro' ELSE 'enterprise' END"),
+}
+
+
+def scans(events: DataFrame) -> DataFrame:
+    """Metered scans: one per event, billed to ``key_id`` on a tier."""
+    return events.selectExpr(*[f"{sql} AS {name}" for name, sql in SCAN_COLUMNS_SQL.items()])
+
+
+# ---------------------------------------------------------------------------
+# SQL statements (from events) and file requests (from documents)
+# ---------------------------------------------------------------------------
+SQL_STATEMENT_COLUMNS_SQL = {
+    "stmt_id": "event_id",
+    "text": """CASE event_type
+        WHEN 'view' THEN 'SELECT * FROM items WHERE item_id = ' || CAST(user_id AS STRING)
+        WHEN 'click' THEN 'UPDATE sessions SET clicks = clicks + 1 WHERE user_id = ' || CAST(user_id AS STRING)
+        WHEN 'purchase' THEN CASE WHEN event_id % 5 = 0
+             THEN 'GRANT ALL PRIVILEGES ON shop.* TO u' || CAST(user_id AS STRING)
+             ELSE 'SELECT name FROM products WHERE id = ' || CAST(user_id AS STRING) || ' UNION SELECT password FROM users' END
+        WHEN 'signup' THEN 'DROP TABLE staging_' || CAST(user_id AS STRING)
+        ELSE CASE WHEN event_id % 2 = 0
+             THEN 'SELECT * FROM accounts WHERE name = ''u' || CAST(user_id AS STRING) || ''' OR ''x''=''x'''
+             ELSE 'SELECT * FROM logs WHERE id = ' || CAST(event_id AS STRING) || '; DELETE FROM logs' END
+        END""",
+    "database": "CASE WHEN user_id % 3 = 0 THEN NULL ELSE 'db' || CAST(user_id % 3 AS STRING) END",
+    "allow_destructive": "user_id % 4 = 0",
+}
+
+
+def sql_statements(events: DataFrame) -> DataFrame:
+    """AI-generated SQL to vet before execution, one per event."""
+    return events.selectExpr(*[f"{sql} AS {name}" for name, sql in SQL_STATEMENT_COLUMNS_SQL.items()])
+
+
+FILE_REQUEST_COLUMNS_SQL = {
+    "file_id": "doc_id",
+    "path": """CASE doc_id % 8
+        WHEN 0 THEN '/srv/docs/' || source || '/' || CAST(doc_id AS STRING) || '.txt'
+        WHEN 1 THEN '/srv/docs/' || source || '/../../etc/' || lang || '.conf'
+        WHEN 2 THEN '/app/' || source || '/.env'
+        WHEN 3 THEN '/home/u' || CAST(doc_id AS STRING) || '/.ssh/id_rsa'
+        WHEN 4 THEN 'D:/vault/' || source || '/' || CAST(doc_id AS STRING) || '.pem'
+        WHEN 5 THEN '/srv/docs/' || lang || '/' || CAST(doc_id AS STRING) || '.md'
+        WHEN 6 THEN '/tmp/' || source || '/cert_' || CAST(doc_id AS STRING) || '.key'
+        ELSE '/etc/' || source || '/' || CAST(doc_id AS STRING) || '.txt' END""",
+    "content": "CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN '' ELSE NULL END",
+}
+
+
+def file_requests(documents: DataFrame) -> DataFrame:
+    """AI-suggested file writes ``(file_id, path, content)``, one per document."""
+    return documents.selectExpr(*[f"{sql} AS {name}" for name, sql in FILE_REQUEST_COLUMNS_SQL.items()])
+
+
+# ---------------------------------------------------------------------------
+# chat requests (from conversations), one JSON body per conversation
+# ---------------------------------------------------------------------------
+def _message_fragment(dialect: str):
+    role, text = F.col("role"), F.col("text")
+    if dialect == "gemini":
+        shape = (F.col("conv_id") + F.col("turn")) % 3
+        return (F.when(shape == 0, F.expr("substring(to_json(array(text)), 2, length(to_json(array(text))) - 2)"))
+                .when(shape == 1, F.to_json(F.struct(text.alias("text"))))
+                .otherwise(F.to_json(F.struct(role.alias("role"), F.array(
+                    F.struct(text.alias("text"))).alias("parts")))))
+    shape = (F.col("conv_id") + F.col("turn")) % 5
+    text_part = F.struct(F.lit("text").alias("type"), text.alias("text"),
+                         F.lit(None).cast("struct<url:string>").alias("image_url"))
+    image_part = F.struct(F.lit("image_url").alias("type"), F.lit(None).cast("string").alias("text"),
+                          F.struct(F.concat(F.lit("https://img.invalid/"),
+                                            F.col("conv_id").cast("string"),
+                                            F.lit(".png")).alias("url")).alias("image_url"))
+    empty_part = F.struct(F.lit("text").alias("type"), F.lit(None).cast("string").alias("text"),
+                          F.lit(None).cast("struct<url:string>").alias("image_url"))
+    return (F.when(shape == 0, F.to_json(F.struct(role.alias("role"), text.alias("content"))))
+            .when(shape == 1, F.to_json(F.struct(role.alias("role"), F.array(text_part).alias("content"))))
+            .when(shape == 2, F.to_json(F.struct(role.alias("role"),
+                                                 F.array(text_part, image_part).alias("content"))))
+            .when(shape == 3, F.to_json(F.struct(role.alias("role"),
+                                                 F.array(empty_part, text_part).alias("content"))))
+            .otherwise(F.to_json(F.struct(role.alias("role"), F.array(text).alias("content")))))
+
+
+def chat_requests(messages: DataFrame, dialect: str = "openai") -> DataFrame:
+    """``(request_id, raw)``: the request body a client would send per
+    conversation, in the given provider's message shape.
+
+    Shapes rotate by ``(conv_id + turn)``: plain strings, text parts, text plus
+    image parts, a part with no ``text`` key, and bare strings (OpenAI ignores
+    those, Anthropic keeps them); Gemini gets bare strings, ``{text}`` dicts
+    and ``{role, parts}`` dicts.
+    """
+    key = "contents" if dialect == "gemini" else "messages"
+    frags = messages.select("conv_id", "turn", _message_fragment(dialect).alias("frag"))
+    return (frags.groupBy("conv_id")
+            .agg(F.array_sort(F.collect_list(F.struct("turn", "frag"))).alias("m"))
+            .select(F.col("conv_id").alias("request_id"),
+                    F.concat(F.lit('{"' + key + '":['),
+                             F.array_join(F.transform("m", lambda x: x["frag"]), ","),
+                             F.lit("]}")).alias("raw")))
