@@ -17,10 +17,15 @@ from typing import NamedTuple
 
 
 class Rule(NamedTuple):
+    """A detector rule.  ``hints`` (any-of substrings) and ``hint_re`` are
+    cheap *necessary* conditions: the full pattern only runs on rows that
+    pass them.  They never change the result, only skip hopeless rows."""
     raw_label: str
     pattern: str
     group: int
     confidence: float
+    hints: tuple[str, ...] = ()
+    hint_re: str | None = None
 
 
 WS = r"[ \t]"
@@ -28,17 +33,22 @@ WSN = r"[ \t\r\n]"
 
 # Personal data.  credit_card candidates are also Luhn-checked.
 PII_RULES: tuple[Rule, ...] = (
-    Rule("email_exposure", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", 0, 0.9),
-    Rule("ssn", r"(^|[^0-9-])([0-9]{3}-[0-9]{2}-[0-9]{4})($|[^0-9-])", 2, 0.95),
-    Rule("credit_card", r"(^|[^0-9])([0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4})($|[^0-9])", 2, 0.95),
-    Rule("phone_number", r"(^|[^0-9])(\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})($|[^0-9])", 2, 0.7),
-    Rule("personal_data", r"(^|[^0-9.])([0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})($|[^0-9.])", 2, 0.6),
+    Rule("email_exposure", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", 0, 0.9,
+         hints=("@",)),
+    Rule("ssn", r"(^|[^0-9-])([0-9]{3}-[0-9]{2}-[0-9]{4})($|[^0-9-])", 2, 0.95,
+         hint_re=r"[0-9]{3}-[0-9]{2}-[0-9]{4}"),
+    Rule("credit_card", r"(^|[^0-9])([0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4})($|[^0-9])", 2, 0.95,
+         hint_re=r"[0-9]{4}[ -]?[0-9]{4}"),
+    Rule("phone_number", r"(^|[^0-9])(\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})($|[^0-9])", 2, 0.7,
+         hint_re=r"[0-9]{3}[ .-][0-9]{4}"),
+    Rule("personal_data", r"(^|[^0-9.])([0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})($|[^0-9.])", 2, 0.6,
+         hint_re=r"[0-9]\.[0-9]{1,3}\.[0-9]"),
 )
 
 SECRET_RULES: tuple[Rule, ...] = (
-    Rule("aws_key", r"(^|[^A-Za-z0-9])(AKIA[0-9A-Z]{16})($|[^A-Za-z0-9])", 2, 0.95),
-    Rule("private_key", r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", 0, 0.99),
-    Rule("api_key", r"(^|[^A-Za-z0-9_-])(sk-[A-Za-z0-9_-]{20,})", 2, 0.9),
+    Rule("aws_key", r"(^|[^A-Za-z0-9])(AKIA[0-9A-Z]{16})($|[^A-Za-z0-9])", 2, 0.95, hints=("AKIA",)),
+    Rule("private_key", r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", 0, 0.99, hints=("PRIVATE KEY-----",)),
+    Rule("api_key", r"(^|[^A-Za-z0-9_-])(sk-[A-Za-z0-9_-]{20,})", 2, 0.9, hints=("sk-",)),
     Rule("secret_key", r"(?i)(secret|token|password|passwd|api[_-]?key)" + WS + r"*[:=]" + WS
          + r"*[\"']?([A-Za-z0-9/+_=-]{16,})", 2, 0.85),
 )
@@ -54,13 +64,14 @@ PROMPT_RULES: tuple[Rule, ...] = (
 )
 
 CODE_RULES: tuple[Rule, ...] = (
-    Rule("reverse_shell", r"(?i)(bash" + WS + r"+-i" + WS + r"*>&" + WS + r"*/dev/tcp/|/dev/tcp/[0-9]+\.[0-9]+|nc"
-         + WS + r"+(-[a-z]+" + WS + r"+)*-e" + WS + r"+/bin/(ba)?sh)", 0, 0.95),
-    Rule("web_shell", r"(?i)<\?php" + WS + r"+(system|eval|exec|passthru|shell_exec)" + WS + r"*\(", 0, 0.9),
+    Rule("reverse_shell", r"bash" + WS + r"+-i" + WS + r"*>&" + WS + r"*/dev/tcp/|/dev/tcp/[0-9]+\.[0-9]+|nc"
+         + WS + r"+(-[a-z]+" + WS + r"+)*-e" + WS + r"+/bin/(ba)?sh", 0, 0.95, hints=("/dev/tcp/", "/bin/")),
+    Rule("web_shell", r"(?i)<\?php" + WS + r"+(system|eval|exec|passthru|shell_exec)" + WS + r"*\(", 0, 0.9,
+         hints=("<?",)),
     Rule("fork_bomb", r":\(\)" + WS + r"*\{" + WS + r"*:" + WS + r"*\|" + WS + r"*:" + WS + r"*&" + WS
-         + r"*\}" + WS + r"*;" + WS + r"*:", 0, 0.99),
+         + r"*\}" + WS + r"*;" + WS + r"*:", 0, 0.99, hints=(":(",)),
     Rule("shell_injection", r"(;|&&|\|\|)" + WS + r"*(rm" + WS + r"+-rf|curl" + WS + r"|wget" + WS
-         + r"|chmod" + WS + r"+\+x)", 0, 0.8),
+         + r"|chmod" + WS + r"+\+x)", 0, 0.8, hints=("rm", "curl", "wget", "chmod")),
 )
 
 # SQL rules are boolean (one finding per statement and label).

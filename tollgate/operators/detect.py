@@ -62,12 +62,29 @@ def luhn_ok(candidate: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), step) % 10 == 0
 
 
+def rule_hint(text: Column, rule: R.Rule) -> Column | None:
+    """Cheap necessary condition for ``rule`` (``None`` when it has none)."""
+    conds = [text.contains(h) for h in rule.hints]
+    if rule.hint_re:
+        conds.append(text.rlike(rule.hint_re))
+    if not conds:
+        return None
+    out = conds[0]
+    for c in conds[1:]:
+        out = out | c
+    return out
+
+
 def rule_findings(text: Column, rule: R.Rule) -> Column:
-    """All matches of one rule, in text order, as findings."""
+    """All matches of one rule, in text order, as findings.  The full
+    pattern only runs on rows that pass the rule's hint."""
     matches = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
     if rule.raw_label == "credit_card":
         matches = F.filter(matches, luhn_ok)
     found = F.transform(matches, lambda m, i: _finding(rule.raw_label, rule.confidence, i + 1, m))
+    hint = rule_hint(text, rule)
+    if hint is not None:
+        found = F.when(hint, found)
     return F.coalesce(found, _empty())
 
 
@@ -281,8 +298,9 @@ def redact_pii(df: DataFrame, col: str = "text", out: str = "redacted") -> DataF
     for r in R.PII_RULES:
         token = R.REDACT_TOKENS[r.raw_label]
         repl = token if r.group == 0 else f"$1{token}$3"
-        for _ in range(2):
-            t = F.regexp_replace(t, r.pattern, repl)
+        replaced = F.regexp_replace(F.regexp_replace(t, r.pattern, repl), r.pattern, repl)
+        hint = rule_hint(t, r)
+        t = replaced if hint is None else F.when(hint, replaced).otherwise(t)
     return df.withColumn(out, t)
 
 

@@ -23,6 +23,7 @@ from ..operators import quota as Q
 from ..operators import requests as RQ
 from ..operators import verdicts as V
 from ..session import scratch_path
+from .sizing import spread_for_cpu
 from ..sources import derived
 from ..sources.sinks import write_routed
 from ..sources.tables import parse_requests, parse_verdicts, read_messages, read_table
@@ -37,6 +38,12 @@ def _docs(spark, d, cols=("doc_id", "text")):
     return read_table(spark, d, "documents", list(cols))
 
 
+def _text_docs(spark, d, cols=("doc_id", "text")):
+    """Documents for regex-heavy work, spread over all cores when the scan
+    alone would not be (see :func:`tollgate.plans.sizing.spread_for_cpu`)."""
+    return spread_for_cpu(_docs(spark, d, cols))
+
+
 def _events(spark, d):
     return read_table(spark, d, "events")
 
@@ -50,7 +57,7 @@ def _external_verdicts(spark, d) -> DataFrame:
 # flagship: documents -> detect -> assemble -> normalise -> decide
 # ---------------------------------------------------------------------------
 def governed_documents(spark: SparkSession, d: str) -> DataFrame:
-    docs = _docs(spark, d)
+    docs = _text_docs(spark, d)
     f = docs.select(F.col("doc_id").alias("item_id"),
                     D.findings(F.col("text"), ALL_FAMILIES).alias("findings"))
     v = V.normalize_verdict(D.assemble(f, "findings"))
@@ -250,15 +257,15 @@ def q_scan_stats(spark, d):
 # detectors
 # ---------------------------------------------------------------------------
 def q_detect_pii(spark, d):
-    return D.detect(_docs(spark, d), "text", ("pii",), "doc_id")
+    return D.detect(_text_docs(spark, d), "text", ("pii",), "doc_id")
 
 
 def q_detect_secrets(spark, d):
-    return D.detect(_docs(spark, d), "text", ("secrets",), "doc_id")
+    return D.detect(_text_docs(spark, d), "text", ("secrets",), "doc_id")
 
 
 def q_detect_code(spark, d):
-    return D.detect(_docs(spark, d), "text", ("code",), "doc_id")
+    return D.detect(_text_docs(spark, d), "text", ("code",), "doc_id")
 
 
 def q_detect_prompt(spark, d):
@@ -271,7 +278,7 @@ def q_detect_sql(spark, d):
 
 
 def q_detect_path(spark, d):
-    files = derived.file_requests(_docs(spark, d, ("doc_id", "text", "lang", "source")))
+    files = derived.file_requests(_text_docs(spark, d, ("doc_id", "text", "lang", "source")))
     return D.detect_path(files)
 
 
@@ -285,18 +292,18 @@ def q_label_toxicity(spark, d):
 
 def q_rule_scan(spark, d):
     rules = D.rules_frame(spark, [r for fam in ALL_FAMILIES for r in R.RULE_FAMILIES[fam]])
-    return D.rule_scan(_docs(spark, d), "doc_id", "text", rules)
+    return D.rule_scan(_text_docs(spark, d), "doc_id", "text", rules)
 
 
 def q_assemble_verdict(spark, d):
-    f = _docs(spark, d).select(F.col("doc_id").alias("item_id"),
+    f = _text_docs(spark, d).select(F.col("doc_id").alias("item_id"),
                                D.findings(F.col("text"), ALL_FAMILIES).alias("findings"))
     return D.assemble(f, "findings").select("item_id", "safe", "threat_type", "confidence",
                                             "severity", "n_findings")
 
 
 def q_redact_pii(spark, d):
-    return D.redact_pii(_docs(spark, d)).select(F.col("doc_id").alias("item_id"), "redacted")
+    return D.redact_pii(_text_docs(spark, d)).select(F.col("doc_id").alias("item_id"), "redacted")
 
 
 def q_framework_coverage(spark, d):
@@ -326,7 +333,8 @@ def q_stream_gate(spark, d):
     src = f"{d.rstrip('/')}/documents.parquet"
     schema = spark.read.parquet(src).schema
     out = scratch_path(spark, "stream-gate")
-    S.run_gate(spark, d, out, schema, glob="documents.parquet")
+    S.run_gate(spark, d, out, schema, glob="documents.parquet",
+               partitions=spark.sparkContext.defaultParallelism)
     return spark.read.parquet(out).select("item_id", "decision", "threat_type", "severity",
                                           "confidence", "n_findings")
 
@@ -346,7 +354,7 @@ def q_stream_outage(spark, d):
 
 
 def q_custom_detector(spark, d):
-    docs = _docs(spark, d).withColumnRenamed("doc_id", "item_id")
+    docs = _text_docs(spark, d).withColumnRenamed("doc_id", "item_id")
     return C.custom_detector(docs, C.shouting_detector)
 
 

@@ -15,3 +15,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     most ``max_rows + 1`` rows."""
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over the cluster before CPU-heavy per-row work (regex).
+
+    A scan of one large parquet row group is a single task; regex detectors
+    on it would run on one core.  When the input has fewer partitions than
+    the cluster's default parallelism, rows are redistributed round-robin (a
+    cheap shuffle next to the regex work).  On a large input the scan already
+    yields many more splits than cores and nothing is added to the plan.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

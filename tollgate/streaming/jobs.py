@@ -46,8 +46,14 @@ def run_available(writer, name: str, spark: SparkSession) -> None:
 
 
 # ---------------------------------------------------------------------------
-def gate_stream(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Stateless detect -> assemble -> normalise -> decide on arriving rows."""
+def gate_stream(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
+                partitions: int | None = None) -> DataFrame:
+    """Stateless detect -> assemble -> normalise -> decide on arriving rows.
+
+    ``partitions`` spreads each micro-batch before the regex work, for
+    sources whose batches arrive as a few large files."""
+    if partitions:
+        docs = docs.repartition(partitions)
     f = docs.select(F.col(id_col).alias("item_id"),
                     D.findings(F.col(text), ("pii", "secrets", "code", "prompt")).alias("findings"))
     v = V.normalize_verdict(D.assemble(f, "findings"))
@@ -55,9 +61,9 @@ def gate_stream(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
 
 
 def run_gate(spark: SparkSession, docs_dir: str, out_path: str, schema: T.StructType,
-             glob: str | None = None) -> None:
+             glob: str | None = None, partitions: int | None = None) -> None:
     """Route each micro-batch to ``decision=allow|block`` partitions."""
-    routed = gate_stream(file_stream(spark, docs_dir, schema, glob=glob))
+    routed = gate_stream(file_stream(spark, docs_dir, schema, glob=glob), partitions=partitions)
 
     def write_batch(batch: DataFrame, _epoch: int) -> None:
         batch.write.mode("append").partitionBy("decision").parquet(out_path)
