@@ -1,0 +1,133 @@
+"""Extraction, payloads and gates on hand-written request shapes."""
+
+import json
+
+from pyspark.sql import functions as F
+
+from tollgate.operators import extract as E
+from tollgate.operators import gates as G
+from tollgate.operators import payload as PL
+from tollgate.sources.tables import parse_requests
+
+
+def _extract(spark, bodies, dialect):
+    rows = [(i, b if isinstance(b, str) else json.dumps(b)) for i, b in enumerate(bodies)]
+    df = parse_requests(spark.createDataFrame(rows, "request_id long, raw string"))
+    return [(r.text, r.extract_error) for r in
+            E.extract_text(df, dialect).orderBy("request_id").collect()]
+
+
+def test_openai_shapes(spark):
+    bodies = [
+        {"messages": [{"role": "system", "content": "You are helpful"},
+                      {"role": "user", "content": "First question"},
+                      {"role": "assistant", "content": "Answer"},
+                      {"role": "user", "content": "Second question"}]},
+        {"messages": [{"role": "user", "content": [
+            {"type": "text", "text": "What is in this image?"},
+            {"type": "image_url", "image_url": {"url": "https://x.invalid/a.png"}}]}]},
+        {"messages": [{"role": "system", "content": "only system"}]},
+        {"messages": [{"role": "user", "content": [{"type": "text"}, {"type": "text", "text": "b"}]}]},
+        {"messages": [{"role": "user", "content": ["bare", {"type": "text", "text": "t"}]}]},
+        {"messages": [{"role": "user", "content": [{"type": "text", "text": None}]}]},
+        "not json",
+        {"messages": ["not an object"]},
+    ]
+    got = _extract(spark, bodies, "openai")
+    assert got[0] == ("First question\nSecond question", False)
+    assert got[1] == ("What is in this image?", False)
+    assert got[2] == ("", False)
+    assert got[3] == ("\nb", False)
+    assert got[4] == ("t", False)
+    assert got[5] == (None, True)
+    assert got[6] == (None, True)
+    assert got[7] == (None, True)
+
+
+def test_anthropic_keeps_bare_strings(spark):
+    bodies = [{"messages": [{"role": "user", "content": [
+        "bare", {"type": "text", "text": "t"},
+        {"type": "image", "source": {"type": "base64", "data": "AAAA"}}]}]}]
+    assert _extract(spark, bodies, "anthropic") == [("bare\nt", False)]
+
+
+def test_gemini_shapes(spark):
+    bodies = [
+        {"contents": "Hello"},
+        {"contents": ["Hello", "World"]},
+        {"contents": {"text": "dict text", "parts": ["ignored"]}},
+        {"contents": {"parts": [{"text": "p1"}, "p2"]}},
+        {"contents": [{"role": "user", "parts": [{"text": "a"}, {"inline": 1}, "b"]}, {"text": "c"}, 5]},
+        {"contents": 42},
+        {"contents": {"other": 1}},
+        {"contents": [{"text": None}]},
+        {"contents": {"parts": {"parts": {"parts": {"parts": "deep"}}}}},
+    ]
+    got = _extract(spark, bodies, "gemini")
+    assert got[0] == ("Hello", False)
+    assert got[1] == ("Hello\nWorld", False)
+    assert got[2] == ("dict text", False)
+    assert got[3] == ("p1\np2", False)
+    assert got[4] == ("a\nb\nc", False)
+    assert got[5] == ("42", False)
+    assert got[6] == ('{"other":1}', False)
+    assert got[7] == (None, True)
+    assert got[8] == (None, True)
+
+
+def test_blank_gate_python_whitespace(spark):
+    texts = ["", "   ", "\t\n", "\x1c\x1d\x1e\x1f", " \u3000", "a", " x ", None, "\u200b", "\x85\xa0"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, payload string")
+    got = [r.is_empty for r in G.gate_empty(df).orderBy("i").collect()]
+    assert got == [not (t or "").strip() if t is not None else False for t in texts]
+
+
+def test_size_gate_edges(spark):
+    rows = [(1, "a" * 102399, None), (2, "a" * 102400, None), (3, "a" * 102401, None),
+            (4, "é" * 102400, ""), (5, "a" * 51200, "b" * 51201), (6, "a" * 2048, "")]
+    df = spark.createDataFrame(rows, "i int, c string, ctx string")
+    got = {r.i: (r.size_chars, r.oversize, r.size_reason) for r in
+           G.gate_size(df, "c", "ctx").collect()}
+    assert got[1][1] is False and got[2][1] is False
+    assert got[3] == (102401, True, "Content too large (100KB > 100KB limit)")
+    assert got[4][:2] == (102400, False)
+    assert got[5][:2] == (102401, True)
+    small = {r.i: r.size_reason for r in G.gate_size(df, "c", "ctx", max_chars=1024).collect()}
+    assert small[6] == "Content too large (2KB > 1KB limit)"
+
+
+def _msgs(spark):
+    rows = [(1, 0, "user", "aaaa"), (1, 1, "assistant", "zz"), (1, 2, "user", "bb"),
+            (1, 3, "user", "c"), (2, 0, "system", "s"), (3, 5, "user", "x" * 20),
+            (3, 1, "user", "yy")]
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+
+def test_payload_conversation_and_bound(spark):
+    got = {r.conv_id: (r.n_turns, r.payload_chars, r.payload) for r in
+           PL.payload_conversation(_msgs(spark), max_chars=10).collect()}
+    assert got[1] == (3, 9, "aaaa\nbb\nc")
+    assert got[2] == (0, 0, "")          # no user turn -> empty payload
+    assert got[3] == (2, 23, None)       # over the bound: exact size, no text
+
+
+def test_payload_history_matches_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(PL, "TURN_CHUNK", 2)   # force many chunks
+    got = {(r.conv_id, r.turn): (r.history_chars, r.payload) for r in
+           PL.payload_history(_msgs(spark), max_chars=8).collect()}
+    rows = sorted(r for r in _msgs(spark).collect() if r.role == "user")
+    expect = {}
+    for conv in {r.conv_id for r in rows}:
+        hist = []
+        for r in sorted((x for x in rows if x.conv_id == conv), key=lambda x: x.turn):
+            hist.append(r.text)
+            text = "\n".join(hist)
+            expect[(conv, r.turn)] = (len(text), text if len(text) <= 8 else None)
+    assert got == expect
+
+
+def test_payload_filter_pushed_to_scan(spark):
+    from tollgate.sources.tables import read_messages
+    plan = read_messages(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "role" in plan
+    assert F is not None

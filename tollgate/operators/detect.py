@@ -253,7 +253,7 @@ def assemble(df: DataFrame, findings_col: str = "findings") -> DataFrame:
     fs = F.col(findings_col)
     best = F.array_min(F.transform(fs, lambda f: F.struct(_rank_key(f).alias("k"), f.alias("f"))))
     sev = X.default_severity(X.canonical_type(best["f"]["raw_type"]))
-    return (df.withColumn("n_findings", F.size(fs))
+    return (df.withColumn("n_findings", F.size(fs).cast("long"))
             .withColumn("safe", F.col("n_findings") == 0)
             .withColumn("threat_type", best["f"]["raw_type"])
             .withColumn("confidence", best["f"]["confidence"])

@@ -174,8 +174,8 @@ gov AS (SELECT a.item_id, CASE WHEN a.safe THEN 'allow' ELSE 'block' END AS deci
 
 PAYLOAD_CONV = f"""pc AS (SELECT conv_id,
     count(*) FILTER (WHERE role = 'user') AS n_turns,
-    coalesce(sum(length(text)) FILTER (WHERE role = 'user'), 0)
-      + greatest(count(*) FILTER (WHERE role = 'user') - 1, 0) AS payload_chars,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'user'), 0)
+      + greatest(count(*) FILTER (WHERE role = 'user') - 1, 0) AS BIGINT) AS payload_chars,
     count(*) FILTER (WHERE role = 'user' AND text IS NULL) > 0 AS payload_error,
     string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'user') AS agg
   FROM conversations GROUP BY conv_id),
@@ -229,7 +229,7 @@ ORACLE: dict[str, str] = {
     "payload_conversation": f"WITH {PAYLOAD_CONV} SELECT * FROM pcv",
     "payload_history": f"""WITH u AS (SELECT conv_id, turn, text FROM conversations WHERE role = 'user'),
         h AS (SELECT conv_id, turn,
-          sum(coalesce(length(text), 0) + 1) OVER w - 1 AS history_chars,
+          CAST(sum(coalesce(length(text), 0) + 1) OVER w - 1 AS BIGINT) AS history_chars,
           string_agg(text, chr(10)) OVER w AS agg
           FROM u WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
         SELECT conv_id, turn, history_chars,
@@ -246,7 +246,7 @@ ORACLE: dict[str, str] = {
              CAST(coalesce(length(text), 0) // 1024 AS VARCHAR) || 'KB > {MAX_CONTENT_CHARS // 1024}KB limit)' END
           AS size_reason,
         CASE WHEN coalesce(length(text), 0) > {MAX_CONTENT_CHARS} THEN 'size_limit_exceeded' END AS size_threat_type,
-        CASE WHEN coalesce(length(text), 0) > {MAX_CONTENT_CHARS} THEN 1.0 END AS size_confidence,
+        CASE WHEN coalesce(length(text), 0) > {MAX_CONTENT_CHARS} THEN CAST(1.0 AS DOUBLE) END AS size_confidence,
         CASE WHEN coalesce(length(text), 0) > {MAX_CONTENT_CHARS} THEN 'size_limit' END AS violation_type,
         CASE WHEN coalesce(length(text), 0) > {MAX_CONTENT_CHARS}
              THEN 'Content exceeds maximum size of {MAX_CONTENT_CHARS // 1024}KB' END AS violation_description
@@ -293,7 +293,7 @@ ORACLE: dict[str, str] = {
                    coalesce(min(attempt) FILTER (WHERE terminal), max(attempt)) AS t FROM a GROUP BY request_id)
         SELECT p.request_id, p.endpoint, p.scan_kind, p.t AS attempts, a.kind, a.status, a.message,
           a.ts AS resolved_ts, a.kind = 'ok' AS succeeded,
-          round(CASE p.t WHEN 1 THEN 0.0 WHEN 2 THEN 0.2 ELSE 0.6 END, 6) AS backoff_s
+          CAST(CASE p.t WHEN 1 THEN 0.0 WHEN 2 THEN 0.2 ELSE 0.6 END AS DOUBLE) AS backoff_s
         FROM pick p JOIN a ON a.request_id = p.request_id AND a.attempt = p.t""",
     "fail_mode": f"""WITH {ATTEMPTS},
         a AS (SELECT *, kind = 'ok' OR NOT (kind IN ('timeout', 'connect') OR (kind = 'http' AND coalesce(status >= 500, false)))
@@ -343,7 +343,7 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT item_id, host, 'suspicious_tld', CAST({R.SUSPICIOUS_TLD_CONFIDENCE} AS DOUBLE), {LABELS}[-1]
         FROM h WHERE {LABELS}[-1] IN ({", ".join(lit(x) for x in R.SUSPICIOUS_TLDS)})""",
-    "label_toxicity": """SELECT doc_id AS item_id, 'toxicity' AS raw_type, 1.0 AS confidence, 1 AS ord,
+    "label_toxicity": """SELECT doc_id AS item_id, 'toxicity' AS raw_type, CAST(1.0 AS DOUBLE) AS confidence, CAST(1 AS INTEGER) AS ord,
         CAST(NULL AS VARCHAR) AS match_hash FROM labels
         WHERE toxic = 1 AND doc_id IN (SELECT doc_id FROM documents)""",
     "rule_scan": f"""WITH {RULES_VALUES}
@@ -382,8 +382,8 @@ ORACLE: dict[str, str] = {
         SELECT * FROM c
         WHERE minute_start + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
     "stream_outage": f"""WITH {STREAKS},
-        s AS (SELECT *, sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY endpoint, grp ORDER BY ts, event_id
-                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k FROM g),
+        s AS (SELECT *, CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY endpoint, grp
+                ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS k FROM g),
         p AS (SELECT *, lag(CASE WHEN ok THEN 0 ELSE k END, 1, 0) OVER (PARTITION BY endpoint ORDER BY ts, event_id)
                 AS prev FROM s)
         SELECT endpoint, 'outage' AS event, event_id, ts, k AS streak FROM p WHERE NOT ok AND k = 5
