@@ -50,12 +50,16 @@ def payload_conversation(msgs: DataFrame, roles: Iterable[str] = ("user",),
     eligible = sizes.where(~F.col("payload_error") & (F.col("n_turns") > 0))
     if max_chars is not None:
         eligible = eligible.where(F.col("payload_chars") <= max_chars)
-    texts = (msgs.where(is_role)
-             .join(eligible.select("conv_id"), "conv_id", "left_semi")
+    # Null-safe keys keep the size aggregate's plan identical in both uses,
+    # so its exchange is reused instead of recomputed.
+    e = eligible.select(F.col("conv_id").alias("_e"))
+    user = msgs.where(is_role)
+    texts = (user.join(e, user["conv_id"].eqNullSafe(e["_e"]), "left_semi")
              .groupBy("conv_id")
-             .agg(_ordered_join(F.struct("turn", "text")).alias("_payload")))
+             .agg(_ordered_join(F.struct("turn", "text")).alias("_payload"))
+             .withColumnRenamed("conv_id", "_t"))
     within = F.lit(True) if max_chars is None else F.col("payload_chars") <= max_chars
-    return (sizes.join(texts, "conv_id", "left")
+    return (sizes.join(texts, sizes["conv_id"].eqNullSafe(texts["_t"]), "left")
             .select("conv_id", "n_turns", "payload_chars", "payload_error",
                     F.when(F.col("payload_error"), F.lit(None).cast("string"))
                      .when(F.col("n_turns") == 0, F.lit(""))

@@ -32,6 +32,8 @@ def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     w_local = (Window.partitionBy(*keys, "_chunk").orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = d.withColumn("_local", agg("_val").over(w_local))
+    # Chunk totals are a partial aggregate over the (column-pruned) input:
+    # one row per key, chunk and map task crosses the shuffle.
     totals = d.groupBy(*keys, "_chunk").agg(agg("_val").alias("_chunk_total"))
     w_prev = (Window.partitionBy(*keys).orderBy("_chunk")
               .rowsBetween(Window.unboundedPreceding, -1))
