@@ -23,7 +23,7 @@ from ..operators import quota as Q
 from ..operators import requests as RQ
 from ..operators import verdicts as V
 from ..session import scratch_path
-from .sizing import spread_for_cpu
+from .sizing import spread_for_cpu, stage
 from ..sources import derived
 from ..sources.sinks import write_routed
 from ..sources.tables import parse_requests, parse_verdicts, read_messages, read_table
@@ -212,7 +212,7 @@ def q_decide(spark, d):
 def q_allowed_messages(spark, d):
     msgs = read_messages(spark, d, roles=None)
     convs = msgs.select("conv_id").distinct()
-    verdicts = V.sanitize(parse_verdicts(derived.raw_verdicts(convs, "conv_id")))
+    verdicts = stage(V.sanitize(parse_verdicts(derived.raw_verdicts(convs, "conv_id"))))
     return P.allowed(msgs, verdicts.withColumnRenamed("item_id", "conv_id"), "conv_id")
 
 
@@ -221,7 +221,7 @@ def q_blocked_report(spark, d):
         F.col("doc_id").alias("item_id"),
         F.element_at(F.array(*[F.lit(p) for p in PROVIDERS]), (F.col("doc_id") % 3 + 1).cast("int"))
         .alias("provider"))
-    v = V.sanitize(_external_verdicts(spark, d))
+    v = stage(V.sanitize(_external_verdicts(spark, d)))
     return (P.blocked(reqs, v, "item_id", F.col("provider"))
             .select("item_id", "provider", "message", "threat_type", "confidence", "n_violations"))
 
@@ -307,7 +307,7 @@ def q_redact_pii(spark, d):
 
 
 def q_framework_coverage(spark, d):
-    v = governed_documents(spark, d).withColumn("safe", F.col("decision") == "allow")
+    v = stage(governed_documents(spark, d)).withColumn("safe", F.col("decision") == "allow")
     return D.framework_coverage(v)
 
 
@@ -323,7 +323,7 @@ def q_quota_month(spark, d):
 
 
 def q_threat_rollup(spark, d):
-    return Q.threat_rollup(V.sanitize(_external_verdicts(spark, d)))
+    return Q.threat_rollup(stage(V.sanitize(_external_verdicts(spark, d))))
 
 
 # ---------------------------------------------------------------------------

@@ -30,3 +30,18 @@ def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFram
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` as a reliable checkpoint in the shared
+    ``spark.checkpoint.dir`` and continue from it.
+
+    Used where a report filters on columns that an expensive projection
+    produced (regex findings, parsed JSON): without a barrier Catalyst pushes
+    the filter below that projection -- and across joins via inferred
+    constraints -- evaluating the expensive expressions again.  The staged
+    table also cuts lineage, so a lost executor only recomputes from it.
+    """
+    from ..session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
