@@ -26,8 +26,11 @@ def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFram
     cheap shuffle next to the regex work).  On a large input the scan already
     yields many more splits than cores and nothing is added to the plan.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 -- no RDD API (e.g. Spark Connect): keep the scan's split
         return df
     return df.repartition(target)
 
