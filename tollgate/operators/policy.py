@@ -19,8 +19,9 @@ FAILURE_THRESHOLD = 5
 BLOCK_PREFIX_OPENAI = "Request blocked: "
 BLOCK_DEFAULT_OPENAI = "Security threat detected"
 
-# Seconds of event time per chunk when tracking failure streaks.
-STREAK_CHUNK_SECONDS = 3600
+# Seconds of event time per chunk when tracking failure streaks: one minute
+# of one endpoint is the largest group a single task sorts.
+STREAK_CHUNK_SECONDS = 60
 
 
 def _c(c: str | Column) -> Column:

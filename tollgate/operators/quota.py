@@ -38,26 +38,26 @@ def quota_month(scans: DataFrame, tiers=TIERS) -> DataFrame:
     """Calendar-month use per key against the allowance, and the scan that
     crossed it (the ``allowance + 1``-th in ``(ts, event_id)`` order).
 
-    Finding the crossing scan never ranks a whole key-month: daily counts
-    (partial aggregate) are accumulated on the small ``(key, month, day)``
-    table, which pins the crossing to one day; only that day's scans of that
-    key are ranked.
+    Finding the crossing scan never ranks a whole key-month: per-minute counts
+    (a partial aggregate) are accumulated on the ``(key, month, minute)``
+    table -- at most 44,640 rows per key-month -- which pins the crossing to
+    one minute; only that minute's scans of that key are ranked.
     """
     t = F.broadcast(tier_frame(scans.sparkSession, tiers))
     s = (scans.withColumn("month", F.date_trunc("month", "ts").cast("timestamp_ntz"))
-         .withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz")))
-    daily = s.groupBy("key_id", "tier", "month", "day").agg(F.count(F.lit(1)).alias("n_day"))
-    w = Window.partitionBy("key_id", "month").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    daily = (daily.join(t, "tier", "left")
-             .withColumn("before", F.coalesce(F.sum("n_day").over(w), F.lit(0))))
-    monthly = (daily.groupBy("key_id", "tier", "month")
-               .agg(F.sum("n_day").alias("n_scans"), F.first("per_month").alias("allowance")))
-    crossing_day = daily.where(F.col("per_month").isNotNull()
-                               & (F.col("before") < F.col("per_month") + 1)
-                               & (F.col("before") + F.col("n_day") >= F.col("per_month") + 1))
-    wd = Window.partitionBy("key_id", "day").orderBy("ts", "event_id")
-    crossing = (s.join(crossing_day.select("key_id", "day", "before", "per_month"), ["key_id", "day"], "inner")
-                .withColumn("_rn", F.row_number().over(wd) + F.col("before"))
+         .withColumn("minute", F.date_trunc("minute", "ts").cast("timestamp_ntz")))
+    per_min = s.groupBy("key_id", "tier", "month", "minute").agg(F.count(F.lit(1)).alias("n_min"))
+    w = Window.partitionBy("key_id", "month").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
+    per_min = (per_min.join(t, "tier", "left")
+               .withColumn("before", F.coalesce(F.sum("n_min").over(w), F.lit(0))))
+    monthly = (per_min.groupBy("key_id", "tier", "month")
+               .agg(F.sum("n_min").alias("n_scans"), F.first("per_month").alias("allowance")))
+    crossing_min = per_min.where(F.col("per_month").isNotNull()
+                                 & (F.col("before") < F.col("per_month") + 1)
+                                 & (F.col("before") + F.col("n_min") >= F.col("per_month") + 1))
+    wm = Window.partitionBy("key_id", "minute").orderBy("ts", "event_id")
+    crossing = (s.join(crossing_min.select("key_id", "minute", "before", "per_month"), ["key_id", "minute"], "inner")
+                .withColumn("_rn", F.row_number().over(wm) + F.col("before"))
                 .where(F.col("_rn") == F.col("per_month") + 1)
                 .select("key_id", "month", F.col("event_id").alias("crossed_event_id"),
                         F.col("ts").alias("crossed_ts")))

@@ -74,7 +74,7 @@ def q_src_messages(spark, d):
 
 def q_src_requests(spark, d):
     req = parse_requests(derived.chat_requests(read_messages(spark, d, roles=None), "openai"))
-    return req.select("request_id", "valid", "n_messages", "n_user_messages")
+    return req.select("request_id", "part", "valid", "n_messages", "n_user_messages")
 
 
 def q_src_verdicts(spark, d):
@@ -98,7 +98,7 @@ def q_sink_routed(spark, d):
 def _extract(dialect: str) -> Query:
     def q(spark, d):
         req = parse_requests(derived.chat_requests(read_messages(spark, d, roles=None), dialect))
-        return E.extract_text(req, dialect).select("request_id", "text", "extract_error")
+        return E.extract_text(req, dialect).select("request_id", "part", "text", "extract_error")
     return q
 
 

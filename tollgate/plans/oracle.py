@@ -185,10 +185,11 @@ pcv AS (SELECT conv_id, n_turns, payload_chars, payload_error,
 
 
 def _extract_sql(shape_mod: int, pieces_case: str, where: str) -> str:
-    return f"""WITH m AS (SELECT conv_id, turn, role, text, (conv_id + turn) % {shape_mod} AS s FROM conversations),
-a AS (SELECT conv_id, string_agg({pieces_case}, chr(10) ORDER BY turn) FILTER (WHERE {where}) AS t
-      FROM m GROUP BY conv_id)
-SELECT conv_id AS request_id, coalesce(t, '') AS text, false AS extract_error FROM a"""
+    return f"""WITH m AS (SELECT conv_id, CAST(floor(turn / 64) AS BIGINT) AS part, turn, role, text,
+        (conv_id + turn) % {shape_mod} AS s FROM conversations),
+a AS (SELECT conv_id, part, string_agg({pieces_case}, chr(10) ORDER BY turn) FILTER (WHERE {where}) AS t
+      FROM m GROUP BY conv_id, part)
+SELECT conv_id AS request_id, part, coalesce(t, '') AS text, false AS extract_error FROM a"""
 
 
 REDACT = "text"
@@ -216,8 +217,9 @@ PROVIDER = "(['openai', 'anthropic', 'gemini'])[doc_id % 3 + 1]"
 
 ORACLE: dict[str, str] = {
     "src_messages": "SELECT conv_id, turn, role, text FROM conversations WHERE role = 'user'",
-    "src_requests": """SELECT conv_id AS request_id, true AS valid, count(*) AS n_messages,
-        count(*) FILTER (WHERE role = 'user') AS n_user_messages FROM conversations GROUP BY conv_id""",
+    "src_requests": """SELECT conv_id AS request_id, CAST(floor(turn / 64) AS BIGINT) AS part, true AS valid,
+        count(*) AS n_messages, count(*) FILTER (WHERE role = 'user') AS n_user_messages
+        FROM conversations GROUP BY conv_id, CAST(floor(turn / 64) AS BIGINT)""",
     "src_verdicts": f"WITH {parsed_verdicts('documents', 'doc_id')} SELECT * FROM pv",
     "src_attempts": f"WITH {ATTEMPTS} SELECT * FROM att",
     "sink_routed": f"WITH {GOVERNED} SELECT * FROM gov",

@@ -196,9 +196,17 @@ def _message_fragment(dialect: str):
             .otherwise(F.to_json(F.struct(role.alias("role"), F.array(text).alias("content")))))
 
 
-def chat_requests(messages: DataFrame, dialect: str = "openai") -> DataFrame:
-    """``(request_id, raw)``: the request body a client would send per
-    conversation, in the given provider's message shape.
+# Messages per derived request body: a request carries a window of at most
+# this many consecutive turns of a conversation, so building a body gathers
+# a bounded group however long the conversation is.
+REQUEST_MAX_MESSAGES = 64
+
+
+def chat_requests(messages: DataFrame, dialect: str = "openai",
+                  max_messages: int = REQUEST_MAX_MESSAGES) -> DataFrame:
+    """``(request_id, part, raw)``: the request body a client would send, in
+    the given provider's message shape, for each window of ``max_messages``
+    turns of a conversation (``part = turn div max_messages``).
 
     Shapes rotate by ``(conv_id + turn)``: plain strings, text parts, text plus
     image parts, a part with no ``text`` key, and bare strings (OpenAI ignores
@@ -206,10 +214,11 @@ def chat_requests(messages: DataFrame, dialect: str = "openai") -> DataFrame:
     and ``{role, parts}`` dicts.
     """
     key = "contents" if dialect == "gemini" else "messages"
-    frags = messages.select("conv_id", "turn", _message_fragment(dialect).alias("frag"))
-    return (frags.groupBy("conv_id")
+    frags = messages.select("conv_id", F.floor(F.col("turn") / max_messages).alias("part"), "turn",
+                            _message_fragment(dialect).alias("frag"))
+    return (frags.groupBy("conv_id", "part")
             .agg(F.array_sort(F.collect_list(F.struct("turn", "frag"))).alias("m"))
-            .select(F.col("conv_id").alias("request_id"),
+            .select(F.col("conv_id").alias("request_id"), "part",
                     F.concat(F.lit('{"' + key + '":['),
                              F.array_join(F.transform("m", lambda x: x["frag"]), ","),
                              F.lit("]}")).alias("raw")))
