@@ -50,7 +50,8 @@ SECRET_RULES: tuple[Rule, ...] = (
     Rule("private_key", r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", 0, 0.99, hints=("PRIVATE KEY-----",)),
     Rule("api_key", r"(^|[^A-Za-z0-9_-])(sk-[A-Za-z0-9_-]{20,})", 2, 0.9, hints=("sk-",)),
     Rule("secret_key", r"(?i)(secret|token|password|passwd|api[_-]?key)" + WS + r"*[:=]" + WS
-         + r"*[\"']?([A-Za-z0-9/+_=-]{16,})", 2, 0.85),
+         + r"*[\"']?([A-Za-z0-9/+_=-]{16,})", 2, 0.85,
+         hint_re=r"[:=]" + WS + r"*[\"']?[A-Za-z0-9/+_=-]{16}"),
 )
 
 PROMPT_RULES: tuple[Rule, ...] = (
