@@ -274,7 +274,7 @@ def q_detect_prompt(spark, d):
 
 
 def q_detect_sql(spark, d):
-    return D.detect_sql(derived.sql_statements(_events(spark, d)))
+    return D.detect_sql(derived.sql_statements(spread_for_cpu(_events(spark, d))))
 
 
 def q_detect_path(spark, d):
