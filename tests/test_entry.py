@@ -48,3 +48,28 @@ def test_query_matches_oracle(spark, duck, name):
     want = _rows([d[0] for d in cur.description], cur.fetchall())
     assert sorted(df.columns) == sorted(d[0] for d in cur.description)
     assert got == want
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_flagship_has_no_key_shuffle(spark):
+    """Detection, assembly and decision are narrow: the only exchange allowed
+    is the round-robin spread of a single-split scan."""
+    plan = _plan(entry(spark))
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_spread_is_noop_on_many_splits(spark):
+    from tollgate.plans.sizing import spread_for_cpu
+    wide = spark.range(0, 1000, 1, spark.sparkContext.defaultParallelism * 2)
+    assert spread_for_cpu(wide) is wide
+    narrow = spark.range(0, 1000, 1, 1)
+    assert spread_for_cpu(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_retry_resolve_is_one_partial_aggregate(spark):
+    plan = _plan(queries()["retry_resolve"](spark, SF_SMALL))
+    assert "partial_min" in plan and "Window" not in plan

@@ -50,7 +50,9 @@ def blocked(requests: DataFrame, verdicts: DataFrame, key: str,
     """
     prov = F.lit(provider) if isinstance(provider, str) else provider
     v = verdicts.where(~F.coalesce(F.col("safe"), F.lit(True)))
-    reason = F.coalesce(F.col("reason"), F.lit("None"))
+    # A verdict table without a reason column renders the client's default text.
+    reason = (F.coalesce(F.col("reason"), F.lit("None")) if "reason" in verdicts.columns
+              else F.lit(BLOCK_DEFAULT_OPENAI))
     violations = F.col("n_violations") if "n_violations" in verdicts.columns else F.lit(0)
     return (requests.join(v, key, "inner")
             .withColumn("provider", prov)
