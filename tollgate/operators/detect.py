@@ -204,32 +204,51 @@ def label_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 # user rule tables
 # ----------------------------------------------------------------------------
 def rules_frame(spark, rules: Iterable[R.Rule]) -> DataFrame:
-    return spark.createDataFrame([(r.raw_label, r.pattern, float(r.confidence)) for r in rules],
-                                 "raw_label string, pattern string, confidence double")
+    """Rule table ``(raw_label, pattern, confidence, hints, hint_re)``; the
+    optional hint columns are necessary conditions used as prefilters."""
+    return spark.createDataFrame(
+        [(r.raw_label, r.pattern, float(r.confidence), list(r.hints) or None, r.hint_re) for r in rules],
+        "raw_label string, pattern string, confidence double, hints array<string>, hint_re string")
+
+
+def _row_hint(text: Column, hints, hint_re) -> Column | None:
+    return rule_hint(text, R.Rule("", "", 0, 0.0, tuple(hints or ()), hint_re))
 
 
 def rule_scan(df: DataFrame, id_col: str, text: str, rules: DataFrame,
               inline_max: int = INLINE_RULES_MAX) -> DataFrame:
-    """Match every rule of a rule table ``(raw_label, pattern, confidence)``
-    against every text.  Rows: ``(item_id, raw_type, confidence)``.
+    """Match every rule of a rule table ``(raw_label, pattern, confidence
+    [, hints, hint_re])`` against every text.  Rows: ``(item_id, raw_type,
+    confidence)``.
 
     A small table (size checked) is inlined as one projection of ``rlike``
     columns, so each text is read once; a large one is a broadcast
-    nested-loop (theta) join on ``text RLIKE pattern``.
+    nested-loop (theta) join on ``text RLIKE pattern``.  Optional hint
+    columns (substrings of which one must occur, a cheap regex that must
+    match) prefilter rows before the full pattern runs.
     """
+    if "hints" not in rules.columns:
+        rules = rules.withColumn("hints", F.lit(None).cast("array<string>"))
+    if "hint_re" not in rules.columns:
+        rules = rules.withColumn("hint_re", F.lit(None).cast("string"))
+    rules = rules.select("raw_label", "pattern", "confidence", "hints", "hint_re")
     n = rules.limit(inline_max + 1).count()
     if n <= inline_max:
-        rs = rules.select("raw_label", "pattern", "confidence").collect()
-        hits = F.array_compact(F.array(*[
-            F.when(F.col(text).rlike(r["pattern"]),
-                   F.struct(F.lit(r["raw_label"]).alias("raw_type"),
-                            F.lit(float(r["confidence"])).alias("confidence")))
-            for r in rs]))
-        return df.select(F.col(id_col).alias("item_id"), F.inline(hits))
+        t = F.col(text)
+        cols = []
+        for r in rules.collect():
+            match = t.rlike(r["pattern"])
+            hint = _row_hint(t, r["hints"], r["hint_re"])
+            cond = match if hint is None else (hint & match)
+            cols.append(F.when(cond, F.struct(F.lit(r["raw_label"]).alias("raw_type"),
+                                              F.lit(float(r["confidence"])).alias("confidence"))))
+        return df.select(F.col(id_col).alias("item_id"), F.inline(F.array_compact(F.array(*cols))))
     from ..plans.sizing import broadcast_if_small
-    r = broadcast_if_small(rules.select("raw_label", "pattern", "confidence"))
+    r = broadcast_if_small(rules)
+    hinted = F.expr("(hints IS NULL OR exists(hints, h -> contains(_t, h))) "
+                    "AND (hint_re IS NULL OR _t RLIKE hint_re)")
     return (df.select(F.col(id_col).alias("item_id"), F.col(text).alias("_t"))
-            .join(r, F.expr("_t RLIKE pattern"), "inner")
+            .join(r, hinted & F.expr("_t RLIKE pattern"), "inner")
             .select("item_id", F.col("raw_label").alias("raw_type"), "confidence"))
 
 
