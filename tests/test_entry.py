@@ -73,3 +73,13 @@ def test_spread_is_noop_on_many_splits(spark):
 def test_retry_resolve_is_one_partial_aggregate(spark):
     plan = _plan(queries()["retry_resolve"](spark, SF_SMALL))
     assert "partial_min" in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("name", ["detect_pii", "detect_secrets", "detect_sql", "detect_path",
+                                  "rule_scan"])
+def test_detectors_run_once_not_in_scan_filters(spark, name):
+    """No regex may be pushed into a scan filter (it would run twice, the
+    first time before the rows are spread over the cores)."""
+    plan = queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    scans = [ln for ln in plan.splitlines() if "FileScan" in ln or "Scan parquet" in ln]
+    assert scans and not any("regexp" in ln or "RLike" in ln for ln in scans)

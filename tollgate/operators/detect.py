@@ -94,9 +94,22 @@ def findings(text: Column, families: Iterable[str] = ("pii", "secrets")) -> Colu
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
+def _flatten(df: DataFrame, id_expr: Column, arr: Column) -> DataFrame:
+    """``inline`` an array of structs into rows, one per element.
+
+    ``inline_outer`` plus a filter on the generated column, rather than
+    ``inline``: for an inner generator Catalyst infers ``size(arr) > 0`` and
+    pushes it below the projection (and below a repartition) into the scan,
+    evaluating every detector twice.  The filter on a generated column
+    cannot move below the generator.
+    """
+    return (df.select(id_expr.alias("item_id"), F.inline_outer(arr))
+            .where(F.col("raw_type").isNotNull()))
+
+
 def finding_rows(df: DataFrame, id_col: str, findings_col: str = "findings") -> DataFrame:
     """Flatten ``findings`` into ``(item_id, raw_type, confidence, ord, match_hash)``."""
-    return df.select(F.col(id_col).alias("item_id"), F.inline(F.col(findings_col)))
+    return _flatten(df, F.col(id_col), F.col(findings_col))
 
 
 def detect(df: DataFrame, text: str, families: Iterable[str], id_col: str) -> DataFrame:
@@ -242,7 +255,7 @@ def rule_scan(df: DataFrame, id_col: str, text: str, rules: DataFrame,
             cond = match if hint is None else (hint & match)
             cols.append(F.when(cond, F.struct(F.lit(r["raw_label"]).alias("raw_type"),
                                               F.lit(float(r["confidence"])).alias("confidence"))))
-        return df.select(F.col(id_col).alias("item_id"), F.inline(F.array_compact(F.array(*cols))))
+        return _flatten(df, F.col(id_col), F.array_compact(F.array(*cols)))
     from ..plans.sizing import broadcast_if_small
     r = broadcast_if_small(rules)
     hinted = F.expr("(hints IS NULL OR exists(hints, h -> contains(_t, h))) "
