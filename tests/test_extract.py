@@ -131,3 +131,18 @@ def test_payload_filter_pushed_to_scan(spark):
     plan = read_messages(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "role" in plan
     assert F is not None
+
+
+def test_conversation_gates_end_to_end(spark):
+    from tollgate.plans.governance import govern_conversations
+    rows = [(1, 0, "user", "hello there"), (2, 0, "user", "   "), (3, 0, "user", "x" * 3000),
+            (4, 0, "user", None), (5, 0, "user", "mail me: a@b.invalid"), (6, 0, "assistant", "only bot")]
+    msgs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: (r.gate, r.decision, r.threat_type, r.reason) for r in
+           govern_conversations(msgs, max_chars=2048).collect()}
+    assert got[1] == ("scan", "allow", None, "")
+    assert got[2] == ("empty", "allow", None, "No user content to scan")
+    assert got[3] == ("size", "block", "size_limit_exceeded", "Content too large (2KB > 2KB limit)")
+    assert got[4] == ("error", "error", None, None)
+    assert got[5][:3] == ("scan", "block", "pii_exposure")
+    assert got[6] == ("empty", "allow", None, "No user content to scan")

@@ -23,6 +23,7 @@ from ..operators import quota as Q
 from ..operators import requests as RQ
 from ..operators import verdicts as V
 from ..session import scratch_path
+from .governance import govern_conversations, govern_documents
 from .sizing import spread_for_cpu, stage
 from ..sources import derived
 from ..sources.sinks import write_routed
@@ -57,12 +58,11 @@ def _external_verdicts(spark, d) -> DataFrame:
 # flagship: documents -> detect -> assemble -> normalise -> decide
 # ---------------------------------------------------------------------------
 def governed_documents(spark: SparkSession, d: str) -> DataFrame:
-    docs = _text_docs(spark, d)
-    f = docs.select(F.col("doc_id").alias("item_id"),
-                    D.findings(F.col("text"), ALL_FAMILIES).alias("findings"))
-    v = V.normalize_verdict(D.assemble(f, "findings"))
-    return P.decide(v).select("item_id", "decision", "threat_type", "severity", "confidence",
-                              "n_findings")
+    return govern_documents(_text_docs(spark, d))
+
+
+def governed_conversations(spark: SparkSession, d: str) -> DataFrame:
+    return govern_conversations(read_messages(spark, d, roles=None))
 
 
 # ---------------------------------------------------------------------------
@@ -209,6 +209,10 @@ def q_decide(spark, d):
     return governed_documents(spark, d)
 
 
+def q_conversation_decisions(spark, d):
+    return governed_conversations(spark, d)
+
+
 def q_allowed_messages(spark, d):
     msgs = read_messages(spark, d, roles=None)
     convs = msgs.select("conv_id").distinct()
@@ -383,6 +387,7 @@ QUERIES: dict[str, Query] = {
     "sanitize_verdicts": q_sanitize_verdicts,
     "tier_note": q_tier_note,
     "decide": q_decide,
+    "conversation_decisions": q_conversation_decisions,
     "allowed_messages": q_allowed_messages,
     "blocked_report": q_blocked_report,
     "classify_error": q_classify_error,

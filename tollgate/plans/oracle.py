@@ -149,8 +149,9 @@ def path_rows(src: str = "files") -> str:
     return "\nUNION ALL ".join(parts)
 
 
-def assembled(src_findings: str) -> str:
-    """CTEs ``fr`` (findings) and ``asm`` (one raw verdict per document)."""
+def assembled(src_findings: str, items: str = "documents") -> str:
+    """CTEs ``fr`` (findings) and ``asm`` (one raw verdict per row of
+    ``items``, keyed by its ``doc_id``)."""
     return f"""{TAXO}, {TYPES},
 fr AS ({src_findings}),
 fk AS (SELECT fr.*, ty.default_severity AS sev, ty.sev_rank
@@ -161,7 +162,7 @@ best AS (SELECT item_id, raw_type, confidence, sev, count(*) OVER (PARTITION BY
          FROM fk),
 asm AS (SELECT d.doc_id AS item_id, b.item_id IS NULL AS safe, b.raw_type AS threat_type,
           b.confidence AS confidence, b.sev AS severity, coalesce(b.n, 0) AS n_findings
-        FROM documents d LEFT JOIN best b ON b.item_id = d.doc_id AND b.rn = 1)"""
+        FROM {items} d LEFT JOIN best b ON b.item_id = d.doc_id AND b.rn = 1)"""
 
 
 GOVERNED = assembled(family_rows(ALL_FAMILIES, "documents", "doc_id", "text")) + f""",
@@ -417,3 +418,29 @@ ORACLE["request_sql"] = f"WITH {STMTS} SELECT request_id, route, content_type, b
 ORACLE["request_file"] = f"WITH {FILES} SELECT request_id, route, content_type, body FROM ({_FILES})"
 ORACLE["request_union"] = (f"WITH {PAYLOAD_CONV}, {STMTS}, {FILES} {_PROMPTS} UNION ALL {_SQLS} "
                            f"UNION ALL {_FILES}")
+
+
+_GATED = f"""{PAYLOAD_CONV},
+gc AS (SELECT pcv.*, coalesce(regexp_matches(payload, {lit(BLANK_PATTERN)}), false) AS is_empty,
+         payload_chars > {MAX_CONTENT_CHARS} AS oversize FROM pcv),
+scanned AS (SELECT conv_id AS doc_id, payload AS text FROM gc
+            WHERE NOT payload_error AND NOT is_empty AND NOT oversize)"""
+
+ORACLE["conversation_decisions"] = "WITH " + _GATED + ", " + assembled(
+    family_rows(ALL_FAMILIES, "scanned", "doc_id", "text"), items="scanned") + f"""
+SELECT g.conv_id,
+  CASE WHEN g.payload_error THEN 'error' WHEN g.is_empty THEN 'empty' WHEN g.oversize THEN 'size'
+       ELSE 'scan' END AS gate,
+  CASE WHEN g.payload_error THEN 'error' WHEN g.is_empty THEN 'allow' WHEN g.oversize THEN 'block'
+       WHEN a.safe THEN 'allow' ELSE 'block' END AS decision,
+  CASE WHEN g.payload_error OR g.is_empty THEN NULL WHEN g.oversize THEN 'size_limit_exceeded'
+       WHEN NOT a.safe THEN coalesce(x.canon, 'unknown') END AS threat_type,
+  CASE WHEN a.item_id IS NOT NULL AND NOT a.safe THEN a.severity END AS severity,
+  CASE WHEN a.item_id IS NOT NULL AND NOT a.safe THEN {CONF_BUCKET.format(c='a.confidence')} END AS confidence,
+  CASE WHEN g.payload_error THEN NULL WHEN g.is_empty THEN 'No user content to scan'
+       WHEN g.oversize THEN 'Content too large (' || CAST(g.payload_chars // 1024 AS VARCHAR)
+            || 'KB > {MAX_CONTENT_CHARS // 1024}KB limit)'
+       WHEN a.safe THEN '' ELSE ty.guidance END AS reason
+FROM gc g LEFT JOIN asm a ON a.item_id = g.conv_id
+LEFT JOIN taxo x ON x.raw_label = a.threat_type
+LEFT JOIN types ty ON ty.t = coalesce(x.canon, 'unknown')"""

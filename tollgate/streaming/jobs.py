@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..operators import detect as D
 from ..operators import policy as P
-from ..operators import verdicts as V
+from ..plans.governance import govern_documents
 from ..session import scratch_path
 from ..sources import derived
 
@@ -54,10 +53,7 @@ def gate_stream(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     sources whose batches arrive as a few large files."""
     if partitions:
         docs = docs.repartition(partitions)
-    f = docs.select(F.col(id_col).alias("item_id"),
-                    D.findings(F.col(text), ("pii", "secrets", "code", "prompt")).alias("findings"))
-    v = V.normalize_verdict(D.assemble(f, "findings"))
-    return P.decide(v).select("item_id", "decision", "threat_type", "severity", "confidence", "n_findings")
+    return govern_documents(docs, id_col, text)
 
 
 def run_gate(spark: SparkSession, docs_dir: str, out_path: str, schema: T.StructType,
