@@ -83,3 +83,10 @@ def test_detectors_run_once_not_in_scan_filters(spark, name):
     plan = queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     scans = [ln for ln in plan.splitlines() if "FileScan" in ln or "Scan parquet" in ln]
     assert scans and not any("regexp" in ln or "RLike" in ln for ln in scans)
+
+
+def test_spread_skips_inputs_that_nearly_fill_the_cluster(spark):
+    from tollgate.plans.sizing import spread_for_cpu
+    cores = spark.sparkContext.defaultParallelism
+    almost = spark.range(0, 1000, 1, max(cores // 2, 1) + 1)
+    assert spread_for_cpu(almost) is almost

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 # A user table is broadcast only when it has at most this many rows.
 BROADCAST_MAX_ROWS = 100_000
+# Spread an input before regex work only if it has at most 1/SPREAD_FACTOR
+# as many partitions as the cluster has cores.
+SPREAD_FACTOR = 4
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -21,14 +24,15 @@ def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFram
     """Spread rows over the cluster before CPU-heavy per-row work (regex).
 
     A scan of one large parquet row group is a single task; regex detectors
-    on it would run on one core.  When the input has fewer partitions than
-    the cluster's default parallelism, rows are redistributed round-robin (a
-    cheap shuffle next to the regex work).  On a large input the scan already
-    yields many more splits than cores and nothing is added to the plan.
+    on it would run on one core.  When the input would keep at most a quarter
+    of the cluster's cores busy, rows are redistributed round-robin (a cheap
+    shuffle next to the regex work).  A large input already yields about as
+    many splits as cores or more, and is never shuffled just to gain a few
+    more tasks.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
+        if df.rdd.getNumPartitions() * SPREAD_FACTOR > target:
             return df
     except Exception:  # noqa: BLE001 -- no RDD API (e.g. Spark Connect): keep the scan's split
         return df

@@ -27,6 +27,8 @@ SHOWN = {
     "detect_domain": "parent-domain explode + broadcast equi join with the blocklist",
     "blocked_report": "staged sanitised verdicts joined to requests",
     "src_messages": "role filter and column pruning pushed into the parquet scan",
+    "detect_pii": "findings flattened after the projection; no regex in the scan filter",
+    "conversation_decisions": "gates before detectors; detectors only on rows that reach the scan",
 }
 WIDTH = 150
 
