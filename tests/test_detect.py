@@ -57,9 +57,9 @@ def test_hints_never_change_results(spark):
     """A rule's hint is a necessary condition: with and without it the
     findings are equal on every planted text."""
     df = spark.createDataFrame([(i, t) for i, t, _ in PLANTED], "id long, text string")
-    for fam in ("pii", "secrets", "code"):
+    for fam in ("pii", "secrets", "code", "prompt"):
         for r in R.RULE_FAMILIES[fam]:
-            bare = r._replace(hints=(), hint_re=None)
+            bare = r._replace(hints=(), hint_re=None, ci_hints=())
             a = df.select(D.rule_findings(F.col("text"), r).alias("f")).collect()
             b = df.select(D.rule_findings(F.col("text"), bare).alias("f")).collect()
             assert a == b, r.raw_label
@@ -107,7 +107,7 @@ def test_domain_parent_match_and_tld(spark):
 
 def test_rule_scan_inline_equals_theta_join(spark):
     df = spark.createDataFrame([(i, t) for i, t, _ in PLANTED], "id long, text string")
-    rules = D.rules_frame(spark, R.PII_RULES + R.SECRET_RULES)
+    rules = D.rules_frame(spark, R.PII_RULES + R.SECRET_RULES + R.PROMPT_RULES)
     a = sorted(tuple(r) for r in D.rule_scan(df, "id", "text", rules).collect())
     b_df = D.rule_scan(df, "id", "text", rules, inline_max=0)
     assert "NestedLoopJoin" in b_df._jdf.queryExecution().executedPlan().toString()
@@ -131,3 +131,13 @@ def test_assemble_picks_worst(spark):
 def test_redact_adjacent_matches(spark):
     df = spark.createDataFrame([(1, "ids 123-45-6789 987-65-4321 x a@b.invalid")], "id long, text string")
     assert D.redact_pii(df).collect()[0].redacted == "ids [SSN] [SSN] x [EMAIL]"
+
+
+def test_rule_table_without_hints_or_with_empty_hints(spark):
+    df = spark.createDataFrame([(i, t) for i, t, _ in PLANTED], "id long, text string")
+    plain = spark.createDataFrame([(r.raw_label, r.pattern, r.confidence) for r in R.PII_RULES],
+                                  "raw_label string, pattern string, confidence double")
+    empty = plain.withColumn("hints", F.array().cast("array<string>"))
+    want = sorted(tuple(r) for r in D.rule_scan(df, "id", "text", plain).collect())
+    for inline_max in (64, 0):
+        assert sorted(tuple(r) for r in D.rule_scan(df, "id", "text", empty, inline_max).collect()) == want

@@ -17,15 +17,19 @@ from typing import NamedTuple
 
 
 class Rule(NamedTuple):
-    """A detector rule.  ``hints`` (any-of substrings) and ``hint_re`` are
-    cheap *necessary* conditions: the full pattern only runs on rows that
-    pass them.  They never change the result, only skip hopeless rows."""
+    """A detector rule.  ``hints`` (any-of substrings), ``ci_hints`` (any-of
+    lower-case substrings of the lower-cased text, for ``(?i)`` rules) and
+    ``hint_re`` are cheap *necessary* conditions: the full pattern only runs
+    on rows that pass them.  They never change the result, only skip
+    hopeless rows.  (Java's ``(?i)`` folds ASCII only, so a case-insensitive
+    match implies the lower-cased text contains the lower-case keyword.)"""
     raw_label: str
     pattern: str
     group: int
     confidence: float
     hints: tuple[str, ...] = ()
     hint_re: str | None = None
+    ci_hints: tuple[str, ...] = ()
 
 
 WS = r"[ \t]"
@@ -56,12 +60,14 @@ SECRET_RULES: tuple[Rule, ...] = (
 
 PROMPT_RULES: tuple[Rule, ...] = (
     Rule("instruction_override", r"(?i)(ignore|disregard|forget)" + WS + r"+(all" + WS + r"+)?(the" + WS
-         + r"+)?(previous|prior|above|earlier)" + WS + r"+(instructions|prompts|rules|directions)", 0, 0.9),
+         + r"+)?(previous|prior|above|earlier)" + WS + r"+(instructions|prompts|rules|directions)", 0, 0.9,
+         ci_hints=("ignore", "disregard", "forget")),
     Rule("system_prompt_extraction", r"(?i)(reveal|show|print|repeat|output)" + WS + r"+(me" + WS
          + r"+)?(your|the)" + WS + r"+(system" + WS + r"+prompt|hidden" + WS + r"+instructions|initial"
-         + WS + r"+instructions)", 0, 0.85),
+         + WS + r"+instructions)", 0, 0.85, ci_hints=("prompt", "instructions")),
     Rule("jailbreak_attempt", r"(?i)(do" + WS + r"+anything" + WS + r"+now|developer" + WS
-         + r"+mode|jailbreak|without" + WS + r"+any" + WS + r"+(restrictions|filters))", 0, 0.8),
+         + r"+mode|jailbreak|without" + WS + r"+any" + WS + r"+(restrictions|filters))", 0, 0.8,
+         ci_hints=("anything", "developer", "jailbreak", "without")),
 )
 
 CODE_RULES: tuple[Rule, ...] = (

@@ -65,6 +65,9 @@ def luhn_ok(candidate: Column) -> Column:
 def rule_hint(text: Column, rule: R.Rule) -> Column | None:
     """Cheap necessary condition for ``rule`` (``None`` when it has none)."""
     conds = [text.contains(h) for h in rule.hints]
+    if rule.ci_hints:
+        low = F.lower(text)  # one common subexpression across the rules of a projection
+        conds += [low.contains(h) for h in rule.ci_hints]
     if rule.hint_re:
         conds.append(text.rlike(rule.hint_re))
     if not conds:
@@ -217,49 +220,56 @@ def label_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 # user rule tables
 # ----------------------------------------------------------------------------
 def rules_frame(spark, rules: Iterable[R.Rule]) -> DataFrame:
-    """Rule table ``(raw_label, pattern, confidence, hints, hint_re)``; the
-    optional hint columns are necessary conditions used as prefilters."""
+    """Rule table ``(raw_label, pattern, confidence, hints, hint_re,
+    ci_hints)``; the optional hint columns are necessary conditions used as
+    prefilters."""
     return spark.createDataFrame(
-        [(r.raw_label, r.pattern, float(r.confidence), list(r.hints) or None, r.hint_re) for r in rules],
-        "raw_label string, pattern string, confidence double, hints array<string>, hint_re string")
+        [(r.raw_label, r.pattern, float(r.confidence), list(r.hints) or None, r.hint_re,
+          list(r.ci_hints) or None) for r in rules],
+        "raw_label string, pattern string, confidence double, hints array<string>, hint_re string, "
+        "ci_hints array<string>")
 
 
-def _row_hint(text: Column, hints, hint_re) -> Column | None:
-    return rule_hint(text, R.Rule("", "", 0, 0.0, tuple(hints or ()), hint_re))
+def _row_hint(text: Column, hints, hint_re, ci_hints) -> Column | None:
+    return rule_hint(text, R.Rule("", "", 0, 0.0, tuple(hints or ()), hint_re, tuple(ci_hints or ())))
 
 
 def rule_scan(df: DataFrame, id_col: str, text: str, rules: DataFrame,
               inline_max: int = INLINE_RULES_MAX) -> DataFrame:
     """Match every rule of a rule table ``(raw_label, pattern, confidence
-    [, hints, hint_re])`` against every text.  Rows: ``(item_id, raw_type,
-    confidence)``.
+    [, hints, hint_re, ci_hints])`` against every text.  Rows: ``(item_id,
+    raw_type, confidence)``.
 
     A small table (size checked) is inlined as one projection of ``rlike``
     columns, so each text is read once; a large one is a broadcast
     nested-loop (theta) join on ``text RLIKE pattern``.  Optional hint
-    columns (substrings of which one must occur, a cheap regex that must
-    match) prefilter rows before the full pattern runs.
+    columns prefilter rows before the full pattern runs: a rule with no
+    hints always runs; otherwise a row must pass at least one of them (a
+    substring, a cheap regex, or a lower-case substring of the lower-cased
+    text).
     """
-    if "hints" not in rules.columns:
-        rules = rules.withColumn("hints", F.lit(None).cast("array<string>"))
-    if "hint_re" not in rules.columns:
-        rules = rules.withColumn("hint_re", F.lit(None).cast("string"))
-    rules = rules.select("raw_label", "pattern", "confidence", "hints", "hint_re")
+    for c, t in (("hints", "array<string>"), ("hint_re", "string"), ("ci_hints", "array<string>")):
+        if c not in rules.columns:
+            rules = rules.withColumn(c, F.lit(None).cast(t))
+    rules = rules.select("raw_label", "pattern", "confidence", "hints", "hint_re", "ci_hints")
     n = rules.limit(inline_max + 1).count()
     if n <= inline_max:
         t = F.col(text)
         cols = []
         for r in rules.collect():
             match = t.rlike(r["pattern"])
-            hint = _row_hint(t, r["hints"], r["hint_re"])
+            hint = _row_hint(t, r["hints"], r["hint_re"], r["ci_hints"])
             cond = match if hint is None else (hint & match)
             cols.append(F.when(cond, F.struct(F.lit(r["raw_label"]).alias("raw_type"),
                                               F.lit(float(r["confidence"])).alias("confidence"))))
         return _flatten(df, F.col(id_col), F.array_compact(F.array(*cols)))
     from ..plans.sizing import broadcast_if_small
     r = broadcast_if_small(rules)
-    hinted = F.expr("(hints IS NULL OR exists(hints, h -> contains(_t, h))) "
-                    "AND (hint_re IS NULL OR _t RLIKE hint_re)")
+    hinted = F.expr(
+        "NOT (coalesce(size(hints), 0) > 0 OR hint_re IS NOT NULL OR coalesce(size(ci_hints), 0) > 0) "
+        "OR coalesce(exists(hints, h -> contains(_t, h)), false) "
+        "OR coalesce(_t RLIKE hint_re, false) "
+        "OR coalesce(exists(ci_hints, h -> contains(lower(_t), h)), false)")
     return (df.select(F.col(id_col).alias("item_id"), F.col(text).alias("_t"))
             .join(r, hinted & F.expr("_t RLIKE pattern"), "inner")
             .select("item_id", F.col("raw_label").alias("raw_type"), "confidence"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 100_000
 # Spread an input before regex work only if it has at most 1/SPREAD_FACTOR
 # as many partitions as the cluster has cores.
-SPREAD_FACTOR = 4
+SPREAD_FACTOR = 2
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -24,8 +24,10 @@ def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFram
     """Spread rows over the cluster before CPU-heavy per-row work (regex).
 
     A scan of one large parquet row group is a single task; regex detectors
-    on it would run on one core.  When the input would keep at most a quarter
-    of the cluster's cores busy, rows are redistributed round-robin (a cheap
+    on it would run on one core.  (Spark still reports one byte-range split
+    per few MB of the file, all but one of them empty, so the partition count
+    overstates the parallelism.)  When the input would keep at most half of
+    the cluster's cores busy, rows are redistributed round-robin (a cheap
     shuffle next to the regex work).  A large input already yields about as
     many splits as cores or more, and is never shuffled just to gain a few
     more tasks.
