@@ -72,3 +72,35 @@ def test_outage_state_carries_across_batches(spark, tmp_path):
     assert got.count() == episodes.count()
     spans = episodes.where((F.col("first_event_id") < cut) & (F.col("last_event_id") >= cut)).count()
     assert spans >= 1
+
+
+def test_stream_quota_drops_late_rows(spark, tmp_path):
+    """Events arrive newest third first, then the middle, then the oldest
+    third, one file per micro-batch.  Spark filters late input with the
+    previous batch's watermark, so the middle third is still counted (its
+    windows close at once) while the oldest third is behind the watermark:
+    its rows are dropped and its windows never emitted."""
+    import os
+    import shutil
+    from tollgate.streaming import jobs as S
+
+    ev = read_table(spark, SF_SMALL, "events")
+    q1, q2 = ev.approxQuantile("event_id", [1 / 3, 2 / 3], 0.0)
+    parts = [ev.where(F.col("event_id") >= q2),
+             ev.where((F.col("event_id") >= q1) & (F.col("event_id") < q2)),
+             ev.where(F.col("event_id") < q1)]
+    src = tmp_path / "flat"
+    os.makedirs(src)
+    for i, part in enumerate(parts):
+        tmp = str(tmp_path / f"p{i}")
+        part.coalesce(1).write.parquet(tmp)
+        f = next(x for x in os.listdir(tmp) if x.endswith(".parquet"))
+        shutil.copy(os.path.join(tmp, f), src / f"part{i}.parquet")
+        os.utime(src / f"part{i}.parquet", (1_000_000 + i, 1_000_000 + i))
+    out = str(tmp_path / "quota")
+    S.run_quota(spark, str(src), out, ev.schema, max_files_per_trigger=1)
+    emitted = spark.read.parquet(out)
+    oldest_max = parts[2].agg(F.max("ts")).first()[0]
+    middle_min = parts[1].agg(F.min("ts")).first()[0]
+    assert emitted.where(F.col("minute_start") >= middle_min.replace(second=0, microsecond=0)).count() > 0
+    assert emitted.where(F.col("minute_start") < oldest_max.replace(second=0, microsecond=0)).count() == 0

@@ -37,11 +37,14 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType,
     return r.load(path)
 
 
-def run_available(writer, name: str, spark: SparkSession) -> None:
-    """Run a stream over everything available now, then stop."""
+def run_available(writer, name: str, spark: SparkSession):
+    """Run a stream over everything available now, then stop; returns the
+    finished query (its progress reports carry the per-batch metrics)."""
     q = (writer.option("checkpointLocation", scratch_path(spark, f"ckpt-{name}"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    return q
+
 
 
 # ---------------------------------------------------------------------------
@@ -83,8 +86,10 @@ def quota_stream(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
 
 
 def run_quota(spark: SparkSession, events_dir: str, out_path: str, schema: T.StructType,
-              glob: str | None = None) -> None:
-    agg = quota_stream(file_stream(spark, events_dir, schema, glob=glob))
+              glob: str | None = None, max_files_per_trigger: int | None = None) -> None:
+    """Per-minute quota counts of closed windows into ``out_path``; rows that
+    arrive behind the watermark are dropped."""
+    agg = quota_stream(file_stream(spark, events_dir, schema, max_files_per_trigger, glob=glob))
     run_available(agg.writeStream.outputMode("append").format("parquet").option("path", out_path),
                   "quota", spark)
 
