@@ -2,8 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
-
 from tollgate.operators import extract as E
 from tollgate.operators import gates as G
 from tollgate.operators import payload as PL
@@ -130,7 +128,6 @@ def test_payload_filter_pushed_to_scan(spark):
     from tollgate.sources.tables import read_messages
     plan = read_messages(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "role" in plan
-    assert F is not None
 
 
 def test_conversation_gates_end_to_end(spark):
