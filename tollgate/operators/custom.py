@@ -15,12 +15,21 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import MAX_CONTENT_CHARS, is_blank
+
 CUSTOM_SCHEMA = "item_id long, raw_type string, confidence double, kind string, message string"
 
 
 def custom_detector(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
-                    id_col: str = "item_id", text: str = "text") -> DataFrame:
-    """Run ``fn`` over ``(item_id, text)`` batches; rows: findings or errors."""
+                    id_col: str = "item_id", text: str = "text",
+                    max_chars: int | None = MAX_CONTENT_CHARS) -> DataFrame:
+    """Run ``fn`` over ``(item_id, text)`` batches; rows: findings or errors.
+
+    The local gates run first, as a ``filter``: blank texts (nothing to scan)
+    and texts over ``max_chars`` (answered by the size gate) never reach
+    Python.  A ``CASE WHEN`` would not do -- rows still cross into the
+    Python worker -- so the split happens before ``mapInPandas``.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -37,7 +46,11 @@ def custom_detector(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
                                     "message": f"{type(e).__name__}: {e}"})
             yield out
 
-    return df.select(F.col(id_col).alias("item_id"), F.col(text).alias("text")).mapInPandas(run, CUSTOM_SCHEMA)
+    rows = df.select(F.col(id_col).alias("item_id"), F.col(text).alias("text"))
+    keep = ~F.coalesce(is_blank(F.col("text")), F.lit(True))
+    if max_chars is not None:
+        keep = keep & (F.length("text") <= max_chars)
+    return rows.where(keep).mapInPandas(run, CUSTOM_SCHEMA)
 
 
 # Example detector: shouting.  Flags texts whose ASCII letters are mostly

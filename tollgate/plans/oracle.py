@@ -395,7 +395,9 @@ ORACLE: dict[str, str] = {
     "custom_detector": f"""SELECT doc_id AS item_id, 'tonality_drift_hostile' AS raw_type,
           round(up / letters, 4) AS confidence, 'finding' AS kind, CAST(NULL AS VARCHAR) AS message
         FROM (SELECT doc_id, length(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')) AS letters,
-                length(regexp_replace(coalesce(text, ''), '[^A-Z]', '', 'g')) AS up FROM documents)
+                length(regexp_replace(coalesce(text, ''), '[^A-Z]', '', 'g')) AS up FROM documents
+              WHERE text IS NOT NULL AND NOT regexp_matches(text, {lit(BLANK_PATTERN)})
+                AND length(text) <= {MAX_CONTENT_CHARS})
         WHERE letters >= {SHOUT_MIN_LETTERS} AND up / letters >= {SHOUT_RATIO}""",
 }
 
