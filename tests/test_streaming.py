@@ -104,3 +104,38 @@ def test_stream_quota_drops_late_rows(spark, tmp_path):
     middle_min = parts[1].agg(F.min("ts")).first()[0]
     assert emitted.where(F.col("minute_start") >= middle_min.replace(second=0, microsecond=0)).count() > 0
     assert emitted.where(F.col("minute_start") < oldest_max.replace(second=0, microsecond=0)).count() == 0
+
+
+def test_outage_stream_reports_out_of_order_rows(spark, tmp_path):
+    """The newer half arrives first: every row of the older half arriving
+    later is reported as ``late`` and does not disturb the streaks, which
+    equal the batch episodes of the newer half alone."""
+    import os
+    import shutil
+    from tollgate.operators import policy as P
+    from tollgate.sources import derived
+    from tollgate.streaming import jobs as S
+
+    ev = read_table(spark, SF_SMALL, "events")
+    cut = ev.approxQuantile("event_id", [0.5], 0.0)[0]
+    newer, older = ev.where(F.col("event_id") >= cut), ev.where(F.col("event_id") < cut)
+    src = tmp_path / "flat"
+    os.makedirs(src)
+    for i, part in enumerate([newer, older]):
+        tmp = str(tmp_path / f"p{i}")
+        part.coalesce(1).write.parquet(tmp)
+        f = next(x for x in os.listdir(tmp) if x.endswith(".parquet"))
+        shutil.copy(os.path.join(tmp, f), src / f"part{i}.parquet")
+        os.utime(src / f"part{i}.parquet", (1_000_000 + i, 1_000_000 + i))
+    stream = S.file_stream(spark, str(src), ev.schema, max_files_per_trigger=1)
+    out = str(tmp_path / "alerts")
+    S.run_available(S.outage_stream(stream, threshold=2).writeStream.outputMode("append")
+                    .format("parquet").option("path", out), "outage-late", spark)
+    alerts = spark.read.parquet(out)
+    late = alerts.where(F.col("event") == "late")
+    # every older row whose endpoint already had newer rows is late
+    seen = newer.select(F.col("user_id")).distinct()
+    expect_late = older.join(seen, "user_id", "left_semi").count()
+    assert late.count() == expect_late > 0
+    episodes = P.outage_episodes(derived.outcomes(newer), threshold=2)
+    assert alerts.where(F.col("event") == "outage").count() >= episodes.count()

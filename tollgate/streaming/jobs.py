@@ -102,14 +102,27 @@ OUTAGE_OUT = T.StructType([
     T.StructField("ts", T.TimestampNTZType()),
     T.StructField("streak", T.LongType()),
 ])
-OUTAGE_STATE = T.StructType([T.StructField("streak", T.LongType())])
+OUTAGE_STATE = T.StructType([
+    T.StructField("streak", T.LongType()),
+    T.StructField("last_us", T.LongType()),     # (ts, event_id) of the last row applied
+    T.StructField("last_id", T.LongType()),
+])
 
 
 def _outage_fn(threshold: int):
     def fn(key, frames, state):
-        carried = int(state.get[0]) if state.exists else 0
+        carried, last_us, last_id = (state.get if state.exists else (0, None, None))
+        carried = int(carried)
         pdf = pd.concat(list(frames), ignore_index=True)
         pdf = pdf.sort_values(["ts", "event_id"], kind="mergesort").reset_index(drop=True)
+        us = pdf["ts"].astype("datetime64[us]").astype("int64")
+        if last_us is not None:
+            # Rows at or before what this endpoint already applied cannot be
+            # placed in its sequence any more: report them, do not apply them.
+            late_mask = ((us < last_us) | ((us == last_us) & (pdf["event_id"] <= last_id))).to_numpy()
+        else:
+            late_mask = np.zeros(len(pdf), dtype=bool)
+        late, pdf, us = pdf[late_mask], pdf[~late_mask].reset_index(drop=True), us[~late_mask]
         ok = pdf["ok"].to_numpy(dtype=bool)
         seg = np.cumsum(ok)
         fails = pd.Series((~ok).astype(np.int64)).groupby(seg).cumsum().to_numpy()
@@ -118,12 +131,17 @@ def _outage_fn(threshold: int):
         prev = np.concatenate([[carried], streak[:-1]])
         outage = (~ok) & (streak == threshold)
         recovery = ok & (prev >= threshold)
-        state.update((int(streak[-1]) if len(streak) else carried,))
+        if len(pdf):
+            state.update((int(streak[-1]), int(us.iloc[-1]), int(pdf["event_id"].iloc[-1])))
+        else:
+            state.update((carried, last_us, last_id))
         out = pd.concat([
             pd.DataFrame({"event": "outage", "event_id": pdf["event_id"][outage],
                           "ts": pdf["ts"][outage], "streak": streak[outage]}),
             pd.DataFrame({"event": "recovery", "event_id": pdf["event_id"][recovery],
                           "ts": pdf["ts"][recovery], "streak": prev[recovery]}),
+            pd.DataFrame({"event": "late", "event_id": late["event_id"], "ts": late["ts"],
+                          "streak": np.full(len(late), carried, dtype=np.int64)}),
         ], ignore_index=True)
         out.insert(0, "endpoint", key[0])
         yield out[["endpoint", "event", "event_id", "ts", "streak"]]
@@ -132,8 +150,10 @@ def _outage_fn(threshold: int):
 
 def outage_stream(events: DataFrame, threshold: int = P.FAILURE_THRESHOLD) -> DataFrame:
     """Alert rows when an endpoint reaches ``threshold`` consecutive failures
-    and when it recovers.  State per endpoint is the open streak length;
-    rows are ordered by ``(ts, event_id)`` within each micro-batch."""
+    and when it recovers.  State per endpoint is the open streak length and
+    the last ``(ts, event_id)`` applied; rows are ordered within each
+    micro-batch, and rows older than what an endpoint already applied are
+    reported as ``late`` events instead of corrupting its streak."""
     o = derived.outcomes(events)
     return (o.groupBy("endpoint")
             .applyInPandasWithState(_outage_fn(threshold), OUTAGE_OUT, OUTAGE_STATE, "append",
