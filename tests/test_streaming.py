@@ -139,3 +139,16 @@ def test_outage_stream_reports_out_of_order_rows(spark, tmp_path):
     assert late.count() == expect_late > 0
     episodes = P.outage_episodes(derived.outcomes(newer), threshold=2)
     assert alerts.where(F.col("event") == "outage").count() >= episodes.count()
+
+
+def test_custom_detector_sees_only_gated_rows(spark):
+    """Blank and oversize texts never reach the Python worker: a detector
+    that always fails produces error rows only for the rows it was given."""
+    rows = [(1, "a normal text"), (2, "   "), (3, None), (4, "x" * 50), (5, "short")]
+    df = spark.createDataFrame(rows, "item_id long, text string")
+
+    def boom(b: pd.DataFrame) -> pd.DataFrame:
+        raise ValueError(f"saw {sorted(b['item_id'])}")
+
+    got = {r.item_id for r in C.custom_detector(df, boom, max_chars=20).collect()}
+    assert got == {1, 5}
