@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tollgate.llm import decontaminate
+from tollgate.llm import decontaminate, jaccard_join, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": jaccard_join.op1_ngram_jaccard_join,
+    "op5_token_output": token_output.op5_token_output,
     "op8_decontamination": decontaminate.op8_decontamination,
 }
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from tollgate.llm import textvec as tv
-from tollgate.llm.common import arrow_limits, pack, read_table
+from tollgate.llm.common import python_tasks, pack, read_table
 from tollgate.llm.fm_index import FMIndex
 
 WINDOW = 10
@@ -184,7 +184,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     """``docs`` packed as ``row``, with ``n_words``, merged removal ``spans``
     and the sorted distinct ``items`` whose windows occur."""
     spark = docs.sparkSession
-    arrow_limits(spark)
+    python_tasks(spark)
     text: Column = F.col("row.text")
     out = pack(docs)
     blocks = benchmark_blocks(benchmark, window)
