@@ -6,16 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tollgate.llm import decontaminate, jaccard_join, token_output
+from tollgate.llm import curriculum, decontaminate, jaccard_join, language_id, quality_rules, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": jaccard_join.op1_ngram_jaccard_join,
+    "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op4_language_id": language_id.op4_language_id,
     "op5_token_output": token_output.op5_token_output,
     "op8_decontamination": decontaminate.op8_decontamination,
+    "op10_curriculum_mix": curriculum.op10_curriculum_mix,
 }
 
 #: Keys without an entry cannot be expressed in SQL; tests/llm holds them
 #: against brute force, exact round trips or held-out accuracy.
 ORACLE: dict[str, str] = {
+    "op2_quality_rules": quality_rules.ORACLE_SQL,
     "op8_decontamination": decontaminate.ORACLE_SQL,
+    "op10_curriculum_mix": curriculum.ORACLE_SQL,
 }
