@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tollgate.llm import curriculum, decontaminate, jaccard_join, language_id, quality_rules, token_output
+from tollgate.llm import (curriculum, decontaminate, jaccard_join, language_id, pii,
+                          quality_rules, secret_scan, token_output, url_cascade)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": jaccard_join.op1_ngram_jaccard_join,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op4_language_id": language_id.op4_language_id,
     "op5_token_output": token_output.op5_token_output,
+    "op6_pii": pii.op6_pii,
+    "op7_secret_scan": secret_scan.op7_secret_scan,
     "op8_decontamination": decontaminate.op8_decontamination,
+    "op9_url_filter": url_cascade.op9_url_filter,
     "op10_curriculum_mix": curriculum.op10_curriculum_mix,
 }
 
@@ -22,5 +26,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op2_quality_rules": quality_rules.ORACLE_SQL,
     "op8_decontamination": decontaminate.ORACLE_SQL,
+    "op9_url_filter": url_cascade.ORACLE_SQL,
     "op10_curriculum_mix": curriculum.ORACLE_SQL,
 }

@@ -16,7 +16,7 @@ from tollgate.session import checkpoint_root
 #: Characters that separate words: space, tab, LF, VT, FF, CR.
 WORD_SEPARATORS = " \t\n\x0b\x0c\r"
 #: Rows and bytes of one Arrow batch, so that long texts stay within a worker.
-BATCH_ROWS, BATCH_BYTES = 2048, 32 << 20
+BATCH_ROWS, BATCH_BYTES = 1024, 32 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
