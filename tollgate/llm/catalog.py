@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tollgate.llm import (curriculum, decontaminate, jaccard_join, language_id, pii,
-                          quality_rules, secret_scan, token_output, url_cascade)
+                          quality_mil, quality_rules, secret_scan, token_output, url_cascade)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": jaccard_join.op1_ngram_jaccard_join,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_quality_classifier": quality_mil.op3_quality_classifier,
     "op4_language_id": language_id.op4_language_id,
     "op5_token_output": token_output.op5_token_output,
     "op6_pii": pii.op6_pii,

@@ -40,12 +40,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from tollgate.llm import textvec as tv
-from tollgate.llm.common import python_tasks, read_table, staged
+from tollgate.llm.common import pack, python_tasks, read_table, staged
 
 WORDS, THRESHOLD, TOLERANCE = 5, 0.8, 1e-6
 HASHES, ROWS, STEP = 128, 4, 32
@@ -328,14 +328,18 @@ def _blocked(members: DataFrame, keys: list[str], n_blocks, columns: list[str])
 
 def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE,
                     bucket_block: int = BUCKET_BLOCK, cluster_block: int = CLUSTER_BLOCK) -> DataFrame:
-    """(doc_id, class_id, n_links, n_text_links, n_copies) for ``docs`` (doc_id, text)."""
+    """(doc_id, class_id, n_links, n_text_links, n_copies) for ``docs`` (doc_id,
+    text), and ``key`` (see ``row_key``), ``has_words`` and ``stays``: this key is
+    the least of its class by doc_id (NULL last), then text hash."""
     spark = docs.sparkSession
     python_tasks(spark)
     least = least_matches(threshold, tolerance)
     docs = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("text"))
-    sketched = staged(docs.select("doc_id", _sketcher()("text").alias("s")).select("doc_id", "s.*"), "sketch")
+    sketched = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _sketcher()("text").alias("s"))
+    sketched = staged(sketched.select("doc_id", "text_hash", "s.*"), "sketch")
+    own = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")
     some = sketched.where(F.col("seq").isNotNull())
-    reps = some.groupBy("seq").agg(F.min("doc_id").alias("least_doc"), F.count(F.lit(1)).alias("copies"),
+    reps = some.groupBy("seq").agg(F.min(own).alias("least"), F.count(F.lit(1)).alias("copies"),
                                    F.first("n_words").alias("n_words"), F.first("bands").alias("bands"))
     reps = staged(reps.withColumn("rep", F.monotonically_increasing_id()), "reps")
 
@@ -348,7 +352,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
 
     inside = reps.join(clusters, "rep")
     size = inside.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("words"))
-    wanted = inside.select("least_doc")
+    wanted = inside.select(F.col("least.doc_id").alias("least_doc"))
     n_bits = int(min(FILTER_BITS, max(1 << 16, 16 * clusters.count())))
     place = F.pmod(F.xxhash64("least_doc"), F.lit(n_bits))
     found = wanted.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(
@@ -366,16 +370,33 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
 
     degree = linked.groupBy("rep").agg(F.sum("links").alias("links"), F.sum("docs").alias("docs"))
     roots = components(linked.select(F.col("rep").alias("a"), F.col("root").alias("b")), "classes").withColumnRenamed("node", "rep")
-    whole = reps.select("rep", "seq", "least_doc", "copies").join(degree, "rep", "left").join(roots, "rep", "left")
+    whole = reps.select("rep", "seq", "least", "copies").join(degree, "rep", "left").join(roots, "rep", "left")
     whole = whole.withColumn("root", F.coalesce("root", "rep"))
-    heads = whole.groupBy("root").agg(F.min("least_doc").alias("class_id"))
-    table = whole.join(heads, "root").select("seq", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("docs", F.lit(0)).alias("docs"))
-    out = sketched.select("doc_id", "seq").join(table, "seq", "left")
+    heads = whole.groupBy("root").agg(F.min("least").alias("head"))
+    table = whole.join(heads, "root").select("seq", "head", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("docs", F.lit(0)).alias("docs"))
+    out = sketched.select("doc_id", "text_hash", "seq").join(table, "seq", "left")
     return out.select(
-        "doc_id", F.when(F.col("seq").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        "doc_id", F.when(F.col("seq").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("class_id"),
         (F.coalesce("docs", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))).cast("bigint").alias("n_links"),
-        F.coalesce("links", F.lit(0)).cast("bigint").alias("n_text_links"), F.coalesce("copies", F.lit(1)).cast("bigint").alias("n_copies"))
+        F.coalesce("links", F.lit(0)).cast("bigint").alias("n_text_links"), F.coalesce("copies", F.lit(1)).cast("bigint").alias("n_copies"),
+        row_key(F.col("doc_id"), F.col("text_hash")).alias("key"), F.col("seq").isNotNull().alias("has_words"),
+        (F.col("seq").isNull() | (F.col("head") == own)).alias("stays"))
+
+
+def row_key(doc_id: Column, text_hash: Column) -> Column:
+    """Text that tells rows apart by doc_id (NULL included) and text."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("-")), text_hash.cast("string"))
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` without near duplicates: of each class the least document stays
+    (one of its repeated rows); all columns as they were."""
+    found = jaccard_classes(docs, **options).where("stays").select("key", "has_words").distinct()
+    keyed = pack(docs).withColumn("key", row_key(F.col("row.doc_id").cast("bigint"), F.xxhash64(F.col("row.text"))))
+    met = keyed.join(found, "key").withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("key")))
+    return met.where((F.col("n") == 1) | ~F.col("has_words")).select("row.*")
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_classes(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = jaccard_classes(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "class_id", "n_links", "n_text_links", "n_copies")
