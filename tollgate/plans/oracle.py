@@ -12,6 +12,7 @@ from ..functions import rules as R
 from ..functions.exprs import BLANK_PATTERN, MAX_CONTENT_CHARS
 from ..functions.taxonomy import (DEFAULT_SEVERITY, GUIDANCE, RAW_TO_CANONICAL, SEVERITIES)
 from ..operators.custom import SHOUT_MIN_LETTERS, SHOUT_RATIO
+from ..operators.policy import MALFORMED_MESSAGE, UNLOGGED_MESSAGE
 from ..operators.quota import TIERS
 from ..operators.verdicts import KEYLESS_NOTE
 from ..sources import derived
@@ -53,35 +54,33 @@ CONF_BUCKET = ("CASE WHEN {c} IS NULL THEN 'medium' WHEN isnan({c}) THEN 'low' "
 def parsed_verdicts(src: str, id_col: str) -> str:
     """CTEs ``rv`` (raw JSON) and ``pv`` (typed with presence flags)."""
     j = derived.verdict_json_sql(id_col, "duckdb")
-    return f"""rv AS (SELECT {id_col} AS item_id, {j} AS raw FROM {src}),
-pv AS (SELECT item_id,
-  json_valid(raw) AS valid,
-  json_type(raw, '$.safe') IS NOT NULL AS has_safe,
-  CASE json_type(raw, '$.safe')
-    WHEN 'NULL' THEN false
-    WHEN 'BOOLEAN' THEN CAST(json_extract_string(raw, '$.safe') AS BOOLEAN)
-    WHEN 'VARCHAR' THEN length(json_extract_string(raw, '$.safe')) > 0
-    WHEN 'ARRAY' THEN json_array_length(raw, '$.safe') > 0
-    WHEN 'OBJECT' THEN CAST(json_extract(raw, '$.safe') AS VARCHAR) <> '{{}}'
-    ELSE TRY_CAST(json_extract_string(raw, '$.safe') AS DOUBLE) <> 0 END AS safe_value,
-  json_type(raw, '$.reason') IS NOT NULL AS has_reason,
-  json_extract_string(raw, '$.reason') AS reason,
-  json_type(raw, '$.threat_type') IS NOT NULL AS has_threat_type,
-  json_extract_string(raw, '$.threat_type') AS threat_type,
-  TRY_CAST(json_extract_string(raw, '$.confidence') AS DOUBLE) AS confidence,
-  json_extract_string(raw, '$.severity') AS severity
-FROM rv)"""
+    return f"""rv0 AS (SELECT {id_col} AS item_id, {j} AS raw FROM {src}),
+rv1 AS (SELECT *, regexp_replace(raw, '([:\\[,][ \\t\\r\\n]*)(-?Infinity|NaN)', '\\1null', 'g') AS finite,
+  regexp_extract_all(raw, '"safe":[ ]*([^,}}]*)', 1)[-1] AS safe_raw, regexp_extract(raw, '"confidence":[ ]*(NaN|-?Infinity)', 1) AS odd FROM rv0),
+rv AS (SELECT item_id, safe_raw, odd, coalesce(json_valid(finite) AND CASE WHEN json_valid(finite) THEN json_type(finite) = 'OBJECT' END
+    AND (safe_raw IS NULL OR safe_raw IN ('true', 'false', 'null')), false) AS valid, finite FROM rv1),
+ok AS (SELECT *, CASE WHEN valid THEN finite ELSE '{{}}' END AS js FROM rv),
+pv AS (SELECT item_id, valid,
+  valid AND safe_raw IS NOT NULL AS has_safe,
+  CASE WHEN valid AND safe_raw IS NOT NULL THEN safe_raw = 'true' END AS safe_value,
+  json_type(js, '$.reason') IS NOT NULL AS has_reason,
+  json_extract_string(js, '$.reason') AS reason,
+  json_type(js, '$.threat_type') IS NOT NULL AS has_threat_type,
+  json_extract_string(js, '$.threat_type') AS threat_type,
+  CASE WHEN NOT valid THEN NULL WHEN odd <> '' THEN CAST(odd AS DOUBLE) ELSE TRY_CAST(json_extract_string(js, '$.confidence') AS DOUBLE) END AS confidence,
+  json_extract_string(js, '$.severity') AS severity
+FROM ok)"""
 
 
 def sanitized(src: str, id_col: str) -> str:
     """CTEs through ``san``: the sanitised verdicts."""
     return f"""{TAXO}, {TYPES}, {parsed_verdicts(src, id_col)},
-sv AS (SELECT pv.*, CASE WHEN NOT has_safe THEN true ELSE coalesce(safe_value, false) END AS is_safe,
+sv AS (SELECT pv.*, CASE WHEN valid THEN CASE WHEN NOT has_safe THEN true ELSE coalesce(safe_value, false) END END AS is_safe,
          coalesce(x.canon, 'unknown') AS canon
        FROM pv LEFT JOIN taxo x
          ON replace(lower(CASE WHEN has_threat_type THEN threat_type ELSE 'unknown' END), '-', '_') = x.raw_label),
-san AS (SELECT sv.item_id, sv.is_safe AS safe,
-  CASE WHEN has_reason THEN reason WHEN is_safe THEN '' ELSE ty.guidance END AS reason,
+san AS (SELECT sv.item_id, sv.valid, sv.is_safe AS safe,
+  CASE WHEN has_reason THEN reason WHEN is_safe THEN '' WHEN NOT is_safe THEN ty.guidance END AS reason,
   CASE WHEN NOT is_safe THEN canon END AS threat_type,
   CASE WHEN NOT is_safe THEN CASE WHEN lower(severity) IN ('critical', 'high', 'medium', 'low')
        THEN lower(severity) ELSE ty.default_severity END END AS severity,
@@ -269,7 +268,7 @@ ORACLE: dict[str, str] = {
         SELECT item_id, coalesce(x.canon, 'unknown') AS threat_type, ty.guidance AS guidance
         FROM pv LEFT JOIN taxo x ON replace(lower(threat_type), '-', '_') = x.raw_label
         JOIN types ty ON ty.t = coalesce(x.canon, 'unknown')""",
-    "sanitize_verdicts": f"WITH {sanitized('documents', 'doc_id')} SELECT * FROM san",
+    "sanitize_verdicts": f"WITH {sanitized('documents', 'doc_id')} SELECT * EXCLUDE (valid) FROM san",
     "tier_note": f"""WITH {sanitized('documents', 'doc_id')}
         SELECT item_id, safe, item_id % 5 <> 0 AS has_key,
           CASE WHEN item_id % 5 = 0 THEN {lit(KEYLESS_NOTE)} END AS note FROM san""",
@@ -277,14 +276,23 @@ ORACLE: dict[str, str] = {
     "allowed_messages": f"""WITH convs AS (SELECT DISTINCT conv_id FROM conversations),
         {sanitized('convs', 'conv_id')}
         SELECT c.conv_id, c.turn, c.role, c.text FROM conversations c
-        WHERE c.conv_id NOT IN (SELECT item_id FROM san WHERE NOT safe)""",
+        WHERE c.conv_id NOT IN (SELECT item_id FROM san WHERE NOT safe OR (NOT valid AND item_id % 2 = 1))""",
     "blocked_report": f"""WITH {sanitized('documents', 'doc_id')},
         req AS (SELECT doc_id AS item_id, {PROVIDER} AS provider FROM documents)
         SELECT r.item_id, r.provider,
           CASE WHEN r.provider = 'openai' THEN 'Request blocked: ' || coalesce(s.reason, 'None')
                ELSE coalesce(s.reason, 'None') END AS message,
-          s.threat_type, s.confidence, 0 AS n_violations
+          s.threat_type, s.confidence,
+          CASE WHEN r.provider = 'openai' AND r.item_id % 7 = 0 THEN 'policy: ' || s.guidance ELSE '' END AS violations,
+          CASE WHEN r.provider = 'openai' AND r.item_id % 7 = 0 THEN 1 ELSE 0 END AS n_violations
         FROM req r JOIN san s ON s.item_id = r.item_id WHERE NOT s.safe""",
+    "govern_verdicts": f"""WITH {sanitized('documents', 'doc_id')}
+        SELECT item_id, CASE WHEN item_id % 2 = 0 THEN 'open' ELSE 'closed' END AS fail_mode,
+          CASE WHEN valid THEN CASE WHEN safe THEN 'allow' ELSE 'block' END WHEN item_id % 2 = 0 THEN 'allow' ELSE 'error' END AS decision,
+          CASE WHEN valid THEN safe WHEN item_id % 2 = 0 THEN true END AS safe,
+          CASE WHEN valid THEN reason WHEN item_id % 2 = 0 THEN 'Scan error: ' || {lit(MALFORMED_MESSAGE)} END AS reason,
+          threat_type, severity, confidence,
+          CASE WHEN NOT valid AND item_id % 2 = 1 THEN 'Scan failed: ' || {lit(MALFORMED_MESSAGE)} END AS error FROM san""",
     "classify_error": f"""WITH {ATTEMPTS}
         SELECT request_id, attempt, kind, status,
           CASE WHEN kind = 'ok' THEN NULL WHEN kind IN ('timeout', 'connect') THEN true

@@ -41,16 +41,13 @@ def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFram
     return df.repartition(target)
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` as a reliable checkpoint in the shared
-    ``spark.checkpoint.dir`` and continue from it.
-
-    Used where a report filters on columns that an expensive projection
-    produced (regex findings, parsed JSON): without a barrier Catalyst pushes
-    the filter below that projection -- and across joins via inferred
-    constraints -- evaluating the expensive expressions again.  The staged
-    table also cuts lineage, so a lost executor only recomputes from it.
-    """
-    from ..session import checkpoint_root
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def barrier(df: DataFrame) -> DataFrame:
+    """The same rows, with nothing pushed below this point.
+
+    A report that filters on columns of an expensive projection (regex
+    findings, parsed JSON) would otherwise have the filter, or a constraint
+    inferred from a join, copied below it, evaluating the projection twice.
+    Filters on the columns of a generator cannot move below the generator, so
+    every row passes through one that makes exactly one row of it: narrow, and
+    nothing is written."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
@@ -44,8 +45,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared folder
-    there).  Only when it is unset -- local runs and tests -- a private
-    folder is created and registered.
+    there).  Only when it is unset and the master is local -- runs and tests
+    in one process -- a private folder is created and registered; on a cluster
+    a folder of one machine would lose data, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -56,7 +58,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        master = sc.master if sc is not None else ""
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tollgate-ckpt-")
+        logging.getLogger(__name__).warning("spark.checkpoint.dir is unset; using %s (local master)", root)
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)

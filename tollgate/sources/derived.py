@@ -35,7 +35,7 @@ def verdict_json_sql(id_sql: str, dialect: str) -> str:
     """SQL expression: raw verdict JSON for an integer item id."""
     label = _label_lookup(f"({id_sql} % 97)", dialect)
     i = id_sql
-    return f"""'{{' || concat_ws(',',
+    whole = f"""'{{' || concat_ws(',',
       CASE WHEN {i} % 13 = 7 THEN NULL
            WHEN {i} % 13 = 8 THEN '"safe":null'
            WHEN {i} % 13 = 9 THEN '"safe":"yes"'
@@ -57,6 +57,14 @@ def verdict_json_sql(id_sql: str, dialect: str) -> str:
       '"detected_by":"layer-' || CAST({i} % 9 AS STRING) || '"',
       '"matched_text":"hidden"'
     ) || '}}'"""
+    # One row in a few is what a failing scan service sends.
+    return f"""CASE {i} % 41
+      WHEN 3 THEN substr({whole}, 1, 19) WHEN 5 THEN '' WHEN 7 THEN '[' || {whole} || ']'
+      WHEN 11 THEN '{{"safe":true,"threat_type":"pii","safe":false}}'
+      WHEN 13 THEN '{{"safe": false, "confidence": NaN, "threat_type": "sqli"}}'
+      WHEN 17 THEN '{{"safe":false,"confidence":-Infinity,"severity":"low"}}'
+      WHEN 19 THEN CAST(NULL AS STRING) WHEN 23 THEN '{{"safe":"no","reason":"text"}}' WHEN 29 THEN 'null'
+      ELSE {whole} END"""
 
 
 def raw_verdicts(df: DataFrame, id_col: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import python_truthy
+from ..functions.exprs import python_truthy, variant_kind
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -77,6 +77,11 @@ def _present(v: Column, path: str) -> Column:
     return F.variant_get(v, path, "variant").isNotNull()
 
 
+# The JSON the scan client accepts but VARIANT does not: bare non-finite numbers.
+_NON_FINITE = r"([:\[,][ \t\r\n]*)(-?Infinity|NaN)"
+_TYPED_VERDICT = "safe boolean, reason string, threat_type string, confidence double, severity string, _corrupt string"
+
+
 def parse_verdicts(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Raw verdict JSON -> typed columns with presence flags.
 
@@ -85,18 +90,41 @@ def parse_verdicts(df: DataFrame, raw: str = "raw") -> DataFrame:
     VARIANT: ``variant_get(..., 'variant') IS NULL`` means absent and
     ``is_variant_null`` means an explicit null.  Fields not listed here
     (internal detector details) are dropped by construction.
+
+    A text VARIANT refuses is tried again with non-finite numbers set to null
+    (their value then comes from a typed parse), and last by the typed parse
+    alone, which takes the last of repeated keys.  ``valid`` is false for what
+    is still unparsed, is not an object, or has a ``safe`` that is neither a
+    boolean nor null: such rows carry no verdict and go to the failure policy.
     """
-    v = F.try_parse_json(F.col(raw))
-    return (df.withColumn("_v", v)
-            .select(
-                *[c for c in df.columns if c != raw],
-                F.col("_v").isNotNull().alias("valid"),
-                _present(F.col("_v"), "$.safe").alias("has_safe"),
-                python_truthy(F.variant_get(F.col("_v"), "$.safe", "variant")).alias("safe_value"),
-                _present(F.col("_v"), "$.reason").alias("has_reason"),
-                F.try_variant_get(F.col("_v"), "$.reason", "string").alias("reason"),
-                _present(F.col("_v"), "$.threat_type").alias("has_threat_type"),
-                F.try_variant_get(F.col("_v"), "$.threat_type", "string").alias("threat_type"),
-                F.try_variant_get(F.col("_v"), "$.confidence", "double").alias("confidence"),
-                F.try_variant_get(F.col("_v"), "$.severity", "string").alias("severity"),
-            ))
+    text = F.col(raw)
+    strict = F.try_parse_json(text)
+    finite = F.try_parse_json(F.regexp_replace(text, _NON_FINITE, "$1null"))
+    typed = F.from_json(text, _TYPED_VERDICT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    other = [c for c in df.columns if c != raw]
+    base = df.select(*other, strict.alias("_s"), F.when(strict.isNull(), finite).alias("_f"),
+                     F.when(strict.isNull(), typed).alias("_t"), text.alias("_raw"))
+    v = F.coalesce(F.col("_s"), F.col("_f"))
+    is_object = variant_kind(v) == "object"
+    t = F.col("_t")
+    by_type = v.isNull() & F.ltrim("_raw").startswith("{") & t.isNotNull() & t["_corrupt"].isNull()
+    safe_kind = variant_kind(F.variant_get(v, "$.safe", "variant"))
+    by_variant = F.coalesce(is_object, F.lit(False)) & F.coalesce(safe_kind.isin("bool", "null"), F.lit(True))
+    valid = by_variant | F.coalesce(by_type, F.lit(False))
+
+    def present(name: str) -> Column:
+        return F.when(~valid, F.lit(False)).when(by_variant, _present(v, f"$.{name}")).otherwise(t[name].isNotNull())
+
+    def string(name: str) -> Column:
+        return F.when(by_variant, F.try_variant_get(v, f"$.{name}", "string")).when(valid, t[name])
+    return base.select(
+        *other,
+        valid.alias("valid"),
+        F.when(by_type, F.col("_raw").contains('"safe"')).otherwise(present("safe")).alias("has_safe"),
+        F.when(by_variant, python_truthy(F.variant_get(v, "$.safe", "variant"))).when(valid, F.coalesce(t["safe"], F.lit(False))).alias("safe_value"),
+        present("reason").alias("has_reason"),
+        string("reason").alias("reason"),
+        present("threat_type").alias("has_threat_type"),
+        string("threat_type").alias("threat_type"),
+        F.when(valid, F.when(F.col("_s").isNotNull(), F.try_variant_get(v, "$.confidence", "double")).otherwise(t["confidence"])).alias("confidence"),
+        string("severity").alias("severity"))
