@@ -1,14 +1,19 @@
 """Detector rules: (raw label, pattern, capture group, confidence).
 
 The scan service's own detectors are not public, so these rules are ours;
-they only emit labels from the taxonomy's raw-label set.  Patterns stay in
+they only emit labels from the taxonomy's raw-label set.  ``pattern`` stays in
 the subset where Java regex (Spark) and RE2 (DuckDB, the oracle) agree: no
 lookaround, no backreferences, no ``\\b`` or ``\\s`` (both differ between the
 engines on accented text or vertical tab), explicit ``[ \\t]`` instead.
 
-A guard group like ``(^|[^0-9])`` consumes the character before a match, so
-two matches separated by a single character are found on alternate passes;
-:func:`tollgate.operators.detect.redact_pii` therefore runs each rule twice.
+No pattern repeats a group: Java matches a repeated group by recursion, so a
+few kilobytes of hostile text would overflow the stack.  Repeats are of single
+character classes, and none can start anew at every character of a long run.
+
+A rule with a ``guard`` is found at every place where ``body`` stands, with no
+character of ``before`` in front of it and none of ``after`` behind it; guards
+consume nothing, so neighbouring and overlapping matches are all found.
+``pattern`` then only answers whether there is a match.
 """
 
 from __future__ import annotations
@@ -16,6 +21,13 @@ from __future__ import annotations
 from typing import NamedTuple
 
 
+class Guard(NamedTuple):
+    """``before`` and ``after`` are the insides of character classes ('' for none)."""
+    before: str
+    body: str
+    after: str
+
+
 class Rule(NamedTuple):
     """A detector rule.  ``hints`` (any-of substrings), ``ci_hints`` (any-of
     lower-case substrings of the lower-cased text, for ``(?i)`` rules) and
@@ -30,6 +42,13 @@ class Rule(NamedTuple):
     hints: tuple[str, ...] = ()
     hint_re: str | None = None
     ci_hints: tuple[str, ...] = ()
+    guard: Guard | None = None
+
+
+def guarded(raw_label: str, before: str, body: str, after: str, confidence: float, pattern: str | None = None, **hints) -> Rule:
+    front = f"(^|[^{before}])" if before else "()"
+    back = f"($|[^{after}])" if after else "()"
+    return Rule(raw_label, pattern or f"{front}({body}){back}", 2, confidence, guard=Guard(before, body, after), **hints)
 
 
 WS = r"[ \t]"
@@ -37,22 +56,21 @@ WSN = r"[ \t\r\n]"
 
 # Personal data.  credit_card candidates are also Luhn-checked.
 PII_RULES: tuple[Rule, ...] = (
-    Rule("email_exposure", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", 0, 0.9,
-         hints=("@",)),
-    Rule("ssn", r"(^|[^0-9-])([0-9]{3}-[0-9]{2}-[0-9]{4})($|[^0-9-])", 2, 0.95,
-         hint_re=r"[0-9]{3}-[0-9]{2}-[0-9]{4}"),
-    Rule("credit_card", r"(^|[^0-9])([0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4})($|[^0-9])", 2, 0.95,
-         hint_re=r"[0-9]{4}[ -]?[0-9]{4}"),
-    Rule("phone_number", r"(^|[^0-9])(\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})($|[^0-9])", 2, 0.7,
-         hint_re=r"[0-9]{3}[ .-][0-9]{4}"),
-    Rule("personal_data", r"(^|[^0-9.])([0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})($|[^0-9.])", 2, 0.6,
-         hint_re=r"[0-9]\.[0-9]{1,3}\.[0-9]"),
+    guarded("email_exposure", "A-Za-z0-9._%+-", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-][A-Za-z0-9.-]*\.[A-Za-z]{2,}", "", 0.9,
+            pattern=r"[A-Za-z0-9._%+-]@[A-Za-z0-9-][A-Za-z0-9.-]*\.[A-Za-z][A-Za-z]", hints=("@",)),
+    guarded("ssn", "0-9-", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "0-9-", 0.95, hint_re=r"[0-9]{3}-[0-9]{2}-[0-9]{4}"),
+    guarded("credit_card", "0-9", r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}", "0-9", 0.95,
+            hint_re=r"[0-9]{4}[ -]?[0-9]{4}"),
+    guarded("phone_number", "0-9(", r"\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}", "0-9", 0.7,
+            hint_re=r"[0-9]{3}[ .-][0-9]{4}"),
+    guarded("personal_data", "0-9.", r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}", "0-9.", 0.6,
+            hint_re=r"[0-9]\.[0-9]{1,3}\.[0-9]"),
 )
 
 SECRET_RULES: tuple[Rule, ...] = (
-    Rule("aws_key", r"(^|[^A-Za-z0-9])(AKIA[0-9A-Z]{16})($|[^A-Za-z0-9])", 2, 0.95, hints=("AKIA",)),
-    Rule("private_key", r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", 0, 0.99, hints=("PRIVATE KEY-----",)),
-    Rule("api_key", r"(^|[^A-Za-z0-9_-])(sk-[A-Za-z0-9_-]{20,})", 2, 0.9, hints=("sk-",)),
+    guarded("aws_key", "A-Za-z0-9", r"AKIA[0-9A-Z]{16}", "A-Za-z0-9", 0.95, hints=("AKIA",)),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0.99, hints=("PRIVATE KEY-----",)),
+    guarded("api_key", "A-Za-z0-9_-", r"sk-[A-Za-z0-9_-]{20,}", "", 0.9, hints=("sk-",)),
     Rule("secret_key", r"(?i)(secret|token|password|passwd|api[_-]?key)" + WS + r"*[:=]" + WS
          + r"*[\"']?([A-Za-z0-9/+_=-]{16,})", 2, 0.85,
          hint_re=r"[:=]" + WS + r"*[\"']?[A-Za-z0-9/+_=-]{16}"),
@@ -72,7 +90,7 @@ PROMPT_RULES: tuple[Rule, ...] = (
 
 CODE_RULES: tuple[Rule, ...] = (
     Rule("reverse_shell", r"bash" + WS + r"+-i" + WS + r"*>&" + WS + r"*/dev/tcp/|/dev/tcp/[0-9]+\.[0-9]+|nc"
-         + WS + r"+(-[a-z]+" + WS + r"+)*-e" + WS + r"+/bin/(ba)?sh", 0, 0.95, hints=("/dev/tcp/", "/bin/")),
+         + WS + r"+[-a-z \t]{0,80}-e" + WS + r"+/bin/(ba)?sh", 0, 0.95, hints=("/dev/tcp/", "/bin/")),
     Rule("web_shell", r"(?i)<\?php" + WS + r"+(system|eval|exec|passthru|shell_exec)" + WS + r"*\(", 0, 0.9,
          hints=("<?",)),
     Rule("fork_bomb", r":\(\)" + WS + r"*\{" + WS + r"*:" + WS + r"*\|" + WS + r"*:" + WS + r"*&" + WS

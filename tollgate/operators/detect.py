@@ -27,10 +27,6 @@ FINDING_TYPE = T.StructType([
 ])
 FINDINGS_TYPE = T.ArrayType(FINDING_TYPE)
 
-# Rule tables beyond this many rows are matched with a broadcast theta join
-# instead of an inlined projection.
-INLINE_RULES_MAX = 64
-
 
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -51,15 +47,26 @@ def _finding(label: str | Column, conf: float | Column, ord_: Column | int,
 
 def luhn_ok(candidate: Column) -> Column:
     """Luhn checksum on the digits of ``candidate``."""
-    d = F.regexp_replace(candidate, "[^0-9]", "")
-    n = F.length(d)
+    digits = F.split(F.reverse(F.regexp_replace(candidate, "[^0-9]", "")), "")
+
+    def term(c: Column, i: Column) -> Column:
+        x = c.cast("int") * (1 + i % 2)
+        return F.when(x > 9, x - 9).otherwise(x)
+
+    # The digits are split once; an empty trailing piece counts nothing.
+    terms = F.transform(F.filter(digits, lambda c: c != ""), term)
+    return F.aggregate(terms, F.lit(0), lambda acc, x: acc + x) % 10 == 0
 
-    def step(acc: Column, i: Column) -> Column:
-        x = d.substr(i, F.lit(1)).cast("int")
-        doubled = F.when(x * 2 > 9, x * 2 - 9).otherwise(x * 2)
-        return acc + F.when((n - i) % 2 == 1, doubled).otherwise(x)
 
-    return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), step) % 10 == 0
+def guard_pattern(guard: R.Guard) -> str:
+    """Java pattern whose group 1 is each guarded match.  The body stands in a
+    lookahead, so matches may overlap; the lookbehind lets a run of body
+    characters start once only, which keeps the scan linear."""
+    behind = f"(?<![{guard.before}])" if guard.before else ""
+    ahead = f"(?![{guard.after}])" if guard.after else ""
+    # The run before an @ is never given back: nothing shorter could match.
+    body = guard.body.replace("]+@", "]++@")
+    return f"{behind}(?=({body}){ahead})"
 
 
 def rule_hint(text: Column, rule: R.Rule) -> Column | None:
@@ -81,7 +88,8 @@ def rule_hint(text: Column, rule: R.Rule) -> Column | None:
 def rule_findings(text: Column, rule: R.Rule) -> Column:
     """All matches of one rule, in text order, as findings.  The full
     pattern only runs on rows that pass the rule's hint."""
-    matches = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
+    pattern, group = (guard_pattern(rule.guard), 1) if rule.guard else (rule.pattern, rule.group)
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     if rule.raw_label == "credit_card":
         matches = F.filter(matches, luhn_ok)
     found = F.transform(matches, lambda m, i: _finding(rule.raw_label, rule.confidence, i + 1, m))
@@ -183,28 +191,30 @@ def detect_domain(pages: DataFrame, id_col: str = "page_id", url: str = "url",
                   blocklist: DataFrame | None = None,
                   tlds: Sequence[str] = R.SUSPICIOUS_TLDS) -> DataFrame:
     """Pages whose host, or any parent domain of it, is blocked; and pages on
-    suspicious TLDs.  Rows: ``(item_id, host, raw_type, confidence, matched)``.
+    suspicious TLDs.  Rows: the finding contract plus ``host`` and ``matched``;
+    ``ord`` is the place of the matched part, counted from the whole host.
 
-    The blocklist side is a configuration table; it is broadcast (its size is
-    checked when it is user supplied).
+    The URL is parsed once and its parts leave one generator; the blocklist
+    side is a configuration table (its size is checked when user supplied).
     """
     spark = pages.sparkSession
     if blocklist is None:
-        bl = spark.createDataFrame([(d,) for d in R.BLOCKED_DOMAINS], "domain string")
-        bl = F.broadcast(bl)
+        bl = F.broadcast(spark.createDataFrame([(d,) for d in R.BLOCKED_DOMAINS], "domain string"))
     else:
         from ..plans.sizing import broadcast_if_small
         bl = broadcast_if_small(blocklist.select(F.lower("domain").alias("domain")).distinct())
     hosts = pages.select(F.col(id_col).alias("item_id"), host_of(F.col(url)).alias("host"))
-    parents = hosts.select("item_id", "host", F.explode(parent_domains(F.col("host"))).alias("matched"))
-    blocked = (parents.join(bl, parents["matched"] == bl["domain"], "inner")
-               .select("item_id", "host", F.lit("blocked_domain").alias("raw_type"),
-                       F.lit(R.BLOCKED_DOMAIN_CONFIDENCE).alias("confidence"), "matched"))
+    parents = parent_domains(F.col("host"))
     tld = F.element_at(F.split(F.col("host"), r"\."), -1)
-    suspicious = (hosts.where(tld.isin(*tlds))
-                  .select("item_id", "host", F.lit("suspicious_tld").alias("raw_type"),
-                          F.lit(R.SUSPICIOUS_TLD_CONFIDENCE).alias("confidence"), tld.alias("matched")))
-    return blocked.unionByName(suspicious)
+    parts = F.concat(F.transform(parents, lambda p: F.struct(F.lit("blocked_domain").alias("raw_type"), p.alias("matched"))),
+                     F.array(F.struct(F.lit("suspicious_tld").alias("raw_type"), tld.alias("matched"))))
+    rows = hosts.select("item_id", "host", F.posexplode(parts).alias("pos", "part")).select("item_id", "host", "pos", "part.*")
+    domain = F.col("raw_type") == "blocked_domain"
+    met = rows.join(bl, domain & (rows["matched"] == bl["domain"]), "left")
+    hit = F.when(domain, F.col("domain").isNotNull()).otherwise(F.col("matched").isin(*tlds))
+    conf = F.when(domain, F.lit(R.BLOCKED_DOMAIN_CONFIDENCE)).otherwise(F.lit(R.SUSPICIOUS_TLD_CONFIDENCE))
+    return met.where(hit).select("item_id", "host", "raw_type", conf.alias("confidence"), (F.col("pos") + 1).cast("int").alias("ord"),
+                                 F.sha2("matched", 256).alias("match_hash"), "matched")
 
 
 def label_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -234,45 +244,36 @@ def _row_hint(text: Column, hints, hint_re, ci_hints) -> Column | None:
     return rule_hint(text, R.Rule("", "", 0, 0.0, tuple(hints or ()), hint_re, tuple(ci_hints or ())))
 
 
-def rule_scan(df: DataFrame, id_col: str, text: str, rules: DataFrame,
-              inline_max: int = INLINE_RULES_MAX) -> DataFrame:
+# Rules of one array column; a table of any size becomes as many columns as it needs.
+RULES_PER_COLUMN = 64
+
+
+def rule_scan(df: DataFrame, id_col: str, text: str, rules: DataFrame) -> DataFrame:
     """Match every rule of a rule table ``(raw_label, pattern, confidence
-    [, hints, hint_re, ci_hints])`` against every text.  Rows: ``(item_id,
-    raw_type, confidence)``.
-
-    A small table (size checked) is inlined as one projection of ``rlike``
-    columns, so each text is read once; a large one is a broadcast
-    nested-loop (theta) join on ``text RLIKE pattern``.  Optional hint
-    columns prefilter rows before the full pattern runs: a rule with no
-    hints always runs; otherwise a row must pass at least one of them (a
-    substring, a cheap regex, or a lower-case substring of the lower-cased
-    text).
+    [, hints, hint_re, ci_hints])`` against every text.  Rows: the finding
+    contract, with ``ord`` 1 and no ``match_hash`` (a rule says whether).
+
+    The rule table is configuration: it is read to the driver and inlined as a
+    projection of ``rlike`` columns, so each text is read once and there is no
+    join, whatever the number of rules.  Optional hint columns prefilter rows
+    before the full pattern runs: a rule with no hints always runs; otherwise
+    a row must pass at least one of them (a substring, a cheap regex, or a
+    lower-case substring of the lower-cased text).  A rule without a pattern
+    matches nothing; one without a label reports ``unknown``; a missing
+    confidence stays NULL.
     """
     for c, t in (("hints", "array<string>"), ("hint_re", "string"), ("ci_hints", "array<string>")):
         if c not in rules.columns:
             rules = rules.withColumn(c, F.lit(None).cast(t))
-    rules = rules.select("raw_label", "pattern", "confidence", "hints", "hint_re", "ci_hints")
-    n = rules.limit(inline_max + 1).count()
-    if n <= inline_max:
-        t = F.col(text)
-        cols = []
-        for r in rules.collect():
-            match = t.rlike(r["pattern"])
-            hint = _row_hint(t, r["hints"], r["hint_re"], r["ci_hints"])
-            cond = match if hint is None else (hint & match)
-            cols.append(F.when(cond, F.struct(F.lit(r["raw_label"]).alias("raw_type"),
-                                              F.lit(float(r["confidence"])).alias("confidence"))))
-        return _flatten(df, F.col(id_col), F.array_compact(F.array(*cols)))
-    from ..plans.sizing import broadcast_if_small
-    r = broadcast_if_small(rules)
-    hinted = F.expr(
-        "NOT (coalesce(size(hints), 0) > 0 OR hint_re IS NOT NULL OR coalesce(size(ci_hints), 0) > 0) "
-        "OR coalesce(exists(hints, h -> contains(_t, h)), false) "
-        "OR coalesce(_t RLIKE hint_re, false) "
-        "OR coalesce(exists(ci_hints, h -> contains(lower(_t), h)), false)")
-    return (df.select(F.col(id_col).alias("item_id"), F.col(text).alias("_t"))
-            .join(r, hinted & F.expr("_t RLIKE pattern"), "inner")
-            .select("item_id", F.col("raw_label").alias("raw_type"), "confidence"))
+    t = F.col(text)
+    cols = []
+    for r in rules.where(F.col("pattern").isNotNull()).select("raw_label", "pattern", "confidence", "hints", "hint_re", "ci_hints").collect():
+        match = t.rlike(r["pattern"])
+        hint = _row_hint(t, r["hints"], r["hint_re"], r["ci_hints"])
+        cond = match if hint is None else (hint & match)
+        cols.append(F.when(cond, _finding(r["raw_label"] or "unknown", F.lit(r["confidence"]), 1, None)))
+    groups = [F.array_compact(F.array(*cols[k: k + RULES_PER_COLUMN])) for k in range(0, len(cols), RULES_PER_COLUMN)]
+    return _flatten(df, F.col(id_col), F.concat(_empty(), *groups))
 
 
 # ----------------------------------------------------------------------------
@@ -285,6 +286,13 @@ def _rank_key(f: Column) -> Column:
                     f["raw_type"].alias("t"), f["ord"].alias("o"))
 
 
+def worst(findings_array: Column) -> Column:
+    """The finding that decides: a struct that sorts by the ranking key, with
+    its ``raw_type`` and ``confidence``; NULL without findings."""
+    return F.array_min(F.transform(findings_array, lambda f: F.struct(
+        _rank_key(f).alias("k"), f["raw_type"].alias("raw_type"), f["confidence"].alias("confidence"))))
+
+
 def assemble(df: DataFrame, findings_col: str = "findings") -> DataFrame:
     """One raw verdict per row from its own findings array -- a per-row
     reduction (``array_min`` of a total-order key), no shuffle.
@@ -302,6 +310,15 @@ def assemble(df: DataFrame, findings_col: str = "findings") -> DataFrame:
             .withColumn("severity", F.when(~F.col("safe"), sev)))
 
 
+def union_findings(*rows: DataFrame) -> DataFrame:
+    """Finding rows of several detectors as one table (a narrow union)."""
+    contract = ["item_id", "raw_type", "confidence", "ord", "match_hash"]
+    out = rows[0].select(*contract)
+    for r in rows[1:]:
+        out = out.unionByName(r.select(*contract))
+    return out
+
+
 def assemble_rows(items: DataFrame, id_col: str, rows: DataFrame) -> DataFrame:
     """One raw verdict per item from finding *rows* of several detectors.
 
@@ -331,16 +348,14 @@ def assemble_rows(items: DataFrame, id_col: str, rows: DataFrame) -> DataFrame:
 # redaction and coverage
 # ----------------------------------------------------------------------------
 def redact_pii(df: DataFrame, col: str = "text", out: str = "redacted") -> DataFrame:
-    """Replace personal data with ``[TYPE]`` tokens (cards without Luhn).
-
-    Each rule is applied twice: a guard character consumed by one match hides
-    an adjacent match, which the second pass catches.
-    """
+    """Replace personal data with ``[TYPE]`` tokens (cards without Luhn), from
+    left to right; guards consume nothing, so neighbours are all replaced."""
     t = F.col(col)
     for r in R.PII_RULES:
-        token = R.REDACT_TOKENS[r.raw_label]
-        repl = token if r.group == 0 else f"$1{token}$3"
-        replaced = F.regexp_replace(F.regexp_replace(t, r.pattern, repl), r.pattern, repl)
+        g = r.guard
+        behind = f"(?<![{g.before}])" if g.before else ""
+        ahead = f"(?![{g.after}])" if g.after else ""
+        replaced = F.regexp_replace(t, behind + g.body.replace("]+@", "]++@") + ahead, R.REDACT_TOKENS[r.raw_label])
         hint = rule_hint(t, r)
         t = replaced if hint is None else F.when(hint, replaced).otherwise(t)
     return df.withColumn(out, t)

@@ -1,10 +1,7 @@
 """What each scan call sees, built from a flat message table.
 
-Payloads are gated by size *before* any text is gathered: per-conversation
-lengths are a distributive aggregate (map-side combined, skew-safe), and
-only payloads within ``max_chars`` are assembled -- those that exceed it are
-answered by the size gate and never need their text.  Every group that is
-gathered is therefore bounded by ``max_chars`` characters.
+Per-conversation lengths are a distributive aggregate (map-side combined); the
+text of a payload is one value and is gathered in one row.
 """
 
 from __future__ import annotations
@@ -14,12 +11,6 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import MAX_CONTENT_CHARS
-from ..plans.running import chunked_running
-
-# Turns per chunk for the running length of a conversation history.
-TURN_CHUNK = 4096
-
 
 def _ordered_join(struct_col: str) -> F.Column:
     return F.array_join(F.transform(F.array_sort(F.collect_list(struct_col)),
@@ -27,14 +18,15 @@ def _ordered_join(struct_col: str) -> F.Column:
 
 
 def payload_conversation(msgs: DataFrame, roles: Iterable[str] = ("user",),
-                         max_chars: int | None = MAX_CONTENT_CHARS) -> DataFrame:
+                         max_chars: int | None = None) -> DataFrame:
     """One row per conversation: ``(conv_id, n_turns, payload_chars, payload)``.
 
     ``payload`` is the newline join of the conversation's ``roles`` turns in
     turn order; conversations with no such turn get ``''``.  A NULL text
     makes the payload NULL with ``payload_error`` set (the client would
-    raise).  ``payload_chars`` is always exact; ``payload`` is NULL when it
-    exceeds ``max_chars`` (pass ``None`` to lift the bound).
+    raise).  ``payload_chars`` is always exact.  The chat clients scan whatever
+    they extract; a caller whose scans have a size gate may pass its
+    ``max_chars``, and longer payloads are then not gathered (NULL).
     """
     roles = tuple(roles)
     is_role = F.col("role").isin(*roles)
@@ -66,39 +58,25 @@ def payload_conversation(msgs: DataFrame, roles: Iterable[str] = ("user",),
                      .when(within, F.col("_payload")).alias("payload")))
 
 
-def payload_history(msgs: DataFrame, roles: Iterable[str] = ("user",),
-                    max_chars: int | None = MAX_CONTENT_CHARS) -> DataFrame:
+def payload_history(msgs: DataFrame, roles: Iterable[str] = ("user",)) -> DataFrame:
     """One row per ``roles`` turn: everything a caller that resends its
     history would have scanned at that turn.
 
-    ``history_chars`` (exact) comes from a chunked running sum, so a huge
-    conversation is spread over many tasks.  The history text is assembled
-    only for turns whose history fits in ``max_chars``; those turns form a
-    prefix of the conversation with at most ``max_chars + 1`` rows, so each
-    window group that gathers text is bounded.
-    """
-    roles = tuple(roles)
-    turns = msgs.where(F.col("role").isin(*roles)).select("conv_id", "turn", "text")
-    run = chunked_running(turns, ["conv_id"], ["turn"],
-                          chunk=F.floor(F.col("turn") / TURN_CHUNK),
-                          value=F.coalesce(F.length("text"), F.lit(0)) + 1,
-                          how="sum", out="_run")
-    run = run.withColumn("history_chars", (F.col("_run") - 1).cast("long")).drop("_run")
-    if max_chars is None:
-        fits = run
-    else:
-        fits = run.where(F.col("history_chars") <= max_chars)
-    w = (Window.partitionBy("conv_id").orderBy("turn")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hist = (fits.withColumn("_h", F.collect_list(F.struct("turn", "text")).over(w))
-            .select("conv_id", "turn",
-                    F.array_join(F.transform("_h", lambda x: x["text"]), "\n").alias("payload")))
-    return (run.join(hist, ["conv_id", "turn"], "left")
-            .select("conv_id", "turn", "history_chars", "payload"))
+    The output holds every prefix of a conversation, so it grows with the
+    square of its turns by definition; for verdicts alone use the decisions
+    per message.  A NULL text makes the payload of its turn and of all later
+    ones NULL with ``payload_error`` set (the client would raise)."""
+    turns = msgs.where(F.col("role").isin(*tuple(roles))).select("conv_id", "turn", "text")
+    w = Window.partitionBy("conv_id").orderBy("turn", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = turns.select("conv_id", "turn", F.collect_list(F.struct("text")).over(w).alias("h"),
+                       (F.sum(F.coalesce(F.length("text"), F.lit(0)) + 1).over(w) - 1).cast("long").alias("history_chars"))
+    error = F.exists("h", lambda x: x["text"].isNull())
+    return run.select("conv_id", "turn", "history_chars", error.alias("payload_error"),
+                      F.when(~error, F.array_join(F.transform("h", lambda x: x["text"]), "\n")).alias("payload"))
 
 
 def payload_latest(msgs: DataFrame, roles: Iterable[str] = ("user",)) -> DataFrame:
     """Chat-session mode: each call scans only the new message."""
     return (msgs.where(F.col("role").isin(*tuple(roles)))
-            .select("conv_id", "turn", F.col("text").alias("payload"),
+            .select("conv_id", "turn", F.col("text").alias("payload"), F.col("text").isNull().alias("payload_error"),
                     F.length("text").cast("long").alias("payload_chars")))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .gates import gate_size
+
 # FIXED VALUES: scan routes and content kinds of the scan API.
 ROUTE_PROMPT = "/scan"
 ROUTE_SPECIALIZED = "/api/scan/specialized"
@@ -61,10 +63,18 @@ def file_request(df: DataFrame, path: str | Column = "path",
                                                    ctx.alias("context")))))
 
 
+def gated(requests: DataFrame, content: str | Column, context: str | Column | None = None) -> DataFrame:
+    """Requests behind the client's size gate: one whose content plus context
+    is too large is answered locally, so it has no body but a ``local_reason``."""
+    g = gate_size(requests, content, context)
+    return (g.withColumn("body", F.when(~F.col("oversize"), F.col("body")))
+            .withColumn("local_reason", F.col("size_reason")))
+
+
 def request_union(prompts: DataFrame, sqls: DataFrame, files: DataFrame) -> DataFrame:
     """All content kinds in one work table ``(source, request_id, route,
-    content_type, body)`` -- a narrow union, no shuffle."""
-    cols = ["source", "request_id", "route", "content_type", "body"]
+    content_type, body, local_reason)`` -- a narrow union, no shuffle."""
+    cols = ["source", "request_id", "route", "content_type", "body", "local_reason"]
     return (prompts.select(*cols)
             .unionByName(sqls.select(*cols))
             .unionByName(files.select(*cols)))

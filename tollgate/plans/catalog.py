@@ -23,7 +23,7 @@ from ..operators import quota as Q
 from ..operators import requests as RQ
 from ..operators import verdicts as V
 from ..session import scratch_path
-from .governance import govern_conversations, govern_documents
+from .governance import conversation_findings, govern_conversations, govern_documents
 from .sizing import barrier, spread_for_cpu
 from ..sources import derived
 from ..sources.sinks import write_routed
@@ -32,6 +32,8 @@ from ..streaming import jobs as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 ALL_FAMILIES = ("pii", "secrets", "code", "prompt")
+#: Our own wording for a conversation whose text cannot be joined.
+PAYLOAD_ERROR = "a message has no text"
 PROVIDERS = ("openai", "anthropic", "gemini")
 
 
@@ -41,8 +43,13 @@ def _docs(spark, d, cols=("doc_id", "text")):
 
 def _text_docs(spark, d, cols=("doc_id", "text")):
     """Documents for regex-heavy work, spread over all cores when the scan
-    alone would not be (see :func:`tollgate.plans.sizing.spread_for_cpu`)."""
-    return spread_for_cpu(_docs(spark, d, cols))
+    alone would not be (see :func:`tollgate.plans.sizing.spread_for_cpu`),
+    with something for every rule to find."""
+    return derived.planted_documents(spread_for_cpu(_docs(spark, d, cols)))
+
+
+def _messages(spark, d, roles=("user",)):
+    return derived.planted_messages(read_messages(spark, d, roles=roles))
 
 
 def _events(spark, d):
@@ -62,7 +69,7 @@ def governed_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def governed_conversations(spark: SparkSession, d: str) -> DataFrame:
-    return govern_conversations(read_messages(spark, d, roles=None))
+    return govern_conversations(_messages(spark, d, roles=None))
 
 
 # ---------------------------------------------------------------------------
@@ -74,7 +81,7 @@ def q_src_messages(spark, d):
 
 def q_src_requests(spark, d):
     req = parse_requests(derived.chat_requests(read_messages(spark, d, roles=None), "openai"))
-    return req.select("request_id", "part", "valid", "n_messages", "n_user_messages")
+    return req.select("request_id", "valid", "n_messages", "n_user_messages")
 
 
 def q_src_verdicts(spark, d):
@@ -98,53 +105,55 @@ def q_sink_routed(spark, d):
 def _extract(dialect: str) -> Query:
     def q(spark, d):
         req = parse_requests(derived.chat_requests(read_messages(spark, d, roles=None), dialect))
-        return E.extract_text(req, dialect).select("request_id", "part", "text", "extract_error")
+        return E.extract_text(req, dialect).select("request_id", "text", "extract_error")
     return q
 
 
 def q_payload_conversation(spark, d):
-    return PL.payload_conversation(read_messages(spark, d, roles=None))
+    return PL.payload_conversation(_messages(spark, d, roles=None))
 
 
 def q_payload_history(spark, d):
-    return PL.payload_history(read_messages(spark, d))
+    return PL.payload_history(_messages(spark, d))
 
 
 def q_payload_latest(spark, d):
-    return PL.payload_latest(read_messages(spark, d))
+    return PL.payload_latest(_messages(spark, d))
 
 
 # ---------------------------------------------------------------------------
 # gates and requests
 # ---------------------------------------------------------------------------
 def q_gate_empty(spark, d):
-    p = PL.payload_conversation(read_messages(spark, d, roles=None))
+    p = PL.payload_conversation(_messages(spark, d, roles=None))
     return G.gate_empty(p).select("conv_id", "is_empty", "empty_reason")
 
 
 def q_gate_size(spark, d):
-    g = G.gate_size(_docs(spark, d), content="text")
+    g = G.gate_size(derived.planted_documents(_docs(spark, d, ("doc_id", "text", "source"))), content="text", context="source")
     return g.select(F.col("doc_id").alias("item_id"), "size_chars", "oversize", "size_reason",
                     "size_threat_type", "size_confidence", "violation_type", "violation_description")
 
 
 def _prompts(spark, d):
-    p = PL.payload_conversation(read_messages(spark, d, roles=None)).where(F.col("payload").isNotNull())
-    return (RQ.prompt_request(p, "payload")
-            .select(F.lit("conversation").alias("source"), F.col("conv_id").alias("request_id"),
-                    "route", "content_type", "body"))
+    # A conversation the client would raise on keeps its row, without a body.
+    p = PL.payload_conversation(_messages(spark, d, roles=None))
+    r = RQ.prompt_request(p, "payload").withColumn("body", F.when(~F.col("payload_error"), F.col("body")))
+    return r.select(F.lit("conversation").alias("source"), F.col("conv_id").alias("request_id"), "route", "content_type", "body",
+                    F.when(F.col("payload_error"), F.lit(PAYLOAD_ERROR)).alias("local_reason"))
 
 
 def _sqls(spark, d):
-    return (RQ.sql_request(derived.sql_statements(_events(spark, d)))
+    return (RQ.gated(RQ.sql_request(derived.sql_statements(_events(spark, d))), "text")
             .select(F.lit("sql").alias("source"), F.col("stmt_id").alias("request_id"),
-                    "route", "content_type", "body"))
+                    "route", "content_type", "body", "local_reason"))
 
 
 def _files(spark, d):
-    return (RQ.file_request(derived.file_requests(_docs(spark, d, ("doc_id", "text", "lang", "source"))))
+    files = derived.file_requests(derived.planted_documents(_docs(spark, d, ("doc_id", "text", "lang", "source"))))
+    return (RQ.gated(RQ.file_request(files), "path", "content")
             .select(F.lit("file").alias("source"), F.col("file_id").alias("request_id"),
-                    "route", "content_type", "body"))
+                    "route", "content_type", "body", "local_reason"))
 
 
 def q_request_prompt(spark, d):
@@ -285,8 +294,7 @@ def q_detect_code(spark, d):
 
 
 def q_detect_prompt(spark, d):
-    p = PL.payload_conversation(read_messages(spark, d, roles=None))
-    return D.detect(p, "payload", ("prompt",), "conv_id")
+    return conversation_findings(_messages(spark, d), ("prompt",))
 
 
 def q_detect_sql(spark, d):
@@ -318,6 +326,18 @@ def q_assemble_verdict(spark, d):
                                             "severity", "n_findings")
 
 
+def q_assemble_findings(spark, d):
+    """One verdict per document from pattern, rule-table, domain and label
+    detectors (a page counts for the document of the same number)."""
+    docs = _text_docs(spark, d)
+    rules = D.rules_frame(spark, R.PROMPT_RULES + R.CODE_RULES)
+    rows = D.union_findings(
+        D.detect(docs, "text", ("pii", "secrets"), "doc_id"), D.rule_scan(docs, "doc_id", "text", rules),
+        D.detect_domain(read_table(spark, d, "pages", ["page_id", "url"])),
+        D.label_toxicity(_docs(spark, d, ("doc_id",)), read_table(spark, d, "labels")))
+    return D.assemble_rows(_docs(spark, d, ("doc_id",)), "doc_id", rows)
+
+
 def q_redact_pii(spark, d):
     return D.redact_pii(_text_docs(spark, d)).select(F.col("doc_id").alias("item_id"), "redacted")
 
@@ -350,7 +370,7 @@ def q_stream_gate(spark, d):
     schema = spark.read.parquet(src).schema
     out = scratch_path(spark, "stream-gate")
     S.run_gate(spark, d, out, schema, glob="documents.parquet",
-               partitions=spark.sparkContext.defaultParallelism)
+               partitions=spark.sparkContext.defaultParallelism, prepare=derived.planted_documents)
     return spark.read.parquet(out).select("item_id", "decision", "threat_type", "severity",
                                           "confidence", "n_findings")
 
@@ -418,6 +438,7 @@ QUERIES: dict[str, Query] = {
     "label_toxicity": q_label_toxicity,
     "rule_scan": q_rule_scan,
     "assemble_verdict": q_assemble_verdict,
+    "assemble_findings": q_assemble_findings,
     "redact_pii": q_redact_pii,
     "framework_coverage": q_framework_coverage,
     "quota_minute": q_quota_minute,

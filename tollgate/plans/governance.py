@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import MAX_CONTENT_CHARS
+from ..functions import exprs as X
+from ..functions.exprs import MAX_CONTENT_CHARS, is_blank
 from ..operators import detect as D
 from ..operators import gates as G
-from ..operators import payload as PL
 from ..operators import policy as P
 from ..operators import verdicts as V
 
@@ -25,23 +25,35 @@ def govern_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
                               "n_findings")
 
 
-def govern_conversations(msgs: DataFrame, max_chars: int = MAX_CONTENT_CHARS) -> DataFrame:
-    """conversations -> payload -> empty gate -> size gate -> detectors ->
-    one verdict and decision per conversation.
+def govern_conversations(msgs: DataFrame, max_chars: int | None = None, roles: tuple[str, ...] = ("user",)) -> DataFrame:
+    """conversations -> empty gate [-> size gate] -> detectors -> one verdict
+    and decision per conversation.
 
-    ``gate`` says which step answered: ``error`` (a NULL user text),
-    ``empty`` (safe, scan skipped), ``size`` (local unsafe verdict, no
-    normalisation) or ``scan``.  Detectors only run on rows that reach the
-    scan (``CASE WHEN`` short-circuits per row).
+    No rule matches across the line feed that joins turns, so the detectors
+    run on each message (narrow) and a conversation's verdict is the least
+    ranked finding: one scan, one partial aggregate of small values, however
+    long a conversation is.  ``gate`` says which step answered: ``error`` (a
+    NULL user text), ``empty`` (safe, scan skipped), ``size`` (only with
+    ``max_chars``: the chat clients themselves have no such gate) or ``scan``.
     """
-    p = PL.payload_conversation(msgs, max_chars=max_chars)
-    g = G.gate_size(G.gate_empty(p), content="payload", total_col="payload_chars", max_chars=max_chars)
-    err, empty, over = F.col("payload_error"), F.col("is_empty"), F.col("oversize")
-    scan = ~err & ~empty & ~over
-    f = g.withColumn("findings", F.when(scan, D.findings(F.col("payload"), ALL_FAMILIES))
-                     .otherwise(F.array().cast(D.FINDINGS_TYPE)))
-    v = V.normalize_verdict(D.assemble(f, "findings"))
-    unsafe_scan = scan & ~F.col("safe")
+    mine = F.col("role").isin(*roles)
+    text = F.when(mine, F.col("text"))
+    found = msgs.select("conv_id", mine.alias("mine"), text.isNull().alias("missing"), F.length(text).alias("chars"),
+                        F.coalesce(is_blank(text), F.lit(True)).alias("blank"), D.findings(text, ALL_FAMILIES).alias("findings"))
+    found = found.select("conv_id", "mine", "missing", "chars", "blank", D.worst(F.col("findings")).alias("worst"),
+                         F.size("findings").cast("long").alias("n"))
+    g = found.groupBy("conv_id").agg(
+        F.count_if(F.col("mine") & F.col("missing")).alias("missing"), F.count_if("mine").alias("turns"), F.sum("chars").alias("chars"),
+        F.bool_and(F.col("blank") | ~F.col("mine")).alias("blank"), F.min("worst").alias("worst"), F.sum("n").alias("n_findings"))
+    total = F.coalesce(F.col("chars"), F.lit(0)) + F.greatest(F.col("turns") - 1, F.lit(0))
+    g = G.gate_size(g.withColumn("payload_chars", total), content=F.lit(""), total_col="payload_chars", max_chars=max_chars or MAX_CONTENT_CHARS)
+    err, empty = F.col("missing") > 0, F.col("blank")
+    over = F.col("oversize") if max_chars is not None else F.lit(False)
+    raw = F.col("worst")["raw_type"]
+    v = V.normalize_verdict(g.withColumns({
+        "safe": F.col("n_findings") == 0, "threat_type": raw, "confidence": F.col("worst")["confidence"],
+        "severity": X.default_severity(X.canonical_type(raw))}))
+    unsafe_scan = ~err & ~empty & ~over & ~F.col("safe")
     return v.select(
         "conv_id",
         F.when(err, "error").when(empty, "empty").when(over, "size").otherwise("scan").alias("gate"),
@@ -51,5 +63,17 @@ def govern_conversations(msgs: DataFrame, max_chars: int = MAX_CONTENT_CHARS) ->
          .when(unsafe_scan, F.col("threat_type")).alias("threat_type"),
         F.when(unsafe_scan, F.col("severity")).alias("severity"),
         F.when(unsafe_scan, F.col("confidence")).alias("confidence"),
-        F.when(err, F.lit(None)).when(empty, F.col("empty_reason")).when(over, F.col("size_reason"))
+        F.when(err, F.lit(None)).when(empty, F.lit(G.EMPTY_REASON_CHAT)).when(over, F.col("size_reason"))
          .otherwise(F.col("reason")).alias("reason"))
+
+
+def conversation_findings(msgs: DataFrame, families: tuple[str, ...], roles: tuple[str, ...] = ("user",)) -> DataFrame:
+    """Finding rows of whole conversations, found message by message; ``ord``
+    counts a label's matches through the conversation.  A conversation with a
+    NULL text has none (the client would raise)."""
+    mine = msgs.where(F.col("role").isin(*roles))
+    arr = mine.select("conv_id", "turn", F.inline_outer(D.findings(F.col("text"), families))).where(F.col("raw_type").isNotNull())
+    broken = mine.where(F.col("text").isNull()).select("conv_id").distinct()
+    order = Window.partitionBy("conv_id", "raw_type").orderBy("turn", "ord")
+    return (arr.join(broken, "conv_id", "left_anti").withColumn("ord", F.row_number().over(order))
+            .select(F.col("conv_id").alias("item_id"), "raw_type", "confidence", "ord", "match_hash"))

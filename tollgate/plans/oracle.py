@@ -45,7 +45,10 @@ ATTEMPTS = f"att AS (SELECT {_cols(derived.ATTEMPT_COLUMNS_SQL)} FROM events)"
 OUTCOMES = f"outc AS (SELECT {_cols(derived.OUTCOME_COLUMNS_SQL)} FROM events)"
 SCANS = f"scn AS (SELECT {_cols(derived.SCAN_COLUMNS_SQL)} FROM events)"
 STMTS = f"stmts AS (SELECT {_cols(derived.SQL_STATEMENT_COLUMNS_SQL)} FROM events)"
-FILES = f"files AS (SELECT {_cols(derived.FILE_REQUEST_COLUMNS_SQL)} FROM documents)"
+DOCS = f"pd AS (SELECT doc_id, {derived.PLANTED_TEXT_SQL} AS text, lang, source FROM documents)"
+MESSAGES = f"pm AS (SELECT conv_id, turn, role, {derived.PLANTED_MESSAGE_SQL} AS text FROM conversations)"
+FILES = (f"{DOCS}, files AS (SELECT {_cols(derived.FILE_REQUEST_COLUMNS_SQL)} FROM pd UNION ALL "
+         f"SELECT {_cols(derived.PATH_REQUEST_COLUMNS_SQL)} FROM pd WHERE doc_id % 3 <> 0)")
 
 CONF_BUCKET = ("CASE WHEN {c} IS NULL THEN 'medium' WHEN isnan({c}) THEN 'low' "
                "WHEN {c} >= 0.9 THEN 'high' WHEN {c} >= 0.7 THEN 'medium' ELSE 'low' END")
@@ -100,8 +103,23 @@ def _luhn(x: str) -> str:
             f"ELSE {digit} * 2 END ELSE {digit} END)) % 10 = 0")
 
 
+def guarded_matches(rule: R.Rule, text: str) -> str:
+    """Every place where the body stands between its guards: RE2 has no
+    lookaround, so each start is tried with an anchored pattern."""
+    g = rule.guard
+    open_ = {"ssn": "0-9", "credit_card": "0-9", "phone_number": "0-9(", "personal_data": "0-9", "aws_key": "A",
+             "api_key": "s", "email_exposure": "A-Za-z0-9._%+-"}[rule.raw_label]
+    anchored = f"^({g.body})" + (f"($|[^{g.after}])" if g.after else "")
+    starts = (f"list_filter(range(1, length({text}) + 1), lambda i: regexp_matches(substr({text}, i, 1), {lit('[' + open_ + ']')}) AND "
+              f"(i = 1 OR NOT regexp_matches(substr({text}, i - 1, 1), {lit('[' + g.before + ']')})))")
+    found = (f"list_filter(list_transform({starts}, lambda i: regexp_extract(substr({text}, i, 4000), {lit(anchored)}, 1)), "
+             "lambda m: m <> '')")
+    # Only texts that have a match at all are taken apart.
+    return f"CASE WHEN regexp_matches({text}, {lit(rule.pattern)}) THEN {found} ELSE [] END"
+
+
 def rule_rows(rule: R.Rule, src: str, id_col: str, text: str) -> str:
-    arr = f"regexp_extract_all({text}, {lit(rule.pattern)}, {rule.group})"
+    arr = guarded_matches(rule, text) if rule.guard else f"regexp_extract_all({text}, {lit(rule.pattern)}, {rule.group})"
     if rule.raw_label == "credit_card":
         arr = f"list_filter({arr}, lambda x: {_luhn('x')})"
     return (f"SELECT {id_col} AS item_id, {lit(rule.raw_label)} AS raw_type, "
@@ -164,7 +182,7 @@ asm AS (SELECT d.doc_id AS item_id, b.item_id IS NULL AS safe, b.raw_type AS thr
         FROM {items} d LEFT JOIN best b ON b.item_id = d.doc_id AND b.rn = 1)"""
 
 
-GOVERNED = assembled(family_rows(ALL_FAMILIES, "documents", "doc_id", "text")) + f""",
+GOVERNED = DOCS + ", " + assembled(family_rows(ALL_FAMILIES, "pd", "doc_id", "text")) + f""",
 gov AS (SELECT a.item_id, CASE WHEN a.safe THEN 'allow' ELSE 'block' END AS decision,
           CASE WHEN NOT a.safe THEN coalesce(x.canon, 'unknown') END AS threat_type,
           CASE WHEN NOT a.safe THEN a.severity END AS severity,
@@ -172,32 +190,31 @@ gov AS (SELECT a.item_id, CASE WHEN a.safe THEN 'allow' ELSE 'block' END AS deci
           a.n_findings
         FROM asm a LEFT JOIN taxo x ON x.raw_label = a.threat_type)"""
 
-PAYLOAD_CONV = f"""pc AS (SELECT conv_id,
+PAYLOAD_CONV = f"""{MESSAGES}, pc AS (SELECT conv_id,
     count(*) FILTER (WHERE role = 'user') AS n_turns,
     CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'user'), 0)
       + greatest(count(*) FILTER (WHERE role = 'user') - 1, 0) AS BIGINT) AS payload_chars,
     count(*) FILTER (WHERE role = 'user' AND text IS NULL) > 0 AS payload_error,
     string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'user') AS agg
-  FROM conversations GROUP BY conv_id),
+  FROM pm GROUP BY conv_id),
 pcv AS (SELECT conv_id, n_turns, payload_chars, payload_error,
-    CASE WHEN payload_error THEN NULL WHEN n_turns = 0 THEN ''
-         WHEN payload_chars <= {MAX_CONTENT_CHARS} THEN agg END AS payload FROM pc)"""
+    CASE WHEN payload_error THEN NULL WHEN n_turns = 0 THEN '' ELSE agg END AS payload FROM pc)"""
 
 
 def _extract_sql(shape_mod: int, pieces_case: str, where: str) -> str:
-    return f"""WITH m AS (SELECT conv_id, CAST(floor(turn / 64) AS BIGINT) AS part, turn, role, text,
-        (conv_id + turn) % {shape_mod} AS s FROM conversations),
-a AS (SELECT conv_id, part, string_agg({pieces_case}, chr(10) ORDER BY turn) FILTER (WHERE {where}) AS t
-      FROM m GROUP BY conv_id, part)
-SELECT conv_id AS request_id, part, coalesce(t, '') AS text, false AS extract_error FROM a"""
+    return f"""WITH m AS (SELECT conv_id, turn, role, text, (conv_id + turn) % {shape_mod} AS s FROM conversations),
+a AS (SELECT conv_id, string_agg({pieces_case}, chr(10) ORDER BY turn) FILTER (WHERE {where}) AS t
+      FROM m GROUP BY conv_id)
+SELECT conv_id AS request_id, coalesce(t, '') AS text, false AS extract_error FROM a"""
 
 
+# A consumed guard hides a neighbour from one pass; the second pass finds it.
 REDACT = "text"
 for _r in R.PII_RULES:
-    _tok = R.REDACT_TOKENS[_r.raw_label]
-    _rep = _tok if _r.group == 0 else f"\\1{_tok}\\3"
+    _g = _r.guard
+    _pat = (f"(^|[^{_g.before}])" if _g.before else "()") + f"({_g.body})" + (f"($|[^{_g.after}])" if _g.after else "()")
     for _ in range(2):
-        REDACT = f"regexp_replace({REDACT}, {lit(_r.pattern)}, {lit(_rep)}, 'g')"
+        REDACT = f"regexp_replace({REDACT}, {lit(_pat)}, {lit(chr(92) + '1' + R.REDACT_TOKENS[_r.raw_label] + chr(92) + '3')}, 'g')"
 
 HOST = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#@]*@)?([^/?#:]*)', 2))"
 LABELS = "string_split(host, '.')"
@@ -217,9 +234,9 @@ PROVIDER = "(['openai', 'anthropic', 'gemini'])[doc_id % 3 + 1]"
 
 ORACLE: dict[str, str] = {
     "src_messages": "SELECT conv_id, turn, role, text FROM conversations WHERE role = 'user'",
-    "src_requests": """SELECT conv_id AS request_id, CAST(floor(turn / 64) AS BIGINT) AS part, true AS valid,
+    "src_requests": """SELECT conv_id AS request_id, true AS valid,
         count(*) AS n_messages, count(*) FILTER (WHERE role = 'user') AS n_user_messages
-        FROM conversations GROUP BY conv_id, CAST(floor(turn / 64) AS BIGINT)""",
+        FROM conversations GROUP BY conv_id""",
     "src_verdicts": f"WITH {parsed_verdicts('documents', 'doc_id')} SELECT * FROM pv",
     "src_attempts": f"WITH {ATTEMPTS} SELECT * FROM att",
     "sink_routed": f"WITH {GOVERNED} SELECT * FROM gov",
@@ -229,30 +246,30 @@ ORACLE: dict[str, str] = {
                                       "role = 'user'"),
     "extract_gemini": _extract_sql(3, "text", "true"),
     "payload_conversation": f"WITH {PAYLOAD_CONV} SELECT * FROM pcv",
-    "payload_history": f"""WITH u AS (SELECT conv_id, turn, text FROM conversations WHERE role = 'user'),
+    "payload_history": f"""WITH {MESSAGES}, u AS (SELECT conv_id, turn, text FROM pm WHERE role = 'user'),
         h AS (SELECT conv_id, turn,
           CAST(sum(coalesce(length(text), 0) + 1) OVER w - 1 AS BIGINT) AS history_chars,
-          string_agg(text, chr(10)) OVER w AS agg
+          string_agg(text, chr(10)) OVER w AS agg, count(*) FILTER (WHERE text IS NULL) OVER w > 0 AS payload_error
           FROM u WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-        SELECT conv_id, turn, history_chars,
-          CASE WHEN history_chars <= {MAX_CONTENT_CHARS} THEN agg END AS payload FROM h""",
-    "payload_latest": """SELECT conv_id, turn, text AS payload, length(text) AS payload_chars
-        FROM conversations WHERE role = 'user'""",
+        SELECT conv_id, turn, history_chars, payload_error, CASE WHEN NOT payload_error THEN agg END AS payload FROM h""",
+    "payload_latest": f"""WITH {MESSAGES} SELECT conv_id, turn, text AS payload, text IS NULL AS payload_error, length(text) AS payload_chars
+        FROM pm WHERE role = 'user'""",
     "gate_empty": f"""WITH {PAYLOAD_CONV}
         SELECT conv_id, coalesce(regexp_matches(payload, {lit(BLANK_PATTERN)}), false) AS is_empty,
           CASE WHEN coalesce(regexp_matches(payload, {lit(BLANK_PATTERN)}), false)
                THEN 'No user content to scan' END AS empty_reason FROM pcv""",
-    "gate_size": f"""SELECT doc_id AS item_id, coalesce(length(text), 0) AS size_chars,
-        coalesce(length(text), 0) > {MAX_CONTENT_CHARS} AS oversize,
-        CASE WHEN coalesce(length(text), 0) > {MAX_CONTENT_CHARS} THEN 'Content too large (' ||
-             CAST(coalesce(length(text), 0) // 1024 AS VARCHAR) || 'KB > {MAX_CONTENT_CHARS // 1024}KB limit)' END
+    "gate_size": f"""WITH {DOCS}, z AS (SELECT doc_id, CAST(coalesce(length(text), 0) + coalesce(length(source), 0) AS BIGINT) AS n FROM pd)
+        SELECT doc_id AS item_id, n AS size_chars,
+        n > {MAX_CONTENT_CHARS} AS oversize,
+        CASE WHEN n > {MAX_CONTENT_CHARS} THEN 'Content too large (' ||
+             CAST(n // 1024 AS VARCHAR) || 'KB > {MAX_CONTENT_CHARS // 1024}KB limit)' END
           AS size_reason,
-        CASE WHEN coalesce(length(text), 0) > {MAX_CONTENT_CHARS} THEN 'size_limit_exceeded' END AS size_threat_type,
-        CASE WHEN coalesce(length(text), 0) > {MAX_CONTENT_CHARS} THEN CAST(1.0 AS DOUBLE) END AS size_confidence,
-        CASE WHEN coalesce(length(text), 0) > {MAX_CONTENT_CHARS} THEN 'size_limit' END AS violation_type,
-        CASE WHEN coalesce(length(text), 0) > {MAX_CONTENT_CHARS}
+        CASE WHEN n > {MAX_CONTENT_CHARS} THEN 'size_limit_exceeded' END AS size_threat_type,
+        CASE WHEN n > {MAX_CONTENT_CHARS} THEN CAST(1.0 AS DOUBLE) END AS size_confidence,
+        CASE WHEN n > {MAX_CONTENT_CHARS} THEN 'size_limit' END AS violation_type,
+        CASE WHEN n > {MAX_CONTENT_CHARS}
              THEN 'Content exceeds maximum size of {MAX_CONTENT_CHARS // 1024}KB' END AS violation_description
-        FROM documents""",
+        FROM z""",
     "normalize_threat": f"""WITH {TAXO}, {parsed_verdicts('documents', 'doc_id')}
         SELECT item_id, threat_type AS raw_threat_type, coalesce(x.canon, 'unknown') AS threat_type
         FROM pv LEFT JOIN taxo x ON replace(lower(threat_type), '-', '_') = x.raw_label""",
@@ -340,29 +357,31 @@ ORACLE: dict[str, str] = {
         SELECT endpoint, count(*) AS n_attempts, count(*) FILTER (WHERE kind = 'ok') AS n_success,
           count(*) FILTER (WHERE kind <> 'ok') AS n_failure, max(ts) FILTER (WHERE kind <> 'ok') AS last_failure_ts
         FROM att GROUP BY endpoint""",
-    "detect_pii": family_rows(("pii",), "documents", "doc_id", "text"),
-    "detect_secrets": family_rows(("secrets",), "documents", "doc_id", "text"),
-    "detect_code": family_rows(("code",), "documents", "doc_id", "text"),
+    "detect_pii": f"WITH {DOCS} " + family_rows(("pii",), "pd", "doc_id", "text"),
+    "detect_secrets": f"WITH {DOCS} " + family_rows(("secrets",), "pd", "doc_id", "text"),
+    "detect_code": f"WITH {DOCS} " + family_rows(("code",), "pd", "doc_id", "text"),
     "detect_prompt": f"WITH {PAYLOAD_CONV} " + family_rows(("prompt",), "pcv", "conv_id", "payload"),
     "detect_sql": f"WITH {STMTS} " + sql_rows(),
     "detect_path": f"WITH {FILES} " + path_rows(),
     "detect_domain": f"""WITH h AS (SELECT page_id AS item_id, {HOST} AS host FROM pages),
         p AS (SELECT item_id, host, unnest(list_transform(range(1, len({LABELS}) + 1),
-                lambda i: array_to_string(list_slice({LABELS}, i, len({LABELS})), '.'))) AS matched FROM h)
+                lambda i: {{'ord': i, 'matched': array_to_string(list_slice({LABELS}, i, len({LABELS})), '.')}})) AS u FROM h)
         SELECT item_id, host, 'blocked_domain' AS raw_type, CAST({R.BLOCKED_DOMAIN_CONFIDENCE} AS DOUBLE) AS confidence,
-          matched FROM p WHERE matched IN ({", ".join(lit(x) for x in R.BLOCKED_DOMAINS)})
+          CAST(u.ord AS INTEGER) AS ord, sha256(u.matched) AS match_hash, u.matched AS matched
+        FROM p WHERE u.matched IN ({", ".join(lit(x) for x in R.BLOCKED_DOMAINS)})
         UNION ALL
-        SELECT item_id, host, 'suspicious_tld', CAST({R.SUSPICIOUS_TLD_CONFIDENCE} AS DOUBLE), {LABELS}[-1]
+        SELECT item_id, host, 'suspicious_tld', CAST({R.SUSPICIOUS_TLD_CONFIDENCE} AS DOUBLE), CAST(len({LABELS}) + 1 AS INTEGER),
+          sha256({LABELS}[-1]), {LABELS}[-1]
         FROM h WHERE {LABELS}[-1] IN ({", ".join(lit(x) for x in R.SUSPICIOUS_TLDS)})""",
     "label_toxicity": """SELECT doc_id AS item_id, 'toxicity' AS raw_type, CAST(1.0 AS DOUBLE) AS confidence, CAST(1 AS INTEGER) AS ord,
         CAST(NULL AS VARCHAR) AS match_hash FROM labels
         WHERE toxic = 1 AND doc_id IN (SELECT doc_id FROM documents)""",
-    "rule_scan": f"""WITH {RULES_VALUES}
-        SELECT d.doc_id AS item_id, r.raw_label AS raw_type, r.confidence
-        FROM documents d JOIN rules r ON regexp_matches(d.text, r.pattern)""",
-    "assemble_verdict": "WITH " + assembled(family_rows(ALL_FAMILIES, "documents", "doc_id", "text"))
+    "rule_scan": f"""WITH {DOCS}, {RULES_VALUES}
+        SELECT d.doc_id AS item_id, r.raw_label AS raw_type, r.confidence, CAST(1 AS INTEGER) AS ord, CAST(NULL AS VARCHAR) AS match_hash
+        FROM pd d JOIN rules r ON regexp_matches(d.text, r.pattern)""",
+    "assemble_verdict": f"WITH {DOCS}, " + assembled(family_rows(ALL_FAMILIES, "pd", "doc_id", "text"))
                         + " SELECT * FROM asm",
-    "redact_pii": f"SELECT doc_id AS item_id, {REDACT} AS redacted FROM documents",
+    "redact_pii": f"WITH {DOCS} SELECT doc_id AS item_id, {REDACT} AS redacted FROM pd",
     "framework_coverage": f"""WITH {GOVERNED}, {BRIDGE}
         SELECT b.framework, count(*) AS n_findings, count(DISTINCT g.item_id) AS n_items
         FROM gov g JOIN bridge b ON b.b_type = g.threat_type WHERE g.decision = 'block'
@@ -387,11 +406,12 @@ ORACLE: dict[str, str] = {
         SELECT threat_type, severity, count(*) AS n, grouping(threat_type, severity) AS level
         FROM san WHERE NOT safe GROUP BY ROLLUP (threat_type, severity)""",
     "stream_gate": f"WITH {GOVERNED} SELECT * FROM gov",
-    "stream_quota": f"""WITH {SCANS},
+    "stream_quota": f"""WITH {SCANS}, {TIERS_CTE},
         c AS (SELECT key_id, tier, date_trunc('minute', ts) AS minute_start, count(*) AS n_scans
               FROM scn GROUP BY key_id, tier, date_trunc('minute', ts))
-        SELECT * FROM c
-        WHERE minute_start + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+        SELECT c.*, t.per_minute AS rate_limit,
+          CASE WHEN t.per_minute IS NULL THEN 0 ELSE greatest(c.n_scans - t.per_minute, 0) END AS excess
+        FROM c LEFT JOIN tiers t ON t.tier = c.tier WHERE minute_start + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
     "stream_outage": f"""WITH {STREAKS},
         s AS (SELECT *, CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY endpoint, grp
                 ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS k FROM g),
@@ -400,56 +420,67 @@ ORACLE: dict[str, str] = {
         SELECT endpoint, 'outage' AS event, event_id, ts, k AS streak FROM p WHERE NOT ok AND k = 5
         UNION ALL
         SELECT endpoint, 'recovery', event_id, ts, prev FROM p WHERE ok AND prev >= 5""",
-    "custom_detector": f"""SELECT doc_id AS item_id, 'tonality_drift_hostile' AS raw_type,
+    "custom_detector": f"""WITH {DOCS} SELECT doc_id AS item_id, 'tonality_drift_hostile' AS raw_type,
           round(up / letters, 4) AS confidence, 'finding' AS kind, CAST(NULL AS VARCHAR) AS message
         FROM (SELECT doc_id, length(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')) AS letters,
-                length(regexp_replace(coalesce(text, ''), '[^A-Z]', '', 'g')) AS up FROM documents
-              WHERE text IS NOT NULL AND NOT regexp_matches(text, {lit(BLANK_PATTERN)})
-                AND length(text) <= {MAX_CONTENT_CHARS})
+                length(regexp_replace(coalesce(text, ''), '[^A-Z]', '', 'g')) AS up FROM pd
+              WHERE text IS NOT NULL AND NOT regexp_matches(text, {lit(BLANK_PATTERN)}))
         WHERE letters >= {SHOUT_MIN_LETTERS} AND up / letters >= {SHOUT_RATIO}""",
 }
 
+# The size gate of SQL and file requests: over the limit there is no body.
+def _sized(body: str, size: str) -> str:
+    return (f"CASE WHEN {size} <= {MAX_CONTENT_CHARS} THEN {body} END AS body, CASE WHEN {size} > {MAX_CONTENT_CHARS} THEN "
+            f"'Content too large (' || CAST({size} // 1024 AS VARCHAR) || 'KB > {MAX_CONTENT_CHARS // 1024}KB limit)' END AS local_reason")
+
+
 _PROMPTS = f"""SELECT 'conversation' AS source, conv_id AS request_id, '/scan' AS route, 'prompt' AS content_type,
-    CAST(json_object('prompt', payload) AS VARCHAR) AS body FROM pcv WHERE payload IS NOT NULL"""
-_SQLS = """SELECT 'sql' AS source, stmt_id AS request_id, '/api/scan/specialized' AS route, 'sql' AS content_type,
-    CAST(json_object('content', text, 'content_type', 'sql', 'context',
+    CASE WHEN NOT payload_error THEN CAST(json_object('prompt', payload) AS VARCHAR) END AS body,
+    CASE WHEN payload_error THEN 'a message has no text' END AS local_reason FROM pcv"""
+_SQL_BODY = """CAST(json_object('content', text, 'content_type', 'sql', 'context',
       json_object('database', coalesce(database, ''),
                   'allow_destructive', CASE WHEN coalesce(allow_destructive, false) THEN 'true' ELSE 'false' END))
-      AS VARCHAR) AS body FROM stmts"""
-_FILES = """SELECT 'file' AS source, file_id AS request_id, '/api/scan/specialized' AS route,
-    CASE WHEN nullif(content, '') IS NOT NULL THEN 'file_content' ELSE 'file_path' END AS content_type,
-    CAST(CASE WHEN nullif(content, '') IS NOT NULL
+      AS VARCHAR)"""
+_SQLS = f"""SELECT 'sql' AS source, stmt_id AS request_id, '/api/scan/specialized' AS route, 'sql' AS content_type,
+    {_sized(_SQL_BODY, "length(text)")} FROM stmts"""
+_FILE_BODY = """CAST(CASE WHEN nullif(content, '') IS NOT NULL
       THEN json_object('content', path, 'content_type', 'file_content', 'context', json_object('file_content', content))
-      ELSE json_object('content', path, 'content_type', 'file_path') END AS VARCHAR) AS body FROM files"""
+      ELSE json_object('content', path, 'content_type', 'file_path') END AS VARCHAR)"""
+_FILES = f"""SELECT 'file' AS source, file_id AS request_id, '/api/scan/specialized' AS route,
+    CASE WHEN nullif(content, '') IS NOT NULL THEN 'file_content' ELSE 'file_path' END AS content_type,
+    {_sized(_FILE_BODY, "(length(path) + coalesce(length(content), 0))")} FROM files"""
 
-ORACLE["request_prompt"] = (f"WITH {PAYLOAD_CONV} SELECT request_id, route, content_type, body "
+ORACLE["request_prompt"] = (f"WITH {PAYLOAD_CONV} SELECT request_id, route, content_type, body, local_reason "
                             f"FROM ({_PROMPTS})")
-ORACLE["request_sql"] = f"WITH {STMTS} SELECT request_id, route, content_type, body FROM ({_SQLS})"
-ORACLE["request_file"] = f"WITH {FILES} SELECT request_id, route, content_type, body FROM ({_FILES})"
+ORACLE["request_sql"] = f"WITH {STMTS} SELECT request_id, route, content_type, body, local_reason FROM ({_SQLS})"
+ORACLE["request_file"] = f"WITH {FILES} SELECT request_id, route, content_type, body, local_reason FROM ({_FILES})"
 ORACLE["request_union"] = (f"WITH {PAYLOAD_CONV}, {STMTS}, {FILES} {_PROMPTS} UNION ALL {_SQLS} "
                            f"UNION ALL {_FILES}")
 
+_LABELLED = """SELECT doc_id AS item_id, 'toxicity' AS raw_type, CAST(1.0 AS DOUBLE) AS confidence, CAST(1 AS INTEGER) AS ord,
+    CAST(NULL AS VARCHAR) AS match_hash FROM labels WHERE toxic = 1 AND doc_id IN (SELECT doc_id FROM documents)"""
+_TABLE_RULES = " UNION ALL ".join(
+    f"SELECT doc_id, {lit(r.raw_label)}, CAST({r.confidence} AS DOUBLE), CAST(1 AS INTEGER), CAST(NULL AS VARCHAR) FROM pd WHERE regexp_matches(text, {lit(r.pattern)})"
+    for r in R.PROMPT_RULES + R.CODE_RULES)
+ORACLE["assemble_findings"] = f"WITH {DOCS}, dom AS ({ORACLE['detect_domain']}), " + assembled(
+    family_rows(("pii", "secrets"), "pd", "doc_id", "text")
+    + f" UNION ALL {_TABLE_RULES} UNION ALL SELECT item_id, raw_type, confidence, ord, match_hash FROM dom UNION ALL {_LABELLED}") + " SELECT * FROM asm"
+
 
 _GATED = f"""{PAYLOAD_CONV},
-gc AS (SELECT pcv.*, coalesce(regexp_matches(payload, {lit(BLANK_PATTERN)}), false) AS is_empty,
-         payload_chars > {MAX_CONTENT_CHARS} AS oversize FROM pcv),
+gc AS (SELECT pcv.*, coalesce(regexp_matches(payload, {lit(BLANK_PATTERN)}), false) AS is_empty FROM pcv),
 scanned AS (SELECT conv_id AS doc_id, payload AS text FROM gc
-            WHERE NOT payload_error AND NOT is_empty AND NOT oversize)"""
+            WHERE NOT payload_error AND NOT is_empty)"""
 
 ORACLE["conversation_decisions"] = "WITH " + _GATED + ", " + assembled(
     family_rows(ALL_FAMILIES, "scanned", "doc_id", "text"), items="scanned") + f"""
 SELECT g.conv_id,
-  CASE WHEN g.payload_error THEN 'error' WHEN g.is_empty THEN 'empty' WHEN g.oversize THEN 'size'
-       ELSE 'scan' END AS gate,
-  CASE WHEN g.payload_error THEN 'error' WHEN g.is_empty THEN 'allow' WHEN g.oversize THEN 'block'
-       WHEN a.safe THEN 'allow' ELSE 'block' END AS decision,
-  CASE WHEN g.payload_error OR g.is_empty THEN NULL WHEN g.oversize THEN 'size_limit_exceeded'
-       WHEN NOT a.safe THEN coalesce(x.canon, 'unknown') END AS threat_type,
+  CASE WHEN g.payload_error THEN 'error' WHEN g.is_empty THEN 'empty' ELSE 'scan' END AS gate,
+  CASE WHEN g.payload_error THEN 'error' WHEN g.is_empty THEN 'allow' WHEN a.safe THEN 'allow' ELSE 'block' END AS decision,
+  CASE WHEN g.payload_error OR g.is_empty THEN NULL WHEN NOT a.safe THEN coalesce(x.canon, 'unknown') END AS threat_type,
   CASE WHEN a.item_id IS NOT NULL AND NOT a.safe THEN a.severity END AS severity,
   CASE WHEN a.item_id IS NOT NULL AND NOT a.safe THEN {CONF_BUCKET.format(c='a.confidence')} END AS confidence,
   CASE WHEN g.payload_error THEN NULL WHEN g.is_empty THEN 'No user content to scan'
-       WHEN g.oversize THEN 'Content too large (' || CAST(g.payload_chars // 1024 AS VARCHAR)
-            || 'KB > {MAX_CONTENT_CHARS // 1024}KB limit)'
        WHEN a.safe THEN '' ELSE ty.guidance END AS reason
 FROM gc g LEFT JOIN asm a ON a.item_id = g.conv_id
 LEFT JOIN taxo x ON x.raw_label = a.threat_type

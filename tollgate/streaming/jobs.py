@@ -1,9 +1,11 @@
 """Structured Streaming jobs: gate, per-minute quota, outage alerts.
 
 Each job reads a file stream with a declared schema, reuses the batch
-functions unchanged, and writes to a parquet sink with its checkpoint in the
-shared checkpoint folder (``spark.checkpoint.dir``), so a lost executor or a
-restarted driver resumes from the last committed batch.  ``run_available``
+functions unchanged, and writes to a parquet sink.  A job that is to survive a
+restarted driver is given its ``checkpoint`` path (on shared storage) and the
+same output path each time: it resumes after the last committed batch, and a
+batch that is replayed replaces its own output.  Without one, a fresh path
+under ``spark.checkpoint.dir`` is used (a single run).  ``run_available``
 drains what is there (``availableNow``) -- the same code runs continuously
 with a processing-time trigger.
 """
@@ -18,8 +20,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators import policy as P
+from ..operators.quota import TIERS
 from ..plans.governance import govern_documents
 from ..session import scratch_path
+from ..sources.sinks import write_routed
 from ..sources import derived
 
 WATERMARK = "10 minutes"
@@ -37,10 +41,10 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType,
     return r.load(path)
 
 
-def run_available(writer, name: str, spark: SparkSession):
+def run_available(writer, name: str, spark: SparkSession, checkpoint: str | None = None):
     """Run a stream over everything available now, then stop; returns the
     finished query (its progress reports carry the per-batch metrics)."""
-    q = (writer.option("checkpointLocation", scratch_path(spark, f"ckpt-{name}"))
+    q = (writer.option("checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-{name}"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
@@ -60,38 +64,46 @@ def gate_stream(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 
 def run_gate(spark: SparkSession, docs_dir: str, out_path: str, schema: T.StructType,
-             glob: str | None = None, partitions: int | None = None) -> None:
-    """Route each micro-batch to ``decision=allow|block`` partitions."""
-    routed = gate_stream(file_stream(spark, docs_dir, schema, glob=glob), partitions=partitions)
+             glob: str | None = None, partitions: int | None = None, checkpoint: str | None = None,
+             max_files_per_trigger: int | None = None, prepare=lambda df: df) -> None:
+    """Route each micro-batch to ``batch=N/decision=allow|block`` partitions;
+    a replayed batch overwrites its own folder."""
+    docs = prepare(file_stream(spark, docs_dir, schema, max_files_per_trigger, glob=glob))
+    routed = gate_stream(docs, partitions=partitions)
 
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("append").partitionBy("decision").parquet(out_path)
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        write_routed(batch, f"{out_path.rstrip('/')}/batch={epoch}")
 
-    run_available(routed.writeStream.foreachBatch(write_batch), "gate", spark)
+    run_available(routed.writeStream.foreachBatch(write_batch), "gate", spark, checkpoint)
 
 
 # ---------------------------------------------------------------------------
 def quota_stream(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Per-minute scans per key; rows later than the watermark are dropped.
+    """Per-minute scans per key with the tier's rate limit and the excess over
+    it (as ``operators.quota.quota_minute``); rows later than the watermark are dropped.
 
     ``events.ts`` is TIMESTAMP_NTZ, which ``withWatermark`` rejects, so it is
     cast to TIMESTAMP (the session time zone is UTC).
     """
+    limit = F.lit(None).cast("int")
+    for tier, per_minute, _ in TIERS:
+        limit = F.when(F.col("tier") == tier, F.lit(per_minute)).otherwise(limit)
     s = derived.scans(events).withColumn("ts", F.col("ts").cast("timestamp"))
     return (s.withWatermark("ts", watermark)
             .groupBy(F.window("ts", "1 minute").alias("w"), "key_id", "tier")
             .agg(F.count(F.lit(1)).alias("n_scans"))
             .select("key_id", "tier", F.col("w")["start"].cast("timestamp_ntz").alias("minute_start"),
-                    "n_scans"))
+                    "n_scans", limit.alias("rate_limit"),
+                    F.greatest(F.col("n_scans") - limit, F.lit(0)).cast("long").alias("excess")))
 
 
 def run_quota(spark: SparkSession, events_dir: str, out_path: str, schema: T.StructType,
-              glob: str | None = None, max_files_per_trigger: int | None = None) -> None:
+              glob: str | None = None, max_files_per_trigger: int | None = None, checkpoint: str | None = None) -> None:
     """Per-minute quota counts of closed windows into ``out_path``; rows that
     arrive behind the watermark are dropped."""
     agg = quota_stream(file_stream(spark, events_dir, schema, max_files_per_trigger, glob=glob))
     run_available(agg.writeStream.outputMode("append").format("parquet").option("path", out_path),
-                  "quota", spark)
+                  "quota", spark, checkpoint)
 
 
 # ---------------------------------------------------------------------------
@@ -161,7 +173,8 @@ def outage_stream(events: DataFrame, threshold: int = P.FAILURE_THRESHOLD) -> Da
 
 
 def run_outage(spark: SparkSession, events_dir: str, out_path: str, schema: T.StructType,
-               threshold: int = P.FAILURE_THRESHOLD, glob: str | None = None) -> None:
-    alerts = outage_stream(file_stream(spark, events_dir, schema, glob=glob), threshold)
+               threshold: int = P.FAILURE_THRESHOLD, glob: str | None = None, checkpoint: str | None = None,
+               max_files_per_trigger: int | None = None) -> None:
+    alerts = outage_stream(file_stream(spark, events_dir, schema, max_files_per_trigger, glob=glob), threshold)
     run_available(alerts.writeStream.outputMode("append").format("parquet").option("path", out_path),
-                  "outage", spark)
+                  "outage", spark, checkpoint)
