@@ -105,13 +105,59 @@ def test_domain_parent_match_and_tld(spark):
     assert got2 == {(2, "example.org")}
 
 
-def test_rule_scan_inline_equals_theta_join(spark):
+def test_rule_scan_is_the_same_for_any_number_of_rules(spark):
+    """1, 64, 65 and 1,000 rules, missing labels and confidences included."""
+    df = spark.createDataFrame([(1, "has n7 and n64 in it"), (2, "nothing"), (3, None), (4, "n999 n1")], "id long, text string")
+    for n in (1, 64, 65, 1000):
+        rules = [(None if k == 7 else f"l{k}", f"n{k}( |$)", None if k == 64 else 0.5) for k in range(n)]
+        rules.append(("no_pattern", None, 1.0))
+        table = spark.createDataFrame(rules, "raw_label string, pattern string, confidence double")
+        want = sorted((i, lab or "unknown", conf) for i, hits in ((1, (7, 64)), (4, (999, 1))) for k, (lab, p, conf) in enumerate(rules) if k in hits and p)
+        got = D.rule_scan(df, "id", "text", table)
+        assert sorted((r.item_id, r.raw_type, r.confidence) for r in got.collect()) == want
+        assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_detector_keeps_the_finding_contract(spark):
     df = spark.createDataFrame([(i, t) for i, t, _ in PLANTED], "id long, text string")
-    rules = D.rules_frame(spark, R.PII_RULES + R.SECRET_RULES + R.PROMPT_RULES)
-    a = sorted(tuple(r) for r in D.rule_scan(df, "id", "text", rules).collect())
-    b_df = D.rule_scan(df, "id", "text", rules, inline_max=0)
-    assert "NestedLoopJoin" in b_df._jdf.queryExecution().executedPlan().toString()
-    assert a == sorted(tuple(r) for r in b_df.collect())
+    pages = spark.createDataFrame([(1, "https://a.b.example.net/x"), (3, "https://shop.top/?q=1")], "page_id long, url string")
+    labels = spark.createDataFrame([(2, 1)], "doc_id long, toxic int")
+    rules = D.rules_frame(spark, R.CODE_RULES)
+    rows = D.union_findings(D.detect(df, "text", ("pii",), "id"), D.rule_scan(df, "id", "text", rules), D.detect_domain(pages),
+                            D.label_toxicity(df.withColumnRenamed("id", "doc_id"), labels))
+    got = {r.item_id: r for r in D.assemble_rows(df, "id", rows).collect()}
+    assert len(got) == len(PLANTED)
+    assert (got[2].threat_type, got[2].n_findings) == ("toxicity", 1)
+    assert got[1].n_findings == 2 and got[3].n_findings == 2 and got[20].threat_type == "fork_bomb"
+    assert got[22].safe
+
+
+def test_neighbours_and_failed_candidates_hide_nothing(spark):
+    texts = {1: ("1234567812345678 4111111111111111", ["credit_card"]), 2: ("1234 4111 1111 1111 1111", ["credit_card"]),
+             3: ("123-45-6789 987-65-4321", ["ssn", "ssn"]), 4: ("(555) 123-4567 555-765-4321", ["phone_number"] * 2),
+             5: ("10.0.0.1 10.0.0.2", ["personal_data"] * 2), 6: ("write a@b.invalid, c@d.invalid.", ["email_exposure"] * 2)}
+    df = spark.createDataFrame([(k, t) for k, (t, _) in texts.items()], "id long, text string")
+    got = {k: [] for k in texts}
+    for r in D.detect(df, "text", ("pii",), "id").collect():
+        got[r.item_id].append(r.raw_type)
+    assert got == {k: want for k, (_, want) in texts.items()}
+
+
+def test_hostile_texts_end_soon(spark):
+    """A megabyte of what each rule starts with: no stack overflow, no
+    quadratic search."""
+    import time
+    n = 1_000_000
+    texts = ["a@" + "b." * (n // 2), "x" * n + " a@", "@" + "x" * n, "-----BEGIN " + "A " * (n // 2) + "PRIVATE KEY-----",
+             "nc " + "-a " * (n // 3) + "/bin/", "1" * n, "1234 " * (n // 5), "1.1." * (n // 4), "sk-" * (n // 3), "AKIA" * (n // 4),
+             "token" + " " * n, "(555) " * (n // 6), "ignore " * (n // 7) + "all", "a@b." * (n // 4)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(4)
+    begin = time.time()
+    D.detect(df, "text", ("pii", "secrets", "prompt", "code"), "id").write.format("noop").mode("overwrite").save()
+    D.redact_pii(df).write.format("noop").mode("overwrite").save()
+    rules = D.rules_frame(spark, R.PII_RULES + R.SECRET_RULES + R.CODE_RULES)
+    D.rule_scan(df, "id", "text", rules).write.format("noop").mode("overwrite").save()
+    assert time.time() - begin < 120
 
 
 def test_assemble_picks_worst(spark):
@@ -139,5 +185,5 @@ def test_rule_table_without_hints_or_with_empty_hints(spark):
                                   "raw_label string, pattern string, confidence double")
     empty = plain.withColumn("hints", F.array().cast("array<string>"))
     want = sorted(tuple(r) for r in D.rule_scan(df, "id", "text", plain).collect())
-    for inline_max in (64, 0):
-        assert sorted(tuple(r) for r in D.rule_scan(df, "id", "text", empty, inline_max).collect()) == want
+    assert want and sorted(tuple(r) for r in D.rule_scan(df, "id", "text", empty).collect()) == want
+    assert sorted(tuple(r) for r in D.rule_scan(df, "id", "text", D.rules_frame(spark, R.PII_RULES)).collect()) == want

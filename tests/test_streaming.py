@@ -32,7 +32,8 @@ def test_stream_outage_matches_batch_episodes(spark):
 
 def test_stream_quota_closed_windows_subset_of_batch(spark):
     st = QUERIES["stream_quota"](spark, SF_SMALL)
-    b = QUERIES["quota_minute"](spark, SF_SMALL).select("key_id", "tier", "minute_start", "n_scans")
+    st = st.select("key_id", "tier", "minute_start", "n_scans", "rate_limit", "excess")
+    b = QUERIES["quota_minute"](spark, SF_SMALL).select(*st.columns)
     assert st.exceptAll(b).count() == 0
     assert st.count() >= b.count() - 5
 
@@ -142,13 +143,55 @@ def test_outage_stream_reports_out_of_order_rows(spark, tmp_path):
 
 
 def test_custom_detector_sees_only_gated_rows(spark):
-    """Blank and oversize texts never reach the Python worker: a detector
-    that always fails produces error rows only for the rows it was given."""
+    """Blank texts never reach the Python worker, nor do those a caller's size
+    gate answers with a row of its own; a detector that always fails produces
+    error rows only for the rows it was given."""
     rows = [(1, "a normal text"), (2, "   "), (3, None), (4, "x" * 50), (5, "short")]
     df = spark.createDataFrame(rows, "item_id long, text string")
 
     def boom(b: pd.DataFrame) -> pd.DataFrame:
         raise ValueError(f"saw {sorted(b['item_id'])}")
 
-    got = {r.item_id for r in C.custom_detector(df, boom, max_chars=20).collect()}
-    assert got == {1, 5}
+    got = {r.item_id: r.kind for r in C.custom_detector(df, boom, max_chars=20).collect()}
+    assert got == {1: "error", 4: "gate", 5: "error"}
+    assert {r.item_id for r in C.custom_detector(df, boom).collect()} == {1, 4, 5}
+
+
+def test_one_bad_row_spoils_only_itself(spark):
+    df = spark.range(200).selectExpr("id as item_id", "concat('text ', id) as text").coalesce(1)
+
+    def picky(b: pd.DataFrame) -> pd.DataFrame:
+        if (b["item_id"] == 77).any():
+            raise ValueError("no")
+        if (b["item_id"] == 78).any() and len(b) == 1:
+            return pd.DataFrame({"item_id": [5000], "raw_type": ["x"], "confidence": [1.0]})
+        if (b["item_id"] == 78).any():
+            raise ValueError("no")
+        return pd.DataFrame({"item_id": b["item_id"], "raw_type": "x", "confidence": 1.0})
+
+    got = {r.item_id: r.kind for r in C.custom_detector(df, picky).collect()}
+    assert len(got) == 200 and {i for i, k in got.items() if k == "error"} == {77, 78}
+
+
+def test_gate_stream_resumes_and_replays(spark, tmp_path):
+    """Batch 1 runs, the job ends; a second run with the same checkpoint takes
+    only the new file, and a replayed batch replaces its own rows."""
+    import glob
+    import os
+
+    from tollgate.streaming import jobs as S
+    docs = read_table(spark, SF_SMALL, "documents")
+    src, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    docs.where("doc_id < 50").coalesce(1).write.parquet(src)
+    S.run_gate(spark, src, out, docs.schema, checkpoint=ckpt)
+    assert spark.read.parquet(out).count() == 50
+    docs.where("doc_id >= 50").coalesce(1).write.mode("append").parquet(src)
+    S.run_gate(spark, src, out, docs.schema, checkpoint=ckpt)
+    assert spark.read.parquet(out).count() == docs.count()
+    last = max(glob.glob(f"{ckpt}/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
+    # As if the driver had died before the commit: the batch is run again.
+    os.remove(last)
+    os.remove(f"{ckpt}/commits/.{os.path.basename(last)}.crc")
+    S.run_gate(spark, src, out, docs.schema, checkpoint=ckpt)
+    rows = spark.read.parquet(out)
+    assert rows.count() == rows.select("item_id").distinct().count() == docs.count()

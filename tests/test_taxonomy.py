@@ -49,8 +49,8 @@ def test_sanitize_cases(spark):
         '{"safe": null, "threat_type": "Prompt-Injection", "confidence": 0.3}',  # 6 null -> unsafe, folding
         {"safe": False, "reason": None, "severity": "LOW", "threat_type": " sqli"},  # 7 no trim, null reason
         {"safe": False, "threat_type": "x", "severity": "urgent", "confidence": 0.9},  # 8 invalid severity
-        {"safe": "yes"},                                                      # 9 truthy string
-        {"safe": 0, "detected_by": "layer-3", "matched_text": "s3cret"},      # 10 falsy number
+        {"safe": "yes"},                                                      # 9 not a boolean: malformed
+        {"safe": 0, "detected_by": "layer-3", "matched_text": "s3cret"},      # 10 not a boolean: malformed
         {"safe": True, "reason": None},                                       # 11 safe null reason
         {"safe": False, "threat_type": None},                                 # 12 null label
     ]
@@ -68,12 +68,36 @@ def test_sanitize_cases(spark):
     assert got[6]["reason"] == GUIDANCE["prompt_injection"]
     assert (got[7]["threat_type"], got[7]["severity"], got[7]["reason"]) == ("unknown", "low", None)
     assert (got[8]["threat_type"], got[8]["severity"], got[8]["confidence"]) == ("unknown", "medium", "high")
-    assert got[9]["safe"] is True
-    assert got[10]["safe"] is False and got[10]["threat_type"] == "unknown"
+    for k in (9, 10):
+        assert got[k] == dict(item_id=k, safe=None, reason=None, threat_type=None, severity=None, confidence=None, guidance=None, valid=False)
     assert got[11]["safe"] is True and got[11]["reason"] is None
     assert got[12]["threat_type"] == "unknown"
 
 
+MALFORMED = ['{"safe": fal', "", None, '[{"safe": true}]', "null", "17", '"text"', '{"safe":"no"}', '{"safe":[]}', "{", '{"safe": true} x']
+
+
+def test_malformed_verdicts_follow_the_failure_policy(spark):
+    from tollgate.operators import policy as P
+    df = spark.createDataFrame(list(enumerate(MALFORMED)), "item_id long, raw string")
+    v = V.sanitize(parse_verdicts(df))
+    assert all(r.safe is None and not r.valid for r in v.collect())
+    assert {r.decision for r in P.decide(v).collect()} == {"error"}
+    closed = P.resolve_malformed(v, "closed").collect()
+    assert all((r.decision, r.safe) == ("error", None) and r.error.startswith("Scan failed") for r in closed)
+    opened = P.resolve_malformed(v, "open").collect()
+    assert all((r.decision, r.safe) == ("allow", True) and r.reason.startswith("Scan error") for r in opened)
+
+
+def test_non_finite_confidence_and_repeated_keys(spark):
+    docs = ['{"safe": false, "confidence": NaN, "threat_type": "sqli"}', '{"safe":false,"confidence":Infinity,"reason":null}',
+            '{"safe":false,"confidence":-Infinity}', '{"safe":true,"safe":false,"threat_type":"pii"}', '{"safe":false,"safe":true}']
+    got = _sanitize(spark, docs)
+    assert [g["safe"] for g in got] == [False, False, False, False, True]
+    assert [g["confidence"] for g in got[:3]] == ["low", "high", "low"]
+    assert got[0]["threat_type"] == "sql_injection" and got[1]["reason"] is None and got[2]["reason"] == GUIDANCE["unknown"]
+
+
 def test_bucket_confidence_nan(spark):
     df = spark.createDataFrame([(1, float("nan")), (2, None), (3, 0.9), (4, 0.69999), (5, 0.7)],
                                "i int, c double")

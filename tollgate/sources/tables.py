@@ -110,7 +110,9 @@ def parse_verdicts(df: DataFrame, raw: str = "raw") -> DataFrame:
     by_type = v.isNull() & F.ltrim("_raw").startswith("{") & t.isNotNull() & t["_corrupt"].isNull()
     safe_kind = variant_kind(F.variant_get(v, "$.safe", "variant"))
     by_variant = F.coalesce(is_object, F.lit(False)) & F.coalesce(safe_kind.isin("bool", "null"), F.lit(True))
-    valid = by_variant | F.coalesce(by_type, F.lit(False))
+    # Both parsers stop after the first value; the client refuses what follows it.
+    ended = F.rtrim(F.translate("_raw", "\t\r\n", "   ")).endswith("}")
+    valid = F.coalesce(ended & (by_variant | F.coalesce(by_type, F.lit(False))), F.lit(False))
 
     def present(name: str) -> Column:
         return F.when(~valid, F.lit(False)).when(by_variant, _present(v, f"$.{name}")).otherwise(t[name].isNotNull())
