@@ -70,7 +70,7 @@ def test_gemini_shapes(spark):
     assert got[5] == ("42", False)
     assert got[6] == ('{"other":1}', False)
     assert got[7] == (None, True)
-    assert got[8] == (None, True)
+    assert got[8] == ("deep", False)
 
 
 def test_blank_gate_python_whitespace(spark):
@@ -180,3 +180,19 @@ def test_conversation_gates_end_to_end(spark):
     assert got[4] == ("error", "error", None, None)
     assert got[5][:3] == ("scan", "block", "pii_exposure")
     assert got[6] == ("empty", "allow", None, "No user content to scan")
+
+
+def test_gemini_parts_nest_to_any_depth(spark):
+    import json
+
+    from tollgate.operators import extract as E
+    from tollgate.sources.tables import parse_requests
+    bodies = []
+    for depth in (0, 1, 3, 4, 30):
+        inner = ["deep", {"text": str(depth)}]
+        for _ in range(depth):
+            inner = {"parts": inner}
+        bodies.append(json.dumps({"contents": inner}))
+    df = spark.createDataFrame(list(enumerate(bodies)), "i int, raw string")
+    got = {r.i: (r.text, r.extract_error) for r in E.extract_text(parse_requests(df), "gemini").collect()}
+    assert got == {i: (f"deep\n{d}", False) for i, d in enumerate((0, 1, 3, 4, 30))}

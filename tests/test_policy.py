@@ -121,3 +121,30 @@ def test_quota_minute_excess(spark):
     assert total == s.count()
     bad = got.where((F.col("tier") != "anonymous") & (F.col("excess") != F.col("n_scans") - 1)).count()
     assert bad == 0
+
+
+def test_requests_logged_only_past_the_limit_are_errors(spark):
+    from tollgate.operators import policy as P
+    rows = [(1, "ep0", "prompt", 5, "ok"), (2, "ep0", "prompt", 1, "timeout"), (2, "ep0", "prompt", 9, "ok")]
+    df = spark.createDataFrame(rows, "request_id long, endpoint string, scan_kind string, attempt int, kind string").selectExpr(
+        "*", "cast(null as int) as status", "cast(null as string) as message", "timestamp_ntz'2024-01-01 00:00:00' as ts")
+    got = {r.request_id: r for r in P.apply_fail_mode(P.retry_resolve(df), "closed").collect()}
+    assert (got[1].kind, got[1].decision, got[1].error) == ("unlogged", "error", "Scan failed: " + P.UNLOGGED_MESSAGE)
+    assert got[2].kind == "timeout"
+
+
+def test_month_quota_of_a_key_that_changes_tier(spark):
+    from tollgate.operators import quota as Q
+    df = spark.range(30).selectExpr("1L as key_id", "id as event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0,0,0,id) as ts",
+                                    "case when id % 2 = 0 then 'a' else 'b' end as tier")
+    got = {r.tier: r for r in Q.quota_month(df, (("a", None, 3), ("b", None, 100))).collect()}
+    assert (got["a"].n_scans, got["a"].over_by, got["a"].crossed_event_id) == (15, 12, 6)
+    assert (got["b"].n_scans, got["b"].over_by, got["b"].crossed_event_id) == (15, 0, None)
+
+
+def test_rows_without_a_key_keep_their_carry(spark):
+    from pyspark.sql import functions as F
+    from tollgate.plans.running import chunked_running
+    df = spark.range(10).selectExpr("cast(null as string) as k", "id as o")
+    out = chunked_running(df, ["k"], ["o"], F.floor(F.col("o") / 3), F.lit(1), "sum", "n").orderBy("o").collect()
+    assert [r.n for r in out] == list(range(1, 11))

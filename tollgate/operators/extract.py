@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import variant_kind
 
-GEMINI_MAX_DEPTH = 3
-
 
 def _has(v: Column, path: str) -> Column:
     return F.variant_get(v, path, "variant").isNotNull()
@@ -93,28 +91,34 @@ def _gemini_list(arr: Column) -> Column:
     return F.flatten(F.transform(items, item_pieces))
 
 
-def _gemini_text(c: Column, depth: int) -> tuple[Column, Column]:
-    """Returns (text, error) for Gemini ``contents`` of any JSON kind."""
+def _innermost(c: Column) -> Column:
+    """Follow objects that have ``parts`` and no ``text`` down to the first
+    value that is something else.  A chain has no more links than the JSON
+    has ``parts`` keys, so any depth is followed."""
+    links = F.size(F.split(F.to_json(c), '"parts"'))
+
+    def step(v: Column, _: Column) -> Column:
+        follow = (variant_kind(v) == "object") & ~_has(v, "$.text") & _has(v, "$.parts")
+        return F.when(follow, F.variant_get(v, "$.parts", "variant")).otherwise(v)
+    return F.aggregate(F.sequence(F.lit(1), links), c, step)
+
+
+def _gemini_text(c: Column) -> tuple[Column, Column]:
+    """(text, error) for Gemini ``contents`` of any JSON kind, from which the
+    outer ``parts`` have been taken off."""
     k = variant_kind(c)
     lst = _gemini_list(c)
-    lst_text = F.array_join(lst, "\n")
-    lst_bad = F.exists(lst, lambda x: x.isNull())
     obj_text = F.variant_get(c, "$.text", "variant")
+    has_text = (k == "object") & obj_text.isNotNull()
     scalar_text = (F.when(k == "null", F.lit("None"))
                    .when(k == "bool", F.when(F.variant_get(c, "$", "boolean"), "True").otherwise("False"))
                    .otherwise(F.to_json(c)))
-    if depth > 1:
-        sub_text, sub_bad = _gemini_text(F.variant_get(c, "$.parts", "variant"), depth - 1)
-    else:
-        sub_text, sub_bad = F.lit(None).cast("string"), F.lit(True)
     text = (F.when(k == "string", F.variant_get(c, "$", "string"))
-            .when(k == "array", lst_text)
-            .when((k == "object") & obj_text.isNotNull(), _as_text_or_error(obj_text))
-            .when((k == "object") & _has(c, "$.parts"), sub_text)
+            .when(k == "array", F.array_join(lst, "\n"))
+            .when(has_text, _as_text_or_error(obj_text))
             .otherwise(scalar_text))
-    bad = (F.when(k == "array", lst_bad)
-           .when((k == "object") & obj_text.isNotNull(), variant_kind(obj_text) != "string")
-           .when((k == "object") & _has(c, "$.parts"), sub_bad)
+    bad = (F.when(k == "array", F.exists(lst, lambda x: x.isNull()))
+           .when(has_text, variant_kind(obj_text) != "string")
            .otherwise(F.lit(False)))
     return text, bad
 
@@ -127,17 +131,17 @@ def extract_text(df: DataFrame, dialect: str = "openai", body: str = "body",
       newline-joined in order; a text part with no ``text`` key gives ``""``.
     * ``anthropic``: the same, plus bare strings inside content lists.
     * ``gemini``: role-blind; string / list / dict with ``text`` or ``parts``
-      (``text`` wins); other values are rendered as text.  Nested ``parts``
-      are followed to depth 3, deeper is an error row.
+      (``text`` wins), nested to any depth; other values are rendered as text.
     """
     b = F.col(body)
     if dialect in ("openai", "anthropic"):
         pieces, bad = _chat_pieces(b, tuple(roles), keep_bare_strings=dialect == "anthropic")
         text = F.array_join(pieces, "\n")
     elif dialect == "gemini":
-        text, bad = _gemini_text(F.variant_get(b, "$.contents", "variant"), GEMINI_MAX_DEPTH)
+        df = df.withColumn("_inner", _innermost(F.variant_get(b, "$.contents", "variant")))
+        text, bad = _gemini_text(F.col("_inner"))
     else:
         raise ValueError(f"unknown dialect {dialect!r}")
     bad = b.isNull() | F.coalesce(bad, F.lit(True))
     return (df.withColumn("extract_error", bad)
-            .withColumn(out, F.when(~F.col("extract_error"), text)))
+            .withColumn(out, F.when(~F.col("extract_error"), text)).drop("_inner"))

@@ -36,7 +36,8 @@ def quota_minute(scans: DataFrame, tiers=TIERS) -> DataFrame:
 
 def quota_month(scans: DataFrame, tiers=TIERS) -> DataFrame:
     """Calendar-month use per key against the allowance, and the scan that
-    crossed it (the ``allowance + 1``-th in ``(ts, event_id)`` order).
+    crossed it (the ``allowance + 1``-th in ``(ts, event_id)`` order).  A key
+    that changes tier within a month is counted against each tier by itself.
 
     Finding the crossing scan never ranks a whole key-month: per-minute counts
     (a partial aggregate) are accumulated on the ``(key, month, minute)``
@@ -47,7 +48,7 @@ def quota_month(scans: DataFrame, tiers=TIERS) -> DataFrame:
     s = (scans.withColumn("month", F.date_trunc("month", "ts").cast("timestamp_ntz"))
          .withColumn("minute", F.date_trunc("minute", "ts").cast("timestamp_ntz")))
     per_min = s.groupBy("key_id", "tier", "month", "minute").agg(F.count(F.lit(1)).alias("n_min"))
-    w = Window.partitionBy("key_id", "month").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy("key_id", "tier", "month").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
     per_min = (per_min.join(t, "tier", "left")
                .withColumn("before", F.coalesce(F.sum("n_min").over(w), F.lit(0))))
     monthly = (per_min.groupBy("key_id", "tier", "month")
@@ -55,13 +56,13 @@ def quota_month(scans: DataFrame, tiers=TIERS) -> DataFrame:
     crossing_min = per_min.where(F.col("per_month").isNotNull()
                                  & (F.col("before") < F.col("per_month") + 1)
                                  & (F.col("before") + F.col("n_min") >= F.col("per_month") + 1))
-    wm = Window.partitionBy("key_id", "minute").orderBy("ts", "event_id")
-    crossing = (s.join(crossing_min.select("key_id", "minute", "before", "per_month"), ["key_id", "minute"], "inner")
+    wm = Window.partitionBy("key_id", "tier", "minute").orderBy("ts", "event_id")
+    crossing = (s.join(crossing_min.select("key_id", "tier", "minute", "before", "per_month"), ["key_id", "tier", "minute"], "inner")
                 .withColumn("_rn", F.row_number().over(wm) + F.col("before"))
                 .where(F.col("_rn") == F.col("per_month") + 1)
-                .select("key_id", "month", F.col("event_id").alias("crossed_event_id"),
+                .select("key_id", "tier", "month", F.col("event_id").alias("crossed_event_id"),
                         F.col("ts").alias("crossed_ts")))
-    return (monthly.join(crossing, ["key_id", "month"], "left")
+    return (monthly.join(crossing, ["key_id", "tier", "month"], "left")
             .select("key_id", "tier", F.col("month").alias("month_start"), "n_scans", "allowance",
                     F.greatest(F.col("n_scans") - F.col("allowance"), F.lit(0)).cast("long").alias("over_by"),
                     "crossed_event_id", "crossed_ts"))

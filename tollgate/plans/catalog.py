@@ -27,7 +27,8 @@ from .governance import conversation_findings, govern_conversations, govern_docu
 from .sizing import barrier, spread_for_cpu
 from ..sources import derived
 from ..sources.sinks import write_routed
-from ..sources.tables import parse_requests, parse_verdicts, read_messages, read_table
+from ..sources.tables import (parse_requests, parse_verdicts, read_attempts, read_json_lines,
+                              read_messages, read_table)
 from ..streaming import jobs as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,8 +81,12 @@ def q_src_messages(spark, d):
 
 
 def q_src_requests(spark, d):
-    req = parse_requests(derived.chat_requests(read_messages(spark, d, roles=None), "openai"))
-    return req.select("request_id", "valid", "n_messages", "n_user_messages")
+    """Written once as JSON lines, a few of them broken off, then read as any
+    request log is."""
+    path = scratch_path(spark, "requests")
+    derived.request_lines(derived.chat_requests(read_messages(spark, d, roles=None), "openai")).write.text(path)
+    req = parse_requests(read_json_lines(spark, path))
+    return req.select(F.try_variant_get("body", "$.id", "long").alias("request_id"), "valid", "n_messages", "n_user_messages")
 
 
 def q_src_verdicts(spark, d):
@@ -89,7 +94,9 @@ def q_src_verdicts(spark, d):
 
 
 def q_src_attempts(spark, d):
-    return derived.attempts(_events(spark, d))
+    path = scratch_path(spark, "attempts")
+    derived.attempts(_events(spark, d)).write.parquet(path)
+    return read_attempts(spark, path)
 
 
 def q_sink_routed(spark, d):

@@ -234,9 +234,10 @@ PROVIDER = "(['openai', 'anthropic', 'gemini'])[doc_id % 3 + 1]"
 
 ORACLE: dict[str, str] = {
     "src_messages": "SELECT conv_id, turn, role, text FROM conversations WHERE role = 'user'",
-    "src_requests": """SELECT conv_id AS request_id, true AS valid,
-        count(*) AS n_messages, count(*) FILTER (WHERE role = 'user') AS n_user_messages
-        FROM conversations GROUP BY conv_id""",
+    "src_requests": """WITH c AS (SELECT conv_id, conv_id % 41 <> 3 AS ok, count(*) AS n, count(*) FILTER (WHERE role = 'user') AS u
+        FROM conversations GROUP BY conv_id)
+        SELECT CASE WHEN ok THEN conv_id END AS request_id, ok AS valid,
+          CASE WHEN ok THEN n END AS n_messages, CASE WHEN ok THEN u END AS n_user_messages FROM c""",
     "src_verdicts": f"WITH {parsed_verdicts('documents', 'doc_id')} SELECT * FROM pv",
     "src_attempts": f"WITH {ATTEMPTS} SELECT * FROM att",
     "sink_routed": f"WITH {GOVERNED} SELECT * FROM gov",
@@ -396,12 +397,12 @@ ORACLE: dict[str, str] = {
         m AS (SELECT key_id, tier, date_trunc('month', ts) AS month_start, count(*) AS n_scans
               FROM scn GROUP BY key_id, tier, date_trunc('month', ts)),
         r AS (SELECT key_id, date_trunc('month', ts) AS month_start, event_id, ts,
-                row_number() OVER (PARTITION BY key_id, date_trunc('month', ts) ORDER BY ts, event_id) AS rn FROM scn)
+                tier, row_number() OVER (PARTITION BY key_id, tier, date_trunc('month', ts) ORDER BY ts, event_id) AS rn FROM scn)
         SELECT m.key_id, m.tier, m.month_start, m.n_scans, t.per_month AS allowance,
           CASE WHEN t.per_month IS NULL THEN 0 ELSE greatest(m.n_scans - t.per_month, 0) END AS over_by,
           r.event_id AS crossed_event_id, r.ts AS crossed_ts
         FROM m LEFT JOIN tiers t ON t.tier = m.tier
-        LEFT JOIN r ON r.key_id = m.key_id AND r.month_start = m.month_start AND r.rn = t.per_month + 1""",
+        LEFT JOIN r ON r.key_id = m.key_id AND r.tier = m.tier AND r.month_start = m.month_start AND r.rn = t.per_month + 1""",
     "threat_rollup": f"""WITH {sanitized('documents', 'doc_id')}
         SELECT threat_type, severity, count(*) AS n, grouping(threat_type, severity) AS level
         FROM san WHERE NOT safe GROUP BY ROLLUP (threat_type, severity)""",

@@ -38,7 +38,11 @@ def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     w_prev = (Window.partitionBy(*keys).orderBy("_chunk")
               .rowsBetween(Window.unboundedPreceding, -1))
     carry = totals.withColumn("_carry", agg("_chunk_total").over(w_prev)).drop("_chunk_total")
-    j = local.join(carry, [*keys, "_chunk"], "left")
+    # Null-safe: rows without a key are one group, as in the windows.
+    names = [*keys, "_chunk"]
+    carry = carry.withColumnsRenamed({k: f"_c_{k}" for k in names})
+    cond = [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in names]
+    j = local.join(carry, cond, "left").drop(*[f"_c_{k}" for k in names])
     if how == "sum":
         res = F.coalesce(F.col("_carry"), F.lit(0)) + F.coalesce(F.col("_local"), F.lit(0))
     else:

@@ -68,9 +68,9 @@ def parse_requests(df: DataFrame, raw: str = "raw") -> DataFrame:
     msgs = F.try_variant_get(body, "$.messages", "array<variant>")
     return (df.withColumn("body", body)
             .withColumn("valid", F.col("body").isNotNull())
-            .withColumn("n_messages", F.size(msgs))
-            .withColumn("n_user_messages", F.size(F.filter(
-                msgs, lambda m: F.try_variant_get(m, "$.role", "string") == "user"))))
+            .withColumn("n_messages", F.when(msgs.isNotNull(), F.size(msgs)))
+            .withColumn("n_user_messages", F.when(msgs.isNotNull(), F.size(F.filter(
+                msgs, lambda m: F.try_variant_get(m, "$.role", "string") == "user")))))
 
 
 def _present(v: Column, path: str) -> Column:
