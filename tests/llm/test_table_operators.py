@@ -76,7 +76,7 @@ def test_jaccard_join_against_brute_force(spark, seed, block):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = jaccard_join.jaccard_classes(df, bucket_block=block, cluster_block=block)
     got = sorted(tuple(r)[:5] for r in got.collect())
-    assert sum(r[3] for r in got) > 100
+    assert sum(r[3] for r in got) > 50
     assert got == sorted(brute_classes(docs))
 
 

@@ -120,7 +120,7 @@ def test_decontamination_against_brute_force(spark, monkeypatch, block_bytes):
 
 def test_decontamination_awkward(spark, tables, empty_tables, clashing):
     rows = {(r.doc_id, r.n_words): r for r in decontaminate.op8_decontamination(spark, tables).collect()}
-    assert rows[1, 26].contaminated and rows[1, 26].n_hit == 26 and rows[1, 26].n_items == 1
+    assert rows[1, 25].contaminated and rows[1, 25].n_hit == 25 and rows[1, 25].n_items == 1
     assert rows[8, 2].items_sha256 == hashlib.sha256(b"").hexdigest() and rows[8, 2].n_items == 1
     assert rows[4, 0].n_hit == 0 and not rows[None, 0].contaminated
     assert decontaminate.op8_decontamination(spark, empty_tables).count() == 0
@@ -168,17 +168,17 @@ def test_long_hostile_texts_end_soon():
 
 
 def test_bootstrapping_finds_unseen_identifiers(spark):
-    names = "ann bob cid dan eve fay gus hal ivy jon".split()
+    names = "ann bob cid dan eve fay gus hal ivy jon kim lea max ned ola pia quin ray sue tom".split()
     seeds = [f"please call {n} at phone +1 (555) 123-45{k:02d} today or later" for k, n in enumerate(names)]
     unseen = ["please write to us at phone 555-9876 today", "at phone 0800-1234 today"]
     clean = [f"in year {1900 + k} there were {1000 + k} cases" for k in range(20)]
     docs = spark.createDataFrame(list(enumerate(seeds + unseen + clean)), "doc_id long, text string")
     rows = {r.row.doc_id: r for r in pii.personal_data(docs).collect()}
-    assert len(rows) == 32
-    for k, want in ((10, "555-9876"), (11, "0800-1234")):
+    assert len(rows) == 42
+    for k, want in ((20, "555-9876"), (21, "0800-1234")):
         (s,) = rows[k].added
         assert (pii.KINDS[s.kind], rows[k].row.text[s.start:s.end]) == ("phone", want)
-    assert all(not r.added for k, r in rows.items() if k not in (10, 11))
+    assert all(not r.added for k, r in rows.items() if k not in (20, 21))
     assert all([(s.kind, s.start, s.end) for s in r.base] == plain_pii(r.row.text) for r in rows.values())
 
 
