@@ -205,7 +205,7 @@ def test_url_filter(spark, tables, empty_tables):
 # pipeline and SQL --------------------------------------------------------
 
 def test_pipeline_stages_against_plain_versions(spark):
-    from tests_llm_plain import brute_hits
+    from llm.tests_llm_plain import brute_hits
     docs = read_table(spark, SMALL, "documents")
     columns = docs.columns
     texts = {r.doc_id: r.text for r in docs.collect()}

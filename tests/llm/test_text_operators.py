@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tollgate.llm import dac, decontaminate, language_id, pii, quality_mil, quality_rules, secret_scan, token_output
 from tollgate.llm.common import read_table
 
-from tests_llm_plain import brute_hits, words8
+from llm.tests_llm_plain import brute_hits, words8
 
 
 # token ids ---------------------------------------------------------------
