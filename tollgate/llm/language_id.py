@@ -30,6 +30,7 @@ from tollgate.llm.sampling import labelled_sample
 
 BUCKETS = 1 << 15
 SAMPLE_ROWS = 3000
+BLOCK_TEXTS, BLOCK_CHARS = 32, 1 << 17
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.02, 0.1, 3
 #: Below this calibrated probability the pipeline rejects a document.
 MIN_SCORE = 0.5
@@ -43,13 +44,17 @@ def _letters() -> np.ndarray:
 
 
 def ngram_counts(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For blocks of texts: (buckets, counts, first entry of each text, has a letter)."""
+    """For blocks of texts: (buckets, counts, first entry of each text, has a
+    letter).  A block has at most ``BLOCK_TEXTS`` texts and, but for a longer
+    last one, ``BLOCK_CHARS`` characters, so that its arrays stay small."""
     block: list[str] = []
+    chars = 0
     for text in texts:
         block.append((text or "").lower())
-        if len(block) == 64 or sum(map(len, block[-1:])) > 1 << 20:
+        chars += len(block[-1])
+        if len(block) == BLOCK_TEXTS or chars >= BLOCK_CHARS:
             yield _counted(block)
-            block = []
+            block, chars = [], 0
     if block:
         yield _counted(block)
 
