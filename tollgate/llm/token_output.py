@@ -10,8 +10,9 @@ partition) give the global start, so that token i of the corpus is found from
 a segment's start and read with ``dac.Reader``.
 
 The tokenizer runs on words: a byte-level BPE with the usual pattern never
-joins text across "non-space, space, non-space", so each such piece is encoded
-once per worker and looked up afterwards (at most ``CACHE`` pieces are held).
+joins text across "non-space, space, non-space" or "non-space, line feed,
+non-space", so each such piece is encoded once per worker and looked up
+afterwards (at most about ``CACHE`` pieces are held).
 
 Defined cases: a NULL or empty text is the end id alone; a NULL doc_id comes
 first; repeated ids and rows are encoded each; an empty table gives no rows;
@@ -36,12 +37,12 @@ from tollgate.llm.common import python_tasks, read_table, stage_path
 
 END_ID = 2
 SEGMENT_TOKENS = 1 << 16
-CACHE = 600_000
+CACHE = 500_000
 SEGMENTS = ("part int, seq int, part_start bigint, n_tokens bigint, doc_ids array<bigint>, "
             "doc_tokens array<bigint>, payload binary")
 DIGEST = "part int, doc_id bigint, offset bigint, n_tokens bigint, ids_crc32 bigint"
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-_PUNCTUATION = frozenset(".,!?;:")
+_PUNCTUATION = ".,!?;:"
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -50,7 +51,11 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 class Encoder:
-    """``tokenizers`` with a memory for pieces; ids as little-endian u32 bytes."""
+    """``tokenizers`` with a memory for pieces; ids as little-endian u32 bytes.
+
+    A key is a piece without white space that stands after one space, or, with
+    a leading line feed, one that stands after a line feed.  The text's first
+    piece is looked up as if after a line feed, whose id is then cut off."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -60,92 +65,91 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self.width[list(vocabulary.values())] = [len(t) for t in vocabulary]
-        self.spaced: dict[str, bytes] = {}  # keyed without the leading space
-        self.plain: dict[str, bytes] = {}
+        self.memory: dict[str, bytes] = {}
+        self.feed, *self.tails = self._raw(["\n", *_PUNCTUATION])
+        self.tails = dict(zip(_PUNCTUATION, self.tails))
 
     def _raw(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _learn_spaced(self, words: list[str]) -> None:
-        """Encode many pieces in one string; ids are dealt back by byte width."""
-        for k in range(0, len(words), 512):
-            part = words[k: k + 512]
-            text = " " + " ".join(part)
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.cumsum([len(w.encode()) + 1 for w in part])
+    def _learn(self, keys: set[str]) -> None:
+        """Encode clean keys: closing punctuation after a letter is a token of
+        its own, and the rest goes through the tokenizer many at a time, the
+        ids being dealt back by their width in bytes."""
+        memory, tails = self.memory, self.tails
+        bases, joined = set(), []
+        for w in keys:
+            if w[-1] in tails and w[-2:-1].isalpha():
+                joined.append(w)
+                w = w[:-1]
+            if w not in memory:
+                bases.add(w)
+        bases = list(bases)
+        for k in range(0, len(bases), 512):
+            part = bases[k: k + 512]
+            pieces = [w if w[0] == "\n" else " " + w for w in part]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum([len(w.encode()) for w in pieces])
             reached = np.cumsum(self.width[ids])
             cuts = np.searchsorted(reached, ends) + 1
             if reached[-1] != ends[-1] or (reached[cuts - 1] != ends).any():
                 raise ValueError("a token crosses a word boundary")
-            raw = ids.tobytes()
-            a = 0
+            raw, a = ids.tobytes(), 0
             for w, b in zip(part, (cuts * 4).tolist()):
-                self.spaced[w] = raw[a:b]
+                memory[w] = raw[a:b]
                 a = b
-
-    def _learn(self, missing: set[str]) -> None:
-        """Missing pieces that follow a space: take off closing punctuation and
-        split single line feeds, then encode what is still unknown."""
-        if len(self.spaced) + len(self.plain) > CACHE:
-            keep = missing
-            self.spaced, self.plain = {}, {}
-            missing = keep
-        plans, bases, plain = [], set(), set()
-        for w in missing:
-            cut = w.split("\n") if "\n" in w else [w]
-            if not all(c and not c[0].isspace() and not c[-1].isspace() for c in cut):
-                self.spaced[w] = self._raw([" " + w])[0]
-                continue
-            steps = []
-            for k, c in enumerate(cut):
-                if k:
-                    steps.append((False, "\n"))
-                tail = c[-1] in _PUNCTUATION and len(c) > 1 and c[-2].isalpha()
-                steps.append((k == 0, c[:-1] if tail else c))
-                if tail:
-                    steps.append((False, c[-1]))
-            for spaced, c in steps:
-                (bases if spaced else plain).add(c)
-            if len(steps) > 1:
-                plans.append((w, steps))
-        bases = [w for w in bases if w not in self.spaced]
-        if bases:
-            self._learn_spaced(bases)
-        plain = [w for w in plain if w not in self.plain]
-        if plain:
-            self.plain.update(zip(plain, self._raw(plain)))
-        for w, steps in plans:
-            self.spaced[w] = b"".join([(self.spaced if s else self.plain)[c] for s, c in steps])
+        for w in joined:
+            memory[w] = memory[w[:-1]] + tails[w[-1]]
+
+    @staticmethod
+    def _clean(keys: set[str]) -> bool:
+        """No white space but the leading line feeds, and nothing empty."""
+        s = " ".join(keys)
+        return "" not in keys and "\n" not in keys and len("".join(s.split())) == len(s) - (len(keys) - 1) - s.count("\n")
+
+    def _irregular(self, text: str) -> bytes:
+        """A text with runs of white space: cut only where that is safe."""
+        pieces = _CUT.split(text)
+        keys = ["\n" + pieces[0], *(p[1:] for p in pieces[1:])]
+        clean = [bool(p) and not any(map(str.isspace, k[1:] if i == 0 else k)) for i, (p, k) in enumerate(zip(pieces, keys))]
+        self._learn({k for k, ok in zip(keys, clean) if ok and k not in self.memory})
+        odd = iter(self._raw([p for p, ok in zip(pieces, clean) if not ok]))
+        out = [self.memory[k] if ok else next(odd) for k, ok in zip(keys, clean)]
+        if clean[0]:
+            out[0] = out[0][len(self.feed):]
+        return b"".join(out)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split, missing, heads = [], set(), set()
+        memory = self.memory
+        split: list[list[str] | None] = []
         for t in texts:
-            if not t:
-                split.append(None)
-                continue
-            parts = t.split(" ")
-            if len(parts) > 1:
-                new = set(parts[1:]).difference(self.spaced)
-                if "" in new or "" == parts[0] or parts[0][-1].isspace() or any(w[0].isspace() or w[-1].isspace() for w in new):
-                    pieces = _CUT.split(t)
-                    parts = [pieces[0], *[p[1:] for p in pieces[1:]]]
-                    new = set(parts[1:]).difference(self.spaced)
-                missing |= new
-            if parts[0] not in self.plain:
-                heads.add(parts[0])
+            parts = None
+            if t:
+                parts = t.replace("\n", " \n").split(" ")
+                parts[0] = "\n" + parts[0]
             split.append(parts)
-        known = len(self.spaced) + len(self.plain) <= CACHE
-        if not known:  # start over: everything in this call is missing
-            self.spaced, self.plain = {}, {}
-            missing = {w for p in split if p for w in p[1:]}
-            heads = {p[0] for p in split if p}
-        if missing:
-            self._learn(missing)
-        heads = [h for h in heads if h not in self.plain]
-        if heads:
-            self.plain.update(zip(heads, self._raw(heads)))
-        spaced = self.spaced
-        return [b"" if p is None else self.plain[p[0]] + b"".join([spaced[w] for w in p[1:]]) for p in split]
+        needed = set().union(*filter(None, split))
+        new = needed.difference(memory)
+        irregular: set[int] = set()
+        if new and not self._clean(new):
+            for k, parts in enumerate(split):
+                if parts and not self._clean(new.intersection(parts)):
+                    irregular.add(k)
+            needed = set().union(*(p for k, p in enumerate(split) if p and k not in irregular))
+            new = needed.difference(memory)
+        if len(memory) + len(new) > CACHE:
+            memory.clear()
+            new = needed
+        self._learn(new)
+        cut, out = len(self.feed), []
+        for k, parts in enumerate(split):
+            if parts is None:
+                out.append(b"")
+            elif k in irregular:
+                out.append(self._irregular(texts[k]))
+            else:
+                out.append(b"".join([memory[w] for w in parts])[cut:])
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
