@@ -76,7 +76,7 @@ BRANCHES = {
     "gate_empty": ["is_empty", "not is_empty"], "gate_size": ["oversize", "not oversize"],
     "conversation_decisions": [f"gate = '{g}'" for g in ("error", "empty", "scan")] + ["decision = 'block'"],
     "request_prompt": ["body is null", "body is not null"], "request_file": ["body is null", "content_type = 'file_path'"],
-    "src_verdicts": ["not valid", "isnan(confidence)"], "sanitize_verdicts": ["safe is null"],
+    "src_verdicts": ["not valid", "not confidence_finite"], "sanitize_verdicts": ["safe is null"],
     "govern_verdicts": [f"decision = '{x}'" for x in ("allow", "block", "error")] + ["reason like 'Scan error%'"],
     "blocked_report": ["n_violations > 0"], "payload_history": ["payload_error"], "payload_latest": ["payload_error"],
     "fail_mode": ["decision = 'error'", "decision = 'allow'"],

@@ -89,8 +89,16 @@ def q_src_requests(spark, d):
     return req.select(F.try_variant_get("body", "$.id", "long").alias("request_id"), "valid", "n_messages", "n_user_messages")
 
 
+def _finite(df, name: str):
+    """Results hold finite numbers: NaN and infinities are NULL, and told from
+    a missing number by a flag."""
+    c = F.col(name)
+    finite = F.when(c.isNotNull(), ~(F.isnan(c) | c.isin(float("inf"), float("-inf"))))
+    return df.withColumn(f"{name}_finite", finite).withColumn(name, F.when(F.col(f"{name}_finite"), c))
+
+
 def q_src_verdicts(spark, d):
-    return _external_verdicts(spark, d)
+    return _finite(_external_verdicts(spark, d), "confidence")
 
 
 def q_src_attempts(spark, d):
@@ -198,8 +206,8 @@ def q_derive_severity(spark, d):
 
 def q_bucket_confidence(spark, d):
     v = V.bucket_confidence(_external_verdicts(spark, d), "confidence", "level")
-    return v.select("item_id", F.col("confidence").alias("confidence_score"),
-                    F.col("level").alias("confidence"))
+    v = v.select("item_id", F.col("confidence").alias("confidence_score"), F.col("level").alias("confidence"))
+    return _finite(v, "confidence_score")
 
 
 def q_guidance(spark, d):

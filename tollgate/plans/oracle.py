@@ -238,7 +238,7 @@ ORACLE: dict[str, str] = {
         FROM conversations GROUP BY conv_id)
         SELECT CASE WHEN ok THEN conv_id END AS request_id, ok AS valid,
           CASE WHEN ok THEN n END AS n_messages, CASE WHEN ok THEN u END AS n_user_messages FROM c""",
-    "src_verdicts": f"WITH {parsed_verdicts('documents', 'doc_id')} SELECT * FROM pv",
+    "src_verdicts": f"WITH {parsed_verdicts('documents', 'doc_id')} SELECT * REPLACE (CASE WHEN isfinite(confidence) THEN confidence END AS confidence), isfinite(confidence) AS confidence_finite FROM pv",
     "src_attempts": f"WITH {ATTEMPTS} SELECT * FROM att",
     "sink_routed": f"WITH {GOVERNED} SELECT * FROM gov",
     "extract_openai": _extract_sql(5, "CASE WHEN s = 3 THEN chr(10) || text ELSE text END",
@@ -281,7 +281,7 @@ ORACLE: dict[str, str] = {
         FROM pv LEFT JOIN taxo x ON replace(lower(threat_type), '-', '_') = x.raw_label
         JOIN types ty ON ty.t = coalesce(x.canon, 'unknown')""",
     "bucket_confidence": f"""WITH {parsed_verdicts('documents', 'doc_id')}
-        SELECT item_id, confidence AS confidence_score, {CONF_BUCKET.format(c='confidence')} AS confidence FROM pv""",
+        SELECT item_id, CASE WHEN isfinite(confidence) THEN confidence END AS confidence_score, isfinite(confidence) AS confidence_score_finite, {CONF_BUCKET.format(c='confidence')} AS confidence FROM pv""",
     "guidance": f"""WITH {TAXO}, {TYPES}, {parsed_verdicts('documents', 'doc_id')}
         SELECT item_id, coalesce(x.canon, 'unknown') AS threat_type, ty.guidance AS guidance
         FROM pv LEFT JOIN taxo x ON replace(lower(threat_type), '-', '_') = x.raw_label
