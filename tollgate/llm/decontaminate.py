@@ -167,6 +167,7 @@ def _scanner(windows_ref):
         windows = windows_ref.value
         for column in batches:
             yield scan_batch(column, windows)
+        tv.give_back()
     return scan
 
 

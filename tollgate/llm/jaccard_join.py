@@ -129,6 +129,7 @@ def _sketcher():
                 [pa.array(np.diff(first)), pa.array(seq, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(sign.reshape(-1)))],
                 ["n_words", "seq", "bands"])
+        tv.give_back()
     return sketch
 
 
@@ -148,6 +149,7 @@ def _shingle_sets(bits_ref, n_bits: int):
                     seq[r] = hashlib.blake2b(words[first[k]: first[k + 1]].tobytes(), digest_size=16).digest()
                     sets[r] = np.unique(hashes[at[k]: at[k + 1]]).tobytes()
             yield pa.StructArray.from_arrays([pa.array(seq, pa.binary()), pa.array(sets, pa.binary())], ["seq", "shingles"])
+        tv.give_back()
     return of
 
 

@@ -27,6 +27,7 @@ from pyspark.sql.functions import arrow_udf
 
 from tollgate.llm.common import learn_fold, pack, python_tasks, read_table
 from tollgate.llm.sampling import labelled_sample
+from tollgate.llm.textvec import give_back
 
 BUCKETS = 1 << 15
 SAMPLE_ROWS = 3000
@@ -201,6 +202,7 @@ def _predictor(model_ref):
         model = model_ref.value
         for column in batches:
             yield model.predict(column)
+        give_back()
     return predict
 
 

@@ -37,6 +37,12 @@ _FOLD[65:91] += 32
 FOLDED_VALUES = _VALUES[_FOLD]
 
 
+def give_back() -> None:
+    """At the end of a task: freed memory goes back to the system, as the
+    worker lives on beside others."""
+    pa.default_memory_pool().release_unused()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over the 64 output bits."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
