@@ -182,6 +182,47 @@ def test_bootstrapping_finds_unseen_identifiers(spark):
     assert all([(s.kind, s.start, s.end) for s in r.base] == plain_pii(r.row.text) for r in rows.values())
 
 
+def test_candidates_in_text_without_blanks():
+    def patterns(t, token):
+        return {p for o in pii.occurrences(t, pii.base_spans(t)) if t[o["start"]:o["end"]] == token for p in o["patterns"]}
+    filler = ",".join(f'"k{i}":"v"' for i in range(30))
+    assert "ann phone _" in patterns(f'{{{filler},"name":"ann","phone":"555-9876","x":1}}', "555-9876")
+    assert "phone _ class" in patterns(f"<a {filler}data-id='1',phone='555-9876' class='x'>", "555-9876")
+    assert "phone _ name" in patterns("https://example.com/" + "x/" * 40 + "?q=1&phone=555-9876&name=ann", "555-9876")
+    assert {"电 话 _", "话 _ 今"} <= patterns("您好" * 40 + "请拨打电话555-9876今天", "555-9876")
+    assert patterns("id 00:1a:2b:3c:4d (555)123-4567x", "00:1a:2b:3c:4d")  # runs with delimiters stay candidates
+    long = "7" * 100
+    assert patterns(f"the key {long} is", long) == {"the key _", "key _ is"}
+
+
+def test_context_words_are_whole():
+    def patterns(before, after):
+        t = f"{before} 555-9876{after}"
+        (o,) = pii.occurrences(t, pii.base_spans(t))
+        return o["patterns"]
+    a, b = "a" + "w" * 80, "b" + "w" * 80
+    assert patterns(f"at {a}", " x") != patterns(f"at {b}", " x") and len(patterns(f"at {a}", " x")) == 2
+    assert patterns("at phone", f" {'w' * 80}a") != patterns("at phone", f" {'w' * 80}b")
+    assert patterns("at phone" + " " * 100, " " * 100 + "x") == ["at phone _", "phone _ x"]
+
+
+def test_rounds_go_on_until_patterns_stand(spark):
+    """Each pattern of the chain is accepted only by what the one before it found."""
+    seen = [(f"p{j}", f"s{j}-{k}", 3) for j in range(6) for k in range(30)] + [(f"p{j}", f"g{j}-{k}", -1) for j in range(6) for k in range(5)]
+    seen += [(f"p{j}", f"g{j - 1}-{k}", -1) for j in range(1, 6) for k in range(5)]
+    patterns, instances = pii.accepted_patterns(spark.createDataFrame(seen, "pattern string, instance string, kind int"))
+    assert sorted(r.pattern for r in patterns.collect()) == [f"p{j}" for j in range(6)]
+    assert all(r.s3 >= 0.8 for r in instances.collect()) and instances.count() == 210
+
+
+def test_bootstrapping_in_json_keeps_the_outermost_span(spark):
+    seeds = [f'{{"id":{k},"at":"x","phone":"+1 (555) 123-45{k:02d}","end":0}}' for k in range(20)]
+    docs = spark.createDataFrame(list(enumerate([*seeds, '{"id":77,"at":"x","phone":"0800:1234","end":0,"pad":"' + "y" * 99 + '"}'])), "doc_id long, text string")
+    rows = {r.row.doc_id: r for r in pii.personal_data(docs).collect()}
+    assert [rows[20].row.text[s.start:s.end] for s in rows[20].added] == ["0800:1234"]
+    assert not any(rows[k].added for k in range(20))
+
+
 def test_personal_data_query(spark, tables, empty_tables):
     text = read_table(spark, tables, "documents").select("doc_id", "text").collect()
     got = pii.op6_pii(spark, tables).collect()

@@ -3,15 +3,25 @@
 1. One scan finds the base entities (e-mail, ip, card, phone) of every text
    and, as candidates, other tokens that look like identifiers (an ``@`` or at
    least ``MIN_DIGITS`` digits), each with its lexical contexts: the two words
-   before it, and the words on both sides.
-2. Contexts and instances form a graph.  In each round Spark scores every
-   pattern for every kind, conf = sum of its instances' scores / (instances +
+   before it, and the words on both sides.  Tokens are the blank-free runs, of
+   any length, and the pieces of a run between the delimiters of each of
+   ``LEVELS``, so identifiers in minified JSON, markup, query strings or text
+   without blanks are candidates beside the run that holds them.  Words end at
+   blanks, delimiters and other tokens; a character of a script written without
+   blanks is a word.
+2. Contexts and instances form a graph.  Until the accepted patterns and their
+   confidences (to ``DIGITS`` places) stop changing, Spark scores every pattern for every kind, conf = sum of its instances' scores / (instances +
    ``SMOOTHING``), counting distinct instances, and then every unknown
    instance, score = 1 - product of (1 - conf) over its accepted patterns.
    Seeds keep score 1.  A pattern is accepted for a kind at ``MIN_CONFIDENCE``
    and a support of ``MIN_SUPPORT`` distinct instances.
+   Scores never fall from one round to the next, so the rounds end.
 3. Occurrences of unknown instances inside an accepted pattern whose score
-   reaches ``MIN_CONFIDENCE`` are added as spans of that kind.
+   reaches ``MIN_CONFIDENCE`` are added as spans of that kind; of tokens inside
+   each other only the outermost.
+
+Instances and words of more than ``LONG`` code points are known by a 128-bit
+hash, so a text that is one long run costs no more than its own length.
 
 Scores are partial aggregates and equi-joins on pattern or instance; a pattern
 that holds a third of all rows costs one row per task and is split by adaptive
@@ -29,18 +39,21 @@ in ``row``.
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from tollgate.llm.common import python_tasks, read_table, staged
 
 KINDS = ("email", "ip", "card", "phone")
-MIN_DIGITS, MAX_TOKEN, REACH = 4, 64, 48
-ROUNDS, MIN_CONFIDENCE, MIN_SUPPORT, SMOOTHING = 3, 0.8, 5, 1.0
+MIN_DIGITS, LONG = 4, 64
+MIN_CONFIDENCE, MIN_SUPPORT, SMOOTHING, DIGITS = 0.8, 5, 1.0, 6
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -49,6 +62,18 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HINT = re.compile(r"[0-9]+|@")
 _DIGIT = re.compile(r"[0-9]")
 _EDGE = ".,;:!?()[]{}<>\"'"
+_QUOTED = r"\s\"`\[\]{}<>=&,;|"
+_APOSTROPHE = r"(?<=[^\W\d_])'(?=[^\W\d_])"  # inside a word, no delimiter
+#: Tokens inside a run, each level with more delimiters: quotes, brackets and
+#: separators; then colons and characters beyond ASCII; then parentheses and those of URLs.
+LEVELS = (re.compile(rf"(?:[^'{_QUOTED}]|{_APOSTROPHE})+"),
+          re.compile(rf"(?:(?![^\x00-\x7f])[^':{_QUOTED}]|{_APOSTROPHE})+"),
+          re.compile(rf"(?:(?![^\x00-\x7f])[^':()/?#{_QUOTED}]|{_APOSTROPHE})+"))
+#: South-east Asian scripts, kana and ideographs.
+_NO_BLANKS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_STOPS = rf"':()/?#\u3000-\u303f\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65{_QUOTED}"
+_WORDS = re.compile(rf"[{_NO_BLANKS}]|(?:[^{_STOPS}{_NO_BLANKS}]|{_APOSTROPHE})+")
+_RUN = re.compile(r"\S*")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -88,46 +113,85 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
     return out
 
 
-def _word(s: str) -> str:
-    return s.strip(_EDGE).lower()
-
-
-def contexts(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns of an occurrence; the blank stands for it."""
-    before = [_word(w) for w in text[max(0, start - REACH): start].split()[-2:]]
-    after = [_word(w) for w in text[end: end + REACH].split()[:1]]
-    out = []
-    if len(before) == 2:
-        out.append(f"{before[0]} {before[1]} _")
-    if before and after:
-        out.append(f"{before[-1]} _ {after[0]}")
+def _name(s: str) -> str:
+    """What stands for an instance or word: itself, or its hash if it is long."""
+    s = s.lower()
+    return s if len(s) <= LONG else "\0" + blake2b(s.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
+def _words(text: str, edges: list[int]) -> tuple[array, array]:
+    """Starts and ends of the words of a text, cut at the edges too."""
+    starts, ends, k = array("q"), array("q"), 0
+    for m in _WORDS.finditer(text):
+        a, b = m.span()
+        while k < len(edges) and edges[k] <= a:
+            k += 1
+        while a < b:
+            cut = edges[k] if k < len(edges) and edges[k] < b else b
+            token = text[a:cut]
+            word = token.strip(_EDGE)
+            if word:
+                a += len(token) - len(token.lstrip(_EDGE))
+                starts.append(a)
+                ends.append(a + len(word))
+            a = cut
+            k += cut < b
+    return starts, ends
+
+
+def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """(start, end) of the tokens that look like identifiers and meet no base span."""
+    taken: list[list[int]] = []  # the base spans, those that overlap as one
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if taken and a < taken[-1][1]:
+            taken[-1][1] = max(b, taken[-1][1])
+        else:
+            taken.append([a, b])
+    reaches = [b for _, b in taken]
+    out, reached = [], 0
+    for m in _HINT.finditer(text):
+        if m.start() < reached:
+            continue
+        left = text[reached: m.start()]
+        a = m.start() - (len(left.rsplit(None, 1)[-1]) if left and not left[-1].isspace() else 0)
+        reached = _RUN.match(text, m.end()).end()
+        found = {(a, reached)}
+        for level in LEVELS:
+            found.update(p.span() for p in level.finditer(text, a, reached))
+        tokens = set()
+        for a, b in found:
+            token = text[a:b]
+            if "@" in token or len(_DIGIT.findall(token)) >= MIN_DIGITS:
+                a += len(token) - len(token.lstrip(_EDGE))
+                b = a + len(token.strip(_EDGE))
+                k = bisect_left(reaches, a + 1)
+                if k == len(taken) or taken[k][0] >= b:
+                    tokens.add((a, b))
+        out += sorted(tokens)
     return out
 
 
 def occurrences(text: str | None, spans: list[tuple[int, int, int]]) -> list[dict]:
-    """Seeds and candidates with their contexts; kind -1 is unknown."""
+    """Seeds and candidates with their lexical patterns, in which the blank
+    stands for the occurrence; kind -1 is unknown."""
     if not text:
         return []
-    out = [{"kind": k, "start": a, "end": b, "instance": text[a:b].lower(), "patterns": contexts(text, a, b)} for k, a, b in spans]
-    taken = sorted((a, b) for _, a, b in spans)
-    reached = nxt = 0
-    for m in _HINT.finditer(text):
-        if m.start() < reached:
-            continue
-        left = text[max(0, m.start() - MAX_TOKEN): m.start()]
-        right = text[m.end(): m.end() + MAX_TOKEN]
-        a = m.start() - (len(left.split()[-1]) if left and not left[-1].isspace() else 0)
-        b = m.end() + (len(right.split()[0]) if right and not right[0].isspace() else 0)
-        reached = b
-        while nxt < len(taken) and taken[nxt][1] <= a:
-            nxt += 1
-        if b - a > MAX_TOKEN or nxt < len(taken) and taken[nxt][0] < b:
-            continue
-        token = text[a:b]
-        a += len(token) - len(token.lstrip(_EDGE))
-        token = token.strip(_EDGE)
-        if "@" in token or len(_DIGIT.findall(token)) >= MIN_DIGITS:
-            out.append({"kind": -1, "start": a, "end": a + len(token), "instance": token.lower(), "patterns": contexts(text, a, a + len(token))})
+    found = [*spans, *((-1, a, b) for a, b in candidates(text, spans))]
+    if not found:
+        return []
+    starts, ends = _words(text, sorted({x for _, a, b in found for x in (a, b)}))
+
+    def word(k: int) -> str:
+        return _name(text[starts[k]: ends[k]])
+    out = []
+    for kind, a, b in found:
+        first, nxt = bisect_left(starts, a), bisect_left(starts, b)
+        patterns = []
+        if first >= 2:
+            patterns.append(f"{word(first - 2)} {word(first - 1)} _")
+        if first and nxt < len(starts):
+            patterns.append(f"{word(first - 1)} _ {word(nxt)}")
+        out.append({"kind": kind, "start": a, "end": b, "instance": _name(text[a:b]), "patterns": patterns})
     return out
 
 
@@ -153,30 +217,36 @@ def _score(k: int) -> str:
     return f"s{k}"
 
 
-def accepted_patterns(seen: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE,
+def accepted_patterns(seen: DataFrame, min_confidence: float = MIN_CONFIDENCE,
                       min_support: int = MIN_SUPPORT) -> tuple[DataFrame, DataFrame]:
-    """Score the pattern-instance graph: (patterns: pattern and one confidence
-    per kind, NULL if not accepted; instances: instance and one score per kind).
+    """Score the pattern-instance graph until it stands: (patterns: pattern and
+    one confidence per kind, NULL if not accepted; instances: instance and one
+    score per kind).
 
     ``seen``: instance, kind, pattern (one row per occurrence and pattern)."""
     kinds = range(len(KINDS))
     edges = seen.groupBy("pattern", "instance").agg(*[F.max((F.col("kind") == k).cast("double")).alias(f"seed{k}") for k in kinds])
     edges = staged(edges, "graph")
     scored = edges.select("pattern", "instance", *[F.col(f"seed{k}").alias(_score(k)) for k in kinds])
-    for number in range(rounds):
+    # What the accepted table comes to: its entries, and their sum in whole units of the last place.
+    sums = [x for k in kinds for x in (F.count(f"c{k}"), F.coalesce(F.sum(F.round(F.col(f"c{k}") * 10**DIGITS).cast("bigint")), F.lit(0)))]
+    before = (0,) * len(sums)
+    while True:
         confidence = [(F.sum(_score(k)) / (F.count(F.lit(1)) + F.lit(SMOOTHING))) for k in kinds]
         support = [F.count(F.when(F.col(_score(k)) >= min_confidence, 1)) for k in kinds]
         patterns = scored.groupBy("pattern").agg(*[F.when((confidence[k] >= min_confidence) & (support[k] >= min_support), confidence[k]).alias(f"c{k}") for k in kinds])
         patterns = staged(patterns.where(F.coalesce(*[F.col(f"c{k}") for k in kinds]).isNotNull()), "patterns")
+        now = tuple(patterns.agg(*sums).first())
         met = edges.join(patterns, "pattern")
         instances = met.groupBy("instance").agg(*[
             F.greatest(F.max(f"seed{k}"), 1 - F.exp(F.sum(F.log(F.lit(1.0) - F.least(F.coalesce(f"c{k}", F.lit(0.0)), F.lit(0.999999)))))).alias(_score(k)) for k in kinds])
         instances = staged(instances, "instances")
-        if number < rounds - 1:
-            now = instances.withColumnsRenamed({_score(k): f"n{k}" for k in kinds})
-            scored = staged(edges.join(now, "instance", "left").select(
-                "pattern", "instance", *[F.greatest(f"seed{k}", F.coalesce(f"n{k}", F.lit(0.0))).alias(_score(k)) for k in kinds]), "scored")
-    return patterns, instances
+        if now == before:
+            return patterns, instances
+        before = now
+        scores = instances.withColumnsRenamed({_score(k): f"n{k}" for k in kinds})
+        scored = edges.join(scores, "instance", "left").select(
+            "pattern", "instance", *[F.greatest(f"seed{k}", F.coalesce(f"n{k}", F.lit(0.0))).alias(_score(k)) for k in kinds])
 
 
 def personal_data(docs: DataFrame, carry: list[str] | None = None, min_confidence: float = MIN_CONFIDENCE, **options) -> DataFrame:
@@ -194,6 +264,8 @@ def personal_data(docs: DataFrame, carry: list[str] | None = None, min_confidenc
         best = F.when(ok, F.lit(k)) if best is None else best.when(ok, F.lit(k))
     spans = hits.select("uid", F.struct(best.alias("kind"), "start", "end").alias("s")).where("s.kind is not null")
     added = spans.groupBy("uid", "s.start", "s.end").agg(F.min("s.kind").alias("kind"))
+    outside = Window.partitionBy("uid").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    added = added.withColumn("reached", F.max("end").over(outside)).where(F.coalesce(F.col("end") > F.col("reached"), F.lit(True))).drop("reached")
     added = added.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("added"))
     none = F.expr("cast(array() as array<struct<kind: int, start: int, end: int>>)")
     return table.select("uid", "row", "base").join(added, "uid", "left").select("row", "base", F.coalesce("added", none).alias("added"))
