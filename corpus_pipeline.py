@@ -9,8 +9,10 @@ All but the last return the columns of ``docs`` as they were:
 3. ``decontaminate`` drops documents that hold a benchmark window;
 4. ``mix_sources`` takes every document as often as its source's target asks
    (0 to 3 whole copies) and range-sorts the copies by training position;
-5. ``token_output`` writes DAC token files and returns their digest (doc_id,
-   start, n_tokens, ids_crc32), read back from the files.
+5. ``token_output`` writes DAC token files in order of doc_id and, beside them,
+   an index by training rank (the place of a copy in stage 4's files), and
+   returns that index (rank, doc_id, start, n_tokens, ids_crc32), read back
+   from the files.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return token_output.token_output(docs.select("doc_id", "text"))
+    return token_output.ordered_output(docs)
 
 
 STAGES = [("language_id", identify_language), ("near_duplicates", drop_near_duplicates), ("decontaminate", drop_contaminated),

@@ -10,7 +10,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tollgate.llm import curriculum, jaccard_join, url_cascade
+from tollgate.llm import curriculum, jaccard_join, token_output, url_cascade
 from tollgate.llm.catalog import ORACLE, QUERIES
 from tollgate.llm.common import read_table, staged
 
@@ -228,6 +228,41 @@ def test_pipeline_stages_against_plain_versions(spark):
     assert sorted(r.doc_id for r in out) == kept[4]
 
 
+@pytest.fixture()
+def many_files(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_pipeline_keeps_the_training_order(spark, many_files):
+    """The result follows the schedule; the token files do not move."""
+    docs = spark.createDataFrame([(k, f"w w{k} w", f"s{k % 3}") for k in range(600)], "doc_id long, text string, source string")
+    found = {}
+    for name, schedules in (("given", curriculum.SCHEDULES), ("turned", curriculum.SCHEDULES[1::-1] + curriculum.SCHEDULES[2:])):
+        order = curriculum.mixed(docs, schedules=schedules, whole_documents=True).select("row.doc_id", F.explode("positions").alias("position")).collect()
+        mixed = staged(curriculum.training_order(docs, schedules=schedules), "test")
+        assert len(mixed.inputFiles()) > 2  # places run over file borders
+        rows = corpus_pipeline.STAGES[-1][1](spark, mixed, SMALL).collect()
+        by_rank = sorted(rows, key=lambda r: r.rank)
+        assert [r.rank for r in by_rank] == list(range(len(order)))
+        assert [r.doc_id for r in by_rank] == [r.doc_id for r in sorted(order, key=lambda r: (r.position, r.doc_id))]
+        found[name] = [r.doc_id for r in by_rank], sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in rows)
+    assert found["given"][0] != found["turned"][0]
+    assert found["given"][1] == found["turned"][1]
+
+
+def test_index_by_rank_lies_beside_the_tokens(spark, monkeypatch):
+    paths = []
+    write = token_output.write_tokens
+    monkeypatch.setattr(token_output, "write_tokens", lambda *a: paths.append(write(*a)) or paths[-1])
+    docs = spark.createDataFrame([(k, f"w{k}") for k in (5, 3, 9, 3)], "doc_id long, text string").coalesce(1)
+    token_output.ordered_output(staged(docs, "test"))
+    rows = spark.read.parquet(token_output.index_path(paths[0])).collect()
+    assert [(r.rank, r.doc_id) for r in sorted(rows, key=lambda r: r.rank)] == [(0, 5), (1, 3), (2, 9), (3, 3)]
+    assert [r.doc_id for r in sorted(rows, key=lambda r: r.start)] == [3, 3, 5, 9]
+
+
 def test_pipeline_awkward(spark, tables, empty_tables):
     assert corpus_pipeline.run(spark, tables).count() > 0
     assert corpus_pipeline.run(spark, empty_tables).count() == 0

@@ -135,9 +135,10 @@ def mixed(docs: DataFrame, schedules=SCHEDULES, weights: tuple[int, ...] = WEIGH
 
 
 def training_order(docs: DataFrame, **options) -> DataFrame:
-    """Every copy that the mix takes whole, range-sorted by training position."""
+    """Every copy that the mix takes whole, range-sorted by training position
+    (ties, which are in one range, by doc_id and a hash of the text)."""
     copies = mixed(docs, whole_documents=True, **options).select("row", F.explode("positions").alias("position"))
-    return copies.repartitionByRange("position").sortWithinPartitions("position").select("row.*")
+    return copies.repartitionByRange("position").sortWithinPartitions("position", "row.doc_id", F.xxhash64("row.text")).select("row.*")
 
 
 def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,11 @@ knows how many ids of its partition precede it; partition totals (one row per
 partition) give the global start, so that token i of the corpus is found from
 a segment's start and read with ``dac.Reader``.
 
+Files are in order of doc_id whatever order the documents are to be read in.
+``ordered_output`` takes that order from the files that hold the documents and
+writes, beside the segments, an index sorted by it (``rank``, from 0, with
+doc_id, start, n_tokens and ids_crc32).
+
 The tokenizer runs on words: a byte-level BPE with the usual pattern never
 joins text across "non-space, space, non-space" or "non-space, line feed,
 non-space", so each such piece is encoded once per worker and looked up
@@ -34,13 +39,15 @@ from pyspark.sql import functions as F
 
 from tollgate.llm import dac
 from tollgate.llm.common import python_tasks, read_table, stage_path
+from tollgate.llm.textvec import give_back
 
 END_ID = 2
 SEGMENT_TOKENS = 1 << 16
 CACHE = 500_000
 SEGMENTS = ("part int, seq int, part_start bigint, n_tokens bigint, doc_ids array<bigint>, "
-            "doc_tokens array<bigint>, payload binary")
-DIGEST = "part int, doc_id bigint, offset bigint, n_tokens bigint, ids_crc32 bigint"
+            "doc_tokens array<bigint>, doc_ranks array<bigint>, payload binary")
+DIGEST = "part int, doc_id bigint, rank bigint, offset bigint, n_tokens bigint, ids_crc32 bigint"
+INDEX = "rank bigint, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 _PUNCTUATION = ".,!?;:"
 
@@ -166,40 +173,61 @@ def _segments(path: str, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # what earlier tasks of this worker held
         enc, part = encoder(path), TaskContext.get().partitionId()
-        ids, lengths, parts, held, seq, before = [], [], [], 0, 0, 0
+        ids, lengths, ranks, parts, held, seq, before = [], [], [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
             tokens = np.frombuffer(b"".join(parts), "<u4")
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([before]), pa.array([len(tokens)]),
-                 pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())), pa.array([dac.encode(tokens)], pa.binary())],
-                ["part", "seq", "part_start", "n_tokens", "doc_ids", "doc_tokens", "payload"])
+                 pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())), pa.array([ranks], pa.list_(pa.int64())),
+                 pa.array([dac.encode(tokens)], pa.binary())],
+                ["part", "seq", "part_start", "n_tokens", "doc_ids", "doc_tokens", "doc_ranks", "payload"])
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 piece = batch.slice(k, 256)
                 encoded = enc.encode(piece.column(1).to_pylist())
-                for doc, raw in zip(piece.column(0).to_pylist(), encoded):
+                for doc, rank, raw in zip(piece.column(0).to_pylist(), piece.column(2).to_pylist(), encoded):
                     ids.append(doc)
+                    ranks.append(rank)
                     lengths.append(len(raw) // 4 + 1)
                     parts += [raw, end]
                     held += lengths[-1]
                     if held >= SEGMENT_TOKENS:
                         yield flush()
                         seq, before, held = seq + 1, before + held, 0
-                        ids, lengths, parts = [], [], []
+                        ids, lengths, ranks, parts = [], [], [], []
         if ids:
             yield flush()
+        give_back()
     return write
 
 
+def file_ranks(docs: DataFrame) -> DataFrame:
+    """doc_id, text and ``rank``: the row's place, from 0, in the Parquet files
+    ``docs`` is read from, in the order of the tasks that wrote them.  Summed
+    is one row for each file."""
+    meta = docs.metadataColumn("_metadata")
+    rows = docs.select("doc_id", "text", meta["file_name"].alias("file"), meta["row_index"].alias("row_index"))
+
+    def number(pattern):
+        return F.coalesce(F.regexp_extract("file", pattern, 1).try_cast("bigint"), F.lit(0))
+    order = Window.orderBy(number("^part-([0-9]+)"), number("-c([0-9]+)[.]"), "file")
+    files = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    files = files.select("file", (F.sum("n").over(order) - F.col("n")).alias("ahead"))
+    return rows.join(F.broadcast(files), "file").select("doc_id", "text", (F.col("ahead") + F.col("row_index")).alias("rank"))
+
+
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> str:
-    """Write ``docs`` (doc_id, text) as DAC segments; returns the folder."""
+    """Write ``docs`` (doc_id, text, and rank if they have one) as DAC segments;
+    returns the folder."""
     spark = docs.sparkSession
+    rank = docs["rank"] if "rank" in docs.columns else F.lit(None)
     python_tasks(spark)
     path = stage_path(spark, "tokens")
-    ordered = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("text"), F.xxhash64(docs["text"]).alias("tie"))
-    ordered = ordered.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    ordered = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("text"), F.xxhash64(docs["text"]).alias("tie"), rank.cast("bigint").alias("rank"))
+    ordered = ordered.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "rank").select("doc_id", "text", "rank")
     ordered.mapInArrow(_segments(tokenizer, end_id), SEGMENTS).write.parquet(path)
     return path
 
@@ -213,9 +241,9 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             view = memoryview(raw)
             crc = [zlib.crc32(view[4 * (e - n): 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(lengths), row["part"], np.int32)), pa.array(row["doc_ids"], pa.int64()),
+                [pa.array(np.full(len(lengths), row["part"], np.int32)), pa.array(row["doc_ids"], pa.int64()), pa.array(row["doc_ranks"], pa.int64()),
                  pa.array(row["part_start"] + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())],
-                ["part", "doc_id", "offset", "n_tokens", "ids_crc32"])
+                ["part", "doc_id", "rank", "offset", "n_tokens", "ids_crc32"])
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
@@ -230,18 +258,33 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
-    """Per document, from the files alone: doc_id, start, n_tokens, ids_crc32."""
+    """Per document, from the files alone: doc_id, start, n_tokens, ids_crc32, rank."""
     table = spark.read.schema(SEGMENTS).parquet(path)
     totals = table.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     bases = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("base"))
-    found = table.select("part", "part_start", "doc_ids", "doc_tokens", "payload").mapInArrow(_digests, DIGEST)
+    found = table.select("part", "part_start", "doc_ids", "doc_tokens", "doc_ranks", "payload").mapInArrow(_digests, DIGEST)
     return found.join(F.broadcast(bases), "part").select(
-        "doc_id", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
+        "doc_id", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32", "rank")
 
 
 def token_output(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
     """Write, then read back."""
-    return read_digests(docs.sparkSession, write_tokens(docs, tokenizer or tokenizer_path(), end_id))
+    return read_digests(docs.sparkSession, write_tokens(docs.select("doc_id", "text"), tokenizer or tokenizer_path(), end_id)).drop("rank")
+
+
+def index_path(path: str) -> str:
+    """Where the index by rank of the segments in ``path`` is."""
+    return f"{path}-by-rank"
+
+
+def ordered_output(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
+    """Write the segments and their index by rank, and return the index; ``docs``
+    is read from Parquet files whose order is the one to keep."""
+    spark = docs.sparkSession
+    path = write_tokens(file_ranks(docs), tokenizer or tokenizer_path(), end_id)
+    found = read_digests(spark, path).select("rank", "doc_id", "start", "n_tokens", "ids_crc32")
+    found.repartitionByRange("rank").sortWithinPartitions("rank").write.parquet(index_path(path))
+    return spark.read.schema(INDEX).parquet(index_path(path))
 
 
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
