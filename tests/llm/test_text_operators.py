@@ -292,6 +292,15 @@ def test_language_awkward(spark, tables, empty_tables, clashing):
     assert kept.columns == clashing.columns and kept.where("doc_id in (4, 5, 6, 7)").count() == 0
 
 
+def test_only_undetermined_documents_are_dropped(spark):
+    """Texts that say nothing about their language have low scores and stay."""
+    docs = [(k, "abc abd", f"l{k % 4}") for k in range(80)] + [(100, "123 !", "l0"), (101, None, "l0"), (102, "", "l1")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    scores = [r.score for r in language_id.identify(docs, language_id.fit(docs)).where("lang_pred != 'und'").collect()]
+    assert len(scores) == 80 and max(scores) < 0.5
+    assert sorted(r.doc_id for r in language_id.keep_identified(docs).collect()) == list(range(80))
+
+
 def test_temperature_is_calibrated():
     rng = np.random.default_rng(1)
     logit = rng.normal(size=(4000, 3)) * 2

@@ -33,8 +33,6 @@ BUCKETS = 1 << 15
 SAMPLE_ROWS = 3000
 BLOCK_TEXTS, BLOCK_CHARS = 32, 1 << 17
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.02, 0.1, 3
-#: Below this calibrated probability the pipeline rejects a document.
-MIN_SCORE = 0.5
 UNDETERMINED = "und"
 _GRAM = (np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917))
 
@@ -213,10 +211,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return pack(docs).withColumn("p", predict(F.col("row.text"))).select("row", "p.lang_pred", "p.score")
 
 
-def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """Documents whose language is determined with some confidence."""
-    found = identify(docs, fit(docs))
-    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select("row.*")
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """Documents whose language is determined, with whatever score."""
+    return identify(docs, fit(docs)).where(F.col("lang_pred") != UNDETERMINED).select("row.*")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
