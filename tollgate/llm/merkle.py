@@ -289,9 +289,8 @@ def manifest(leaves: DataFrame, tree: str, order: Sequence[str], segment_levels:
     """The log of the trees of ``leaves`` and of the tree over their roots."""
     trees = build(leaves, tree, order, segment_levels=segment_levels)
     top = build(trees.roots.select(F.lit("").alias("all"), F.col("tree").alias("name"), "digest"), "all", ["name"], "merkle-top", segment_levels)
-    root = top.roots.select("tree", F.col("digest").alias("root"))
-    crown = proofs(top, "name").select(F.lit("").alias("all"), F.col("name").alias("tree"), "steps", F.col("digest").alias("subroot"))
-    crown = crown.join(root.withColumnRenamed("tree", "all"), "all").drop("all")
+    crown = proofs(top, "name").select(F.col("name").alias("tree"), "steps", F.col("digest").alias("subroot"))
+    crown = crown.withColumn("root", top.roots.select("digest").scalar())
     return Manifest(trees, top, staged(crown, "merkle-crown"))
 
 
