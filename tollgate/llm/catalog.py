@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tollgate.llm import (curriculum, decontaminate, hard_negatives, jaccard_join, language_id, merkle, pii,
+from tollgate.llm import (chat_format, curriculum, decontaminate, hard_negatives, jaccard_join, language_id, merkle, pii,
                           quality_mil, quality_rules, secret_scan, token_output, url_cascade)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": url_cascade.op9_url_filter,
     "op10_curriculum_mix": curriculum.op10_curriculum_mix,
     "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_chat_format": chat_format.op12_chat_format,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
@@ -32,5 +33,6 @@ ORACLE: dict[str, str] = {
     "op9_url_filter": url_cascade.ORACLE_SQL,
     "op10_curriculum_mix": curriculum.ORACLE_SQL,
     "op11_hard_negatives": hard_negatives.ORACLE_SQL,
+    "op12_chat_format": chat_format.ORACLE_SQL,
     "op13_merkle_manifest": merkle.ORACLE_SQL,
 }
