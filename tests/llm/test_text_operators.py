@@ -18,29 +18,44 @@ from llm.tests_llm_plain import brute_hits, words8
 
 # token ids ---------------------------------------------------------------
 
-def plain_tokenizer():
+def plain_tokenizer(specials_as_text=False):
+    """Untouched, unless special tokens are to be text."""
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(token_output.tokenizer_path())
-    t.encode_special_tokens = True
+    if specials_as_text:
+        t.encode_special_tokens = True
     return t
 
 
-def test_piecewise_encoding_equals_the_tokenizer():
+@pytest.mark.parametrize("as_text", [False, True])
+def test_piecewise_encoding_equals_the_tokenizer(as_text):
     random.seed(3)
     parts = ["a", "the", "é", "ß", " ", "  ", "\n", "\t", ".", ",", "!", "'s", "1", "中", " ", "<|endoftext|>", "\r\n", "x", "'", "-", "__", "\x1c", "🙂"]
     texts = ["".join(random.choice(parts) for _ in range(random.randint(0, 25))) for _ in range(1500)] + [" ", "a ", " a", "\n", "a\nb", "a \nb", "a\n b", None, ""]
-    plain, enc = plain_tokenizer(), token_output.Encoder(token_output.tokenizer_path())
+    texts += ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|>b", "x " * 300 + "y" * 5000, "\u3000a\u00a0b", "a\u2028b c"]
+    texts += [" ".join(random.choice(["one", "two.", "three,", "né", "5%", "(six)", "\nseven"]).strip(" ") for _ in range(200)) for _ in range(30)]
+    plain, enc = plain_tokenizer(as_text), token_output.Encoder(token_output.tokenizer_path(), as_text)
     want = [np.array(plain.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert enc.encode(texts) == want
     assert enc.encode(texts) == want  # now from memory
 
 
 def test_piece_memory_is_bounded(monkeypatch):
-    monkeypatch.setattr(token_output, "CACHE", 20)
+    monkeypatch.setattr(token_output, "MEMORY_IDS", 60)
     plain, enc = plain_tokenizer(), token_output.Encoder(token_output.tokenizer_path())
     for k in range(12):
         texts = [" ".join(f"w{k}x{i}." for i in range(15)), "same words again"]
         assert enc.encode(texts) == [np.array(plain.encode(t).ids, "<u4").tobytes() for t in texts]
+        assert len(enc.ids) < 200
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    """Should two words share a hash, their texts are encoded by themselves."""
+    real = token_output.word_hashes
+    monkeypatch.setattr(token_output, "word_hashes", lambda *a: real(*a) % np.uint64(5))
+    plain, enc = plain_tokenizer(), token_output.Encoder(token_output.tokenizer_path())
+    texts = ["w" * k for k in range(1, 40)]
+    assert enc.encode(texts) == [np.array(plain.encode(t).ids, "<u4").tobytes() for t in texts]
 
 
 def check_tokens(rows, docs):

@@ -81,7 +81,7 @@ def _write(tokenizer: str, block_tokens: int):
     start, sep, end = (np.array([k], "<u4").tobytes() for k in (START, SEP, END))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, seq, before = encoder(tokenizer), TaskContext.get().partitionId(), 0, 0
+        enc, part, seq, before = encoder(tokenizer, specials_as_text=True), TaskContext.get().partitionId(), 0, 0
         convs, segments, learned, held = [], [], [], 0
 
         def flush() -> pa.RecordBatch:

@@ -16,12 +16,17 @@ doc_id, start, n_tokens and ids_crc32).
 
 The tokenizer runs on words: a byte-level BPE with the usual pattern never
 joins text across "non-space, space, non-space" or "non-space, line feed,
-non-space", so each such piece is encoded once per worker and looked up
-afterwards (at most about ``CACHE`` pieces are held).
+non-space".  In a text of single blanks and line feeds the words of a batch are
+hashed as bytes in one go, each new one is encoded once per worker, and the ids
+are gathered from memory (``MEMORY_IDS`` ids at most; then it starts anew).
+Texts with other white space, or with very long words, are cut where that is
+safe and encoded by themselves.
 
 Defined cases: a NULL or empty text is the end id alone; a NULL doc_id comes
-first; repeated ids and rows are encoded each; an empty table gives no rows;
-the strings of special tokens inside a text are ordinary text.
+first; repeated ids and rows are encoded each; an empty table gives no rows; a
+very long text is one document of one segment.  The strings of added tokens
+(``<|endoftext|>``) inside a text become those tokens, as the library does it;
+an ``Encoder`` told ``specials_as_text`` takes them as ordinary text.
 """
 
 from __future__ import annotations
@@ -33,17 +38,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tollgate.llm import dac
 from tollgate.llm.common import python_tasks, read_table, stage_path
-from tollgate.llm.textvec import give_back
+from tollgate.llm.textvec import byte_class, give_back, mix, ranges, text_bytes, word_hashes, word_spans
 
 END_ID = 2
 SEGMENT_TOKENS = 1 << 16
-CACHE = 500_000
+#: Ids that the memory for words holds, bytes of a word kept there, entries of
+#: its quick table, and bytes of text worked on at once.
+MEMORY_IDS, WORD_BYTES, QUICK, PIECE_BYTES = 2_000_000, 256, 1 << 19, 2 << 20
 SEGMENTS = ("part int, seq int, part_start bigint, n_tokens bigint, doc_ids array<bigint>, "
             "doc_tokens array<bigint>, doc_ranks array<bigint>, payload binary")
 DIGEST = "part int, doc_id bigint, rank bigint, offset bigint, n_tokens bigint, ids_crc32 bigint"
@@ -57,41 +65,52 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+_WORD = byte_class(b" \n")
+#: Bytes that make a text irregular, and the first two bytes of white space
+#: beyond ASCII (of more characters than that, which does no harm).
+_ODD = ~byte_class(bytes([9, 11, 12, 13, 28, 29, 30, 31]))
+_LEAD = ~byte_class(bytes([0xC2, 0xE1, 0xE2, 0xE3]))
+_PAIRS = np.array([0xC285, 0xC2A0, 0xE19A, 0xE280, 0xE281, 0xE380])
+_AFTER_FEED = np.uint64(0xA24BAED4963EE407)
+
+
 class Encoder:
-    """``tokenizers`` with a memory for pieces; ids as little-endian u32 bytes.
+    """``tokenizers`` with a memory for words; ids as little-endian u32.
 
-    A key is a piece without white space that stands after one space, or, with
-    a leading line feed, one that stands after a line feed.  The text's first
-    piece is looked up as if after a line feed, whose id is then cut off."""
+    A key is a word that stands after one space, or, with a leading line feed,
+    one that stands after a line feed.  A text's first word is looked up as if
+    after a line feed, whose id is then left out.  Words are known by a 64-bit
+    hash and their length in bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, specials_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = specials_as_text
+        self.added = [] if specials_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self.width[list(vocabulary.values())] = [len(t) for t in vocabulary]
-        self.memory: dict[str, bytes] = {}
-        self.feed, *self.tails = self._raw(["\n", *_PUNCTUATION])
-        self.tails = dict(zip(_PUNCTUATION, self.tails))
+        self.feed, *tails = self._raw(["\n", *_PUNCTUATION])
+        self.tails = dict(zip(_PUNCTUATION, tails))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.entry_of: dict[int, int] = {}
+        self.quick_hash, self.quick_entry = np.zeros(QUICK, np.uint64), np.full(QUICK, -1, np.int64)
+        self.ids, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.bytes = np.zeros(0, np.int64)
 
     def _raw(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _learn(self, keys: set[str]) -> None:
-        """Encode clean keys: closing punctuation after a letter is a token of
+    def _learned(self, keys: list[str]) -> dict[str, bytes]:
+        """Ids of clean keys: closing punctuation after a letter is a token of
         its own, and the rest goes through the tokenizer many at a time, the
         ids being dealt back by their width in bytes."""
-        memory, tails = self.memory, self.tails
-        bases, joined = set(), []
-        for w in keys:
-            if w[-1] in tails and w[-2:-1].isalpha():
-                joined.append(w)
-                w = w[:-1]
-            if w not in memory:
-                bases.add(w)
-        bases = list(bases)
+        tails, out = self.tails, {}
+        joined = [w for w in keys if w[-1] in tails and w[-2:-1].isalpha()]
+        bases = list(dict.fromkeys(w[:-1] if w[-1] in tails and w[-2:-1].isalpha() else w for w in keys))
         for k in range(0, len(bases), 512):
             part = bases[k: k + 512]
             pieces = [w if w[0] == "\n" else " " + w for w in part]
@@ -103,102 +122,163 @@ class Encoder:
                 raise ValueError("a token crosses a word boundary")
             raw, a = ids.tobytes(), 0
             for w, b in zip(part, (cuts * 4).tolist()):
-                memory[w] = raw[a:b]
+                out[w] = raw[a:b]
                 a = b
         for w in joined:
-            memory[w] = memory[w[:-1]] + tails[w[-1]]
-
-    @staticmethod
-    def _clean(keys: set[str]) -> bool:
-        """No white space but the leading line feeds, and nothing empty."""
-        s = " ".join(keys)
-        return "" not in keys and "\n" not in keys and len("".join(s.split())) == len(s) - (len(keys) - 1) - s.count("\n")
+            out[w] = out[w[:-1]] + tails[w[-1]]
+        return out
 
-    def _irregular(self, text: str) -> bytes:
-        """A text with runs of white space: cut only where that is safe."""
+    def _alone(self, text: str) -> bytes:
+        """A text by itself: cut only where that is safe."""
+        if any(t in text for t in self.added):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         pieces = _CUT.split(text)
         keys = ["\n" + pieces[0], *(p[1:] for p in pieces[1:])]
         clean = [bool(p) and not any(map(str.isspace, k[1:] if i == 0 else k)) for i, (p, k) in enumerate(zip(pieces, keys))]
-        self._learn({k for k, ok in zip(keys, clean) if ok and k not in self.memory})
+        known = self._learned(list(dict.fromkeys(k for k, ok in zip(keys, clean) if ok)))
         odd = iter(self._raw([p for p, ok in zip(pieces, clean) if not ok]))
-        out = [self.memory[k] if ok else next(odd) for k, ok in zip(keys, clean)]
+        out = [known[k] if ok else next(odd) for k, ok in zip(keys, clean)]
         if clean[0]:
             out[0] = out[0][len(self.feed):]
         return b"".join(out)
 
+    def _entries(self, h: np.ndarray, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, after_feed: np.ndarray) -> np.ndarray:
+        """Where each word's ids are remembered; new words are encoded."""
+        slot = h & np.uint64(QUICK - 1)
+        entry = self.quick_entry[slot]
+        missed = np.flatnonzero((self.quick_hash[slot] != h) | (entry < 0))
+        if len(missed) == 0:
+            return entry
+        distinct, at, back = np.unique(h[missed], return_index=True, return_inverse=True)
+        found = np.array([self.entry_of.get(x, -1) for x in distinct.tolist()], np.int64)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            if self.entry_of and len(self.ids) + 4 * len(new) > MEMORY_IDS:
+                self._forget()
+                return self._entries(h, raw, starts, ends, after_feed)
+            where = missed[at[new]]
+            keys = [("\n" if f else "") + raw[a:b].tobytes().decode() for a, b, f in zip(starts[where].tolist(), ends[where].tolist(), after_feed[where].tolist())]
+            known = self._learned(keys)
+            parts = [known[k] for k in keys]
+            found[new] = np.arange(len(self.bytes), len(self.bytes) + len(new))
+            self.entry_of.update(zip(distinct[new].tolist(), found[new].tolist()))
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(p) // 4 for p in parts])])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(parts), "<u4")])
+            self.bytes = np.concatenate([self.bytes, ends[where] - starts[where]])
+        slot = distinct & np.uint64(QUICK - 1)
+        self.quick_hash[slot], self.quick_entry[slot] = distinct, found
+        entry[missed] = found[back]
+        return entry
+
+    def _odd(self, column: pa.Array, raw: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Texts to be encoded by themselves."""
+        odd = np.zeros(len(offsets) - 1, bool)
+        if len(raw) == 0:
+            return odd
+        blank = ~_WORD[raw]
+        lead = np.flatnonzero(_LEAD[raw[:-1]])
+        pairs = raw[lead].astype(np.int64) << 8 | raw[lead + 1]
+        full = np.flatnonzero(offsets[1:] > offsets[:-1])
+        at = np.concatenate([np.flatnonzero(_ODD[raw]), np.flatnonzero(blank[1:] & blank[:-1]), lead[np.isin(pairs, _PAIRS)], starts[ends - starts > WORD_BYTES]])
+        odd[np.searchsorted(offsets, at, "right") - 1] = True
+        odd[full] |= blank[offsets[full]] | blank[offsets[full + 1] - 1]
+        for t in self.added:
+            odd |= pc.fill_null(pc.match_substring(column, t), False).to_numpy(zero_copy_only=False)
+        return odd
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each)."""
+        raw, offsets = text_bytes(column)
+        starts, ends, first_word = word_spans(raw, offsets, _WORD)
+        odd = self._odd(column, raw, offsets, starts, ends)
+        doc = np.repeat(np.arange(len(odd)), np.diff(first_word))
+        while True:
+            kept = np.flatnonzero(~odd[doc])
+            a, b, of = starts[kept], ends[kept], doc[kept]
+            leads = a == offsets[of]
+            after_feed = leads | (raw[np.maximum(a - 1, 0)] == 10)
+            h = word_hashes(raw, a, b)
+            h = np.where(after_feed, mix(h + _AFTER_FEED), h)
+            entry = self._entries(h, raw, a, b, after_feed)
+            other = self.bytes[entry] != b - a
+            if not other.any():
+                break
+            odd[of[other]] = True  # another word of the same hash
+        skip = np.where(leads, len(self.feed) // 4, 0)
+        begin = self.first[entry] + skip
+        length = self.first[entry + 1] - begin
+        ids = self.ids[ranges(begin, length)]
+        counts = np.bincount(of, length, len(odd)).astype(np.int64)
+        if odd.any():
+            parts, at, before = [], 0, 0
+            for k in np.flatnonzero(odd).tolist():
+                alone = np.frombuffer(self._alone(column[k].as_py()), "<u4")
+                upto = at + int(counts[before:k].sum())
+                parts += [ids[at:upto], alone]
+                counts[k], at, before = len(alone), upto, k + 1
+            ids = np.concatenate([*parts, ids[at:]])
+        return ids, counts
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        memory = self.memory
-        split: list[list[str] | None] = []
-        for t in texts:
-            parts = None
-            if t:
-                parts = t.replace("\n", " \n").split(" ")
-                parts[0] = "\n" + parts[0]
-            split.append(parts)
-        needed = set().union(*filter(None, split))
-        new = needed.difference(memory)
-        irregular: set[int] = set()
-        if new and not self._clean(new):
-            for k, parts in enumerate(split):
-                if parts and not self._clean(new.intersection(parts)):
-                    irregular.add(k)
-            needed = set().union(*(p for k, p in enumerate(split) if p and k not in irregular))
-            new = needed.difference(memory)
-        if len(memory) + len(new) > CACHE:
-            memory.clear()
-            new = needed
-        self._learn(new)
-        cut, out = len(self.feed), []
-        for k, parts in enumerate(split):
-            if parts is None:
-                out.append(b"")
-            elif k in irregular:
-                out.append(self._irregular(texts[k]))
-            else:
-                out.append(b"".join([memory[w] for w in parts])[cut:])
-        return out
+        ids, counts = self.encode_column(pa.array(texts, pa.string()))
+        raw, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+        return [raw[b - 4 * n: b] for b, n in zip(ends, counts.tolist())]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, specials_as_text: bool = False) -> Encoder:
     """One per Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    key = path, specials_as_text
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(path, specials_as_text)
+    return _ENCODERS[key]
 
 
-def _segments(path: str, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
+def _pieces(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of at most about ``PIECE_BYTES`` of text, or one longer text."""
+    size = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0).cast(pa.int64()))
+    group = (np.cumsum(size) - 1) // PIECE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
 
+
+def _segments(path: str, end_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()  # what earlier tasks of this worker held
         enc, part = encoder(path), TaskContext.get().partitionId()
-        ids, lengths, ranks, parts, held, seq, before = [], [], [], [], 0, 0, 0
+        held, count, seq, before = [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
-            tokens = np.frombuffer(b"".join(parts), "<u4")
+            ids, lengths, ranks, tokens = zip(*held)
+            ids, ranks, lengths, tokens = pa.concat_arrays(ids), pa.concat_arrays(ranks), np.concatenate(lengths), np.concatenate(tokens)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([before]), pa.array([len(tokens)]),
-                 pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())), pa.array([ranks], pa.list_(pa.int64())),
-                 pa.array([dac.encode(tokens)], pa.binary())],
+                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([lengths], pa.list_(pa.int64())),
+                 pa.ListArray.from_arrays(pa.array([0, len(ranks)], pa.int32()), ranks), pa.array([dac.encode(tokens)], pa.binary())],
                 ["part", "seq", "part_start", "n_tokens", "doc_ids", "doc_tokens", "doc_ranks", "payload"])
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                piece = batch.slice(k, 256)
-                encoded = enc.encode(piece.column(1).to_pylist())
-                for doc, rank, raw in zip(piece.column(0).to_pylist(), piece.column(2).to_pylist(), encoded):
-                    ids.append(doc)
-                    ranks.append(rank)
-                    lengths.append(len(raw) // 4 + 1)
-                    parts += [raw, end]
-                    held += lengths[-1]
-                    if held >= SEGMENT_TOKENS:
+            for piece in _pieces(batch, 1):
+                ids, counts = enc.encode_column(piece.column(1))
+                tokens = np.insert(ids, np.cumsum(counts), np.uint32(end_id))
+                counts = counts + 1
+                ends = np.cumsum(counts)
+                a = 0
+                while a < len(counts):
+                    # Documents up to the one that fills the segment.
+                    gone = int(ends[a] - counts[a])
+                    b = min(len(counts), a + 1 + int(np.searchsorted(ends[a:] - gone, SEGMENT_TOKENS - count)))
+                    held.append((piece.column(0).slice(a, b - a), counts[a:b], piece.column(2).slice(a, b - a), tokens[gone: int(ends[b - 1])]))
+                    count += int(ends[b - 1]) - gone
+                    if count >= SEGMENT_TOKENS:
                         yield flush()
-                        seq, before, held = seq + 1, before + held, 0
-                        ids, lengths, ranks, parts = [], [], [], []
-        if ids:
+                        seq, before = seq + 1, before + count
+                        held, count = [], 0
+                    a = b
+        if held:
             yield flush()
         give_back()
     return write
@@ -223,11 +303,13 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> str:
     """Write ``docs`` (doc_id, text, and rank if they have one) as DAC segments;
     returns the folder."""
     spark = docs.sparkSession
-    rank = docs["rank"] if "rank" in docs.columns else F.lit(None)
+    # The place of reading spreads equal rows over ranges; a rank is such a place already.
+    rank, read = (docs["rank"], F.lit(0)) if "rank" in docs.columns else (F.lit(None), F.monotonically_increasing_id())
     python_tasks(spark)
     path = stage_path(spark, "tokens")
-    ordered = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("text"), F.xxhash64(docs["text"]).alias("tie"), rank.cast("bigint").alias("rank"))
-    ordered = ordered.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "rank").select("doc_id", "text", "rank")
+    ordered = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("text"), F.xxhash64(docs["text"]).alias("tie"), rank.cast("bigint").alias("rank"), read.alias("read"))
+    keys = ["doc_id", "tie", "rank", "read"]
+    ordered = ordered.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text", "rank")
     ordered.mapInArrow(_segments(tokenizer, end_id), SEGMENTS).write.parquet(path)
     return path
 
