@@ -58,7 +58,7 @@ def checksum62(body: str) -> str:
 def _valid_header(part: str) -> bool:
     try:
         head = json.loads(base64.urlsafe_b64decode(part + "=" * (-len(part) % 4)))
-    except (binascii.Error, ValueError):
+    except (binascii.Error, ValueError, RecursionError):  # the last: nested too deep for a header
         return False
     return isinstance(head, dict) and "alg" in head
 
