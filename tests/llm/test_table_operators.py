@@ -271,7 +271,7 @@ def test_pipeline_awkward(spark, tables, empty_tables):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql_twin(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels", "pages"):
+    for t in ("documents", "benchmark", "labels", "pages", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     cursor = con.execute(ORACLE[name])
     columns = [c[0] for c in cursor.description]
@@ -286,5 +286,5 @@ def test_sql_twin(spark, name):
 def test_queries_are_registered():
     import __spark_entry__ as entry
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert set(ORACLE) <= set(entry.oracle_sql())

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -272,6 +273,13 @@ def test_checksums_decide():
     assert kinds == ["github", "npm", "jwt"]
 
 
+def test_deeply_nested_token_header_is_no_span():
+    import base64
+    deep = base64.urlsafe_b64encode(b'{"alg":' + b"[" * 200_000).decode().rstrip("=")
+    flat = base64.urlsafe_b64encode(b'{"alg":"x"}').decode().rstrip("=")
+    assert not secret_scan._valid_header(deep) and secret_scan._valid_header(flat)
+
+
 def test_secret_query(spark, tables, empty_tables):
     assert secret_scan.op7_secret_scan(spark, tables).count() == 15
     assert secret_scan.op7_secret_scan(spark, empty_tables).count() == 0
@@ -295,6 +303,57 @@ def test_language_accuracy_on_held_out_documents(spark):
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.98 * len(held)
 
 
+def plain_grams(text):
+    """Buckets of all letters, and of pairs and triples of letters and blanks."""
+    mask = 0xFFFFFFFF
+    kept, last = [32], False
+    for c in (text or "").lower():
+        if c.isalpha() or last:
+            kept.append(ord(c) if c.isalpha() else 32)
+        last = c.isalpha()
+    kept += [32] * last
+    g = [int(x) for x in language_id._GRAM]
+    out = Counter()
+    for k, x in enumerate(kept):
+        h = [x * g[0] & mask]
+        if k + 1 < len(kept):
+            b = kept[k + 1] * g[1] & mask
+            h.append(h[0] + (b ^ b >> 13) & mask)
+        if k + 2 < len(kept):
+            c = kept[k + 2] * g[2] & mask
+            h.append(h[1] + (c ^ c >> 11) * 5 & mask)
+        for v in h:
+            out[((v ^ v >> 15) * 2246822519 & mask) >> 17] += 1
+    return out
+
+
+def test_grams_of_a_text_do_not_depend_on_its_neighbours():
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice("ab é.1ßZ\n") for _ in range(rnd.randint(0, 12))) for _ in range(300)] + [None, "", "the cat sat", "zebra", "x"]
+    rnd.shuffle(texts)
+    got = []
+    for bucket, count, first, has in language_id.ngram_counts(texts):
+        for k in range(len(has)):
+            got.append((dict(zip(bucket[first[k]:first[k + 1]].tolist(), count[first[k]:first[k + 1]].tolist())), bool(has[k])))
+    assert got == [(dict(plain_grams(t)), any(c.isalpha() for c in (t or "").lower())) for t in texts]
+
+
+def test_language_is_the_same_in_any_order(spark):
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "lang")
+    short = docs.select("doc_id", F.array_join(F.slice(F.split("text", " "), 1, 3), " ").alias("text"))
+    model = language_id.fit(docs)
+    one = {(r.row.doc_id, r.lang_pred, r.score) for r in language_id.identify(short, model).collect()}
+    other = {(r.row.doc_id, r.lang_pred, r.score) for r in language_id.identify(short.orderBy(F.rand(3)), model).collect()}
+    assert one == other
+
+
+def test_document_frequencies_cover_all_rows(spark):
+    texts = ["aa b", "b", None, "", "aa", "c b"] * 50
+    total, df = language_id.document_frequencies(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    want = Counter(g for t in texts for g in plain_grams(t))
+    assert total == 300 and {k: int(n) for k, n in enumerate(df) if n} == want
+
+
 def test_language_awkward(spark, tables, empty_tables, clashing):
     rows = language_id.op4_language_id(spark, tables).collect()
     assert len(rows) == 15

@@ -59,17 +59,17 @@ def ngram_counts(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarr
 
 
 def _counted(block: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    code = np.frombuffer("\n".join(["", *block, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    """Every text stands between two blanks of its own; a gram that would reach
+    into the next text is none, so a text counts alike in any block."""
+    code = np.frombuffer("".join(f"\n{t}\n" for t in block).encode("utf-32-le", "surrogatepass"), np.uint32)
     letter = _letters()[np.minimum(code, 0x10FFFF)]
+    lengths = np.fromiter(map(len, block), np.int64, len(block)) + 2
+    begin = np.cumsum(lengths) - lengths
     keep = letter.copy()
-    keep[0] = True
     keep[1:] |= letter[:-1]
-    lengths = np.fromiter(map(len, block), np.int64, len(block))
-    begin = np.concatenate(([1], 1 + np.cumsum(lengths + 1)))
-    doc = np.repeat(np.arange(len(block)), lengths + 1)
-    doc = np.concatenate(([0], doc))[: len(code)]
+    keep[begin] = True
     symbol = np.where(letter, code, np.uint32(32))[keep]
-    doc = doc[keep].astype(np.int64) * BUCKETS
+    doc = np.repeat(np.arange(len(block)), lengths)[keep]
     a = symbol * _GRAM[0]
     b = symbol * _GRAM[1]
     c = symbol * _GRAM[2]
@@ -77,12 +77,12 @@ def _counted(block: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     three = two[:-1] + (c[2:] ^ (c[2:] >> np.uint32(11))) * np.uint32(5)
     size = len(block) * BUCKETS
     total = np.zeros(size, np.int64)
-    for h, d in ((a, doc), (two, doc[1:]), (three, doc[1:-1])):
+    for h, first, last in ((a, doc, doc), (two, doc[:-1], doc[1:]), (three, doc[:-2], doc[2:])):
         h = (h ^ (h >> np.uint32(15))) * np.uint32(2246822519)
-        total += np.bincount(d + (h >> np.uint32(17)), minlength=size)
+        inside = first == last
+        total += np.bincount((first * BUCKETS + (h >> np.uint32(17)))[inside], minlength=size)
     at = np.flatnonzero(total)
-    has = np.add.reduceat(np.concatenate((letter, [False])).astype(np.int64), begin[:-1]) > 0
-    has &= lengths > 0
+    has = np.add.reduceat(letter.astype(np.int64), begin) > 0
     return at % BUCKETS, total[at], np.searchsorted(at, np.arange(len(block) + 1) * BUCKETS), has
 
 
@@ -166,9 +166,34 @@ def _features():
     return features
 
 
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of a task, and how many of them hold each bucket (bucket -1: all)."""
+    found, texts = np.zeros(BUCKETS, np.int64), 0
+    for batch in batches:
+        texts += batch.num_rows
+        for bucket, _, _, _ in ngram_counts(batch.column(0).to_pylist()):
+            found += np.bincount(bucket, minlength=BUCKETS)
+    at = np.flatnonzero(found)
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(found[at], texts), pa.int64())], ["bucket", "n"])
+    give_back()
+
+
+def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
+    """Number of rows of the column ``text``, and for each bucket the number
+    that hold it: counted over all rows, at most one row a bucket comes back."""
+    python_tasks(texts.sparkSession)
+    rows = texts.select("text").mapInArrow(_frequencies, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+    counts = {r["bucket"]: r["n"] for r in rows}
+    total = counts.pop(-1, 0)
+    df = np.zeros(BUCKETS)
+    df[list(counts)] = list(counts.values())
+    return total, df
+
+
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn from ``docs`` (doc_id, text, lang): rows outside the held-out fold
-    with a language and a text."""
+    with a language and a text.  Document frequencies come from all of them,
+    weights and temperature from a sample."""
     python_tasks(docs.sparkSession)
     usable = docs.select("doc_id", "text", "lang").where((learn_fold(F.col("doc_id")) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     languages, sample = labelled_sample(usable, "lang", sample_rows)
@@ -177,10 +202,8 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     got = sample.select("lang", "u", "doc_id", _features()("text").alias("f")).select("lang", "u", "doc_id", "f.*").collect()
     got.sort(key=lambda r: (r["u"], r["doc_id"], r["lang"]))
     raw = [(np.frombuffer(r["buckets"], np.uint16).astype(np.int64), 1 + np.log(np.frombuffer(r["counts"], np.uint32))) for r in got]
-    df = np.zeros(BUCKETS)
-    for bucket, _ in raw:
-        df[bucket] += 1
-    idf = np.log((1 + len(raw)) / (1 + df)) + 1
+    total, df = document_frequencies(usable)
+    idf = np.log((1 + total) / (1 + df)) + 1
     rows = []
     for bucket, tf in raw:
         v = tf * idf[bucket]

@@ -5,18 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Labels a model can tell apart; the most frequent ones if there are more.
-MAX_LABELS = 256
 
-
-def labelled_sample(rows: DataFrame, label: str, rows_in_all: int, max_labels: int = MAX_LABELS) -> tuple[list, DataFrame]:
-    """(labels, at most ``rows_in_all`` rows, the same number for each label).
+def labelled_sample(rows: DataFrame, label: str, rows_in_all: int) -> tuple[list, DataFrame]:
+    """(labels, about ``rows_in_all`` rows, the same number for each label and
+    one at least).
 
     ``rows`` has ``doc_id`` and a non-NULL ``label``.  Rows are taken by a hash
     of doc_id.  The share that is let through before the ranking is set from
     the label's count, so that a label's window meets about twice the rows it
     keeps however large the table is.  Column ``u`` is the rank's hash."""
-    counts = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(max_labels).collect()
+    counts = rows.groupBy(label).count().orderBy(label).collect()
     labels = sorted(r[label] for r in counts)
     if not labels:
         return [], rows.limit(0).withColumn("u", F.lit(0.0))
