@@ -51,7 +51,7 @@ END_ID = 2
 SEGMENT_TOKENS = 1 << 16
 #: Ids that the memory for words holds, bytes of a word kept there, entries of
 #: its quick table, and bytes of text worked on at once.
-MEMORY_IDS, WORD_BYTES, QUICK, PIECE_BYTES = 2_000_000, 256, 1 << 19, 2 << 20
+MEMORY_IDS, WORD_BYTES, QUICK, PIECE_BYTES = 5_000_000, 256, 1 << 19, 2 << 20
 SEGMENTS = ("part int, seq int, part_start bigint, n_tokens bigint, doc_ids array<bigint>, "
             "doc_tokens array<bigint>, doc_ranks array<bigint>, payload binary")
 DIGEST = "part int, doc_id bigint, rank bigint, offset bigint, n_tokens bigint, ids_crc32 bigint"
@@ -71,7 +71,11 @@ _WORD = byte_class(b" \n")
 _ODD = ~byte_class(bytes([9, 11, 12, 13, 28, 29, 30, 31]))
 _LEAD = ~byte_class(bytes([0xC2, 0xE1, 0xE2, 0xE3]))
 _PAIRS = np.array([0xC285, 0xC2A0, 0xE19A, 0xE280, 0xE281, 0xE380])
-_AFTER_FEED = np.uint64(0xA24BAED4963EE407)
+#: What tells words after a line feed, and closing punctuation, from words after a space.
+_KINDS = np.array([0, 0xA24BAED4963EE407, 0x9FB21C651E98DF25], np.uint64)
+_AFTER_SPACE, _AFTER_FEED, _CLOSING = range(3)
+_MARK, _LETTER = ~byte_class(_PUNCTUATION.encode()), ~byte_class(bytes([*range(65, 91), *range(97, 123)]))
+LEARN_WORDS = 4096
 
 
 class Encoder:
@@ -96,53 +100,51 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.entry_of: dict[int, int] = {}
         self.quick_hash, self.quick_entry = np.zeros(QUICK, np.uint64), np.full(QUICK, -1, np.int64)
+        self.known_hash, self.known_entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.ids, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64)
         self.bytes = np.zeros(0, np.int64)
 
     def _raw(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _learned(self, keys: list[str]) -> dict[str, bytes]:
-        """Ids of clean keys: closing punctuation after a letter is a token of
-        its own, and the rest goes through the tokenizer many at a time, the
-        ids being dealt back by their width in bytes."""
-        tails, out = self.tails, {}
-        joined = [w for w in keys if w[-1] in tails and w[-2:-1].isalpha()]
-        bases = list(dict.fromkeys(w[:-1] if w[-1] in tails and w[-2:-1].isalpha() else w for w in keys))
-        for k in range(0, len(bases), 512):
-            part = bases[k: k + 512]
-            pieces = [w if w[0] == "\n" else " " + w for w in part]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.cumsum([len(w.encode()) for w in pieces])
+    def _learned(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each) of words: many go through the tokenizer
+        as one text, each behind its blank, and the ids are dealt back by their
+        width in bytes."""
+        size = ends - starts + 1
+        first = np.cumsum(size) - size
+        text = np.empty(int(size.sum()), np.uint8)
+        text[first] = np.where(kind == _AFTER_FEED, 10, 32)
+        text[ranges(first + 1, size - 1)] = raw[ranges(starts, size - 1)]
+        parts, counts = [], []
+        for k in range(0, len(size), LEARN_WORDS):
+            ends = np.cumsum(size[k: k + LEARN_WORDS])
+            chunk = text[first[k]: first[k] + ends[-1]].tobytes().decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([chunk], add_special_tokens=False)[0].ids, np.uint32)
             reached = np.cumsum(self.width[ids])
             cuts = np.searchsorted(reached, ends) + 1
             if reached[-1] != ends[-1] or (reached[cuts - 1] != ends).any():
                 raise ValueError("a token crosses a word boundary")
-            raw, a = ids.tobytes(), 0
-            for w, b in zip(part, (cuts * 4).tolist()):
-                out[w] = raw[a:b]
-                a = b
-        for w in joined:
-            out[w] = out[w[:-1]] + tails[w[-1]]
-        return out
+            parts.append(ids)
+            counts.append(np.diff(cuts, prepend=0))
+        closing = kind == _CLOSING
+        ids, counts = np.concatenate(parts), np.concatenate(counts)
+        if closing.any():  # encoded behind a blank above, but they stand behind a letter
+            own = np.array([np.frombuffer(self.tails[chr(b)], "<u4")[0] for b in raw[starts[closing]].tolist()], np.uint32)
+            at = np.cumsum(counts) - counts
+            drop = ranges(at[closing] + 1, counts[closing] - 1)
+            ids[at[closing]] = own
+            ids, counts = np.delete(ids, drop), np.where(closing, 1, counts)
+        return ids, counts
 
     def _alone(self, text: str) -> bytes:
         """A text by itself: cut only where that is safe."""
         if any(t in text for t in self.added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        pieces = _CUT.split(text)
-        keys = ["\n" + pieces[0], *(p[1:] for p in pieces[1:])]
-        clean = [bool(p) and not any(map(str.isspace, k[1:] if i == 0 else k)) for i, (p, k) in enumerate(zip(pieces, keys))]
-        known = self._learned(list(dict.fromkeys(k for k, ok in zip(keys, clean) if ok)))
-        odd = iter(self._raw([p for p, ok in zip(pieces, clean) if not ok]))
-        out = [known[k] if ok else next(odd) for k, ok in zip(keys, clean)]
-        if clean[0]:
-            out[0] = out[0][len(self.feed):]
-        return b"".join(out)
-
-    def _entries(self, h: np.ndarray, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, after_feed: np.ndarray) -> np.ndarray:
+        return b"".join(self._raw(_CUT.split(text)))
+
+    def _entries(self, h: np.ndarray, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: np.ndarray) -> np.ndarray:
         """Where each word's ids are remembered; new words are encoded."""
         slot = h & np.uint64(QUICK - 1)
         entry = self.quick_entry[slot]
@@ -150,20 +152,22 @@ class Encoder:
         if len(missed) == 0:
             return entry
         distinct, at, back = np.unique(h[missed], return_index=True, return_inverse=True)
-        found = np.array([self.entry_of.get(x, -1) for x in distinct.tolist()], np.int64)
-        new = np.flatnonzero(found < 0)
+        place = np.searchsorted(self.known_hash, distinct)
+        near = np.minimum(place, max(len(self.known_hash) - 1, 0))
+        is_known = self.known_hash[near] == distinct if len(self.known_hash) else np.zeros(len(distinct), bool)
+        found = np.where(is_known, self.known_entry[near], -1) if len(self.known_hash) else np.full(len(distinct), -1, np.int64)
+        new = np.flatnonzero(~is_known)
         if len(new):
-            if self.entry_of and len(self.ids) + 4 * len(new) > MEMORY_IDS:
+            if len(self.bytes) and len(self.ids) + 4 * len(new) > MEMORY_IDS:
                 self._forget()
-                return self._entries(h, raw, starts, ends, after_feed)
+                return self._entries(h, raw, starts, ends, kind)
             where = missed[at[new]]
-            keys = [("\n" if f else "") + raw[a:b].tobytes().decode() for a, b, f in zip(starts[where].tolist(), ends[where].tolist(), after_feed[where].tolist())]
-            known = self._learned(keys)
-            parts = [known[k] for k in keys]
+            ids, counts = self._learned(raw, starts[where], ends[where], kind[where])
             found[new] = np.arange(len(self.bytes), len(self.bytes) + len(new))
-            self.entry_of.update(zip(distinct[new].tolist(), found[new].tolist()))
-            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(p) // 4 for p in parts])])
-            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(parts), "<u4")])
+            self.known_hash = np.insert(self.known_hash, place[new], distinct[new])
+            self.known_entry = np.insert(self.known_entry, place[new], found[new])
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(counts)])
+            self.ids = np.concatenate([self.ids, ids])
             self.bytes = np.concatenate([self.bytes, ends[where] - starts[where]])
         slot = distinct & np.uint64(QUICK - 1)
         self.quick_hash[slot], self.quick_entry[slot] = distinct, found
@@ -192,19 +196,25 @@ class Encoder:
         starts, ends, first_word = word_spans(raw, offsets, _WORD)
         odd = self._odd(column, raw, offsets, starts, ends)
         doc = np.repeat(np.arange(len(odd)), np.diff(first_word))
+        # Closing punctuation after a letter is a token of its own.
+        cut = np.flatnonzero((ends - starts > 1) & _MARK[raw[ends - 1]] & _LETTER[raw[np.maximum(ends - 2, 0)]]) if len(raw) else np.zeros(0, np.int64)
+        leads = starts == offsets[doc]
+        kind = np.where(leads | (raw[np.maximum(starts - 1, 0)] == 10), _AFTER_FEED, _AFTER_SPACE) if len(raw) else np.zeros(0, np.int64)
+        mark = ends[cut] - 1
+        ends = ends.copy()
+        ends[cut] = mark
+        starts, ends, doc, kind, leads = (np.insert(c, cut + 1, v) for c, v in ((starts, mark), (ends, mark + 1), (doc, doc[cut]), (kind, _CLOSING), (leads, False)))
         while True:
             kept = np.flatnonzero(~odd[doc])
-            a, b, of = starts[kept], ends[kept], doc[kept]
-            leads = a == offsets[of]
-            after_feed = leads | (raw[np.maximum(a - 1, 0)] == 10)
+            a, b, of, k = starts[kept], ends[kept], doc[kept], kind[kept]
             h = word_hashes(raw, a, b)
-            h = np.where(after_feed, mix(h + _AFTER_FEED), h)
-            entry = self._entries(h, raw, a, b, after_feed)
+            h = np.where(k == _AFTER_SPACE, h, mix(h + _KINDS[k]))
+            entry = self._entries(h, raw, a, b, k)
             other = self.bytes[entry] != b - a
             if not other.any():
                 break
             odd[of[other]] = True  # another word of the same hash
-        skip = np.where(leads, len(self.feed) // 4, 0)
+        skip = np.where(leads[kept], len(self.feed) // 4, 0)
         begin = self.first[entry] + skip
         length = self.first[entry + 1] - begin
         ids = self.ids[ranges(begin, length)]
