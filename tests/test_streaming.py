@@ -1,6 +1,7 @@
 """Streams equal their batch twins; custom detector errors become rows."""
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tollgate.operators import custom as C
@@ -26,7 +27,7 @@ def test_stream_outage_matches_batch_episodes(spark):
     outages = alerts.where(F.col("event") == "outage")
     assert outages.count() == episodes.count()
     # the outage alert fires at the 5th failure of each episode
-    j = episodes.join(outages, "endpoint")
+    j = episodes.join(outages.select("endpoint", "ts", F.col("first_event_id").alias("a")), "endpoint")
     assert j.where((F.col("ts") >= F.col("start_ts")) & (F.col("ts") <= F.col("end_ts"))).count() == episodes.count()
 
 
@@ -50,29 +51,118 @@ def test_custom_detector_errors_become_rows(spark):
     assert ok.where(F.col("kind") == "error").count() == 0
 
 
-def test_outage_state_carries_across_batches(spark, tmp_path):
-    """Split events into two files read one per micro-batch: streaks that
-    span the split are still counted through the per-endpoint state."""
-    from tollgate.operators import policy as P
+def _drop_file(df, folder, name, order):
+    """One Parquet file with a modification time that sets its turn."""
+    import glob
+    import os
+    import shutil
+    tmp = f"{folder}-{name}"
+    df.coalesce(1).write.parquet(tmp)
+    os.makedirs(folder, exist_ok=True)
+    target = f"{folder}/{name}.parquet"
+    shutil.copy(glob.glob(f"{tmp}/*.parquet")[0], target)
+    os.utime(target, (1_000_000 + order, 1_000_000 + order))
+
+
+def _calls(spark):
     from tollgate.sources import derived
+    return derived.outcomes(read_table(spark, SF_SMALL, "events")).select("endpoint", "event_id", "ts", "ok")
+
+
+@pytest.fixture(scope="module")
+def whole_alerts(spark, tmp_path_factory):
+    """Alerts of all calls in one batch, runs of two, quiet after six hours."""
     from tollgate.streaming import jobs as S
+    folder = str(tmp_path_factory.mktemp("whole"))
+    calls = _calls(spark)
+    calls.unionByName(S.heartbeat(calls)).write.parquet(f"{folder}/in")
+    S.run_outage(spark, f"{folder}/in", f"{folder}/out", threshold=2, quiet_minutes=360)
+    return _rows(spark.read.parquet(f"{folder}/out"))
 
-    ev = read_table(spark, SF_SMALL, "events")
-    episodes = P.outage_episodes(derived.outcomes(ev), threshold=2)
-    cut = episodes.orderBy("first_event_id").first().last_event_id   # split inside a streak
-    src = str(tmp_path / "events")
-    ev.where(F.col("event_id") < cut).coalesce(1).write.parquet(src + "/part1")
-    ev.where(F.col("event_id") >= cut).coalesce(1).write.parquet(src + "/part2")
-    stream = (spark.readStream.format("parquet").schema(ev.schema)
-              .option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").load(src))
-    out = str(tmp_path / "alerts")
-    alerts = S.outage_stream(stream, threshold=2)
-    S.run_available(alerts.writeStream.outputMode("append").format("parquet").option("path", out),
-                    "outage-two-batches", spark)
-    got = spark.read.parquet(out).where(F.col("event") == "outage")
-    assert got.count() == episodes.count()
-    spans = episodes.where((F.col("first_event_id") < cut) & (F.col("last_event_id") >= cut)).count()
-    assert spans >= 1
+
+def test_outage_alerts_hold_the_batch_episodes(spark, whole_alerts):
+    from tollgate.operators import policy as P
+    episodes = sorted(tuple(r) for r in P.outage_episodes(_calls(spark), threshold=2).select(
+        "endpoint", "start_ts", "end_ts", "first_event_id", "last_event_id", "n_failures").collect())
+    columns = ["endpoint", "event", "event_id", "ts", "streak", "start_ts", "first_event_id", "end_ts", "last_event_id"]
+    rows = [dict(zip(columns, r)) for r in whole_alerts]
+    found = {}
+    for r in sorted(rows, key=lambda r: (r["endpoint"], r["end_ts"], r["event"] == "recovery")):
+        if r["event"] != "outage":  # a later row of a run replaces an earlier one
+            found[r["endpoint"], r["first_event_id"]] = (r["endpoint"], r["start_ts"], r["end_ts"], r["first_event_id"], r["last_event_id"], r["streak"])
+    assert sorted(found.values()) == episodes and len(episodes) > 20
+    assert sum(r["event"] == "outage" for r in rows) == len(episodes)
+    assert any(r["event"] == "open" for r in rows)
+
+
+def test_outage_alerts_do_not_depend_on_files_or_their_order(spark, tmp_path, whole_alerts):
+    """Calls dealt over files at random, each file one batch, all of them
+    inside the watermark."""
+    from tollgate.streaming import jobs as S
+    calls, folder = _calls(spark), str(tmp_path / "in")
+    for k in range(3):
+        _drop_file(calls.where(F.pmod(F.hash("event_id"), F.lit(3)) == k), folder, f"part{k}", k)
+    _drop_file(S.heartbeat(calls, days=90), folder, "heart", 9)
+    S.run_outage(spark, folder, str(tmp_path / "out"), threshold=2, watermark="40 days", quiet_minutes=360, max_files_per_trigger=1)
+    assert _rows(spark.read.parquet(str(tmp_path / "out"))) == whole_alerts
+
+
+def test_outage_stream_resumes(spark, tmp_path, whole_alerts):
+    """The job ends between two files that cut runs in two; timers fire in the
+    meantime, state and timers come back from the checkpoint."""
+    from tollgate.streaming import jobs as S
+    calls, folder, out, ckpt = _calls(spark), *(str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    cuts = calls.approxQuantile("event_id", [0.4, 0.7], 0.0)
+    between = [None, *cuts, None]
+    for k, (a, b) in enumerate(zip(between, between[1:])):
+        part = calls.where((F.col("event_id") >= (a or 0)) & (F.col("event_id") < (b or 1 << 40)))
+        _drop_file(part, folder, f"part{k}", k)
+        S.run_outage(spark, folder, out, threshold=2, quiet_minutes=360, checkpoint=ckpt)
+        assert k > 0 or 0 < spark.read.parquet(out).count() < len(whole_alerts)
+    _drop_file(S.heartbeat(calls), folder, "heart", 9)
+    S.run_outage(spark, folder, out, threshold=2, quiet_minutes=360, checkpoint=ckpt)
+    assert _rows(spark.read.parquet(out)) == whole_alerts
+
+
+def test_late_calls_are_dropped_and_counted(spark, tmp_path):
+    from tollgate.streaming import jobs as S
+    calls, folder = _calls(spark), str(tmp_path / "in")
+    middle = calls.approxQuantile("event_id", [0.5], 0.0)[0]
+    _drop_file(calls.where(F.col("event_id") >= middle), folder, "new", 0)
+    _drop_file(S.heartbeat(calls, days=1), folder, "heart", 1)
+    _drop_file(calls.where(F.col("event_id") < middle), folder, "old", 2)
+    q = S.run_outage(spark, folder, str(tmp_path / "out"), threshold=2, max_files_per_trigger=1)
+    dropped = sum(int(s.get("numRowsDroppedByWatermark", 0)) for p in q.recentProgress for s in p["stateOperators"])
+    assert dropped > 0
+    assert spark.read.parquet(str(tmp_path / "out")).where(F.col("first_event_id") < middle).count() == 0
+
+
+def test_summaries_merge_like_the_whole(spark):
+    """Any mix of calls within and across minutes, against plain counting."""
+    import datetime as dt
+    import random
+
+    from tollgate.streaming import outage as O
+    rnd = random.Random(1)
+    for threshold in (1, 2, 3):
+        t0, calls, at = dt.datetime(2024, 1, 1), [], 0
+        for k in range(400):
+            at += rnd.choice([0, 1, 5, 30, 70, 500])
+            calls.append((1, t0 + dt.timedelta(seconds=at), k, rnd.random() < 0.35))
+        df = spark.createDataFrame(calls, "endpoint long, ts timestamp_ntz, event_id long, ok boolean")
+        run, got = None, []
+        for s in sorted((r.asDict(True) for r in O.minute_summaries(df, "1 minute", threshold).drop("minute_time").collect()), key=lambda s: s["minute_us"]):
+            more, run = O.apply_summary(run, s, threshold, 10**15)
+            got += [(e, i, n) for e, i, _, n, *_ in more]
+        want, streak = [], 0
+        for _, _, k, ok in calls:
+            if ok:
+                want += [("recovery", k, streak)] if streak >= threshold else []
+                streak = 0
+            else:
+                streak += 1
+                want += [("outage", k, threshold)] if streak == threshold else []
+        assert sorted(got) == sorted(want) and run[0] == streak
 
 
 def test_stream_quota_drops_late_rows(spark, tmp_path):
@@ -107,41 +197,6 @@ def test_stream_quota_drops_late_rows(spark, tmp_path):
     assert emitted.where(F.col("minute_start") < oldest_max.replace(second=0, microsecond=0)).count() == 0
 
 
-def test_outage_stream_reports_out_of_order_rows(spark, tmp_path):
-    """The newer half arrives first: every row of the older half arriving
-    later is reported as ``late`` and does not disturb the streaks, which
-    equal the batch episodes of the newer half alone."""
-    import os
-    import shutil
-    from tollgate.operators import policy as P
-    from tollgate.sources import derived
-    from tollgate.streaming import jobs as S
-
-    ev = read_table(spark, SF_SMALL, "events")
-    cut = ev.approxQuantile("event_id", [0.5], 0.0)[0]
-    newer, older = ev.where(F.col("event_id") >= cut), ev.where(F.col("event_id") < cut)
-    src = tmp_path / "flat"
-    os.makedirs(src)
-    for i, part in enumerate([newer, older]):
-        tmp = str(tmp_path / f"p{i}")
-        part.coalesce(1).write.parquet(tmp)
-        f = next(x for x in os.listdir(tmp) if x.endswith(".parquet"))
-        shutil.copy(os.path.join(tmp, f), src / f"part{i}.parquet")
-        os.utime(src / f"part{i}.parquet", (1_000_000 + i, 1_000_000 + i))
-    stream = S.file_stream(spark, str(src), ev.schema, max_files_per_trigger=1)
-    out = str(tmp_path / "alerts")
-    S.run_available(S.outage_stream(stream, threshold=2).writeStream.outputMode("append")
-                    .format("parquet").option("path", out), "outage-late", spark)
-    alerts = spark.read.parquet(out)
-    late = alerts.where(F.col("event") == "late")
-    # every older row whose endpoint already had newer rows is late
-    seen = newer.select(F.col("user_id")).distinct()
-    expect_late = older.join(seen, "user_id", "left_semi").count()
-    assert late.count() == expect_late > 0
-    episodes = P.outage_episodes(derived.outcomes(newer), threshold=2)
-    assert alerts.where(F.col("event") == "outage").count() >= episodes.count()
-
-
 def test_custom_detector_sees_only_gated_rows(spark):
     """Blank texts never reach the Python worker, nor do those a caller's size
     gate answers with a row of its own; a detector that always fails produces

@@ -398,9 +398,11 @@ def q_stream_quota(spark, d):
 
 
 def q_stream_outage(spark, d):
-    src = f"{d.rstrip('/')}/events.parquet"
-    out = scratch_path(spark, "stream-outage")
-    S.run_outage(spark, d, out, spark.read.parquet(src).schema, glob="events.parquet")
+    """Call outcomes as a log of files, a heartbeat among them, drained once."""
+    src, out = scratch_path(spark, "outcomes"), scratch_path(spark, "stream-outage")
+    calls = derived.outcomes(_events(spark, d)).select("endpoint", "event_id", "ts", "ok")
+    calls.unionByName(S.heartbeat(calls)).write.parquet(src)
+    S.run_outage(spark, src, out)
     return spark.read.parquet(out)
 
 

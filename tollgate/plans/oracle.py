@@ -416,11 +416,18 @@ ORACLE: dict[str, str] = {
     "stream_outage": f"""WITH {STREAKS},
         s AS (SELECT *, CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY endpoint, grp
                 ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS k FROM g),
-        p AS (SELECT *, lag(CASE WHEN ok THEN 0 ELSE k END, 1, 0) OVER (PARTITION BY endpoint ORDER BY ts, event_id)
-                AS prev FROM s)
-        SELECT endpoint, 'outage' AS event, event_id, ts, k AS streak FROM p WHERE NOT ok AND k = 5
+        p AS (SELECT *, lag(CASE WHEN ok THEN 0 ELSE k END, 1, 0) OVER t AS prev, lag(ts) OVER t AS last_ts, lag(event_id) OVER t AS last_id, lead(ts) OVER t AS next_ts,
+                first(ts) OVER r AS run_ts, first(event_id) OVER r AS run_id,
+                lag(CASE WHEN ok THEN NULL ELSE grp END) OVER t AS prev_grp
+              FROM s WINDOW t AS (PARTITION BY endpoint ORDER BY ts, event_id), r AS (PARTITION BY endpoint, grp, ok ORDER BY ts, event_id)),
+        runs AS (SELECT endpoint, grp, min(ts) AS a_ts, arg_min(event_id, (ts, event_id)) AS a_id FROM p WHERE NOT ok GROUP BY endpoint, grp)
+        SELECT endpoint, 'outage' AS event, event_id, ts, k AS streak, run_ts AS start_ts, run_id AS first_event_id, ts AS end_ts, event_id AS last_event_id
+        FROM p WHERE NOT ok AND k = 5
         UNION ALL
-        SELECT endpoint, 'recovery', event_id, ts, prev FROM p WHERE ok AND prev >= 5""",
+        SELECT p.endpoint, 'recovery', event_id, ts, prev, a_ts, a_id, last_ts, last_id FROM p JOIN runs USING (endpoint) WHERE ok AND prev >= 5 AND runs.grp = prev_grp
+        UNION ALL
+        SELECT endpoint, 'open', event_id, ts, k, run_ts, run_id, ts, event_id FROM p
+        WHERE NOT ok AND k >= 5 AND (next_ts IS NULL OR date_trunc('minute', next_ts) >= date_trunc('minute', ts + INTERVAL 1 DAY) + INTERVAL 1 MINUTE)""",
     "custom_detector": f"""WITH {DOCS} SELECT doc_id AS item_id, 'tonality_drift_hostile' AS raw_type,
           round(up / letters, 4) AS confidence, 'finding' AS kind, CAST(NULL AS VARCHAR) AS message
         FROM (SELECT doc_id, length(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')) AS letters,

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import logging
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -72,3 +75,22 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused location under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once per application, so
+    that Python tasks import them wherever they run."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    handle, name = tempfile.mkstemp(prefix="tollgate-", suffix=".zip")
+    os.close(handle)
+    with zipfile.ZipFile(name, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(name)
+    _SHIPPED.add(sc.applicationId)

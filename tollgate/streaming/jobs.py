@@ -12,19 +12,17 @@ with a processing-time trigger.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators import policy as P
 from ..operators.quota import TIERS
 from ..plans.governance import govern_documents
-from ..session import scratch_path
+from ..session import scratch_path, ship_package
 from ..sources.sinks import write_routed
 from ..sources import derived
+from .outage import QUIET_MINUTES, STATE_STORE, outage_events
 
 WATERMARK = "10 minutes"
 
@@ -107,74 +105,34 @@ def run_quota(spark: SparkSession, events_dir: str, out_path: str, schema: T.Str
 
 
 # ---------------------------------------------------------------------------
-OUTAGE_OUT = T.StructType([
+OUTCOME_SCHEMA = T.StructType([
     T.StructField("endpoint", T.LongType()),
-    T.StructField("event", T.StringType()),
     T.StructField("event_id", T.LongType()),
     T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("streak", T.LongType()),
-])
-OUTAGE_STATE = T.StructType([
-    T.StructField("streak", T.LongType()),
-    T.StructField("last_us", T.LongType()),     # (ts, event_id) of the last row applied
-    T.StructField("last_id", T.LongType()),
+    T.StructField("ok", T.BooleanType()),
 ])
 
 
-def _outage_fn(threshold: int):
-    def fn(key, frames, state):
-        carried, last_us, last_id = (state.get if state.exists else (0, None, None))
-        carried = int(carried)
-        pdf = pd.concat(list(frames), ignore_index=True)
-        pdf = pdf.sort_values(["ts", "event_id"], kind="mergesort").reset_index(drop=True)
-        us = pdf["ts"].astype("datetime64[us]").astype("int64")
-        if last_us is not None:
-            # Rows at or before what this endpoint already applied cannot be
-            # placed in its sequence any more: report them, do not apply them.
-            late_mask = ((us < last_us) | ((us == last_us) & (pdf["event_id"] <= last_id))).to_numpy()
-        else:
-            late_mask = np.zeros(len(pdf), dtype=bool)
-        late, pdf, us = pdf[late_mask], pdf[~late_mask].reset_index(drop=True), us[~late_mask]
-        ok = pdf["ok"].to_numpy(dtype=bool)
-        seg = np.cumsum(ok)
-        fails = pd.Series((~ok).astype(np.int64)).groupby(seg).cumsum().to_numpy()
-        streak = fails + np.where(seg == 0, carried, 0)
-        streak = np.where(ok, 0, streak)
-        prev = np.concatenate([[carried], streak[:-1]])
-        outage = (~ok) & (streak == threshold)
-        recovery = ok & (prev >= threshold)
-        if len(pdf):
-            state.update((int(streak[-1]), int(us.iloc[-1]), int(pdf["event_id"].iloc[-1])))
-        else:
-            state.update((carried, last_us, last_id))
-        out = pd.concat([
-            pd.DataFrame({"event": "outage", "event_id": pdf["event_id"][outage],
-                          "ts": pdf["ts"][outage], "streak": streak[outage]}),
-            pd.DataFrame({"event": "recovery", "event_id": pdf["event_id"][recovery],
-                          "ts": pdf["ts"][recovery], "streak": prev[recovery]}),
-            pd.DataFrame({"event": "late", "event_id": late["event_id"], "ts": late["ts"],
-                          "streak": np.full(len(late), carried, dtype=np.int64)}),
-        ], ignore_index=True)
-        out.insert(0, "endpoint", key[0])
-        yield out[["endpoint", "event", "event_id", "ts", "streak"]]
-    return fn
-
-
-def outage_stream(events: DataFrame, threshold: int = P.FAILURE_THRESHOLD) -> DataFrame:
-    """Alert rows when an endpoint reaches ``threshold`` consecutive failures
-    and when it recovers.  State per endpoint is the open streak length and
-    the last ``(ts, event_id)`` applied; rows are ordered within each
-    micro-batch, and rows older than what an endpoint already applied are
-    reported as ``late`` events instead of corrupting its streak."""
-    o = derived.outcomes(events)
-    return (o.groupBy("endpoint")
-            .applyInPandasWithState(_outage_fn(threshold), OUTAGE_OUT, OUTAGE_STATE, "append",
-                                    GroupStateTimeout.NoTimeout))
-
-
-def run_outage(spark: SparkSession, events_dir: str, out_path: str, schema: T.StructType,
-               threshold: int = P.FAILURE_THRESHOLD, glob: str | None = None, checkpoint: str | None = None,
-               max_files_per_trigger: int | None = None) -> None:
-    alerts = outage_stream(file_stream(spark, events_dir, schema, max_files_per_trigger, glob=glob), threshold)
-    run_available(alerts.writeStream.outputMode("append").format("parquet").option("path", out_path),
-                  "outage", spark, checkpoint)
+def heartbeat(events: DataFrame, days: int = 3) -> DataFrame:
+    """One row without an endpoint, ``days`` after the last event: it closes
+    every minute of a stream that ends here."""
+    return events.agg(F.max("ts").alias("ts")).select(
+        F.lit(None).cast("bigint").alias("endpoint"), F.lit(None).cast("bigint").alias("event_id"),
+        (F.col("ts") + F.make_dt_interval(days=F.lit(days))).alias("ts"), F.lit(True).alias("ok"))
+
+
+def run_outage(spark: SparkSession, outcomes_dir: str, out_path: str, threshold: int = P.FAILURE_THRESHOLD, watermark: str = WATERMARK,
+               quiet_minutes: int = QUIET_MINUTES, checkpoint: str | None = None, max_files_per_trigger: int | None = None):
+    """Alerts on the call outcomes arriving under ``outcomes_dir`` (see
+    :func:`tollgate.streaming.outage.outage_events`) into ``out_path``.  Its
+    state with timers needs Spark's RocksDB state store, set for this query."""
+    ship_package(spark)
+    calls = file_stream(spark, outcomes_dir, OUTCOME_SCHEMA, max_files_per_trigger)
+    rows = outage_events(calls, threshold, watermark, quiet_minutes)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, STATE_STORE)
+    try:
+        return run_available(rows.writeStream.outputMode("append").format("parquet").option("path", out_path), "outage", spark, checkpoint)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
