@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 from ..functions import exprs as X
 from ..functions import rules as R
+from ..session import scratch_path, ship_package
+from .rule_index import indexed_matches, with_literals
 
 FINDING_TYPE = T.StructType([
     T.StructField("raw_type", T.StringType()),
@@ -244,7 +246,8 @@ def _row_hint(text: Column, hints, hint_re, ci_hints) -> Column | None:
     return rule_hint(text, R.Rule("", "", 0, 0.0, tuple(hints or ()), hint_re, tuple(ci_hints or ())))
 
 
-# Rules of one array column; a table of any size becomes as many columns as it needs.
+# Rules of one array column.  Tables with more rules than that go through the
+# index of literals; of these, the rules without a literal are still columns.
 RULES_PER_COLUMN = 64
 
 
@@ -253,9 +256,12 @@ def rule_scan(df: DataFrame, id_col: str, text: str, rules: DataFrame) -> DataFr
     [, hints, hint_re, ci_hints])`` against every text.  Rows: the finding
     contract, with ``ord`` 1 and no ``match_hash`` (a rule says whether).
 
-    The rule table is configuration: it is read to the driver and inlined as a
-    projection of ``rlike`` columns, so each text is read once and there is no
-    join, whatever the number of rules.  Optional hint columns prefilter rows
+    A small table is read to the driver and inlined as a projection of ``rlike``
+    columns, so each text is read once and there is no join.  A table of more
+    than ``RULES_PER_COLUMN`` rules goes through an index from required literals
+    to rules (:mod:`tollgate.operators.rule_index`): a pattern runs only on
+    texts that hold its literal, and only the rules without a literal (see
+    there) are inlined and run on every text.  Optional hint columns prefilter rows
     before the full pattern runs: a rule with no hints always runs; otherwise
     a row must pass at least one of them (a substring, a cheap regex, or a
     lower-case substring of the lower-cased text).  A rule without a pattern
@@ -265,9 +271,28 @@ def rule_scan(df: DataFrame, id_col: str, text: str, rules: DataFrame) -> DataFr
     for c, t in (("hints", "array<string>"), ("hint_re", "string"), ("ci_hints", "array<string>")):
         if c not in rules.columns:
             rules = rules.withColumn(c, F.lit(None).cast(t))
+    rules = rules.where(F.col("pattern").isNotNull()).select("raw_label", "pattern", "confidence", "hints", "hint_re", "ci_hints")
+    if rules.limit(RULES_PER_COLUMN + 1).count() > RULES_PER_COLUMN:
+        return _indexed_scan(df, id_col, text, rules)
+    return _inlined_scan(df, id_col, text, rules)
+
+
+def _indexed_scan(df: DataFrame, id_col: str, text: str, rules: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    ship_package(spark)
+    path = scratch_path(spark, "rules")  # written: rules keep their numbers however often they are read
+    with_literals(rules).withColumn("rule_id", F.monotonically_increasing_id()).write.parquet(path)
+    numbered = spark.read.parquet(path)
+    indexed, rest = numbered.where("literals is not null"), numbered.where("literals is null")
+    texts = df.select(F.col(id_col).alias("item_id"), F.col(text).alias("text"))
+    hits = indexed_matches(texts, indexed).select("item_id", F.coalesce("raw_label", F.lit("unknown")).alias("raw_type"), "confidence", F.lit(1).alias("ord"), F.lit(None).cast("string").alias("match_hash"))
+    return hits.unionByName(_inlined_scan(df, id_col, text, rest))
+
+
+def _inlined_scan(df: DataFrame, id_col: str, text: str, rules: DataFrame) -> DataFrame:
     t = F.col(text)
     cols = []
-    for r in rules.where(F.col("pattern").isNotNull()).select("raw_label", "pattern", "confidence", "hints", "hint_re", "ci_hints").collect():
+    for r in rules.collect():
         match = t.rlike(r["pattern"])
         hint = _row_hint(t, r["hints"], r["hint_re"], r["ci_hints"])
         cond = match if hint is None else (hint & match)
