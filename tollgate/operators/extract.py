@@ -63,6 +63,15 @@ def _chat_pieces(body: Column, roles: tuple[str, ...], keep_bare_strings: bool)
     return pieces, bad
 
 
+def message_text(m: Column, keep_bare_strings: bool = False) -> Column:
+    """Text of one chat message: string content, or its text parts joined by
+    line feeds; NULL where the client would raise or the content is neither."""
+    content = F.variant_get(m, "$.content", "variant")
+    pieces = _part_pieces(content, keep_bare_strings)
+    return (F.when(variant_kind(content) == "string", F.variant_get(content, "$", "string"))
+            .when((variant_kind(content) == "array") & ~F.exists(pieces, lambda x: x.isNull()), F.array_join(pieces, "\n")))
+
+
 def _gemini_list(arr: Column) -> Column:
     """``contents`` as a list: strings, ``{text}`` dicts, ``{parts}`` dicts."""
     items = F.variant_get(arr, "$", "array<variant>")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.running import chunked_running
+from ..plans.temporal import in_any_interval
 
 # FIXED VALUES: retry defaults (attempts, first backoff seconds, multiplier, cap).
 MAX_ATTEMPTS = 3
@@ -225,6 +226,31 @@ def outage_episodes(outcomes: DataFrame, threshold: int = FAILURE_THRESHOLD,
                     F.col("_e")["event_id"].alias("last_event_id"), "n_failures"))
 
 
+def breaker_trips(outcomes: DataFrame, threshold: int = FAILURE_THRESHOLD,
+                  chunk_seconds: int = STREAK_CHUNK_SECONDS) -> DataFrame:
+    """(endpoint, trip_ts): the failure that made a run ``threshold`` long.
+    Failures are counted through a run chunk by chunk of time."""
+    f = streaks(outcomes, chunk_seconds)
+    chunk = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(chunk_seconds * 1_000_000))
+    counted = chunked_running(f, ["endpoint", "anchor"], ["ts", "event_id"], chunk, F.lit(1), "sum", "k")
+    return counted.where(F.col("k") == threshold).select("endpoint", F.col("ts").alias("trip_ts"))
+
+
+def breaker_attempts(attempts: DataFrame, threshold: int = FAILURE_THRESHOLD, cooldown_seconds: int = 60,
+                     bin_seconds: int | None = None) -> DataFrame:
+    """The attempt log as a breaker would have left it: an attempt at an
+    endpoint later than a trip and less than the cool-down after it is
+    ``breaker_open`` (no status, no message).  Runs are those of the log as
+    given."""
+    outcomes = attempts.select("endpoint", (F.col("request_id") * 1000 + F.col("attempt")).alias("event_id"), "ts", (F.col("kind") == "ok").alias("ok"))
+    trips = breaker_trips(outcomes, threshold)
+    spans = trips.select("endpoint", (F.col("trip_ts") + F.expr("interval 1 microsecond")).alias("open_ts"),
+                         (F.col("trip_ts") + F.make_dt_interval(secs=F.lit(cooldown_seconds).cast("decimal(18,6)"))).alias("until_ts"))
+    a = in_any_interval(attempts, spans, ["endpoint"], "ts", "open_ts", "until_ts", bin_seconds or cooldown_seconds, "_open")
+    return (a.withColumn("kind", F.when(F.col("_open"), F.lit("breaker_open")).otherwise(F.col("kind")))
+            .withColumn("status", F.when(~F.col("_open"), F.col("status"))).withColumn("message", F.when(~F.col("_open"), F.col("message"))).drop("_open"))
+
+
 def scan_stats(attempts: DataFrame) -> DataFrame:
     """Per-endpoint success / failure counters and the last failure time."""
     failed = F.col("kind") != "ok"

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.temporal import asof_join, rolling_count
+
 # FIXED VALUES: tier limits (scans per minute, scans per calendar month);
 # the anonymous tier has no published limit.
 TIERS: tuple[tuple[str, int | None, int | None], ...] = (
@@ -14,6 +16,10 @@ TIERS: tuple[tuple[str, int | None, int | None], ...] = (
     ("enterprise", 1_000, 1_000_000),
 )
 
+#: Limits of the registered queries: small enough that small tables exceed them.
+TRIAL_TIERS: tuple[tuple[str, int | None, int | None], ...] = (
+    ("anonymous", None, None), ("community", 1, 10), ("pro", 2, 20), ("enterprise", 1, 40))
+
 
 def tier_frame(spark, tiers=TIERS) -> DataFrame:
     return spark.createDataFrame(list(tiers), "tier string, per_minute int, per_month int")
@@ -68,6 +74,44 @@ def quota_month(scans: DataFrame, tiers=TIERS) -> DataFrame:
                     "crossed_event_id", "crossed_ts"))
 
 
+def quota_asof(scans: DataFrame, changes: DataFrame, tiers=TIERS) -> DataFrame:
+    """Calendar-month use per key and *tier in force* at each scan, against the
+    tier's allowance.
+
+    ``changes`` (key_id, since, new_tier) is the log of a key's changes; before
+    the first one a scan's own ``tier`` holds.  The tier is carried to the
+    scans by an as-of join over chunks of time, then counted by a partial
+    aggregate."""
+    t = F.broadcast(tier_frame(scans.sparkSession, tiers))
+    billed = asof_join(scans, changes, ["key_id"], "ts", "since", ["new_tier"])
+    billed = billed.withColumn("tier", F.coalesce("new_tier", "tier")).withColumn("month_start", F.date_trunc("month", "ts").cast("timestamp_ntz"))
+    monthly = billed.groupBy("key_id", "tier", "month_start").agg(F.count(F.lit(1)).alias("n_scans"))
+    return monthly.join(t, "tier", "left").select(
+        "key_id", "tier", "month_start", "n_scans", F.col("per_month").alias("allowance"),
+        F.greatest(F.col("n_scans") - F.col("per_month"), F.lit(0)).cast("long").alias("over_by"))
+
+
+def quota_rolling(scans: DataFrame, seconds: int = 60, tiers=TIERS) -> DataFrame:
+    """For every scan, the key's scans in the ``seconds`` up to and with it, the
+    tier's rate limit, and the excess over it: what a sliding-window limiter
+    sees, where a limit per calendar minute lets twice the rate pass at a
+    minute's border."""
+    t = F.broadcast(tier_frame(scans.sparkSession, tiers))
+    n = rolling_count(scans, "key_id", "ts", seconds, "n_recent")
+    return n.join(t, "tier", "left").select(
+        "key_id", "event_id", "tier", "ts", "n_recent", F.col("per_minute").alias("rate_limit"),
+        F.greatest(F.col("n_recent") - F.col("per_minute"), F.lit(0)).cast("long").alias("excess"))
+
+
+def sessions(scans: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """Bursts of a key: scans less than ``gap`` apart, with their first and last
+    scan.  In a stream (``ts`` with a watermark) a burst is given out once the
+    watermark has passed its end by the gap."""
+    s = scans.groupBy(F.session_window("ts", gap).alias("w"), "key_id").agg(
+        F.count(F.lit(1)).alias("n_scans"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    return s.select("key_id", F.col("first_ts").cast("timestamp_ntz").alias("first_ts"), F.col("last_ts").cast("timestamp_ntz").alias("last_ts"), "n_scans")
+
+
 def threat_rollup(verdicts: DataFrame) -> DataFrame:
     """Unsafe verdict counts by (type, severity) with subtotals and a grand total."""
     v = verdicts.where(~F.col("safe"))

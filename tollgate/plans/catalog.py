@@ -23,13 +23,14 @@ from ..operators import quota as Q
 from ..operators import requests as RQ
 from ..operators import verdicts as V
 from ..session import scratch_path
-from .governance import conversation_findings, govern_conversations, govern_documents
+from .governance import conversation_findings, conversation_verdicts, govern_conversations, govern_documents
 from .sizing import barrier, spread_for_cpu
 from ..sources import derived
 from ..sources.sinks import write_routed
 from ..sources.tables import (parse_requests, parse_verdicts, read_attempts, read_json_lines,
                               read_messages, read_table)
 from ..streaming import jobs as S
+from ..streaming import requests as SR
 
 Query = Callable[[SparkSession, str], DataFrame]
 ALL_FAMILIES = ("pii", "secrets", "code", "prompt")
@@ -285,6 +286,18 @@ def q_fail_mode(spark, d):
             .select("request_id", "fail_mode", "decision", "safe", "reason", "degraded", "error"))
 
 
+#: Failures that trip the breaker, its cool-down, and the attempts of a request in the registered query.
+TRIP_AFTER, COOLDOWN_SECONDS, TRIES = 3, 4 * 3600, 2
+
+
+def q_breaker_outcomes(spark, d):
+    """Attempts while the breaker is open never reach the service."""
+    r = P.retry_resolve(P.breaker_attempts(derived.gappy_attempts(_events(spark, d)), TRIP_AFTER, COOLDOWN_SECONDS), max_attempts=TRIES)
+    mode = F.when(F.col("endpoint").isin("ep0", "ep1", "ep2"), F.lit("open")).otherwise(F.lit("closed"))
+    return (P.apply_fail_mode(r, mode)
+            .select("request_id", "kind", "attempts", "fail_mode", "decision", "safe", "reason", "degraded", "error"))
+
+
 def q_outage_episodes(spark, d):
     return P.outage_episodes(derived.outcomes(_events(spark, d)))
 
@@ -334,6 +347,12 @@ def q_rule_scan(spark, d):
     return D.rule_scan(_text_docs(spark, d), "doc_id", "text", rules)
 
 
+def q_rule_scan_large(spark, d):
+    """A rule table that grows with the documents, through the index."""
+    docs = _text_docs(spark, d)
+    return D.rule_scan(docs, "doc_id", "text", derived.document_rules(_docs(spark, d)))
+
+
 def q_assemble_verdict(spark, d):
     f = _text_docs(spark, d).select(F.col("doc_id").alias("item_id"),
                                D.findings(F.col("text"), ALL_FAMILIES).alias("findings"))
@@ -366,11 +385,28 @@ def q_framework_coverage(spark, d):
 # quotas and roll-ups
 # ---------------------------------------------------------------------------
 def q_quota_minute(spark, d):
-    return Q.quota_minute(derived.scans(_events(spark, d)))
+    return Q.quota_minute(derived.scans(_events(spark, d)), Q.TRIAL_TIERS)
 
 
 def q_quota_month(spark, d):
-    return Q.quota_month(derived.scans(_events(spark, d)))
+    return Q.quota_month(derived.scans(_events(spark, d)), Q.TRIAL_TIERS)
+
+
+def q_quota_asof(spark, d):
+    ev = _events(spark, d)
+    return Q.quota_asof(derived.scans(ev), derived.tier_changes(ev), Q.TRIAL_TIERS)
+
+
+#: Window of the registered rolling limit and gap of the registered bursts.
+ROLLING_SECONDS, BURST_GAP = 6 * 3600, "6 hours"
+
+
+def q_quota_rolling(spark, d):
+    return Q.quota_rolling(derived.scans(_events(spark, d)), ROLLING_SECONDS, Q.TRIAL_TIERS)
+
+
+def q_sessions(spark, d):
+    return Q.sessions(derived.scans(_events(spark, d)), BURST_GAP)
 
 
 def q_threat_rollup(spark, d):
@@ -393,10 +429,27 @@ def q_stream_gate(spark, d):
 def q_stream_quota(spark, d):
     src = f"{d.rstrip('/')}/events.parquet"
     out = scratch_path(spark, "stream-quota")
-    S.run_quota(spark, d, out, spark.read.parquet(src).schema, glob="events.parquet")
+    S.run_quota(spark, d, out, spark.read.parquet(src).schema, glob="events.parquet", tiers=Q.TRIAL_TIERS)
     return spark.read.parquet(out)
 
 
+def q_stream_sessions(spark, d):
+    """The scans as a log of files, a heartbeat among them, drained once."""
+    src, out = scratch_path(spark, "scans"), scratch_path(spark, "stream-sessions")
+    scans = derived.scans(_events(spark, d)).select("key_id", "ts")
+    scans.unionByName(S.heartbeat(scans).select(F.col("endpoint").alias("key_id"), "ts")).write.parquet(src)
+    S.run_sessions(spark, src, out, BURST_GAP)
+    return spark.read.parquet(out)
+
+
+def q_stream_requests(spark, d):
+    """Conversations judged from a log of requests that resend their history."""
+    src, out = scratch_path(spark, "request-log"), scratch_path(spark, "stream-requests")
+    derived.resent_requests(_messages(spark, d, roles=None)).write.text(src)
+    SR.run_requests(spark, src, out)
+    return conversation_verdicts(spark.read.parquet(f"{out}/messages"))
+
+
 def q_stream_outage(spark, d):
     """Call outcomes as a log of files, a heartbeat among them, drained once."""
     src, out = scratch_path(spark, "outcomes"), scratch_path(spark, "stream-outage")
@@ -443,6 +496,7 @@ QUERIES: dict[str, Query] = {
     "classify_error": q_classify_error,
     "retry_resolve": q_retry_resolve,
     "fail_mode": q_fail_mode,
+    "breaker_outcomes": q_breaker_outcomes,
     "outage_episodes": q_outage_episodes,
     "scan_stats": q_scan_stats,
     "detect_pii": q_detect_pii,
@@ -454,15 +508,21 @@ QUERIES: dict[str, Query] = {
     "detect_domain": q_detect_domain,
     "label_toxicity": q_label_toxicity,
     "rule_scan": q_rule_scan,
+    "rule_scan_large": q_rule_scan_large,
     "assemble_verdict": q_assemble_verdict,
     "assemble_findings": q_assemble_findings,
     "redact_pii": q_redact_pii,
     "framework_coverage": q_framework_coverage,
     "quota_minute": q_quota_minute,
     "quota_month": q_quota_month,
+    "quota_asof": q_quota_asof,
+    "quota_rolling": q_quota_rolling,
+    "sessions": q_sessions,
     "threat_rollup": q_threat_rollup,
     "stream_gate": q_stream_gate,
     "stream_quota": q_stream_quota,
     "stream_outage": q_stream_outage,
+    "stream_requests": q_stream_requests,
+    "stream_sessions": q_stream_sessions,
     "custom_detector": q_custom_detector,
 }

@@ -36,12 +36,22 @@ def govern_conversations(msgs: DataFrame, max_chars: int | None = None, roles: t
     NULL user text), ``empty`` (safe, scan skipped), ``size`` (only with
     ``max_chars``: the chat clients themselves have no such gate) or ``scan``.
     """
+    return conversation_verdicts(message_verdicts(msgs, roles), max_chars)
+
+
+def message_verdicts(msgs: DataFrame, roles: tuple[str, ...] = ("user",)) -> DataFrame:
+    """What each message adds to its conversation's verdict (narrow)."""
     mine = F.col("role").isin(*roles)
     text = F.when(mine, F.col("text"))
     found = msgs.select("conv_id", mine.alias("mine"), text.isNull().alias("missing"), F.length(text).alias("chars"),
                         F.coalesce(is_blank(text), F.lit(True)).alias("blank"), D.findings(text, ALL_FAMILIES).alias("findings"))
-    found = found.select("conv_id", "mine", "missing", "chars", "blank", D.worst(F.col("findings")).alias("worst"),
+    return found.select("conv_id", "mine", "missing", "chars", "blank", D.worst(F.col("findings")).alias("worst"),
                          F.size("findings").cast("long").alias("n"))
+
+
+def conversation_verdicts(found: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """One decision per conversation from its messages' parts; a message that
+    counts twice changes nothing but the size."""
     g = found.groupBy("conv_id").agg(
         F.count_if(F.col("mine") & F.col("missing")).alias("missing"), F.count_if("mine").alias("turns"), F.sum("chars").alias("chars"),
         F.bool_and(F.col("blank") | ~F.col("mine")).alias("blank"), F.min("worst").alias("worst"), F.sum("n").alias("n_findings"))

@@ -13,7 +13,7 @@ from ..functions.exprs import BLANK_PATTERN, MAX_CONTENT_CHARS
 from ..functions.taxonomy import (DEFAULT_SEVERITY, GUIDANCE, RAW_TO_CANONICAL, SEVERITIES)
 from ..operators.custom import SHOUT_MIN_LETTERS, SHOUT_RATIO
 from ..operators.policy import MALFORMED_MESSAGE, UNLOGGED_MESSAGE
-from ..operators.quota import TIERS
+from ..operators.quota import TRIAL_TIERS
 from ..operators.verdicts import KEYLESS_NOTE
 from ..sources import derived
 
@@ -34,7 +34,7 @@ TYPES = "types(t, default_severity, guidance, sev_rank) AS (VALUES " + ", ".join
     f"({lit(t)}, {lit(s)}, {lit(GUIDANCE[t])}, {SEVERITIES.index(s)})"
     for t, s in DEFAULT_SEVERITY.items()) + ")"
 TIERS_CTE = "tiers(tier, per_minute, per_month) AS (VALUES " + ", ".join(
-    f"({lit(t)}, {_num(m)}, {_num(mo)})" for t, m, mo in TIERS) + ")"
+    f"({lit(t)}, {_num(m)}, {_num(mo)})" for t, m, mo in TRIAL_TIERS) + ")"
 
 
 def _cols(mapping: dict[str, str]) -> str:
@@ -493,3 +493,64 @@ SELECT g.conv_id,
 FROM gc g LEFT JOIN asm a ON a.item_id = g.conv_id
 LEFT JOIN taxo x ON x.raw_label = a.threat_type
 LEFT JOIN types ty ON ty.t = coalesce(x.canon, 'unknown')"""
+
+
+# Attempts in a cool-down, and requests whose first attempts were lost.
+ORACLE["breaker_outcomes"] = f"""WITH {ATTEMPTS},
+    att1 AS (SELECT * FROM att WHERE NOT ({derived.LOST_ATTEMPTS_SQL})),
+    g AS (SELECT endpoint, ts, request_id * 1000 + attempt AS event_id, kind = 'ok' AS ok, sum(CASE WHEN kind = 'ok' THEN 1 ELSE 0 END) OVER (
+            PARTITION BY endpoint ORDER BY ts, request_id * 1000 + attempt ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM att1),
+    trips AS (SELECT endpoint, ts AS trip FROM g WHERE NOT ok QUALIFY row_number() OVER (PARTITION BY endpoint, grp ORDER BY ts, event_id) = 3),
+    cut AS (SELECT a.request_id, a.endpoint, a.scan_kind, a.attempt, h, CASE WHEN h THEN 'breaker_open' ELSE kind END AS kind,
+              CASE WHEN NOT h THEN status END AS status, CASE WHEN NOT h THEN message END AS message
+            FROM (SELECT *, EXISTS (SELECT 1 FROM trips t WHERE t.endpoint = a0.endpoint AND a0.ts > t.trip AND a0.ts < t.trip + INTERVAL 4 HOUR) AS h FROM att1 a0) a),
+    a AS (SELECT *, kind = 'ok' OR NOT (kind IN ('timeout', 'connect') OR (kind = 'http' AND coalesce(status >= 500, false))) AS terminal FROM cut WHERE attempt <= 2),
+    ids AS (SELECT request_id, min(endpoint) AS endpoint, min(scan_kind) AS scan_kind FROM cut GROUP BY request_id),
+    pick AS (SELECT request_id, coalesce(min(attempt) FILTER (WHERE terminal), max(attempt)) AS t FROM a GROUP BY request_id),
+    r AS (SELECT i.request_id, i.scan_kind, coalesce(a.kind, 'unlogged') AS kind, coalesce(p.t, 2) AS attempts, a.status,
+            CASE WHEN p.t IS NULL THEN {lit(UNLOGGED_MESSAGE)} ELSE coalesce(a.message, '') END AS msg,
+            CASE WHEN i.endpoint IN ('ep0', 'ep1', 'ep2') THEN 'open' ELSE 'closed' END AS fail_mode
+          FROM ids i LEFT JOIN pick p USING (request_id) LEFT JOIN a ON a.request_id = p.request_id AND a.attempt = p.t)
+    SELECT request_id, kind, attempts, fail_mode,
+          CASE WHEN kind = 'ok' THEN 'scanned' WHEN fail_mode = 'open' THEN 'allow' ELSE 'error' END AS decision,
+          CASE WHEN kind <> 'ok' AND fail_mode = 'open' THEN true END AS safe,
+          CASE WHEN kind <> 'ok' AND fail_mode = 'open' THEN
+            CASE WHEN kind = 'breaker_open' THEN 'Circuit breaker open, failing open'
+                 WHEN kind = 'timeout' THEN 'Scan timeout, failing open'
+                 WHEN kind = 'http' AND scan_kind = 'prompt' THEN 'Scan API error: ' || CAST(status AS VARCHAR)
+                 ELSE 'Scan error: ' || msg END END AS reason,
+          CASE WHEN kind = 'breaker_open' AND fail_mode = 'open' THEN true END AS degraded,
+          CASE WHEN kind <> 'ok' AND fail_mode = 'closed' THEN
+            CASE WHEN kind = 'breaker_open' THEN 'Security service circuit breaker open'
+                 WHEN kind = 'timeout' AND scan_kind = 'prompt' THEN 'Scan request timed out and fail_mode is ''closed'''
+                 WHEN kind = 'timeout' THEN CASE WHEN scan_kind = 'sql' THEN 'SQL' ELSE 'File' END || ' scan request timed out'
+                 WHEN kind = 'http' AND scan_kind = 'prompt' THEN 'Scan API returned error: ' || CAST(status AS VARCHAR)
+                 WHEN scan_kind = 'prompt' THEN 'Scan failed: ' || msg
+                 ELSE CASE WHEN scan_kind = 'sql' THEN 'SQL' ELSE 'File' END || ' scan failed: ' || msg END END AS error
+    FROM r"""
+
+ORACLE["quota_asof"] = f"""WITH {SCANS}, {TIERS_CTE},
+    ch AS (SELECT {_cols(derived.TIER_CHANGE_COLUMNS_SQL)} FROM events WHERE {derived.TIER_CHANGE_SQL}),
+    b AS (SELECT s.key_id, date_trunc('month', s.ts) AS month_start, coalesce(ch.new_tier, s.tier) AS tier
+          FROM scn s ASOF LEFT JOIN ch ON s.key_id = ch.key_id AND s.ts >= ch.since),
+    m AS (SELECT key_id, tier, CAST(month_start AS TIMESTAMP) AS month_start, count(*) AS n_scans FROM b GROUP BY ALL)
+    SELECT m.key_id, m.tier, m.month_start, m.n_scans, t.per_month AS allowance,
+      CASE WHEN t.per_month IS NULL THEN 0 ELSE greatest(m.n_scans - t.per_month, 0) END AS over_by FROM m LEFT JOIN tiers t ON t.tier = m.tier"""
+
+ORACLE["quota_rolling"] = f"""WITH {SCANS}, {TIERS_CTE},
+    n AS (SELECT *, count(*) OVER (PARTITION BY key_id ORDER BY ts RANGE BETWEEN INTERVAL '21599.999999 seconds' PRECEDING AND CURRENT ROW) AS n_recent FROM scn)
+    SELECT n.key_id, n.event_id, n.tier, n.ts, n.n_recent, t.per_minute AS rate_limit,
+      CASE WHEN t.per_minute IS NULL THEN 0 ELSE greatest(n.n_recent - t.per_minute, 0) END AS excess FROM n LEFT JOIN tiers t ON t.tier = n.tier"""
+
+ORACLE["sessions"] = f"""WITH {SCANS},
+    s AS (SELECT *, CASE WHEN ts - lag(ts) OVER k < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM scn WINDOW k AS (PARTITION BY key_id ORDER BY ts)),
+    b AS (SELECT *, sum(fresh) OVER (PARTITION BY key_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS burst FROM s)
+    SELECT key_id, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n_scans FROM b GROUP BY key_id, burst"""
+ORACLE["stream_sessions"] = ORACLE["sessions"]
+ORACLE["stream_requests"] = ORACLE["conversation_decisions"]
+
+ORACLE["rule_scan_large"] = f"""WITH {DOCS},
+    w AS (SELECT doc_id, regexp_extract(text, '{derived.WORD_PAIR}', 1) AS a, regexp_extract(text, '{derived.WORD_PAIR}', 2) AS b FROM documents WHERE doc_id % 4 = 1),
+    rules AS (SELECT {_cols(derived.DOCUMENT_RULE_COLUMNS_SQL)} FROM w WHERE a <> '')
+    SELECT d.doc_id AS item_id, r.raw_label AS raw_type, r.confidence, CAST(1 AS INTEGER) AS ord, CAST(NULL AS VARCHAR) AS match_hash
+    FROM pd d JOIN rules r ON regexp_matches(d.text, r.pattern)"""

@@ -129,6 +129,44 @@ def scans(events: DataFrame) -> DataFrame:
     return events.selectExpr(*[f"{sql} AS {name}" for name, sql in SCAN_COLUMNS_SQL.items()])
 
 
+#: Requests of which only the last attempt was logged.
+LOST_ATTEMPTS_SQL = "request_id % 17 = 5 AND attempt < 3"
+
+
+def gappy_attempts(events: DataFrame) -> DataFrame:
+    """The attempt log with some requests' first attempts lost."""
+    return attempts(events).where(f"NOT ({LOST_ATTEMPTS_SQL})")
+
+
+# A key changes its tier with some of its signups and purchases.
+TIER_CHANGE_SQL = "event_type IN ('signup', 'purchase') AND event_id % 5 < 2"
+TIER_CHANGE_COLUMNS_SQL = {
+    "key_id": "user_id",
+    "since": "ts",
+    "new_tier": "CASE event_id % 4 WHEN 0 THEN 'community' WHEN 1 THEN 'pro' WHEN 2 THEN 'enterprise' ELSE 'anonymous' END",
+}
+
+
+def tier_changes(events: DataFrame) -> DataFrame:
+    return events.where(TIER_CHANGE_SQL).selectExpr(*[f"{sql} AS {name}" for name, sql in TIER_CHANGE_COLUMNS_SQL.items()])
+
+
+# A rule for two words that follow each other in a document, one document in
+# four: a rule table that grows with the documents.
+WORD_PAIR = "([a-z]{4,})[ ]([a-z]{4,})"
+DOCUMENT_RULE_COLUMNS_SQL = {
+    "raw_label": "'pair_' || CAST(doc_id % 7 AS STRING)",
+    "pattern": "CASE doc_id % 8 WHEN 1 THEN '(?i)' || a || '[ ]+' || b ELSE a || ' ' || b || '|' || b || '  ' || a END",
+    "confidence": "CAST(0.5 + (doc_id % 5) * 0.125 AS DOUBLE)",
+}
+
+
+def document_rules(documents: DataFrame) -> DataFrame:
+    """Rule table (raw_label, pattern, confidence) made of documents' words."""
+    d = documents.where("doc_id % 4 = 1").selectExpr("doc_id", f"regexp_extract(text, '{WORD_PAIR}', 1) AS a", f"regexp_extract(text, '{WORD_PAIR}', 2) AS b")
+    return d.where("a <> ''").selectExpr(*[f"{sql} AS {name}" for name, sql in DOCUMENT_RULE_COLUMNS_SQL.items()])
+
+
 # ---------------------------------------------------------------------------
 # documents and messages with something for every rule and gate to find
 # ---------------------------------------------------------------------------
@@ -264,3 +302,19 @@ def request_lines(requests: DataFrame) -> DataFrame:
     line in a few is broken off, as after a crash of the writer."""
     line = F.concat(F.lit('{"id":'), F.col("request_id").cast("string"), F.lit(","), F.expr("substring(raw, 2)"))
     return requests.select(F.when(F.col("request_id") % 41 == 3, F.substring(line, 1, 30)).otherwise(line).alias("value"))
+
+
+def resent_requests(messages: DataFrame) -> DataFrame:
+    """``value``: a log of chat requests as JSON lines ``{id, ts, messages}``.
+    A client resends its history, so every conversation comes twice: its first
+    turns, and half a minute later all of them.  Some lines are broken off."""
+    body = F.struct(F.col("role").alias("role"), F.col("text").alias("content"))
+    whole = messages.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", body.alias("m")))), lambda x: x["m"]).alias("m"))
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    sent = F.array(F.struct(F.lit(0).alias("after"), F.slice("m", F.lit(1), F.greatest(F.size("m") / 2, F.lit(1)).cast("int")).alias("m")),
+                   F.struct(F.lit(30).alias("after"), F.col("m").alias("m")))
+    lines = whole.select("conv_id", F.inline(sent)).select("conv_id", "after", F.to_json(F.struct(
+        F.col("conv_id").alias("id"), F.date_format(at + F.make_dt_interval(secs=(F.col("conv_id") + F.col("after")).cast("decimal(18,6)")), "yyyy-MM-dd'T'HH:mm:ss").alias("ts"),
+        F.col("m").alias("messages"))).alias("value"))
+    broken = lines.where("conv_id % 41 = 3 AND after = 0").withColumn("value", F.substring("value", 1, 40))
+    return lines.unionByName(broken).select("value")

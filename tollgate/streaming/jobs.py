@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import policy as P
-from ..operators.quota import TIERS
+from ..operators.quota import TIERS, sessions
 from ..plans.governance import govern_documents
 from ..session import scratch_path, ship_package
 from ..sources.sinks import write_routed
@@ -76,7 +76,7 @@ def run_gate(spark: SparkSession, docs_dir: str, out_path: str, schema: T.Struct
 
 
 # ---------------------------------------------------------------------------
-def quota_stream(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+def quota_stream(events: DataFrame, watermark: str = WATERMARK, tiers=TIERS) -> DataFrame:
     """Per-minute scans per key with the tier's rate limit and the excess over
     it (as ``operators.quota.quota_minute``); rows later than the watermark are dropped.
 
@@ -84,7 +84,7 @@ def quota_stream(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     cast to TIMESTAMP (the session time zone is UTC).
     """
     limit = F.lit(None).cast("int")
-    for tier, per_minute, _ in TIERS:
+    for tier, per_minute, _ in tiers:
         limit = F.when(F.col("tier") == tier, F.lit(per_minute)).otherwise(limit)
     s = derived.scans(events).withColumn("ts", F.col("ts").cast("timestamp"))
     return (s.withWatermark("ts", watermark)
@@ -96,14 +96,30 @@ def quota_stream(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
 
 
 def run_quota(spark: SparkSession, events_dir: str, out_path: str, schema: T.StructType,
-              glob: str | None = None, max_files_per_trigger: int | None = None, checkpoint: str | None = None) -> None:
+              glob: str | None = None, max_files_per_trigger: int | None = None, checkpoint: str | None = None, tiers=TIERS) -> None:
     """Per-minute quota counts of closed windows into ``out_path``; rows that
     arrive behind the watermark are dropped."""
-    agg = quota_stream(file_stream(spark, events_dir, schema, max_files_per_trigger, glob=glob))
+    agg = quota_stream(file_stream(spark, events_dir, schema, max_files_per_trigger, glob=glob), tiers=tiers)
     run_available(agg.writeStream.outputMode("append").format("parquet").option("path", out_path),
                   "quota", spark, checkpoint)
 
 
+# ---------------------------------------------------------------------------
+SCAN_SCHEMA = T.StructType([
+    T.StructField("key_id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+])
+
+
+def run_sessions(spark: SparkSession, scans_dir: str, out_path: str, gap: str = "30 minutes", watermark: str = WATERMARK,
+                 checkpoint: str | None = None, max_files_per_trigger: int | None = None) -> None:
+    """Closed bursts per key (:func:`tollgate.operators.quota.sessions`) of the
+    scans arriving under ``scans_dir``."""
+    scans = file_stream(spark, scans_dir, SCAN_SCHEMA, max_files_per_trigger)
+    scans = scans.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+    run_available(sessions(scans, gap).writeStream.outputMode("append").format("parquet").option("path", out_path), "sessions", spark, checkpoint)
+
+
 # ---------------------------------------------------------------------------
 OUTCOME_SCHEMA = T.StructType([
     T.StructField("endpoint", T.LongType()),
