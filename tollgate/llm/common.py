@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.session import checkpoint_root
+from tollgate.session import checkpoint_root, ship_package
 
 #: Characters that separate words: space, tab, LF, VT, FF, CR.
 WORD_SEPARATORS = " \t\n\x0b\x0c\r"
@@ -24,25 +20,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package's modules to the executors, once per application, so
-    that Python tasks import them wherever they run."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    root = Path(__file__).resolve().parents[1]
-    handle, name = tempfile.mkstemp(prefix="tollgate-", suffix=".zip")
-    os.close(handle)
-    with zipfile.ZipFile(name, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    sc.addPyFile(name)
-    _SHIPPED.add(sc.applicationId)
-
-
 def python_tasks(spark: SparkSession) -> None:
     """Before Arrow functions: modules on the executors, and batches bounded
     by rows and bytes (session settings)."""
