@@ -29,7 +29,7 @@ def parsed_lines(lines: DataFrame) -> DataFrame:
     body = F.try_parse_json("value")
     d = lines.select("value", body.alias("body"))
     d = d.select("value", F.try_variant_get("body", "$.id", "bigint").alias("conv_id"),
-                 F.to_timestamp(F.try_variant_get("body", "$.ts", "string"), "yyyy-MM-dd'T'HH:mm:ss").alias("ts"),
+                 F.try_to_timestamp(F.try_variant_get("body", "$.ts", "string"), F.lit("yyyy-MM-dd'T'HH:mm:ss")).alias("ts"),
                  F.try_variant_get("body", "$.messages", "array<variant>").alias("messages"))
     return d.withColumn("readable", F.col("conv_id").isNotNull() & F.col("ts").isNotNull() & F.col("messages").isNotNull())
 
