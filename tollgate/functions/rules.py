@@ -90,7 +90,7 @@ PROMPT_RULES: tuple[Rule, ...] = (
 
 CODE_RULES: tuple[Rule, ...] = (
     Rule("reverse_shell", r"bash" + WS + r"+-i" + WS + r"*>&" + WS + r"*/dev/tcp/|/dev/tcp/[0-9]+\.[0-9]+|nc"
-         + WS + r"+[-a-z \t]{0,80}-e" + WS + r"+/bin/(ba)?sh", 0, 0.95, hints=("/dev/tcp/", "/bin/")),
+         + WS + r"+[-a-z \t]*-e" + WS + r"+/bin/(ba)?sh", 0, 0.95, hints=("/dev/tcp/", "/bin/")),
     Rule("web_shell", r"(?i)<\?php" + WS + r"+(system|eval|exec|passthru|shell_exec)" + WS + r"*\(", 0, 0.9,
          hints=("<?",)),
     Rule("fork_bomb", r":\(\)" + WS + r"*\{" + WS + r"*:" + WS + r"*\|" + WS + r"*:" + WS + r"*&" + WS

@@ -28,7 +28,7 @@ from .sizing import barrier, spread_for_cpu
 from ..sources import derived
 from ..sources.sinks import write_routed
 from ..sources.tables import (parse_requests, parse_verdicts, read_attempts, read_json_lines,
-                              read_messages, read_table)
+                              read_messages, read_table, read_verdicts)
 from ..streaming import jobs as S
 from ..streaming import requests as SR
 
@@ -99,7 +99,10 @@ def _finite(df, name: str):
 
 
 def q_src_verdicts(spark, d):
-    return _finite(_external_verdicts(spark, d), "confidence")
+    """Written once as a log of lines, then read as any verdict log is."""
+    path = scratch_path(spark, "verdicts")
+    derived.verdict_lines(derived.raw_verdicts(_docs(spark, d, ("doc_id",)), "doc_id")).write.text(path)
+    return _finite(read_verdicts(spark, path)[0], "confidence")
 
 
 def q_src_attempts(spark, d):

@@ -58,8 +58,9 @@ def parsed_verdicts(src: str, id_col: str) -> str:
     """CTEs ``rv`` (raw JSON) and ``pv`` (typed with presence flags)."""
     j = derived.verdict_json_sql(id_col, "duckdb")
     return f"""rv0 AS (SELECT {id_col} AS item_id, {j} AS raw FROM {src}),
-rv1 AS (SELECT *, regexp_replace(raw, '([:\\[,][ \\t\\r\\n]*)(-?Infinity|NaN)', '\\1null', 'g') AS finite,
-  regexp_extract_all(raw, '"safe":[ ]*([^,}}]*)', 1)[-1] AS safe_raw, regexp_extract(raw, '"confidence":[ ]*(NaN|-?Infinity)', 1) AS odd FROM rv0),
+rvm AS (SELECT *, replace(replace(regexp_replace(raw, '("[^"\\\\]*(?:\\\\.[^"\\\\]*)*")|-?Infinity|NaN', '\\1' || chr(1), 'g'), '"' || chr(1), '"'), chr(1), 'null') AS finite FROM rv0),
+rv1 AS (SELECT *, CASE WHEN json_valid(finite) AND CASE WHEN json_valid(finite) THEN json_type(finite) = 'OBJECT' AND list_contains(json_keys(finite), 'safe') END
+    THEN regexp_extract_all(raw, '"safe":[ ]*([^,}}]*)', 1)[-1] END AS safe_raw, regexp_extract(raw, '"confidence":[ ]*(NaN|-?Infinity)', 1) AS odd FROM rvm),
 rv AS (SELECT item_id, safe_raw, odd, coalesce(json_valid(finite) AND CASE WHEN json_valid(finite) THEN json_type(finite) = 'OBJECT' END
     AND (safe_raw IS NULL OR safe_raw IN ('true', 'false', 'null')), false) AS valid, finite FROM rv1),
 ok AS (SELECT *, CASE WHEN valid THEN finite ELSE '{{}}' END AS js FROM rv),

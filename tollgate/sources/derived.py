@@ -63,10 +63,17 @@ def verdict_json_sql(id_sql: str, dialect: str) -> str:
       WHEN 11 THEN '{{"safe":true,"threat_type":"pii","safe":false}}'
       WHEN 13 THEN '{{"safe": false, "confidence": NaN, "threat_type": "sqli"}}'
       WHEN 17 THEN '{{"safe":false,"confidence":-Infinity,"severity":"low"}}'
+      WHEN 31 THEN '{{"safe":false,"confidence":NaN,"reason":"limit:NaN, Infinity"}}'
+      WHEN 37 THEN '{{"a":{{"safe":1}},"b":1,"b":2}}'
       WHEN 19 THEN CAST(NULL AS STRING) WHEN 23 THEN '{{"safe":"no","reason":"text"}}' WHEN 29 THEN 'null'
       ELSE {whole} END"""
 
 
+def verdict_lines(verdicts: DataFrame) -> DataFrame:
+    """``value``: raw verdicts as lines of a log, the id and a tab before each."""
+    return verdicts.select(F.concat(F.col("item_id").cast("string"), F.lit("\t"), F.coalesce("raw", F.lit(""))).alias("value"))
+
+
 def raw_verdicts(df: DataFrame, id_col: str) -> DataFrame:
     """``(item_id, raw)``: one external raw verdict per input row."""
     return df.selectExpr(f"{id_col} AS item_id",

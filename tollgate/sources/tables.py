@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import python_truthy, variant_kind
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -77,8 +76,24 @@ def _present(v: Column, path: str) -> Column:
     return F.variant_get(v, path, "variant").isNotNull()
 
 
-# The JSON the scan client accepts but VARIANT does not: bare non-finite numbers.
-_NON_FINITE = r"([:\[,][ \t\r\n]*)(-?Infinity|NaN)"
+#: Characters that JSON texts cannot hold as they are; a text that does is left alone.
+_MARK, _BACKSLASH, _QUOTE = "\u0001", "\u0002\u0002", "\u0002\u0003"
+
+
+def non_finite_as_null(text: Column) -> Column:
+    """JSON text whose bare ``NaN`` and ``Infinity`` -- which the scan client's
+    parser accepts and VARIANT does not -- are ``null``; strings stay as they are.
+
+    Escapes are set aside, so that a string is a run without quotes; then each
+    string, and each non-finite number, is followed by a mark, and a mark that
+    follows no quote stands where a number was."""
+    t = F.replace(F.replace(text, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    t = F.regexp_replace(t, '("[^"]*")|-?Infinity|NaN', f"$1{_MARK}")
+    t = F.replace(F.replace(t, F.lit(f'"{_MARK}'), F.lit('"')), F.lit(_MARK), F.lit("null"))
+    t = F.replace(F.replace(t, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
+    return F.when(~text.rlike("[\u0001-\u0003]"), t)
+
+
 _TYPED_VERDICT = "safe boolean, reason string, threat_type string, confidence double, severity string, _corrupt string"
 
 
@@ -92,41 +107,65 @@ def parse_verdicts(df: DataFrame, raw: str = "raw") -> DataFrame:
     (internal detector details) are dropped by construction.
 
     A text VARIANT refuses is tried again with non-finite numbers set to null
-    (their value then comes from a typed parse), and last by the typed parse
-    alone, which takes the last of repeated keys.  ``valid`` is false for what
+    (their value then comes from a typed parse), and last, for repeated keys,
+    of which the last counts, as a map of its top-level keys and by the typed
+    parse.  Nothing is searched for in the raw text.  ``valid`` is false for what
     is still unparsed, is not an object, or has a ``safe`` that is neither a
     boolean nor null: such rows carry no verdict and go to the failure policy.
     """
     text = F.col(raw)
     strict = F.try_parse_json(text)
-    finite = F.try_parse_json(F.regexp_replace(text, _NON_FINITE, "$1null"))
-    typed = F.from_json(text, _TYPED_VERDICT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     other = [c for c in df.columns if c != raw]
-    base = df.select(*other, strict.alias("_s"), F.when(strict.isNull(), finite).alias("_f"),
-                     F.when(strict.isNull(), typed).alias("_t"), text.alias("_raw"))
-    v = F.coalesce(F.col("_s"), F.col("_f"))
-    is_object = variant_kind(v) == "object"
-    t = F.col("_t")
-    by_type = v.isNull() & F.ltrim("_raw").startswith("{") & t.isNotNull() & t["_corrupt"].isNull()
-    safe_kind = variant_kind(F.variant_get(v, "$.safe", "variant"))
-    by_variant = F.coalesce(is_object, F.lit(False)) & F.coalesce(safe_kind.isin("bool", "null"), F.lit(True))
+    base = df.select(*other, text.alias("_raw"), strict.alias("_s"))
+    refused = F.col("_s").isNull()
+    typed = F.from_json("_raw", _TYPED_VERDICT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    base = base.select(*other, "_raw", "_s", F.when(refused, F.try_parse_json(non_finite_as_null(F.col("_raw")))).alias("_f"),
+                       F.when(refused, typed).alias("_t"), F.when(refused, F.map_keys(F.from_json("_raw", "map<string,string>"))).alias("_keys"))
+    v, t = F.coalesce(F.col("_s"), F.col("_f")), F.col("_t")
+    base = base.withColumn("_v", v).withColumn("_safe", F.to_json(F.variant_get(v, "$.safe", "variant")))
+    v, opened = F.col("_v"), F.ltrim(F.translate("_raw", "\t\r\n", "   ")).startswith("{")
+    by_variant = F.coalesce(v.isNotNull() & opened & F.coalesce(F.col("_safe").isin("true", "false", "null"), F.lit(True)), F.lit(False))
+    by_type = F.coalesce(v.isNull() & opened & t.isNotNull() & t["_corrupt"].isNull(), F.lit(False))
     # Both parsers stop after the first value; the client refuses what follows it.
     ended = F.rtrim(F.translate("_raw", "\t\r\n", "   ")).endswith("}")
-    valid = F.coalesce(ended & (by_variant | F.coalesce(by_type, F.lit(False))), F.lit(False))
+    base = base.withColumn("_by_variant", ended & by_variant).withColumn("_by_type", ended & by_type)
+    by_variant, by_type = F.coalesce("_by_variant", F.lit(False)), F.coalesce("_by_type", F.lit(False))
 
     def present(name: str) -> Column:
-        return F.when(~valid, F.lit(False)).when(by_variant, _present(v, f"$.{name}")).otherwise(t[name].isNotNull())
+        return F.when(by_variant, _present(v, f"$.{name}")).when(by_type, F.coalesce(F.array_contains("_keys", name), F.lit(False))).otherwise(F.lit(False))
 
     def string(name: str) -> Column:
-        return F.when(by_variant, F.try_variant_get(v, f"$.{name}", "string")).when(valid, t[name])
+        return F.when(by_variant, F.try_variant_get(v, f"$.{name}", "string")).when(by_type, t[name])
     return base.select(
         *other,
-        valid.alias("valid"),
-        F.when(by_type, F.col("_raw").contains('"safe"')).otherwise(present("safe")).alias("has_safe"),
-        F.when(by_variant, python_truthy(F.variant_get(v, "$.safe", "variant"))).when(valid, F.coalesce(t["safe"], F.lit(False))).alias("safe_value"),
+        (by_variant | by_type).alias("valid"),
+        F.when(by_variant, F.col("_safe").isNotNull()).otherwise(present("safe")).alias("has_safe"),
+        F.when(by_variant, F.col("_safe") == "true").when(by_type & F.array_contains("_keys", "safe"), F.coalesce(t["safe"], F.lit(False))).alias("safe_value"),
         present("reason").alias("has_reason"),
         string("reason").alias("reason"),
         present("threat_type").alias("has_threat_type"),
         string("threat_type").alias("threat_type"),
-        F.when(valid, F.when(F.col("_s").isNotNull(), F.try_variant_get(v, "$.confidence", "double")).otherwise(t["confidence"])).alias("confidence"),
+        F.when(by_variant & F.col("_s").isNotNull(), F.try_variant_get(v, "$.confidence", "double")).when(by_variant | by_type, t["confidence"]).alias("confidence"),
         string("severity").alias("severity"))
+
+
+UNREADABLE = ("no id", "no verdict", "no JSON object", "safe is neither a boolean nor null")
+
+
+def read_verdicts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Verdict log, one line for each item: its id, a tab, and the JSON the scan
+    service answered.  Returns (verdicts, unreadable).
+
+    Every line with an id is a verdict row (``item_id`` and the columns of
+    :func:`parse_verdicts`; ``valid`` is false where the JSON is no verdict).
+    ``unreadable`` names the lines that carry none: file, the line, and the
+    reason.  Both come from one reading of a line; nothing is inferred, and a
+    broken line stops nothing."""
+    cut = F.split("value", "\t", 2)
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"), F.try_to_number(F.get(cut, 0), F.lit("S9999999999999999999")).cast("bigint").alias("item_id"),
+                                         F.get(cut, 1).alias("raw"))
+    parsed = parse_verdicts(lines.withColumn("_body", F.col("raw")))
+    why = (F.when(F.col("item_id").isNull(), UNREADABLE[0]).when(F.coalesce(F.trim("_body"), F.lit("")) == "", UNREADABLE[1])
+           .when(F.try_parse_json(non_finite_as_null(F.col("_body"))).isNull() | ~F.ltrim("_body").startswith("{"), UNREADABLE[2]).otherwise(UNREADABLE[3]))
+    unreadable = parsed.where(F.col("item_id").isNull() | ~F.col("valid")).select("file", "line", why.alias("why"))
+    return parsed.where(F.col("item_id").isNotNull()).drop("file", "line", "_body"), unreadable
