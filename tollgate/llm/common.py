@@ -20,12 +20,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def python_tasks(spark: SparkSession) -> None:
+def python_tasks(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
     """Before Arrow functions: modules on the executors, and batches bounded
     by rows and bytes (session settings)."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
 
 
 def stage_path(spark: SparkSession, name: str) -> str:

@@ -51,7 +51,7 @@ END_ID = 2
 SEGMENT_TOKENS = 1 << 16
 #: Ids that the memory for words holds, bytes of a word kept there, entries of
 #: its quick table, and bytes of text worked on at once.
-MEMORY_IDS, WORD_BYTES, QUICK, PIECE_BYTES = 5_000_000, 256, 1 << 19, 2 << 20
+MEMORY_IDS, WORD_BYTES, QUICK, PIECE_BYTES = 3_000_000, 256, 1 << 18, 1 << 19
 SEGMENTS = ("part int, seq int, part_start bigint, n_tokens bigint, doc_ids array<bigint>, "
             "doc_tokens array<bigint>, doc_ranks array<bigint>, payload binary")
 DIGEST = "part int, doc_id bigint, rank bigint, offset bigint, n_tokens bigint, ids_crc32 bigint"
@@ -60,6 +60,10 @@ _CUT = re.compile(r"(?<=\S)(?= \S)")
 _PUNCTUATION = ".,!?;:"
 
 
+#: Bytes of an Arrow batch of texts: small, since ids and the memory for words stand beside it.
+TEXT_BATCH = 4 << 20
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -315,7 +319,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> str:
     spark = docs.sparkSession
     # The place of reading spreads equal rows over ranges; a rank is such a place already.
     rank, read = (docs["rank"], F.lit(0)) if "rank" in docs.columns else (F.lit(None), F.monotonically_increasing_id())
-    python_tasks(spark)
+    python_tasks(spark, TEXT_BATCH)
     path = stage_path(spark, "tokens")
     ordered = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("text"), F.xxhash64(docs["text"]).alias("tie"), rank.cast("bigint").alias("rank"), read.alias("read"))
     keys = ["doc_id", "tie", "rank", "read"]
