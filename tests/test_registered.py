@@ -17,6 +17,8 @@ from conftest import SF_MID, SF_SMALL
     ("quota_minute", "excess > 0"), ("quota_month", "crossed_event_id is not null"), ("quota_month", "over_by > 0"), ("stream_quota", "excess > 0"),
     ("quota_rolling", "excess > 0"), ("quota_asof", "over_by > 0"), ("sessions", "n_scans > 3"), ("rule_scan_large", "raw_type like 'pair%'"),
     ("breaker_outcomes", "kind = 'breaker_open' and decision = 'error'"), ("breaker_outcomes", "degraded"), ("breaker_outcomes", "kind = 'unlogged'"),
+    ("custom_detector", "kind = 'error'"), ("custom_detector", "kind = 'gate'"), ("custom_detector", "kind = 'finding'"),
+    ("history_verdicts", "decision = 'error'"), ("history_verdicts", "n_findings > 1"), ("detect_domain_large", "matched = 'org'"),
     ("stream_outage", "event = 'recovery'"), ("stream_outage", "event = 'open'"),
 ])
 def test_query_fires(spark, name, condition):

@@ -84,3 +84,10 @@ def shouting_detector(b: pd.DataFrame) -> pd.DataFrame:
     hit = (letters >= SHOUT_MIN_LETTERS) & (ratio >= SHOUT_RATIO)
     return pd.DataFrame({"item_id": b["item_id"][hit], "raw_type": "tonality_drift_hostile",
                          "confidence": ratio[hit].round(4)})
+
+
+def plain_text_shouting(b: pd.DataFrame) -> pd.DataFrame:
+    """The same for callers whose texts must not be markup: it fails on some."""
+    if b["text"].str.contains("<?php", regex=False).any():
+        raise ValueError("markup")
+    return shouting_detector(b)

@@ -196,15 +196,14 @@ def detect_domain(pages: DataFrame, id_col: str = "page_id", url: str = "url",
     suspicious TLDs.  Rows: the finding contract plus ``host`` and ``matched``;
     ``ord`` is the place of the matched part, counted from the whole host.
 
-    The URL is parsed once and its parts leave one generator; the blocklist
-    side is a configuration table (its size is checked when user supplied).
+    The URL is parsed once and its parts leave one generator.  The built-in
+    list is three names.  A caller's list may have any size: a Bloom filter of
+    it (at most 8 MB) keeps parts that cannot be listed out of the join, and a
+    part without a dot (``com``), which very many pages share, is no join key:
+    of the top-level names that the pages have, the listed ones are one small
+    array.  Entries that are NULL or empty block nothing; case does not count.
     """
     spark = pages.sparkSession
-    if blocklist is None:
-        bl = F.broadcast(spark.createDataFrame([(d,) for d in R.BLOCKED_DOMAINS], "domain string"))
-    else:
-        from ..plans.sizing import broadcast_if_small
-        bl = broadcast_if_small(blocklist.select(F.lower("domain").alias("domain")).distinct())
     hosts = pages.select(F.col(id_col).alias("item_id"), host_of(F.col(url)).alias("host"))
     parents = parent_domains(F.col("host"))
     tld = F.element_at(F.split(F.col("host"), r"\."), -1)
@@ -212,11 +211,25 @@ def detect_domain(pages: DataFrame, id_col: str = "page_id", url: str = "url",
                      F.array(F.struct(F.lit("suspicious_tld").alias("raw_type"), tld.alias("matched"))))
     rows = hosts.select("item_id", "host", F.posexplode(parts).alias("pos", "part")).select("item_id", "host", "pos", "part.*")
     domain = F.col("raw_type") == "blocked_domain"
-    met = rows.join(bl, domain & (rows["matched"] == bl["domain"]), "left")
-    hit = F.when(domain, F.col("domain").isNotNull()).otherwise(F.col("matched").isin(*tlds))
-    conf = F.when(domain, F.lit(R.BLOCKED_DOMAIN_CONFIDENCE)).otherwise(F.lit(R.SUSPICIOUS_TLD_CONFIDENCE))
-    return met.where(hit).select("item_id", "host", "raw_type", conf.alias("confidence"), (F.col("pos") + 1).cast("int").alias("ord"),
-                                 F.sha2("matched", 256).alias("match_hash"), "matched")
+
+    def found(hits: DataFrame) -> DataFrame:
+        conf = F.when(domain, F.lit(R.BLOCKED_DOMAIN_CONFIDENCE)).otherwise(F.lit(R.SUSPICIOUS_TLD_CONFIDENCE))
+        return hits.select("item_id", "host", "raw_type", conf.alias("confidence"), (F.col("pos") + 1).cast("int").alias("ord"),
+                           F.sha2("matched", 256).alias("match_hash"), "matched")
+    suspicious = ~domain & F.col("matched").isin(*tlds)
+    if blocklist is None:
+        bl = F.broadcast(spark.createDataFrame([(d,) for d in R.BLOCKED_DOMAINS], "domain string"))
+        met = rows.join(bl, domain & (rows["matched"] == bl["domain"]), "left")
+        return found(met.where(F.when(domain, F.col("domain").isNotNull()).otherwise(F.col("matched").isin(*tlds))))
+    from ..plans.bloom import Bloom
+    listed = blocklist.select(F.lower("domain").alias("domain")).where("domain <> ''").distinct()
+    dotted = F.col("domain").contains(".")
+    names = hosts.select(tld.alias("domain")).distinct().join(listed.where(~dotted), "domain", "left_semi")
+    tops = names.agg(F.collect_set("domain")).scalar()
+    long = listed.where(dotted)
+    at_top = rows.where(suspicious | (domain & ~F.col("matched").contains(".") & F.array_contains(tops, F.col("matched"))))
+    likely = rows.where(domain & F.col("matched").contains(".") & Bloom(long, "domain").may_hold(F.col("matched")))
+    return found(at_top.unionByName(likely.join(long.withColumnRenamed("domain", "matched"), "matched", "left_semi").select(rows.columns)))
 
 
 def label_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -386,6 +399,10 @@ def redact_pii(df: DataFrame, col: str = "text", out: str = "redacted") -> DataF
     return df.withColumn(out, t)
 
 
+#: Sketches have 2 ** SKETCH_LG buckets.
+SKETCH_LG = 12
+
+
 def framework_coverage(verdicts: DataFrame, type_col: str = "threat_type") -> DataFrame:
     """Unsafe verdicts per compliance framework: ``(framework, n_findings, n_items)``.
 
@@ -398,3 +415,23 @@ def framework_coverage(verdicts: DataFrame, type_col: str = "threat_type") -> Da
     return (v.join(bridge, v[type_col] == bridge["b_type"], "inner")
             .groupBy("framework")
             .agg(F.count(F.lit(1)).alias("n_findings"), F.count_distinct("item_id").alias("n_items")))
+
+
+def coverage_daily(verdicts: DataFrame, day: str, item: str = "item_id", type_col: str = "threat_type", lg_config: int = SKETCH_LG) -> DataFrame:
+    """Unsafe verdicts per day and framework: ``(day, framework, n_findings,
+    items)``, ``items`` a sketch of the distinct items.
+
+    Days are kept as a table and merged by :func:`merged_coverage` to any longer
+    time; counts of distinct items themselves could not be added up.  The day's
+    partial aggregates are sketches of at most ``2 ** lg_config`` bytes or so."""
+    bridge = F.broadcast(verdicts.sparkSession.createDataFrame(list(R.FRAMEWORK_BRIDGE), "b_type string, framework string"))
+    v = verdicts.where(~F.col("safe"))
+    return (v.join(bridge, v[type_col] == bridge["b_type"]).groupBy(F.col(day).alias("day"), "framework")
+            .agg(F.count(F.lit(1)).alias("n_findings"), F.hll_sketch_agg(F.col(item), F.lit(lg_config)).alias("items")))
+
+
+def merged_coverage(daily: DataFrame, by: Sequence[str] = ("framework",)) -> DataFrame:
+    """Daily tables merged: ``(*by, n_findings, n_items)``.  ``n_findings`` is
+    exact; ``n_items`` is an estimate with a relative standard error of about
+    ``1.04 / sqrt(2 ** lg_config)`` (1.6 % with the default)."""
+    return daily.groupBy(*by).agg(F.sum("n_findings").alias("n_findings"), F.hll_sketch_estimate(F.hll_union_agg("items")).alias("n_items"))

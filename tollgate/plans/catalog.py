@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..functions.exprs import MAX_CONTENT_CHARS
 from ..operators import custom as C
 from ..operators import detect as D
 from ..operators import extract as E
@@ -21,9 +22,10 @@ from ..operators import payload as PL
 from ..operators import policy as P
 from ..operators import quota as Q
 from ..operators import requests as RQ
+from ..operators import spans as SP
 from ..operators import verdicts as V
 from ..session import scratch_path
-from .governance import conversation_findings, conversation_verdicts, govern_conversations, govern_documents
+from .governance import conversation_findings, conversation_verdicts, govern_conversations, govern_documents, history_verdicts
 from .sizing import barrier, spread_for_cpu
 from ..sources import derived
 from ..sources.sinks import write_routed
@@ -136,6 +138,11 @@ def q_payload_history(spark, d):
     return PL.payload_history(_messages(spark, d))
 
 
+def q_history_verdicts(spark, d):
+    """Verdicts of every resent history; chunks short enough to be crossed."""
+    return history_verdicts(_messages(spark, d), chunk_turns=2)
+
+
 def q_payload_latest(spark, d):
     return PL.payload_latest(_messages(spark, d))
 
@@ -341,6 +348,12 @@ def q_detect_domain(spark, d):
     return D.detect_domain(read_table(spark, d, "pages", ["page_id", "url"]))
 
 
+def q_detect_domain_large(spark, d):
+    """A block list that grows with the pages, behind the Bloom filter."""
+    pages = read_table(spark, d, "pages", ["page_id", "url"])
+    return D.detect_domain(pages, blocklist=derived.blocked_domains(pages))
+
+
 def q_label_toxicity(spark, d):
     return D.label_toxicity(_docs(spark, d, ("doc_id",)), read_table(spark, d, "labels"))
 
@@ -379,6 +392,34 @@ def q_redact_pii(spark, d):
     return D.redact_pii(_text_docs(spark, d)).select(F.col("doc_id").alias("item_id"), "redacted")
 
 
+def q_located_findings(spark, d):
+    """Personal data and secrets with their places."""
+    return SP.located(_text_docs(spark, d), "text", ("pii", "secrets"), "doc_id")
+
+
+def q_redact_findings(spark, d):
+    return SP.redact_findings(_text_docs(spark, d)).select(F.col("doc_id").alias("item_id"), "redacted")
+
+
+#: Share by which the estimates of merged sketches may miss (three standard
+#: errors of the default size, rounded up).
+COVERAGE_ERROR = 0.05
+
+
+def q_coverage_merged(spark, d):
+    """Coverage of scanned keys from daily sketches, beside the exact counts."""
+    verdicts = V.sanitize(_external_verdicts(spark, d))
+    scans = derived.scans(_events(spark, d)).select("key_id", F.date_trunc("day", "ts").alias("scanned"), "event_id")
+    v = barrier(verdicts.select("item_id", "safe", "threat_type"))
+    billed = scans.join(v, scans["event_id"] == v["item_id"]).select(F.col("key_id").alias("item_id"), "scanned", "safe", "threat_type")
+    path = scratch_path(spark, "coverage-daily")
+    D.coverage_daily(billed, "scanned").write.parquet(path)
+    merged = D.merged_coverage(spark.read.parquet(path))
+    exact = D.framework_coverage(billed).select("framework", F.col("n_findings").alias("all_findings"), F.col("n_items").alias("exact_items"))
+    near = F.abs(F.col("n_items") - F.col("exact_items")) <= F.lit(COVERAGE_ERROR) * F.col("exact_items")
+    return merged.join(exact, "framework").select("framework", "n_findings", F.col("exact_items").alias("n_items"), near.alias("estimate_near"))
+
+
 def q_framework_coverage(spark, d):
     v = barrier(governed_documents(spark, d)).withColumn("safe", F.col("decision") == "allow")
     return D.framework_coverage(v)
@@ -463,8 +504,9 @@ def q_stream_outage(spark, d):
 
 
 def q_custom_detector(spark, d):
+    """A detector that fails on some texts, behind a caller's size gate."""
     docs = _text_docs(spark, d).withColumnRenamed("doc_id", "item_id")
-    return C.custom_detector(docs, C.shouting_detector)
+    return C.custom_detector(docs, C.plain_text_shouting, max_chars=MAX_CONTENT_CHARS)
 
 
 QUERIES: dict[str, Query] = {
@@ -478,6 +520,7 @@ QUERIES: dict[str, Query] = {
     "extract_gemini": _extract("gemini"),
     "payload_conversation": q_payload_conversation,
     "payload_history": q_payload_history,
+    "history_verdicts": q_history_verdicts,
     "payload_latest": q_payload_latest,
     "gate_empty": q_gate_empty,
     "gate_size": q_gate_size,
@@ -509,13 +552,17 @@ QUERIES: dict[str, Query] = {
     "detect_prompt": q_detect_prompt,
     "detect_code": q_detect_code,
     "detect_domain": q_detect_domain,
+    "detect_domain_large": q_detect_domain_large,
     "label_toxicity": q_label_toxicity,
     "rule_scan": q_rule_scan,
     "rule_scan_large": q_rule_scan_large,
     "assemble_verdict": q_assemble_verdict,
     "assemble_findings": q_assemble_findings,
+    "located_findings": q_located_findings,
     "redact_pii": q_redact_pii,
+    "redact_findings": q_redact_findings,
     "framework_coverage": q_framework_coverage,
+    "coverage_merged": q_coverage_merged,
     "quota_minute": q_quota_minute,
     "quota_month": q_quota_month,
     "quota_asof": q_quota_asof,

@@ -11,8 +11,11 @@ from ..operators import detect as D
 from ..operators import gates as G
 from ..operators import policy as P
 from ..operators import verdicts as V
+from .running import chunked_prefixes
 
 ALL_FAMILIES = ("pii", "secrets", "code", "prompt")
+#: Turns of a conversation that one task runs through.
+HISTORY_CHUNK = 1024
 
 
 def govern_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -87,3 +90,36 @@ def conversation_findings(msgs: DataFrame, families: tuple[str, ...], roles: tup
     order = Window.partitionBy("conv_id", "raw_type").orderBy("turn", "ord")
     return (arr.join(broken, "conv_id", "left_anti").withColumn("ord", F.row_number().over(order))
             .select(F.col("conv_id").alias("item_id"), "raw_type", "confidence", "ord", "match_hash"))
+
+
+def history_verdicts(msgs: DataFrame, roles: tuple[str, ...] = ("user",), chunk_turns: int = HISTORY_CHUNK) -> DataFrame:
+    """One decision per turn for a caller that resends its history: what a scan
+    of everything up to that turn would say, without building that text.
+
+    Each message is scanned once; length, number of findings, worst finding and
+    a digest of the history run through (conversation, chunk of turns), so the
+    output grows with the turns, not with their square, and no task holds a
+    whole long conversation.  ``history_key`` is the same for the same messages
+    at the same turns.  From a NULL text on, every turn is an ``error`` (the
+    client would raise).  Rows of one turn are taken in the order of their
+    digests; a NULL turn comes first; rows without a conversation are one.
+    """
+    text = F.col("text")
+    digest = F.md5(F.concat_ws(":", F.col("turn").cast("string"), F.coalesce(text, F.lit(""))).cast("binary"))
+    mine = msgs.where(F.col("role").isin(*roles)).select(
+        "conv_id", "turn", digest.alias("digest"), F.length(text).alias("chars"), text.isNull().cast("int").alias("missing"),
+        D.findings(text, ALL_FAMILIES).alias("findings"))
+    judged = mine.select("conv_id", "turn", "digest", "chars", "missing", F.size("findings").cast("long").alias("n"), D.worst(F.col("findings")).alias("worst"))
+    number = F.conv(F.substring("digest", 1, 15), 16, 10).cast("decimal(20,0)")
+    run = chunked_prefixes(judged, ["conv_id"], ["turn", "digest"], F.floor(F.col("turn") / F.lit(chunk_turns)), {
+        "length": ("sum", F.coalesce(F.col("chars"), F.lit(0)) + 1), "broken": ("sum", F.col("missing")),
+        "key": ("sum", number), "n_findings": ("sum", F.col("n")), "so_far": ("min", F.col("worst"))})
+    error, unsafe = F.col("broken") > 0, F.col("n_findings") > 0
+    raw = F.col("so_far")["raw_type"]
+    return run.select(
+        "conv_id", "turn", (F.col("length") - 1).cast("long").alias("history_chars"), F.col("key").cast("decimal(38,0)").cast("string").alias("history_key"),
+        F.when(error, "error").when(unsafe, "block").otherwise("allow").alias("decision"),
+        F.when(~error, F.col("n_findings")).alias("n_findings"),
+        F.when(~error & unsafe, X.canonical_type(raw)).alias("threat_type"),
+        F.when(~error & unsafe, X.default_severity(X.canonical_type(raw))).alias("severity"),
+        F.when(~error & unsafe, F.col("so_far")["confidence"]).alias("confidence"))

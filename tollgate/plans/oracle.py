@@ -429,12 +429,15 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT endpoint, 'open', event_id, ts, k, run_ts, run_id, ts, event_id FROM p
         WHERE NOT ok AND k >= 5 AND (next_ts IS NULL OR date_trunc('minute', next_ts) >= date_trunc('minute', ts + INTERVAL 1 DAY) + INTERVAL 1 MINUTE)""",
-    "custom_detector": f"""WITH {DOCS} SELECT doc_id AS item_id, 'tonality_drift_hostile' AS raw_type,
-          round(up / letters, 4) AS confidence, 'finding' AS kind, CAST(NULL AS VARCHAR) AS message
-        FROM (SELECT doc_id, length(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')) AS letters,
-                length(regexp_replace(coalesce(text, ''), '[^A-Z]', '', 'g')) AS up FROM pd
+    "custom_detector": f"""WITH {DOCS}, c AS (SELECT doc_id AS item_id, text, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS letters,
+                length(regexp_replace(text, '[^A-Z]', '', 'g')) AS up FROM pd
               WHERE text IS NOT NULL AND NOT regexp_matches(text, {lit(BLANK_PATTERN)}))
-        WHERE letters >= {SHOUT_MIN_LETTERS} AND up / letters >= {SHOUT_RATIO}""",
+        SELECT item_id, CASE WHEN length(text) > {MAX_CONTENT_CHARS} THEN 'size_limit_exceeded' WHEN NOT contains(text, '<?php') THEN 'tonality_drift_hostile' END AS raw_type,
+          CASE WHEN length(text) > {MAX_CONTENT_CHARS} THEN 1.0::DOUBLE WHEN NOT contains(text, '<?php') THEN round(up / letters, 4) END AS confidence,
+          CASE WHEN length(text) > {MAX_CONTENT_CHARS} THEN 'gate' WHEN contains(text, '<?php') THEN 'error' ELSE 'finding' END AS kind,
+          CASE WHEN length(text) > {MAX_CONTENT_CHARS} THEN 'Content too large (' || CAST(length(text) // 1024 AS VARCHAR) || 'KB > {MAX_CONTENT_CHARS // 1024}KB limit)'
+            WHEN contains(text, '<?php') THEN 'ValueError: markup' END AS message
+        FROM c WHERE length(text) > {MAX_CONTENT_CHARS} OR contains(text, '<?php') OR (letters >= {SHOUT_MIN_LETTERS} AND up / letters >= {SHOUT_RATIO})""",
 }
 
 # The size gate of SQL and file requests: over the limit there is no body.
@@ -555,3 +558,64 @@ ORACLE["rule_scan_large"] = f"""WITH {DOCS},
     rules AS (SELECT {_cols(derived.DOCUMENT_RULE_COLUMNS_SQL)} FROM w WHERE a <> '')
     SELECT d.doc_id AS item_id, r.raw_label AS raw_type, r.confidence, CAST(1 AS INTEGER) AS ord, CAST(NULL AS VARCHAR) AS match_hash
     FROM pd d JOIN rules r ON regexp_matches(d.text, r.pattern)"""
+
+# A list of the pages' hosts against every host and its parents.
+ORACLE["detect_domain_large"] = f"""WITH bl AS (SELECT DISTINCT lower({derived.DOMAIN_SQL}) AS domain FROM pages WHERE page_id % 6 = 0),
+    h AS (SELECT page_id AS item_id, {HOST} AS host FROM pages),
+    p AS (SELECT item_id, host, unnest(list_transform(range(1, len({LABELS}) + 1),
+            lambda i: {{'ord': i, 'matched': array_to_string(list_slice({LABELS}, i, len({LABELS})), '.')}})) AS u FROM h)
+    SELECT item_id, host, 'blocked_domain' AS raw_type, CAST({R.BLOCKED_DOMAIN_CONFIDENCE} AS DOUBLE) AS confidence,
+      CAST(u.ord AS INTEGER) AS ord, sha256(u.matched) AS match_hash, u.matched AS matched
+    FROM p WHERE u.matched <> '' AND u.matched IN (SELECT domain FROM bl)
+    UNION ALL
+    SELECT item_id, host, 'suspicious_tld', CAST({R.SUSPICIOUS_TLD_CONFIDENCE} AS DOUBLE), CAST(len({LABELS}) + 1 AS INTEGER),
+      sha256({LABELS}[-1]), {LABELS}[-1]
+    FROM h WHERE {LABELS}[-1] IN ({", ".join(lit(x) for x in R.SUSPICIOUS_TLDS)})"""
+
+# Every history as one text, scanned whole.
+ORACLE["history_verdicts"] = f"""WITH {MESSAGES}, u AS (SELECT conv_id, turn, text FROM pm WHERE role = 'user'),
+    h AS (SELECT row_number() OVER (ORDER BY conv_id, turn) AS doc_id, conv_id, turn,
+      CAST(sum(coalesce(length(text), 0) + 1) OVER w - 1 AS BIGINT) AS history_chars, count(*) FILTER (WHERE text IS NULL) OVER w > 0 AS broken,
+      CAST(sum(CAST('0x' || substr(md5(CAST(turn AS VARCHAR) || ':' || coalesce(text, '')), 1, 15) AS BIGINT)) OVER w AS VARCHAR) AS history_key,
+      string_agg(text, chr(10)) OVER w AS text
+      FROM u WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    {assembled(family_rows(ALL_FAMILIES, "h", "doc_id", "text"), items="h")}
+    SELECT h.conv_id, h.turn, h.history_chars, h.history_key, CASE WHEN broken THEN 'error' WHEN a.safe THEN 'allow' ELSE 'block' END AS decision,
+      CASE WHEN NOT broken THEN a.n_findings END AS n_findings, CASE WHEN NOT broken AND NOT a.safe THEN coalesce(x.canon, 'unknown') END AS threat_type,
+      CASE WHEN NOT broken AND NOT a.safe THEN a.severity END AS severity, CASE WHEN NOT broken AND NOT a.safe THEN a.confidence END AS confidence
+    FROM h JOIN asm a ON a.item_id = h.doc_id LEFT JOIN taxo x ON x.raw_label = a.threat_type"""
+
+
+def placed_rows(rule: R.Rule, src: str, id_col: str, text: str) -> str:
+    """:func:`rule_rows` with places: guarded rules keep the start that was
+    tried; for the others the text is split at the matches."""
+    if rule.guard:
+        arr = guarded_matches(rule, text).replace("lambda i: regexp_extract(", "lambda i: {'s': i - 1, 'm': regexp_extract(") \
+            .replace(", 1)), lambda m: m <> '')", ", 1)}), lambda x: x.m <> '')")
+        arr = f"list_filter({arr}, lambda x: {_luhn('x.m')})" if rule.raw_label == "credit_card" else arr
+    else:
+        p = lit(rule.pattern)
+        whole, group, pieces = f"regexp_extract_all({text}, {p}, 0)", f"regexp_extract_all({text}, {p}, {rule.group})", f"string_split_regex({text}, {p})"
+        arr = (f"CASE WHEN regexp_matches({text}, {p}) THEN list_transform({group}, lambda g, k: {{'s': list_sum(list_transform({pieces}[1:k], lambda q: length(q)))"
+               f" + list_sum(list_transform({whole}[1:k], lambda q: length(q))) - length(g), 'm': g}}) ELSE [] END")
+    return (f"SELECT {id_col} AS item_id, {lit(rule.raw_label)} AS raw_type, CAST({rule.confidence} AS DOUBLE) AS confidence, CAST(u.i AS INTEGER) AS ord, "
+            f"sha256(u.x.m) AS match_hash, CAST(u.x.s AS INTEGER) AS span_start, CAST(u.x.s + length(u.x.m) AS INTEGER) AS span_end "
+            f"FROM (SELECT {id_col}, unnest(list_transform({arr}, lambda x, i: {{'x': x, 'i': i}})) AS u FROM {src})")
+
+
+_PLACED = "\nUNION ALL ".join(placed_rows(r, "pd", "doc_id", "text") for fam in ("pii", "secrets") for r in R.RULE_FAMILIES[fam])
+ORACLE["located_findings"] = f"WITH {DOCS} {_PLACED}"
+_TOKEN = "CASE kind " + " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in R.REDACT_TOKENS.items()) + " ELSE '[SECRET]' END"
+ORACLE["redact_findings"] = f"""WITH {DOCS}, f AS ({_PLACED}),
+    r AS (SELECT *, max(span_end) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM f
+          WINDOW w AS (PARTITION BY item_id ORDER BY span_start, span_end DESC, confidence DESC, raw_type)),
+    g AS (SELECT *, sum(CASE WHEN span_start < reach THEN 0 ELSE 1 END) OVER (PARTITION BY item_id ORDER BY span_start, span_end DESC, confidence DESC, raw_type ROWS UNBOUNDED PRECEDING) AS part FROM r),
+    m AS (SELECT item_id, part, min(span_start) AS a, max(span_end) AS b, arg_min(raw_type, CASE WHEN span_start < reach THEN 1 ELSE 0 END) AS kind FROM g GROUP BY item_id, part),
+    k AS (SELECT item_id, part, b, substr(text, coalesce(lag(b) OVER o, 0) + 1, a - coalesce(lag(b) OVER o, 0)) || {_TOKEN} AS piece
+          FROM m JOIN pd ON pd.doc_id = m.item_id WINDOW o AS (PARTITION BY item_id ORDER BY part)),
+    j AS (SELECT item_id, string_agg(piece, '' ORDER BY part) AS front, max(b) AS b FROM k GROUP BY item_id)
+    SELECT doc_id AS item_id, CASE WHEN j.item_id IS NULL THEN text ELSE front || substr(text, b + 1) END AS redacted FROM pd LEFT JOIN j ON j.item_id = pd.doc_id"""
+
+ORACLE["coverage_merged"] = f"""WITH {sanitized('documents', 'doc_id')}, {BRIDGE}
+    SELECT b.framework, count(*) AS n_findings, count(DISTINCT e.user_id) AS n_items, true AS estimate_near
+    FROM events e JOIN san ON san.item_id = e.event_id JOIN bridge b ON b.b_type = san.threat_type WHERE NOT san.safe GROUP BY b.framework"""

@@ -11,7 +11,7 @@ carries the chunk totals forward, and adds them back with one join on
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,3 +48,28 @@ def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     else:
         res = F.greatest(F.col("_carry"), F.col("_local"))
     return j.withColumn(out, res).drop("_chunk", "_val", "_local", "_carry")
+
+
+def chunked_prefixes(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,
+                     values: Mapping[str, tuple[str, Column]]) -> DataFrame:
+    """Several running aggregates at once: ``values`` names each new column
+    with ``sum``, ``min`` or ``max`` and what it runs over.
+
+    As :func:`chunked_running`, but rows are dealt to (key, chunk) once and the
+    chunk totals are taken from that same exchange, so an expensive ``df``
+    (detectors) is evaluated once."""
+    aggs = {"sum": F.sum, "min": F.min, "max": F.max}
+    both = {"sum": lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)), "min": F.least, "max": F.greatest}
+    keys, names = list(keys), [*keys, "_chunk"]
+    valued = df.withColumn("_chunk", chunk).withColumns({f"_v_{n}": v for n, (_, v) in values.items()})
+    # One struct, opened by a generator: neither use can prune it, so both read
+    # the same exchange.
+    packed = valued.select(*names, F.struct(*[c for c in valued.columns if c not in names]).alias("_r")).repartition(*names)
+    dealt = packed.select(*names, F.inline(F.array("_r")))
+    local = Window.partitionBy(*names).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = dealt.withColumns({f"_l_{n}": aggs[how](f"_v_{n}").over(local) for n, (how, _) in values.items()})
+    totals = dealt.groupBy(*names).agg(*[aggs[how](f"_v_{n}").alias(f"_t_{n}") for n, (how, _) in values.items()])
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*[F.col(k).alias(f"_c_{k}") for k in names], *[aggs[how](f"_t_{n}").over(before).alias(f"_a_{n}") for n, (how, _) in values.items()])
+    cond = [rows[k].eqNullSafe(carry[f"_c_{k}"]) for k in names]
+    return rows.join(carry, cond, "left").select(*df.columns, *[both[how](F.col(f"_a_{n}"), F.col(f"_l_{n}")).alias(n) for n, (how, _) in values.items()])

@@ -174,6 +174,18 @@ def document_rules(documents: DataFrame) -> DataFrame:
     return d.where("a <> ''").selectExpr(*[f"{sql} AS {name}" for name, sql in DOCUMENT_RULE_COLUMNS_SQL.items()])
 
 
+# Blocked domains: the host of one page in six, or its parent, some in capitals;
+# a list that grows with the pages, with one top-level name, blanks and NULLs.
+HOST_SQL = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#@]*@)?([^/?#:]*)', 2))"
+DOMAIN_SQL = f"""CASE WHEN page_id % 97 = 6 THEN 'ORG' WHEN page_id % 30 = 6 THEN '' WHEN page_id % 18 = 6 THEN regexp_replace({HOST_SQL}, '^[^.]*[.]', '')
+    WHEN page_id % 12 = 6 THEN upper({HOST_SQL}) ELSE {HOST_SQL} END"""
+
+
+def blocked_domains(pages: DataFrame) -> DataFrame:
+    """A block list (domain) made of the pages' hosts."""
+    return pages.where("page_id % 6 = 0").select(F.expr(DOMAIN_SQL).alias("domain"))
+
+
 # ---------------------------------------------------------------------------
 # documents and messages with something for every rule and gate to find
 # ---------------------------------------------------------------------------
