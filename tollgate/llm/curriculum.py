@@ -143,9 +143,10 @@ def training_order(docs: DataFrame, **options) -> DataFrame:
 
 def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    out = mixed(docs, carry=["doc_id"])
-    return out.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken",
-                      F.round(F.get("positions", F.lit(0)), 6).alias("position")).orderBy(F.col("position").asc_nulls_last())
+    out = mixed(docs, carry=["doc_id"]).select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken",
+                                               F.round(F.get("positions", F.lit(0)), 6).alias("position"))
+    # The hash spreads documents without a position over ranges of their own.
+    return out.orderBy(F.col("position").asc_nulls_last(), F.xxhash64("doc_id"), "doc_id")
 
 
 ORACLE_SQL = """
