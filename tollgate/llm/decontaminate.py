@@ -9,8 +9,11 @@ are located by sampled suffix positions, and the words they cover merge into
 removal spans.  The plan is a projection: documents are not shuffled.
 
 The benchmark is a stated query set.  It reaches the tasks in blocks of at
-most about ``BLOCK_BYTES`` of text (the size is summed first); each block is
-one more column of the projection, so a larger benchmark means more blocks.
+most about ``BLOCK_BYTES`` of text (the size is summed first).  One block is one
+projection.  More are taken one after another: the driver and the tasks hold
+one block at a time, what it finds is written to the shared folder (one row
+for each different text that it hits, by a 128-bit hash of the text), and the
+blocks' finds are merged by text and joined to the documents.
 
 Defined cases: a NULL or empty text, or one without words, has no words and no
 hits; an item without words has no window; a NULL item_id counts as the empty
@@ -30,11 +33,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from tollgate.llm import textvec as tv
-from tollgate.llm.common import python_tasks, pack, read_table
+from tollgate.llm.common import python_tasks, pack, read_table, staged
 from tollgate.llm.fm_index import FMIndex
 
 WINDOW = 10
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 RESULT = ("struct<n_words: bigint, spans: array<struct<word_start: bigint, word_end: bigint, "
           "byte_start: bigint, byte_end: bigint>>, items: array<string>>")
 _TABLE_BITS = 20
@@ -171,14 +174,15 @@ def _scanner(windows_ref):
     return scan
 
 
-def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> list[Windows]:
-    """The benchmark in blocks that are each small enough to broadcast."""
+def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> tuple[int, Iterator[Windows]]:
+    """Number of blocks, and the benchmark in blocks that are each small enough
+    to broadcast, made when they are asked for."""
     items = benchmark.select(F.coalesce(benchmark["item_id"].cast("string"), F.lit("")).alias("i"),
                              F.coalesce(benchmark["text"], F.lit("")).alias("t"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     count = max(1, -(-total // block_bytes))
     block = F.pmod(F.xxhash64("i", "t"), F.lit(count))
-    return [Windows([(r["i"], r["t"]) for r in items.where(block == k).toLocalIterator()], window) for k in range(count)]
+    return count, (Windows([(r["i"], r["t"]) for r in items.where(block == k).toLocalIterator()], window) for k in range(count))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -188,13 +192,28 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     python_tasks(spark)
     text: Column = F.col("row.text")
     out = pack(docs)
-    blocks = benchmark_blocks(benchmark, window)
-    names = [f"block{k}" for k in range(len(blocks))]
-    for name, windows in zip(names, blocks):
-        out = out.withColumn(name, _scanner(spark.sparkContext.broadcast(windows))(text))
-    if len(names) == 1:
-        return out.select("row", "block0.n_words", "block0.spans", F.array_sort("block0.items").alias("items"))
-    spans = F.array_sort(F.concat(*[F.col(f"{n}.spans") for n in names]))
+    count, blocks = benchmark_blocks(benchmark, window)
+    if count == 1:
+        out = out.withColumn("found", _scanner(spark.sparkContext.broadcast(next(blocks)))(text))
+        return out.select("row", "found.n_words", "found.spans", F.array_sort("found.items").alias("items"))
+    key = F.md5(text.cast("binary"))
+    finds = None
+    for windows in blocks:
+        held = spark.sparkContext.broadcast(windows)
+        hit = out.select(key.alias("key"), _scanner(held)(text).alias("found")).where(F.size("found.spans") > 0)
+        # Copies of a text are found alike: one row stands for all of them.
+        part = staged(hit.groupBy("key").agg(F.any_value("found").alias("found")).select("key", "found.spans", "found.items"), "hits")
+        held.destroy()
+        finds = part if finds is None else finds.unionByName(part)
+    merged = finds.groupBy("key").agg(_joined_spans(F.array_sort(F.flatten(F.collect_list("spans")))).alias("spans"),
+                                      F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    n_words = F.size(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("[0-9A-Za-z\\x{80}-\\x{10FFFF}]+"), F.lit(0))).cast("bigint")
+    return out.withColumn("key", key).join(merged, "key", "left").select(
+        "row", n_words.alias("n_words"), *[F.coalesce(F.col(c), F.array().cast(merged.schema[c].dataType)).alias(c) for c in ("spans", "items")])
+
+
+def _joined_spans(spans: Column) -> Column:
+    """Sorted spans, those that overlap or touch as one."""
     start = F.struct(F.lit(-1).cast("bigint").alias("word_start"), F.lit(-1).cast("bigint").alias("word_end"),
                      F.lit(-1).cast("bigint").alias("byte_start"), F.lit(-1).cast("bigint").alias("byte_end"))
 
@@ -203,9 +222,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         grown = F.struct(last["word_start"].alias("word_start"), F.greatest(last["word_end"], s["word_end"]).alias("word_end"),
                          last["byte_start"].alias("byte_start"), F.greatest(last["byte_end"], s["byte_end"]).alias("byte_end"))
         return F.when(s["word_start"] <= last["word_end"], F.concat(F.slice(done, 1, F.size(done) - 1), F.array(grown))).otherwise(F.concat(done, F.array(s)))
-    empty = F.slice(spans, 1, 0)
-    return out.select("row", F.col("block0.n_words"), F.aggregate(spans, empty, join).alias("spans"),
-                      F.array_sort(F.array_distinct(F.concat(*[F.col(f"{n}.items") for n in names]))).alias("items"))
+    return F.aggregate(spans, F.slice(spans, 1, 0), join)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
