@@ -112,7 +112,7 @@ def random_corpus(seed):
     items = [(f"q{k % 7}", " ".join(rnd.choice(vocab) for _ in range(rnd.randint(0, 16)))) for k in range(12)] + [(None, "B,c a"), ("x", None), ("y", "")]
     docs = [" ".join(rnd.choice(vocab) for _ in range(rnd.randint(0, 60))) for _ in range(60)]
     docs += [f"B {t}. zz {t}" for _, t in items] + [None, "", "..."]
-    return docs, items
+    return docs + docs[:8], items
 
 
 @pytest.mark.parametrize("block_bytes", [1 << 20, 60])
@@ -420,7 +420,19 @@ def test_attention_gradients():
 def test_passages_cover_long_texts():
     import pyarrow as pa
     x, at = quality_mil.encode_passages(pa.array([" ".join(["w"] * 100_000), "a b", None, ""]))
-    assert np.diff(at).tolist() == [64, 1, 1, 1] and np.isfinite(x).all()
+    assert np.diff(at).tolist() == [782, 1, 1, 1] and np.isfinite(x).all()
+    # A passage is the same whatever stands around it, but for the text's length and repeats.
+    words = [f"w{i}" for i in range(20_000)]
+    long, _ = quality_mil.encode_passages(pa.array([" ".join(words)]))
+    short, _ = quality_mil.encode_passages(pa.array([" ".join(words[128 * 100: 128 * 101])]))
+    same = np.arange(quality_mil.FEATURES) != quality_mil.N_CLASSES + 5
+    assert len(long) == 157 and np.allclose(long[100][same], short[0][same])
+
+
+def test_fitting_takes_passages_from_the_whole_text():
+    assert quality_mil.fitting_passages(5, 9).tolist() == [5, 6, 7, 8]
+    some = quality_mil.fitting_passages(10, 1010)
+    assert len(some) == quality_mil.FIT_PASSAGES and some[0] == 10 and some[-1] > 990 and len(set(some.tolist())) == len(some)
 
 
 # quality rules -----------------------------------------------------------

@@ -6,11 +6,13 @@ then a learned layer h = tanh(x W + b)); gated attention
 a = softmax(w . (tanh(h V) * sigmoid(h U))) weighs the passages, and the
 weighted representation sum(a h) gives the score through a logistic unit.
 
-Passages have ``PASSAGE_WORDS`` words; a text of more than
-``PASSAGES * PASSAGE_WORDS`` words has ``PASSAGES`` longer ones instead, so a
-bag is bounded and covers all words.  The network is fitted on at most
+Passages have ``PASSAGE_WORDS`` words whatever the length of a text: a bag
+takes some 850 bytes for 128 words, little more than the words themselves, and
+every passage meets the attention as it is.  The network is fitted on at most
 ``SAMPLE_ROWS`` labelled documents (as many of either class; the bias is then
-moved to the classes' true proportion); scoring is a projection.
+moved to the classes' true proportion) and, of each, on at most
+``FIT_PASSAGES`` of its passages, evenly spaced; scoring is a projection over
+all passages.
 
 Defined cases: a NULL, empty or blank text is one passage without words and
 gets the score of that; documents with contradictory label rows are not
@@ -33,9 +35,9 @@ from tollgate.llm import textvec as tv
 from tollgate.llm.common import learn_fold, pack, python_tasks, read_table
 from tollgate.llm.sampling import labelled_sample
 
-PASSAGE_WORDS, PASSAGES = 128, 64
+PASSAGE_WORDS = 128
 HASHED = 64
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS, FIT_PASSAGES = 4000, 64
 HIDDEN, GATE, EPOCHS, RATE, DECAY = 24, 16, 150, 0.02, 1e-4
 _CLASSES = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b"#*$%&|<>", b"!?", b".,;:", b"\"'()[]{}-_/\\@+=~^`", b"\n", b" "]
 _CLASS_OF = np.full(256, len(_CLASSES), np.uint8)
@@ -52,12 +54,11 @@ def encode_passages(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     starts, ends, first = tv.word_spans(data, offsets, tv.NON_SPACE)
     words = tv.word_hashes(data, starts, ends)
     count = np.diff(first)
-    size = np.maximum(PASSAGE_WORDS, -(-count // PASSAGES))
-    bags = np.maximum(1, -(-count // size))
+    bags = np.maximum(1, -(-count // PASSAGE_WORDS))
     at = np.concatenate(([0], np.cumsum(bags)))
     doc = np.repeat(np.arange(n), bags)
-    begin = np.minimum(first[doc] + (np.arange(at[-1]) - at[doc]) * size[doc], first[doc + 1])
-    end = np.minimum(begin + size[doc], first[doc + 1])
+    begin = np.minimum(first[doc] + (np.arange(at[-1]) - at[doc]) * PASSAGE_WORDS, first[doc + 1])
+    end = np.minimum(begin + PASSAGE_WORDS, first[doc + 1])
     out = np.zeros((at[-1], FEATURES), np.float32)
     if not len(words):
         return out, at
@@ -167,12 +168,17 @@ class Constant:
         return np.full(len(at) - 1, self.share)
 
 
+def fitting_passages(a: int, b: int) -> np.ndarray:
+    """All of the passages a..b, or ``FIT_PASSAGES`` of them, evenly spaced."""
+    return np.arange(a, b) if b - a <= FIT_PASSAGES else a + np.arange(FIT_PASSAGES) * (b - a) // FIT_PASSAGES
+
+
 def _bags():
     @arrow_udf("binary")
     def bags(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
             x, at = encode_passages(column)
-            yield pa.array([x[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())
+            yield pa.array([x[fitting_passages(a, b)].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())
     return bags
 
 
