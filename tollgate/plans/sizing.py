@@ -1,25 +1,15 @@
-"""Size checks before broadcasting user-supplied tables."""
+"""Where rows are spread, and what may be pushed down."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A user table is broadcast only when it has at most this many rows.
-BROADCAST_MAX_ROWS = 100_000
 # Spread an input before regex work only if it has at most 1/SPREAD_FACTOR
 # as many partitions as the cluster has cores.
 SPREAD_FACTOR = 2
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` when it is proven small; otherwise leave the choice
-    to the planner (sort-merge or shuffled hash join).  The check reads at
-    most ``max_rows + 1`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread rows over the cluster before CPU-heavy per-row work (regex).
 
