@@ -480,6 +480,55 @@ def test_thresholds_hold_the_false_rejection(spark):
     assert nothing.count() == 0
 
 
+def plain_levels(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words):
+    ratios = {"symbols": n_symbols / max(word_chars, 1), "repeated_words": n_repeat_words / max(n_words, 1),
+              "repeated_lines": n_dup_lines / max(n_words, 1), "word_length": word_chars / max(n_words, 1)}
+    return {r: next((t for t, c in enumerate(quality_rules.GRIDS[r][1], 1) if x > c), quality_rules.LEVELS + 1) for r, x in ratios.items()}
+
+
+def test_certified_levels_against_a_walk_of_the_ladder(spark):
+    """Languages with many, few and no good labels, and one without a name."""
+    from math import comb
+    rnd, docs, marks = random.Random(11), [], []
+    for lang, count in (("en", 1500), ("de", 260), (None, 700), ("xx", 30), ("zz", 40)):
+        for _ in range(count):
+            k = len(docs)
+            bad = rnd.random() < 0.25
+            words = [f"{rnd.choice('abcdef')}{k}v{i}" for i in range(60)]
+            for i in range(rnd.choice([0, 0, 0, 1, 2, 6]) if not bad else rnd.randint(5, 30)):
+                words[rnd.randrange(60)] = rnd.choice(["###", "a|b", "|" * 9])
+            docs.append((k, " ".join(words), lang))
+            marks.append((k, 0 if bad or lang == "zz" else 1))
+    out = quality_rules.judged(spark.createDataFrame(docs, "doc_id long, text string, lang string"), spark.createDataFrame(marks, "doc_id long, quality int")).collect()
+    levels, bases, good = {}, {}, dict(marks)
+    for k, text, _ in docs:
+        base = plain_base(text)
+        levels[k], bases[k] = plain_levels(*base), base[0] < 50 or 100 * base[4] > 50 * base[0]
+    held = {k for k, _, _ in docs if good[k] and not bases[k]}
+    want = {}
+    for lang in {x for _, _, x in docs}:
+        of = [min(levels[k].values()) for k, _, x in docs if x == lang and k in held]
+        n, t = len(of), 0
+        while t < quality_rules.LEVELS and n:
+            k = sum(x <= t + 1 for x in of)
+            tail = sum(comb(n, i) * 0.02**i * 0.98**(n - i) for i in range(k + 1)) if k <= 0.02 * n else 1
+            if tail > 0.05 * n / len(held):
+                break
+            t += 1
+        want[lang] = t
+    assert want["en"] > 0 and want[None] > 0 and want["xx"] == 0 and want["zz"] == 0
+    assert len(out) == len(docs)
+    for r in out:
+        k, t = r.row.doc_id, want[r.stratum]
+        names = [rule for rule in quality_rules.GRIDS if levels[k][rule] <= t]
+        assert (r.certified or 0) == t and r.rejected_by == names and r.base_failed == bases[k] and r.kept == (not bases[k] and not names)
+
+
+def test_thresholds_speak_on_the_given_tables(spark):
+    rows = quality_rules.op2_quality_rules(spark, "/root/testdata/sf0.01").where("not base_failed and not kept").count()
+    assert rows > 0
+
+
 def test_quality_rules_awkward(spark, tables, empty_tables):
     rows = quality_rules.op2_quality_rules(spark, tables).collect()
     assert len(rows) == 15 and not any(r.kept for r in rows if r.n_words < 50)
