@@ -174,14 +174,17 @@ def plain_url(url):
     return host, path, *(max(fits)[1:] if fits else (None, None))
 
 
-@pytest.mark.parametrize("bits, inline", [(1 << 20, 32 << 20), (256, 32 << 20), (256, 0)])
+@pytest.mark.parametrize("bits, inline", [(1 << 20, 32 << 20), (256, 32 << 20), (256, 600), (1024, 0)])
 def test_cascade_is_exact(spark, monkeypatch, bits, inline):
-    monkeypatch.setattr(url_cascade, "MAX_INLINE_BYTES", inline)
+    monkeypatch.setattr(url_cascade, "INLINE_BYTES", inline)
     keys = spark.range(5000).select(F.concat(F.lit("host"), "id").alias("key"), (F.col("id") % 13 == 0).alias("listed"))
     cascade = url_cascade.build_cascade(keys, segment_bits=bits)
-    assert len(cascade.levels) > 1 and (cascade.segments > 1) == (bits == 256)
-    got = cascade.mark(keys, "key", "said")
-    assert got.count() == 5000 and got.where("said <> listed").count() == 0
+    assert len(cascade.levels) > 1 and (cascade.segments > 1) == (bits <= 1024)
+    assert (len(cascade.parts()) > 1) == (inline <= 600) and [k for a, b in cascade.parts() for k in range(a, b)] == list(range(cascade.segments))
+    hot = spark.range(2000).select(F.lit("host13").alias("key"), F.lit(True).alias("listed")).union(spark.createDataFrame([(None, False)] * 3, "key string, listed boolean"))
+    got = cascade.mark(keys.union(hot), "key", "said")
+    assert got.count() == 7003 and got.where("said <> listed").count() == 0
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
 
 
 def test_cascade_of_nothing(spark):

@@ -10,20 +10,26 @@ hash so that no array grows beyond ``SEGMENT_BITS``; all segments are built in
 the same passes.
 
 Levels are built with aggregates over distinct keys (bit_or of 64-bit words)
-and shrink geometrically.  Probing needs no join: the cascade is one row, read
-by a scalar subquery inside the expression, as long as its size, which is known
-from the counts, is at most ``MAX_INLINE_BYTES``.  A larger one is joined by
-segment (never by key), with the same results.
+and shrink geometrically.  Probing needs no join and no shuffle at any size:
+``INLINE_BYTES`` of consecutive segments at a time are one row, read by a scalar
+subquery inside the expression.  A cascade of one such part is a projection; a
+larger one is probed part after part, each pass judging the rows whose key lies
+in its segments and writing them to the shared folder, so that neither a task
+nor the driver holds more than one part and a hot host is spread as the table
+is.  Every row is in exactly one pass; the table is read once a part.
 
 Defined cases: a NULL url or one without ``://`` has an empty host and path; an
 empty page table gives no rows; listed keys outside the universe are ignored;
-an empty list allows everything; repeated rows are judged alike; other columns
-pass through in ``row``.
+an empty list allows everything; repeated rows are judged alike; of rules that
+fit the longest wins, of one length the first given; a url of any length is one
+row's strings; a NULL key is in no list; other columns pass through in ``row``.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +40,7 @@ from tollgate.llm.common import lowered_ascii, pack, read_table, staged
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block"))
 SEGMENT_BITS = 1 << 20
-MAX_INLINE_BYTES = 32 << 20
+INLINE_BYTES = 32 << 20
 MAX_LEVELS = 64
 
 
@@ -80,9 +86,10 @@ class Cascade:
     def __init__(self, table: DataFrame, levels: list[Level], segments: int):
         self.table, self.levels, self.segments = table, levels, segments
 
-    @property
-    def bytes(self) -> int:
-        return 8 * self.segments * sum(level.words for level in self.levels)
+    def parts(self) -> list[tuple[int, int]]:
+        """Ranges of segments, each of at most ``INLINE_BYTES`` (one segment at least)."""
+        each = max(1, INLINE_BYTES // (8 * sum(level.words for level in self.levels)))
+        return [(k, min(k + each, self.segments)) for k in range(0, self.segments, each)]
 
     def segment(self, key: Column) -> Column:
         return F.pmod(F.xxhash64(key, F.lit(0)), F.lit(self.segments)).cast("int")
@@ -93,17 +100,26 @@ class Cascade:
             out = F.when(~level.holds(key, array_of(level.number - 1)), F.lit(level.number % 2 == 0)).otherwise(out)
         return out
 
+    def probed(self, df: DataFrame, key: str, use: Callable[[DataFrame, Callable[[int], Column]], DataFrame], name: str) -> DataFrame:
+        """``use(rows, filter_of)`` over all rows of ``df``, each row in the part
+        of its key's segment; ``filter_of(k)`` is the filter of level k + 1 there."""
+        parts, segment = self.parts(), F.coalesce(self.segment(F.col(key)), F.lit(0))
+
+        def one(first: int, end: int) -> DataFrame:
+            within = self.table.where((F.col("segment") >= first) & (F.col("segment") < end))
+            whole = within.agg(F.array_sort(F.collect_list(F.struct("segment", "filters"))).alias("all")).scalar()
+            own = F.get(whole, segment - F.lit(first))["filters"]
+            rows = df if len(parts) == 1 else df.where((segment >= first) & (segment < end))
+            return use(rows, lambda k: F.get(own, F.lit(k)))
+        if len(parts) == 1:
+            return one(*parts[0])
+        return reduce(DataFrame.unionAll, [staged(one(*p), name) for p in parts])
+
     def mark(self, df: DataFrame, key: str, name: str) -> DataFrame:
         """``df`` with the boolean column ``name``: is ``key`` listed?"""
         if not self.levels:
             return df.withColumn(name, F.lit(False))
-        if self.bytes <= MAX_INLINE_BYTES:
-            whole = self.table.agg(F.array_sort(F.collect_list(F.struct("segment", "filters"))).alias("all")).scalar()
-            own = F.get(whole, self.segment(F.col(key)))["filters"]
-            return df.withColumn(name, self._listed(F.col(key), lambda k: F.get(own, k)))
-        t = self.table.select(F.col("segment").alias("_segment"), F.col("filters").alias("_filters"))
-        met = df.withColumn("_segment", self.segment(F.col(key))).join(t, "_segment")
-        return met.withColumn(name, self._listed(F.col(key), lambda k: F.get("_filters", F.lit(k)))).drop("_segment", "_filters")
+        return self.probed(df, key, lambda rows, of: rows.withColumn(name, F.col(key).isNotNull() & self._listed(F.col(key), of)), "marked")
 
 
 def build_cascade(universe: DataFrame, segment_bits: int = SEGMENT_BITS) -> Cascade:
@@ -145,14 +161,7 @@ def build_cascade(universe: DataFrame, segment_bits: int = SEGMENT_BITS) -> Casc
 def _held(one: Cascade, keys: DataFrame) -> DataFrame:
     """Keys that the only level of ``one`` holds."""
     single = Cascade(one.table.select("segment", F.array("filter").alias("filters")), one.levels, one.segments)
-    level = one.levels[0]
-    alone = Level(level.number, level.words, level.hashes)
-    if single.bytes <= MAX_INLINE_BYTES:
-        whole = single.table.agg(F.array_sort(F.collect_list(F.struct("segment", "filters"))).alias("all")).scalar()
-        own = F.get(F.get(whole, single.segment(F.col("key")))["filters"], F.lit(0))
-        return keys.where(alone.holds(F.col("key"), own))
-    met = keys.withColumn("_segment", single.segment(F.col("key"))).join(one.table.withColumnRenamed("segment", "_segment"), "_segment")
-    return met.where(alone.holds(F.col("key"), F.col("filter"))).select("key")
+    return single.probed(keys, "key", lambda rows, of: rows.where(one.levels[0].holds(F.col("key"), of(0))), "held")
 
 
 def listed_by_digest(key: Column) -> Column:
