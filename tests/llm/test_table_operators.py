@@ -93,6 +93,13 @@ def test_jaccard_join_awkward(spark, awkward, tables, empty_tables, clashing):
     assert ids == [0, 1, 4, 5, 6, 7, 8, 9, 10, 11]  # of 1, 2, 3, None one stays; one of the three 10s; the wordless all
 
 
+def test_repeated_rows_fold_and_wordless_rows_stay(spark):
+    rows = [(None, "one two three four five six", "a")] * 3000 + [(None, None, "a")] * 3000 + [(7, " ", "b")] * 5 + [(8, "one two three  four five six", "c")]
+    kept = jaccard_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, key string"))
+    got = sorted(((r.doc_id or 0), r.text or "", r.key) for r in kept.collect())
+    assert got == [(0, "", "a")] * 3000 + [(7, " ", "b")] * 5 + [(8, "one two three  four five six", "c")]
+
+
 # mixing ------------------------------------------------------------------
 
 def plain_targets(sizes):

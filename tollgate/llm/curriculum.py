@@ -22,7 +22,8 @@ Defined cases: a text without words (NULL, empty, blank) has size 0, is never
 needed (taken 0, no position) and, alone in its source, leaves a target of 0;
 a NULL source is a source of its own, the last; repeated rows and ids are
 separate documents (ties in the hash are broken by a hash of the text; rows that are
-alike change places without effect); an empty table gives no rows; other
+alike change places without effect); an empty table gives no rows; a text of
+any length is only split and counted on its row; other
 columns pass through untouched.
 """
 

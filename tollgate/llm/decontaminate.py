@@ -18,7 +18,8 @@ blocks' finds are merged by text and joined to the documents.
 Defined cases: a NULL or empty text, or one without words, has no words and no
 hits; an item without words has no window; a NULL item_id counts as the empty
 string; repeated item_ids are one item; an empty benchmark hits nothing;
-repeated documents are judged each by itself; other columns pass through
+repeated documents are judged each by itself; a very
+long text is indexed whole, in one batch; other columns pass through
 untouched.  Words are told apart by 64-bit hashes.
 """
 

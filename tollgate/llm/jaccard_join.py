@@ -30,7 +30,9 @@ linked), n_copies (documents with its word sequence, itself included).
 Defined cases: a text of one to four words is one shingle; a NULL, empty or
 wordless text links with nothing and is a class of its own; a class whose
 documents all lack a doc_id has a NULL class_id; repeated rows are copies;
-texts that differ in white space only are copies; extra columns are not read.
+texts that differ in white space only are copies; ties for the least document of
+a class go to the lesser text hash; a text of any length is one row, its shingles
+8 bytes each in the task that holds it; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -40,12 +42,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from tollgate.llm import textvec as tv
-from tollgate.llm.common import pack, python_tasks, read_table, staged
+from tollgate.llm.common import WORD_SEPARATORS, pack, python_tasks, read_table, staged
 
 WORDS, THRESHOLD, TOLERANCE = 5, 0.8, 1e-6
 HASHES, ROWS, STEP = 128, 4, 32
@@ -392,11 +394,16 @@ def row_key(doc_id: Column, text_hash: Column) -> Column:
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without near duplicates: of each class the least document stays
-    (one of its repeated rows); all columns as they were."""
-    found = jaccard_classes(docs, **options).where("stays").select("key", "has_words").distinct()
+    (one of its repeated rows); all columns as they were.
+
+    Rows without words stay by their text alone and meet no shuffle.  Rows alike
+    in doc_id and text fold into one in the tasks that read them, so that a row
+    repeated any number of times reaches the exchange once from each task."""
     keyed = pack(docs).withColumn("key", row_key(F.col("row.doc_id").cast("bigint"), F.xxhash64(F.col("row.text"))))
-    met = keyed.join(found, "key").withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("key")))
-    return met.where((F.col("n") == 1) | ~F.col("has_words")).select("row.*")
+    worded = F.btrim(F.coalesce(F.col("row.text"), F.lit("")), F.lit(WORD_SEPARATORS)) != ""
+    found = jaccard_classes(docs, **options).where("stays and has_words").select("key").distinct()
+    one = keyed.where(worded).groupBy("key").agg(F.first("row").alias("row")).join(found, "key")
+    return one.select("row.*").unionAll(keyed.where(~worded).select("row.*"))
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

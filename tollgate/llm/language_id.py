@@ -10,8 +10,10 @@ back for the temperature.  Prediction is a projection over all documents.
 
 Defined cases: ``und`` with score 0 for a NULL or empty text, one without a
 letter, or when there is nothing to learn from; rows with a NULL doc_id count
-as held out; repeated rows are judged alike; extra columns are not read.  At
-most ``sampling.MAX_LABELS`` languages (the most frequent) are learned.
+as held out; repeated rows are judged alike; of languages with
+equal scores the first by code point wins; every language of the learnable rows
+is learned; a very long text is counted whole, in one task; extra columns
+are not read.
 """
 
 from __future__ import annotations

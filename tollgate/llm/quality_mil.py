@@ -18,7 +18,8 @@ Defined cases: a NULL, empty or blank text is one passage without words and
 gets the score of that; documents with contradictory label rows are not
 learned from; NULL doc_ids count as held out; with labels of one class only
 (or none) the score is that class's share (or 0.5) everywhere; repeated rows
-are scored alike; other columns pass through in ``row``.
+are scored alike; a score of exactly 0.5 predicts 1; a text of any length has all
+its passages scored; other columns pass through in ``row``.
 """
 
 from __future__ import annotations
