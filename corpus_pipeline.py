@@ -13,6 +13,14 @@ All but the last return the columns of ``docs`` as they were:
    an index by training rank (the place of a copy in stage 4's files), and
    returns that index (rank, doc_id, start, n_tokens, ids_crc32), read back
    from the files.
+
+Defined cases: a NULL, empty or letterless text goes in stage 1; repeated rows
+are copies of one document and one stays; of a class the least doc_id stays, NULL
+last; a document with a NULL doc_id is kept and mixed like any other and comes
+first in the token files; a NULL source is a source of its own; very long texts
+pass every stage whole; empty tables give an empty index; an empty benchmark
+drops nothing; further columns of ``documents`` pass through to stage 4, whatever
+their names.
 """
 
 from __future__ import annotations
