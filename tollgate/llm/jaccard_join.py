@@ -199,6 +199,15 @@ def _pair_chunks(group: np.ndarray, side: np.ndarray, cross: np.ndarray) -> Iter
         a = b
 
 
+def _joined(root: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The forest ``root`` with the pairs of one more chunk: no more than a
+    chunk's pairs are ever held."""
+    if not len(left):
+        return root
+    own = np.flatnonzero(root != np.arange(len(root)))
+    return _forest(len(root), np.concatenate((own, left)), np.concatenate((root[own], right)))
+
+
 def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Sorted batches cut at group ends: (rows of whole groups, group number)."""
     held: list[pa.RecordBatch] = []
@@ -238,19 +247,17 @@ def _candidates(least: dict[int, int]):
             band, side = t.column("band").to_numpy(), t.column("side").to_numpy()
             cross = t.column("i").to_numpy() != t.column("j").to_numpy()
             sign = bands.view(np.uint16)
-            lefts, rights = [], []
+            root = np.arange(len(rep))
             for left, right in _pair_chunks(group, side, cross):
                 first = (bands[left] == bands[right]).argmax(1)
                 own = first == band[left]
                 left, right = left[own], right[own]
                 live = _prune(sign, left, right, least)
-                if len(live):
-                    lefts.append(left[live])
-                    rights.append(right[live])
-            if lefts:
-                root = _forest(len(rep), np.concatenate(lefts), np.concatenate(rights))
-                edge = np.flatnonzero(root != np.arange(len(rep)))
+                root = _joined(root, left[live], right[live])
+            edge = np.flatnonzero(root != np.arange(len(rep)))
+            if len(edge):
                 yield pa.RecordBatch.from_arrays([pa.array(rep[edge]), pa.array(rep[root[edge]])], ["a", "b"])
+        tv.give_back()
     return run
 
 
@@ -265,13 +272,13 @@ def _verified(least: dict[int, int], threshold: float):
         at = np.cumsum(size) - size
         distinct, ids = np.unique(np.concatenate(sets), return_inverse=True)
         mark = np.zeros(len(distinct), bool)
-        links, docs = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        lefts, rights = [], []
+        links, docs, root = np.zeros(n, np.int64), np.zeros(n, np.int64), np.arange(n)
         for left, right in _pair_chunks(np.zeros(n, np.int64), side, cross):
             live = _prune(sign, left, right, least)
             left, right = left[live], right[live]
             if not len(left):
                 continue
+            lefts, rights = [], []
             bounds = np.flatnonzero(np.concatenate(([True], left[1:] != left[:-1], [True])))
             for a, b in zip(bounds[:-1], bounds[1:]):
                 x, others = left[a], right[a:b]
@@ -287,8 +294,7 @@ def _verified(least: dict[int, int], threshold: float):
                 docs[ok] += copies[x]
                 lefts.append(np.full(len(ok), x))
                 rights.append(ok)
-        none = [np.zeros(0, np.int64)]
-        root = _forest(n, np.concatenate(lefts or none), np.concatenate(rights or none))
+            root = _joined(root, np.concatenate(lefts), np.concatenate(rights))
         return pa.RecordBatch.from_arrays([pa.array(rep), pa.array(rep[root]), pa.array(links), pa.array(docs)], ["rep", "root", "links", "docs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,6 +302,7 @@ def _verified(least: dict[int, int], threshold: float):
             bounds = np.flatnonzero(np.diff(group, prepend=-1, append=group[-1] + 1))
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 yield group_links(t.slice(a, b - a))
+            tv.give_back()
     return run
 
 
