@@ -122,6 +122,7 @@ def signatures(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
 def _sketcher():
     @arrow_udf("struct<n_words: bigint, seq: binary, bands: array<bigint>>")
     def sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tv.start_over()
         for column in batches:
             n = len(column)
             words, first, hashes, at = shingles(column)

@@ -29,7 +29,7 @@ from pyspark.sql.functions import arrow_udf
 
 from tollgate.llm.common import learn_fold, pack, python_tasks, read_table
 from tollgate.llm.sampling import labelled_sample
-from tollgate.llm.textvec import give_back
+from tollgate.llm.textvec import give_back, start_over
 
 BUCKETS = 1 << 15
 SAMPLE_ROWS = 3000
@@ -170,6 +170,7 @@ def _features():
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts of a task, and how many of them hold each bucket (bucket -1: all)."""
+    start_over()
     found, texts = np.zeros(BUCKETS, np.int64), 0
     for batch in batches:
         texts += batch.num_rows
@@ -222,6 +223,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
 def _predictor(model_ref):
     @arrow_udf("struct<lang_pred: string, score: double>")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        start_over()
         model = model_ref.value
         for column in batches:
             yield model.predict(column)

@@ -10,6 +10,7 @@ different words collide with probability about 2**-64.
 from __future__ import annotations
 
 import ctypes
+import gc
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,19 @@ def _trimmer():
 _TRIM = _trimmer()
 
 
+#: What a worker keeps between its tasks of one operator, and other operators let go.
+KEPT: list[dict] = []
+
+
+def start_over() -> None:
+    """At the start of a task that needs nothing of what the worker keeps: a
+    worker lives on from query to query."""
+    for kept in KEPT:
+        kept.clear()
+    gc.collect()
+    give_back()
+
+
 def give_back() -> None:
     """At the end of a task: freed memory goes back to the system, as the
     worker lives on beside others."""

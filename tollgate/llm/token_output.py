@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from tollgate.llm import dac
 from tollgate.llm.common import python_tasks, read_table, stage_path
-from tollgate.llm.textvec import byte_class, give_back, mix, ranges, text_bytes, word_hashes, word_spans
+from tollgate.llm.textvec import KEPT, byte_class, give_back, mix, ranges, text_bytes, word_hashes, word_spans
 
 END_ID = 2
 SEGMENT_TOKENS = 1 << 16
@@ -240,6 +240,7 @@ class Encoder:
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
+KEPT.append(_ENCODERS)
 
 
 def encoder(path: str, specials_as_text: bool = False) -> Encoder:
