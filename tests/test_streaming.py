@@ -250,3 +250,13 @@ def test_gate_stream_resumes_and_replays(spark, tmp_path):
     S.run_gate(spark, src, out, docs.schema, checkpoint=ckpt)
     rows = spark.read.parquet(out)
     assert rows.count() == rows.select("item_id").distinct().count() == docs.count()
+
+
+@pytest.mark.parametrize("query, table", [("stream_gate", "documents"), ("stream_quota", "events")])
+def test_streams_read_a_table_of_one_file_or_of_a_folder(spark, tmp_path, query, table):
+    rows = read_table(spark, SF_SMALL, table).limit(200).cache()
+    _drop_file(rows, str(tmp_path / "one"), table, 0)
+    rows.repartition(3).write.parquet(str(tmp_path / "many" / f"{table}.parquet"))
+    one, many = (_rows(QUERIES[query](spark, str(tmp_path / d))) for d in ("one", "many"))
+    rows.unpersist()
+    assert one == many and len(one) > 0
