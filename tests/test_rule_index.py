@@ -85,3 +85,47 @@ def test_rules_without_label_or_pattern(spark):
     rules = spark.createDataFrame(rows, "raw_label string, pattern string, confidence double")
     df = spark.createDataFrame([("a", "alpha beta"), ("b", "")], "id string, text string")
     assert [tuple(r) for r in D.rule_scan(df, "id", "text", rules).collect()] == [("a", "unknown", None, 1, None)]
+
+
+@pytest.mark.parametrize("pattern, want", [
+    ("(?i)Alpha[ ]+betta", ("alpha beta",)), ("a b|b  a", ("a b", "b a")), ("colou+r", ("colour",)), ("xab+cde", ("xabcde",)), ("xyzab*c", ("xyza",)),
+    ("abc{0}d", None), ("aaaa", ("a",)), ("[abc]def(ghi|jk)lmnop", ("lmnop",)), ("ab[^ ]+cde", ("cde",)), (r"ab[\]+cde", None), ("a[x]?bcd", ("bcd",)),
+])
+def test_squeezed_literals_go_on_over_repeats(pattern, want):
+    from tollgate.operators.rule_index import squeezed_literals
+    assert squeezed_literals(pattern) == want
+
+
+def test_every_match_holds_a_squeezed_literal():
+    from tollgate.operators.rule_index import squeezed, squeezed_literals
+    rnd = random.Random(4)
+    pieces = ["ab", "foo", "Baar", "[x]", "[ ]+", "(p|q)", "z*", "w+", "o+?", "[d]{2}", "d?", ".", "|", "\\.", "k{2}", "m{0,2}", "t{1,}", "[F]*"]
+    for _ in range(4000):
+        pattern = rnd.choice(["", "(?i)"]) + "".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 6)))
+        try:
+            compiled = re.compile(pattern)
+        except re.error:
+            continue
+        literals = squeezed_literals(pattern)
+        for _ in range(20):
+            text = "".join(rnd.choice(["ab", "foo", "FOo", "baar", "Baar", "x", "p", " ", "  ", "z", "w", "ww", "dd", "d", ".", "kk", "m", "t", "F", "é"]) for _ in range(rnd.randint(0, 9)))
+            if literals and compiled.search(text):
+                assert any(x in squeezed(text) for x in literals), (pattern, text, literals)
+
+
+def test_alike_rules_are_looked_up_once_and_all_reported(spark, monkeypatch):
+    from tollgate.operators import rule_index
+    seen = []
+    monkeypatch.setattr(rule_index, "_candidates", lambda ref, f=rule_index._candidates: seen.append(ref.value) or f(ref))
+    rules = [R.Rule(f"label{k % 3}", "(?i)alpha[ ]+beta", 0, 0.5 + k % 2 / 4, ("beta",) if k % 5 == 0 else ()) for k in range(90)]
+    df = spark.createDataFrame([("a", "x ALPHA   beta"), ("b", "Alpha Beta"), ("c", "alpha, beta")], "id string, text string")
+    got = sorted((r[0], r[1], r[2]) for r in D.rule_scan(df, "id", "text", D.rules_frame(spark, rules).repartition(3)).collect())
+    want = sorted([("a", r.raw_label, r.confidence) for r in rules] + [("b", r.raw_label, r.confidence) for r in rules if not r.hints])
+    assert got == want and [len(x) for x in seen] == [2]
+    assert {y for x in seen for _, y in [(k, tuple(v)) for k, v in x]} == {("alpha beta",)}
+
+
+def test_large_table_without_any_literal(spark):
+    rules = [R.Rule(f"l{k}", f"[a-z]{k % 10}", 0, 0.5, ()) for k in range(70)]
+    df = spark.createDataFrame([("a", "x5"), ("b", None)], "id string, text string")
+    assert D.rule_scan(df, "id", "text", D.rules_frame(spark, rules)).count() == 7

@@ -2,9 +2,13 @@
 
 A pattern can only match where its *required literal* stands: a run of plain
 characters that every match holds.  :func:`required_literals` finds one for
-each top-level alternative.  All literals of a block of rules go into one
-automaton, built once in each Python worker; it names, in one pass over a text,
-the few rules that may match, and only their patterns then run, in Spark.
+each top-level alternative.  The index compares *squeezed* texts and literals
+(:func:`squeezed`: repeats of a character are one), so that a repeated character
+(``[ ]+``) does not cut a literal in two and ``alpha[ ]+beta`` is looked up by both
+words.  All literals of a block of rules go into one automaton, built once in
+each task; it names, in one pass over a text, the few patterns that may match,
+and only these then run, in Spark.  Rules alike in pattern and hints are looked
+up and run once and told apart in the last join.
 
 Rules without a literal of ``SHORTEST`` characters are not indexed and run on
 every text: patterns that are only classes, groups, optional or very short
@@ -17,13 +21,16 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SHORTEST = 3
 #: Rules of one automaton; a larger table takes as many passes over the texts.
-BLOCK_RULES = 20_000
+BLOCK_RULES = 100_000
+#: What makes rules alike.
+CONDITION = ("pattern", "hints", "ci_hints", "hint_re")
 
 _LOWER = {c: c + 32 for c in range(65, 91)}
 _FLAGS = re.compile(r"\(\?([A-Za-z]+)\)")
@@ -36,6 +43,15 @@ def folded(text: str) -> str:
     return text.lower() if text.isascii() else text.translate(_LOWER)
 
 
+def squeezed(text: str) -> str:
+    """:func:`folded`, and every run of one character as that character: if a
+    text holds a literal, the squeezed text holds the squeezed literal."""
+    code = np.frombuffer(folded(text).encode("utf-32-le", "surrogatepass"), np.uint32)
+    keep = np.ones(len(code), bool)
+    np.not_equal(code[1:], code[:-1], out=keep[1:])
+    return code[keep].tobytes().decode("utf-32-le", "surrogatepass")
+
+
 def _skip(p: str, i: int) -> int | None:
     """End of the class or group that opens at ``i``; None if it is not followed."""
     opens, depth, in_class = p[i], 0, 0
@@ -67,6 +83,24 @@ def _skip(p: str, i: int) -> int | None:
 def required_literals(pattern: str) -> tuple[str, ...] | None:
     """Literals, A-Z in lower case, one of which every match holds; None if no
     such set is found."""
+    found = _alternatives(pattern)
+    if found is None or min(map(len, found)) < SHORTEST:
+        return None
+    return tuple(sorted({folded(x) for x in found}))
+
+
+def squeezed_literals(pattern: str) -> tuple[str, ...] | None:
+    """As :func:`required_literals`, for squeezed texts: a literal goes on over a
+    repeated character and over a class of one character."""
+    found = _alternatives(pattern, joined=True)
+    if found is None or min(map(len, found)) < SHORTEST and required_literals(pattern) is None:
+        return None
+    return tuple(sorted(set(found)))
+
+
+def _alternatives(pattern: str, joined: bool = False) -> list[str] | None:
+    """The longest run of plain characters of each top-level alternative; None
+    if the pattern is not followed.  ``joined``: squeezed runs."""
     p, i = pattern, 0
     flags = _FLAGS.match(p)
     if flags:
@@ -77,7 +111,7 @@ def required_literals(pattern: str) -> tuple[str, ...] | None:
 
     def close() -> None:
         nonlocal run
-        runs.append(run)
+        runs.append(squeezed(run) if joined else run)
         run = ""
     while i < len(p):
         c = p[i]
@@ -92,6 +126,8 @@ def required_literals(pattern: str) -> tuple[str, ...] | None:
             else:
                 run, single = run + n, True
             i += 2
+        elif joined and c == "[" and p[i + 2: i + 3] == "]" and p[i + 1] not in "^[]\\":
+            run, i, single = run + p[i + 1], i + 3, True
         elif c in "[(":
             end = _skip(p, i)
             if end is None:
@@ -119,25 +155,24 @@ def required_literals(pattern: str) -> tuple[str, ...] | None:
         if quantifier is not None:
             if single and not quantifier:
                 run = run[:-1]
-            close()
+            if not (joined and single and quantifier):
+                close()
             single = False
             if p[i: i + 1] in ("?", "+") and p[i: i + 1]:
                 i += 1
     close()
     found.append(max(runs, key=len))
-    if min(map(len, found)) < SHORTEST:
-        return None
-    return tuple(sorted({folded(x) for x in found}))
+    return found
 
 
 def _literals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [required_literals(p) for p in batch.column("pattern").to_pylist()]
+        found = [squeezed_literals(p) for p in batch.column("pattern").to_pylist()]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([list(x) if x else None for x in found], pa.list_(pa.string()))], [*batch.schema.names, "literals"])
 
 
 def with_literals(rules: DataFrame) -> DataFrame:
-    """``rules`` with the array column ``literals`` (NULL: not indexed)."""
+    """``rules`` with the array column ``literals``, squeezed (NULL: not indexed)."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rules.schema.fields)
     return rules.mapInArrow(_literals, f"{kinds}, literals array<string>")
 
@@ -161,7 +196,7 @@ def _candidates(literals_ref) -> Callable:
             rows, rules = [], []
             for k, text in enumerate(batch.column(1).to_pylist()):
                 found: set[int] = set()
-                for _, hit in automata[0].iter(folded(text or "")):
+                for _, hit in automata[0].iter(squeezed(text or "")):
                     found.update(hit)
                 if found:
                     rows.append(k)
@@ -184,20 +219,26 @@ def _passes_hints() -> Column:
 
 
 def indexed_matches(texts: DataFrame, rules: DataFrame) -> DataFrame:
-    """Rows (item_id, and the columns of the rule) for each text (item_id,
-    text) and rule (rule_id, pattern, literals, hints, ci_hints, hint_re and
-    others) that match.  Each block of about ``BLOCK_RULES`` rules is one pass
-    over the texts; a block's literals are read to the driver and broadcast,
-    never the whole table."""
+    """Rows (item_id, and the columns of the rule that are neither its condition
+    nor its literals) for each text (item_id, text) and rule (rule_id, pattern,
+    literals, hints, ci_hints, hint_re and others) that match.  Each block of
+    about ``BLOCK_RULES`` rules is one pass over the texts; a block's literals
+    are read to the driver and broadcast, never the whole table.  Alike rules
+    are in one block and go by the least rule_id among them."""
     spark = texts.sparkSession
     kind = texts.schema["item_id"].dataType.simpleString()
     blocks = max(1, -(-rules.count() // BLOCK_RULES))
-    out = None
+    rules = rules.withColumn("alike", F.min("rule_id").over(Window.partitionBy(*CONDITION)))
+    rest = [c for c in rules.columns if c not in (*CONDITION, "literals")]
+    out = texts.select("item_id").join(rules.select(*rest).limit(0), F.lit(False)).drop("alike")
     for b in range(blocks):
-        block = rules.where(F.pmod(F.xxhash64("pattern", "rule_id"), F.lit(blocks)) == b)
-        literals = [(r["rule_id"], r["literals"]) for r in block.select("rule_id", "literals").collect()]
+        block = rules.where(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == b)
+        once = block.where("rule_id = alike")
+        literals = [(r["alike"], r["literals"]) for r in once.select("alike", "literals").collect()]
+        if not literals:
+            continue
         found = texts.mapInArrow(_candidates(spark.sparkContext.broadcast(literals)), f"item_id {kind}, text string, rules array<bigint>")
-        found = found.select("item_id", "text", F.explode("rules").alias("rule_id"))
-        found = found.join(F.broadcast(block.drop("literals")), "rule_id").where(F.expr("rlike(text, pattern)") & _passes_hints()).drop("text")
-        out = found if out is None else out.unionByName(found)
+        found = found.select("item_id", "text", F.explode("rules").alias("alike"))
+        found = found.join(F.broadcast(once.select("alike", *CONDITION)), "alike").where(F.expr("rlike(text, pattern)") & _passes_hints()).select("item_id", "alike")
+        out = out.unionByName(found.join(F.broadcast(block.select(*rest)), "alike").drop("alike"))
     return out
