@@ -157,6 +157,7 @@ def fit_temperature(logit: np.ndarray, y: np.ndarray) -> float:
 def _features():
     @arrow_udf("struct<buckets: binary, counts: binary>")
     def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        start_over()
         for column in batches:
             buckets, counts = [], []
             for bucket, count, first, _ in ngram_counts(column.to_pylist()):
@@ -165,6 +166,7 @@ def _features():
                     buckets.append(b[first[k]: first[k + 1]].tobytes())
                     counts.append(c[first[k]: first[k + 1]].tobytes())
             yield pa.StructArray.from_arrays([pa.array(buckets, pa.binary()), pa.array(counts, pa.binary())], ["buckets", "counts"])
+        give_back()
     return features
 
 
