@@ -260,3 +260,24 @@ def test_streams_read_a_table_of_one_file_or_of_a_folder(spark, tmp_path, query,
     one, many = (_rows(QUERIES[query](spark, str(tmp_path / d))) for d in ("one", "many"))
     rows.unpersist()
     assert one == many and len(one) > 0
+
+
+def test_packed_summaries_hold_the_summaries(spark):
+    """Every field comes back as it was, NULL and large call numbers among them."""
+    from tollgate.streaming import outage as O
+    calls = [(e, None if (k + e) % 11 == 5 else (1 << 60) + k, f"2024-01-01 00:{k // 12:02d}:{k % 12 * 5:02d}", (k * k + e) % 7 == 1) for e in (1, 2, 3) for k in range(90)]
+    df = spark.createDataFrame(calls, "endpoint long, event_id long, ts string, ok boolean").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    s = O.minute_summaries(df, "1 minute", 2).cache()
+    key = lambda r: (r[0], r[1]["minute_us"])
+    want = sorted(((r["endpoint"], O._plain(r.asDict(True))) for r in s.drop("minute_time").collect()), key=key)
+    got = sorted(((r["endpoint"], O.unpacked(r["packed"], 2)) for r in O.packed_summaries(s).collect()), key=key)
+    assert len(got) == len(want) > 20 and any(g["inner"] for _, g in got)
+    for (e, g), (f, w) in zip(got, want):
+        lead, end = w["lead"], w["lead"].pop("ended_by") if w["has_ok"] else None
+        assert e == f and g["minute_us"] == w["minute_us"] and g["has_ok"] == w["has_ok"] and g["last_call_us"] == w["last_call_us"]
+        assert end is None or g["lead"]["ended_by"] == {k: end[k] for k in ("us", "id")}
+        assert g["head"] == [{k: c[k] for k in ("us", "id")} for c in w["head"]]
+        for a, b in [(g["lead"], lead), (g["trail"], w["trail"]), *zip(g["inner"], w["inner"], strict=True)]:
+            assert (a is None) == (b is None)
+            for name in ("first", "nth", "last") if a else ():
+                assert a["n"] == b["n"] and a[name] == (b[name] and {k: b[name][k] for k in ("us", "id")})

@@ -78,6 +78,40 @@ def minute_summaries(outcomes: DataFrame, watermark: str, threshold: int) -> Dat
         F.when(n_runs > 1, run(n_runs - 1)).alias("trail"))
 
 
+def packed_summaries(s: DataFrame) -> DataFrame:
+    """Rows (endpoint, minute_time, packed): a summary as one array of integers,
+    which a Python worker takes over without a conversion for each field.  A
+    call is (us, id or 0, id is NULL); what is missing from a run follows from
+    its length and place (see :func:`unpacked`)."""
+    def call(c: Column) -> list[Column]:
+        return [F.coalesce(c["us"], F.lit(0)), F.coalesce(c["id"], F.lit(0)), c["id"].isNull().cast("long")]
+
+    def run(r: Column) -> list[Column]:
+        return [F.coalesce(r["n"], F.lit(0)), *call(r["first"]), *call(r["nth"]), *call(r["last"]), *call(r["ended_by"])]
+
+    def each(c: str, fields: Callable) -> Column:
+        return F.flatten(F.transform(c, lambda x: F.array(*fields(x))))
+    fixed = F.array("minute_us", F.col("has_ok").cast("long"), "last_call_us", *run(F.col("lead")), *run(F.col("trail")), F.size("head").cast("long"))
+    return s.select("endpoint", "minute_time", F.concat(fixed, each("head", call), each("inner", run)).alias("packed"))
+
+
+_RUN, _HEAD = 13, 30  # integers of a run, and of all before the head's calls
+
+
+def unpacked(v: list[int], threshold: int) -> dict:
+    """The summary of a row of :func:`packed_summaries`."""
+    def call(i: int) -> dict:
+        return {"us": v[i], "id": None if v[i + 2] else v[i + 1]}
+
+    def run(i: int, ended: bool) -> dict:
+        n = v[i]
+        return {"n": n, "first": call(i + 1) if n else None, "nth": call(i + 4) if n >= threshold else None, "last": call(i + 7) if n else None,
+                "ended_by": call(i + 10) if ended else None}
+    has_ok, inner = bool(v[1]), _HEAD + 3 * v[_HEAD - 1]
+    return {"minute_us": v[0], "has_ok": has_ok, "last_call_us": v[2], "lead": run(3, has_ok), "trail": run(3 + _RUN, False) if has_ok else None,
+            "head": [call(i) for i in range(_HEAD, inner, 3)], "inner": [run(i, True) for i in range(inner, len(v), _RUN)]}
+
+
 def _plain(value):
     """Rows and arrays as dicts and lists, numbers as Python's integers."""
     if hasattr(value, "asDict"):
@@ -97,8 +131,12 @@ def apply_summary(run: tuple | None, s: dict, threshold: int, quiet_us: int) ->
     A run is (streak, first_us, first_id, last_us, last_id, expiry, reported);
     ``expiry`` is the end of the minute in which it will have been quiet for
     long enough."""
+    return apply_plain(run, _plain(s), threshold, quiet_us)
+
+
+def apply_plain(run: tuple | None, s: dict, threshold: int, quiet_us: int) -> tuple[list[tuple], tuple]:
+    """As :func:`apply_summary`, for a summary of plain integers."""
     streak, first_us, first_id, last_us, last_id, expiry, reported = run or (0, None, None, None, None, 0, False)
-    s = _plain(s)
     out: list[tuple] = []
 
     def report(event: str, us: int, ident: int) -> None:
@@ -134,7 +172,7 @@ def _processor(threshold: int, quiet_us: int) -> Callable:
     """The processor's class; made here so that it travels to the workers by value."""
     from pyspark.sql.streaming import StatefulProcessor
 
-    apply, columns = apply_summary, [c.split()[0] for c in EVENTS.split(", ")]
+    apply, unpack, columns = apply_plain, unpacked, [c.split()[0] for c in EVENTS.split(", ")]
 
     class Outages(StatefulProcessor):
         def init(self, handle) -> None:
@@ -145,29 +183,32 @@ def _processor(threshold: int, quiet_us: int) -> Callable:
             return pd.DataFrame([(key[0], event, ident, us, streak, first_us, first_id, last_us, last_id)
                                  for event, ident, us, streak, first_us, first_id, last_us, last_id in rows], columns=columns)
 
-        def _timer(self, run: tuple) -> None:
-            for t in list(self.handle.listTimers()):
-                self.handle.deleteTimer(t)
-            if run[0] >= threshold and not run[6]:
-                self.handle.registerTimer(run[5] // 1000)
+        def _waits(self, run: tuple | None) -> bool:
+            """Whether the run has a timer: it is long enough and not reported."""
+            return run is not None and run[0] >= threshold and not run[6]
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            run = self.run.get() if self.run.exists() else None
+            run = self.run.get()
             run = tuple(run) if run is not None else None
+            if self._waits(run):
+                for t in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(t)
             found = []
-            summaries = sorted((s for frame in rows for s in frame.to_dict("records")), key=lambda s: s["minute_us"])
-            for s in summaries:
-                more, run = apply(run, s, threshold, quiet_us)
+            for v in sorted((v.tolist() for frame in rows for v in frame["packed"]), key=lambda v: v[0]):
+                more, run = apply(run, unpack(v, threshold), threshold, quiet_us)
                 found += more
             self.run.update(run)
-            self._timer(run)
-            yield self._frame(key, found)
+            if self._waits(run):
+                self.handle.registerTimer(run[5] // 1000)
+            if found:
+                yield self._frame(key, found)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
             run = tuple(self.run.get())
             streak, first_us, first_id, last_us, last_id, expiry, reported = run
             self.run.update((streak, first_us, first_id, last_us, last_id, expiry, True))
-            yield self._frame(key, [] if reported else [("open", last_id, last_us, streak, first_us, first_id, last_us, last_id)])
+            if not reported:
+                yield self._frame(key, [("open", last_id, last_us, streak, first_us, first_id, last_us, last_id)])
 
         def close(self) -> None:
             pass
@@ -178,7 +219,7 @@ def _processor(threshold: int, quiet_us: int) -> Callable:
 def outage_events(outcomes: DataFrame, threshold: int = FAILURE_THRESHOLD, watermark: str = "10 minutes",
                   quiet_minutes: int = QUIET_MINUTES) -> DataFrame:
     """The alert rows of a stream of ``(endpoint, event_id, ts, ok)``."""
-    s = minute_summaries(outcomes, watermark, threshold)
+    s = packed_summaries(minute_summaries(outcomes, watermark, threshold))
     rows = s.groupBy("endpoint").transformWithStateInPandas(
         statefulProcessor=_processor(threshold, quiet_minutes * MINUTE_US)(), outputStructType=EVENTS, outputMode="Append", timeMode="EventTime")
 
