@@ -100,6 +100,19 @@ def test_repeated_rows_fold_and_wordless_rows_stay(spark):
     assert got == [(0, "", "a")] * 3000 + [(7, " ", "b")] * 5 + [(8, "one two three  four five six", "c")]
 
 
+def test_shingle_sets_are_made_once(spark, awkward, monkeypatch):
+    plans = {}
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, name)
+    monkeypatch.setattr(jaccard_join, "staged", noted)
+    jaccard_join.jaccard_classes(awkward)
+    # Two in one stage are two Python workers for each of its tasks.
+    assert plans["sketch"].count("ArrowEvalPython") == 1
+    assert plans["links"].count("ArrowEvalPython") == 1
+
+
 # mixing ------------------------------------------------------------------
 
 def plain_targets(sizes):

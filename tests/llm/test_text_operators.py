@@ -98,6 +98,12 @@ def test_any_token_is_read_from_its_segment(spark, awkward):
     assert seen > 20 and sorted(r.base + r.part_start for r in rows)[0] == 0
 
 
+def test_reading_tokens_lets_go_of_the_tokenizer():
+    token_output.encoder(token_output.tokenizer_path())
+    assert token_output._ENCODERS
+    assert list(token_output._digests(iter([]))) == [] and not token_output._ENCODERS
+
+
 def test_token_output_of_given_table(spark):
     sf = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.text) for r in read_table(spark, sf, "documents").collect()]

@@ -153,7 +153,14 @@ def _shingle_sets(bits_ref, n_bits: int):
                     sets[r] = np.unique(hashes[at[k]: at[k + 1]]).tobytes()
             yield pa.StructArray.from_arrays([pa.array(seq, pa.binary()), pa.array(sets, pa.binary())], ["seq", "shingles"])
         tv.give_back()
-    return of
+    # Else a filter on the result is pushed below the projection, and every text
+    # is worked through twice, by two workers for each task.
+    return of.asNondeterministic()
+
+
+def _exact_sets(docs: DataFrame, sets) -> DataFrame:
+    """(seq, shingles) of the rows that ``sets`` (of a place and a text) answers."""
+    return docs.select(sets.alias("s")).select("s.*").where(F.col("seq").isNotNull())
 
 
 def _forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -373,7 +380,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     for r in found.toLocalIterator():
         bits[r["w"]] = r["bits"]
     sets = _shingle_sets(spark.sparkContext.broadcast(bits.view(np.uint64)), n_bits)
-    exact = docs.select(sets(F.pmod(F.xxhash64("doc_id"), F.lit(n_bits)), F.col("text")).alias("s")).select("s.*").where(F.col("seq").isNotNull())
+    exact = _exact_sets(docs, sets(F.pmod(F.xxhash64("doc_id"), F.lit(n_bits)), F.col("text")))
     exact = exact.join(inside.select("seq", "rep"), "seq").groupBy("rep").agg(F.first("shingles").alias("shingles"))
     rows = inside.join(size, "cluster").join(exact, "rep")
     blocks = F.greatest(F.ceil(F.col("n") / cluster_block), F.ceil(F.col("words") / CLUSTER_WORDS))

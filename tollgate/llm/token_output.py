@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from tollgate.llm import dac
 from tollgate.llm.common import python_tasks, read_table, stage_path
-from tollgate.llm.textvec import KEPT, byte_class, give_back, mix, ranges, text_bytes, word_hashes, word_spans
+from tollgate.llm.textvec import KEPT, byte_class, give_back, mix, ranges, start_over, text_bytes, word_hashes, word_spans
 
 END_ID = 2
 SEGMENT_TOKENS = 1 << 16
@@ -330,6 +330,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> str:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    start_over()  # reading needs no tokenizer
     for batch in batches:
         for row in batch.to_pylist():
             raw = dac.Reader(row["payload"]).decode().astype("<u4").tobytes()
@@ -341,6 +342,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(np.full(len(lengths), row["part"], np.int32)), pa.array(row["doc_ids"], pa.int64()), pa.array(row["doc_ranks"], pa.int64()),
                  pa.array(row["part_start"] + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())],
                 ["part", "doc_id", "rank", "offset", "n_tokens", "ids_crc32"])
+    give_back()
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
