@@ -51,7 +51,7 @@ END_ID = 2
 SEGMENT_TOKENS = 1 << 16
 #: Ids that the memory for words holds, bytes of a word kept there, entries of
 #: its quick table, and bytes of text worked on at once.
-MEMORY_IDS, WORD_BYTES, QUICK, PIECE_BYTES = 3_000_000, 256, 1 << 18, 1 << 19
+MEMORY_IDS, WORD_BYTES, QUICK, PIECE_BYTES = 2_000_000, 256, 1 << 18, 1 << 18
 SEGMENTS = ("part int, seq int, part_start bigint, n_tokens bigint, doc_ids array<bigint>, "
             "doc_tokens array<bigint>, doc_ranks array<bigint>, payload binary")
 DIGEST = "part int, doc_id bigint, rank bigint, offset bigint, n_tokens bigint, ids_crc32 bigint"
@@ -104,10 +104,10 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.quick_hash, self.quick_entry = np.zeros(QUICK, np.uint64), np.full(QUICK, -1, np.int64)
-        self.known_hash, self.known_entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.ids, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        self.bytes = np.zeros(0, np.int64)
+        self.quick_hash, self.quick_entry = np.zeros(QUICK, np.uint64), np.full(QUICK, -1, np.int32)
+        self.known_hash, self.known_entry = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.ids, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int32)
+        self.bytes = np.zeros(0, np.uint16)  # words of at most WORD_BYTES
 
     def _raw(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -159,7 +159,7 @@ class Encoder:
         place = np.searchsorted(self.known_hash, distinct)
         near = np.minimum(place, max(len(self.known_hash) - 1, 0))
         is_known = self.known_hash[near] == distinct if len(self.known_hash) else np.zeros(len(distinct), bool)
-        found = np.where(is_known, self.known_entry[near], -1) if len(self.known_hash) else np.full(len(distinct), -1, np.int64)
+        found = np.where(is_known, self.known_entry[near], np.int32(-1)) if len(self.known_hash) else np.full(len(distinct), -1, np.int32)
         new = np.flatnonzero(~is_known)
         if len(new):
             if len(self.bytes) and len(self.ids) + 4 * len(new) > MEMORY_IDS:
@@ -170,9 +170,9 @@ class Encoder:
             found[new] = np.arange(len(self.bytes), len(self.bytes) + len(new))
             self.known_hash = np.insert(self.known_hash, place[new], distinct[new])
             self.known_entry = np.insert(self.known_entry, place[new], found[new])
-            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(counts)])
+            self.first = np.concatenate([self.first, (self.first[-1] + np.cumsum(counts)).astype(np.int32)])
             self.ids = np.concatenate([self.ids, ids])
-            self.bytes = np.concatenate([self.bytes, ends[where] - starts[where]])
+            self.bytes = np.concatenate([self.bytes, (ends[where] - starts[where]).astype(np.uint16)])
         slot = distinct & np.uint64(QUICK - 1)
         self.quick_hash[slot], self.quick_entry[slot] = distinct, found
         entry[missed] = found[back]
@@ -219,7 +219,7 @@ class Encoder:
                 break
             odd[of[other]] = True  # another word of the same hash
         skip = np.where(leads[kept], len(self.feed) // 4, 0)
-        begin = self.first[entry] + skip
+        begin = self.first[entry].astype(np.int64) + skip
         length = self.first[entry + 1] - begin
         ids = self.ids[ranges(begin, length)]
         counts = np.bincount(of, length, len(odd)).astype(np.int64)
