@@ -50,6 +50,32 @@ def test_piece_memory_is_bounded(monkeypatch):
         assert len(enc.ids) < 200
 
 
+def test_words_met_again_stay_in_memory(monkeypatch):
+    """Full memory lets go of words met once; frequent ones are learned once."""
+    monkeypatch.setattr(token_output, "MEMORY_IDS", 400)
+    plain, enc = plain_tokenizer(), token_output.Encoder(token_output.tokenizer_path())
+    learned, real = [], enc._learned
+
+    def noting(raw, starts, ends, kind):
+        learned.extend(raw[a:b].tobytes() for a, b in zip(starts, ends))
+        return real(raw, starts, ends, kind)
+    monkeypatch.setattr(enc, "_learned", noting)
+    common = "the frequent words here Élan garçon"
+    for k in range(40):
+        texts = [f"x {common} " + " ".join(f"qzw{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10]}{'uvwxyzabcd'[i]}" for i in range(10))]
+        assert enc.encode(texts) == [np.array(plain.encode(t).ids, "<u4").tobytes() for t in texts]
+        assert len(enc.ids) <= 400 and len(enc.ids) == enc.first[-1]
+    assert len(learned) > 400
+    assert all(learned.count(w.encode()) == 1 for w in common.split())
+
+
+def test_words_of_letters_alone():
+    """Only words that the tokenizer's pattern leaves whole go to its model."""
+    plain, enc = plain_tokenizer(), token_output.Encoder(token_output.tokenizer_path())
+    texts = ["x " + " ".join(["Straße", "a×b", "÷", "×", "ÿ", "À", "naïveté", "don't", "ab1", "中文", "ñ", "a–b", "É", "ĀB", "µ", "aª"]), "Ñ\né\n× ÷"]
+    assert enc.encode(texts) == [np.array(plain.encode(t).ids, "<u4").tobytes() for t in texts]
+
+
 def test_words_of_one_hash_are_told_apart(monkeypatch):
     """Should two words share a hash, their texts are encoded by themselves."""
     real = token_output.word_hashes

@@ -18,7 +18,8 @@ The tokenizer runs on words: a byte-level BPE with the usual pattern never
 joins text across "non-space, space, non-space" or "non-space, line feed,
 non-space".  In a text of single blanks and line feeds the words of a batch are
 hashed as bytes in one go, each new one is encoded once per worker, and the ids
-are gathered from memory (``MEMORY_IDS`` ids at most; then it starts anew).
+are gathered from memory (``MEMORY_IDS`` ids at most; then the words that were
+met again stay and the others go).
 Texts with other white space, or with very long words, are cut where that is
 safe and encoded by themselves.
 
@@ -51,7 +52,7 @@ END_ID = 2
 SEGMENT_TOKENS = 1 << 16
 #: Ids that the memory for words holds, bytes of a word kept there, entries of
 #: its quick table, and bytes of text worked on at once.
-MEMORY_IDS, WORD_BYTES, QUICK, PIECE_BYTES = 2_000_000, 256, 1 << 18, 1 << 18
+MEMORY_IDS, WORD_BYTES, QUICK, PIECE_BYTES = 3_000_000, 256, 1 << 18, 1 << 18
 SEGMENTS = ("part int, seq int, part_start bigint, n_tokens bigint, doc_ids array<bigint>, "
             "doc_tokens array<bigint>, doc_ranks array<bigint>, payload binary")
 DIGEST = "part int, doc_id bigint, rank bigint, offset bigint, n_tokens bigint, ids_crc32 bigint"
@@ -78,6 +79,10 @@ _PAIRS = np.array([0xC285, 0xC2A0, 0xE19A, 0xE280, 0xE281, 0xE380])
 #: What tells words after a line feed, and closing punctuation, from words after a space.
 _KINDS = np.array([0, 0xA24BAED4963EE407, 0x9FB21C651E98DF25], np.uint64)
 _AFTER_SPACE, _AFTER_FEED, _CLOSING = range(3)
+#: What stands for each byte in the vocabulary of a byte-level BPE.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARS = np.arange(256, dtype="<u4")
+_BYTE_CHARS[sorted({*range(256)} - {*_SHOWN})] = np.arange(256, 512 - len(_SHOWN))
 _MARK, _LETTER = ~byte_class(_PUNCTUATION.encode()), ~byte_class(bytes([*range(65, 91), *range(97, 123)]))
 LEARN_WORDS = 4096
 
@@ -93,6 +98,7 @@ class Encoder:
     def __init__(self, path: str, specials_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = specials_as_text
         self.added = [] if specials_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -101,39 +107,88 @@ class Encoder:
         self.width[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self.feed, *tails = self._raw(["\n", *_PUNCTUATION])
         self.tails = dict(zip(_PUNCTUATION, tails))
+        before = self.tokenizer.pre_tokenizer
+        self.model = self.tokenizer.model if self.tokenizer.normalizer is None and isinstance(before, ByteLevel) and before.use_regex else None
         self._forget()
 
     def _forget(self) -> None:
         self.quick_hash, self.quick_entry = np.zeros(QUICK, np.uint64), np.full(QUICK, -1, np.int32)
         self.known_hash, self.known_entry = np.zeros(0, np.uint64), np.zeros(0, np.int32)
-        self.ids, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int32)
+        self.ids, self.first = np.zeros(0, np.uint16 if len(self.width) <= 1 << 16 else np.uint32), np.zeros(1, np.int32)
         self.bytes = np.zeros(0, np.uint16)  # words of at most WORD_BYTES
+        self.again = np.zeros(0, bool)  # met again since they were learned or last kept
+
+    def _make_room(self, ids: int) -> None:
+        """Words that were not met again go, or all if the others leave no room."""
+        stay = self.again
+        counts = np.diff(self.first)
+        if int(counts[stay].sum()) + ids > MEMORY_IDS:
+            return self._forget()
+        entry = np.where(stay, np.cumsum(stay, dtype=np.int32) - 1, np.int32(-1)).astype(np.int32)
+        known = stay[self.known_entry]
+        self.known_hash, self.known_entry = self.known_hash[known], entry[self.known_entry[known]]
+        self.quick_entry = np.where(self.quick_entry >= 0, entry[self.quick_entry], np.int32(-1))
+        self.ids = self.ids[np.repeat(stay, counts)]
+        self.first = np.concatenate([[0], np.cumsum(counts[stay])]).astype(np.int32)
+        self.bytes, self.again = self.bytes[stay], np.zeros(int(stay.sum()), bool)
 
     def _raw(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
+    def _letters(self, text: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Words of ``text`` of nothing but letters (ASCII, Latin-1) behind their
+        blank: the tokenizer's pattern leaves each whole, so the model alone
+        gives its ids."""
+        latin = np.zeros(len(text), bool)
+        latin[1:] = (text[:-1] == 0xC3) & (text[1:] != 0x97) & (text[1:] != 0xB7)
+        other = np.cumsum(~(_LETTER[text] | latin | (text == 0xC3)))
+        # The blank is the one other byte.
+        return np.diff(other[ends - 1], prepend=0) == 1
+
+    def _modelled(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[int], list[int]]:
+        shown, tokenize, ids, counts = _BYTE_CHARS[text].tobytes().decode("utf-32-le"), self.model.tokenize, [], []
+        spans = list(zip(starts.tolist(), ends.tolist()))
+        for k in range(0, len(spans), LEARN_WORDS):
+            found = [tokenize(shown[a:b]) for a, b in spans[k: k + LEARN_WORDS]]
+            ids += [t.id for tokens in found for t in tokens]
+            counts += map(len, found)
+        return ids, counts
+
+    def _whole(self, text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Many words as one text, whose ids are dealt back by their width in bytes."""
+        ids = np.array(self.tokenizer.encode_batch_fast([text.tobytes().decode()], add_special_tokens=False)[0].ids, np.uint32)
+        reached = np.cumsum(self.width[ids])
+        cuts = np.searchsorted(reached, ends) + 1
+        if reached[-1] != ends[-1] or (reached[cuts - 1] != ends).any():
+            raise ValueError("a token crosses a word boundary")
+        return ids, np.diff(cuts, prepend=0)
+
     def _learned(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, number of ids of each) of words: many go through the tokenizer
-        as one text, each behind its blank, and the ids are dealt back by their
-        width in bytes."""
+        """(ids, number of ids of each) of words, each behind its blank: those of
+        letters behind a space go to the tokenizer's model one by one, the others
+        through the tokenizer as one text."""
         size = ends - starts + 1
-        first = np.cumsum(size) - size
-        text = np.empty(int(size.sum()), np.uint8)
+        last = np.cumsum(size)
+        first = last - size
+        text = np.empty(int(last[-1]), np.uint8)
         text[first] = np.where(kind == _AFTER_FEED, 10, 32)
         text[ranges(first + 1, size - 1)] = raw[ranges(starts, size - 1)]
-        parts, counts = [], []
-        for k in range(0, len(size), LEARN_WORDS):
-            ends = np.cumsum(size[k: k + LEARN_WORDS])
-            chunk = text[first[k]: first[k] + ends[-1]].tobytes().decode()
-            ids = np.array(self.tokenizer.encode_batch_fast([chunk], add_special_tokens=False)[0].ids, np.uint32)
-            reached = np.cumsum(self.width[ids])
-            cuts = np.searchsorted(reached, ends) + 1
-            if reached[-1] != ends[-1] or (reached[cuts - 1] != ends).any():
-                raise ValueError("a token crosses a word boundary")
+        alone = (kind == _AFTER_SPACE) & self._letters(text, last) if self.model else np.zeros(len(size), bool)
+        counts = np.zeros(len(size), np.int64)
+        parts = []
+        ids, counts[alone] = self._modelled(text, first[alone], last[alone])
+        parts.append(np.array(ids, np.uint32))
+        rest = np.flatnonzero(~alone)
+        for k in range(0, len(rest), LEARN_WORDS):
+            some = rest[k: k + LEARN_WORDS]
+            ids, counts[some] = self._whole(text[ranges(first[some], size[some])], np.cumsum(size[some]))
             parts.append(ids)
-            counts.append(np.diff(cuts, prepend=0))
+        # The words' own order again.
+        order = np.concatenate([np.flatnonzero(alone), rest])
+        at = np.empty(len(size), np.int64)
+        at[order] = np.cumsum(counts[order]) - counts[order]
+        ids = np.concatenate(parts)[ranges(at, counts)]
         closing = kind == _CLOSING
-        ids, counts = np.concatenate(parts), np.concatenate(counts)
         if closing.any():  # encoded behind a blank above, but they stand behind a letter
             own = np.array([np.frombuffer(self.tails[chr(b)], "<u4")[0] for b in raw[starts[closing]].tolist()], np.uint32)
             at = np.cumsum(counts) - counts
@@ -152,7 +207,9 @@ class Encoder:
         """Where each word's ids are remembered; new words are encoded."""
         slot = h & np.uint64(QUICK - 1)
         entry = self.quick_entry[slot]
-        missed = np.flatnonzero((self.quick_hash[slot] != h) | (entry < 0))
+        hit = (self.quick_hash[slot] == h) & (entry >= 0)
+        self.again[entry[hit]] = True
+        missed = np.flatnonzero(~hit)
         if len(missed) == 0:
             return entry
         distinct, at, back = np.unique(h[missed], return_index=True, return_inverse=True)
@@ -160,10 +217,11 @@ class Encoder:
         near = np.minimum(place, max(len(self.known_hash) - 1, 0))
         is_known = self.known_hash[near] == distinct if len(self.known_hash) else np.zeros(len(distinct), bool)
         found = np.where(is_known, self.known_entry[near], np.int32(-1)) if len(self.known_hash) else np.full(len(distinct), -1, np.int32)
+        self.again[found[is_known]] = True
         new = np.flatnonzero(~is_known)
         if len(new):
             if len(self.bytes) and len(self.ids) + 4 * len(new) > MEMORY_IDS:
-                self._forget()
+                self._make_room(4 * len(new))
                 return self._entries(h, raw, starts, ends, kind)
             where = missed[at[new]]
             ids, counts = self._learned(raw, starts[where], ends[where], kind[where])
@@ -171,8 +229,9 @@ class Encoder:
             self.known_hash = np.insert(self.known_hash, place[new], distinct[new])
             self.known_entry = np.insert(self.known_entry, place[new], found[new])
             self.first = np.concatenate([self.first, (self.first[-1] + np.cumsum(counts)).astype(np.int32)])
-            self.ids = np.concatenate([self.ids, ids])
+            self.ids = np.concatenate([self.ids, ids.astype(self.ids.dtype)])
             self.bytes = np.concatenate([self.bytes, (ends[where] - starts[where]).astype(np.uint16)])
+            self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
         slot = distinct & np.uint64(QUICK - 1)
         self.quick_hash[slot], self.quick_entry[slot] = distinct, found
         entry[missed] = found[back]
@@ -221,7 +280,7 @@ class Encoder:
         skip = np.where(leads[kept], len(self.feed) // 4, 0)
         begin = self.first[entry].astype(np.int64) + skip
         length = self.first[entry + 1] - begin
-        ids = self.ids[ranges(begin, length)]
+        ids = self.ids[ranges(begin, length)].astype(np.uint32)
         counts = np.bincount(of, length, len(odd)).astype(np.int64)
         if odd.any():
             parts, at, before = [], 0, 0
