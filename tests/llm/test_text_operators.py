@@ -370,6 +370,14 @@ def test_grams_of_a_text_do_not_depend_on_its_neighbours():
     assert got == [(dict(plain_grams(t)), any(c.isalpha() for c in (t or "").lower())) for t in texts]
 
 
+def test_the_driver_gives_back_what_the_fit_took(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(language_id, "give_back", lambda: calls.append(1))
+    docs = spark.createDataFrame([(k, f"{'der die das' if k % 2 else 'the and of'} {k}", "de" if k % 2 else "en") for k in range(60)], "doc_id bigint, text string, lang string")
+    assert language_id.fit(docs).languages == ["de", "en"]
+    assert calls
+
+
 def test_language_is_the_same_in_any_order(spark):
     docs = read_table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "lang")
     short = docs.select("doc_id", F.array_join(F.slice(F.split("text", " "), 1, 3), " ").alias("text"))

@@ -126,7 +126,7 @@ def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, classes:
     for _ in range(EPOCHS):
         for k in rng.permutation(len(rows)):
             bucket, value = rows[k]
-            i = np.append(bucket, BUCKETS)
+            i = np.append(bucket.astype(np.int64), BUCKETS)
             x = np.append(value, 1.0)
             w = weights(z[i], n[i])
             w[-1] = -z[BUCKETS] / ((BETA + np.sqrt(n[BUCKETS])) / ALPHA)
@@ -198,7 +198,13 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn from ``docs`` (doc_id, text, lang): rows outside the held-out fold
     with a language and a text.  Document frequencies come from all of them,
-    weights and temperature from a sample."""
+    weights and temperature from a sample, whose arrays the driver gives back."""
+    model = _fitted(docs, sample_rows)
+    give_back()
+    return model
+
+
+def _fitted(docs: DataFrame, sample_rows: int) -> Model:
     python_tasks(docs.sparkSession)
     usable = docs.select("doc_id", "text", "lang").where((learn_fold(F.col("doc_id")) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     languages, sample = labelled_sample(usable, "lang", sample_rows)
@@ -206,12 +212,12 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), np.ones(BUCKETS), 1.0)
     got = sample.select("lang", "u", "doc_id", _features()("text").alias("f")).select("lang", "u", "doc_id", "f.*").collect()
     got.sort(key=lambda r: (r["u"], r["doc_id"], r["lang"]))
-    raw = [(np.frombuffer(r["buckets"], np.uint16).astype(np.int64), 1 + np.log(np.frombuffer(r["counts"], np.uint32))) for r in got]
     total, df = document_frequencies(usable)
     idf = np.log((1 + total) / (1 + df)) + 1
     rows = []
-    for bucket, tf in raw:
-        v = tf * idf[bucket]
+    for r in got:
+        bucket = np.frombuffer(r["buckets"], np.uint16)  # the row's own bytes
+        v = (1 + np.log(np.frombuffer(r["counts"], np.uint32))) * idf[bucket]
         rows.append((bucket, v / max(1e-6, float(np.sqrt(v @ v)))))
     y = np.array([languages.index(r["lang"]) for r in got])
     back = np.arange(len(rows)) % 4 == 3
