@@ -34,7 +34,7 @@ def some_patterns(rnd, n):
 
 
 def some_texts(rnd, n, patterns):
-    words = ["ab", "Ab", "foo", "foO", "FOOO", "bar", "Bar", "x", "xx", "X", " ", "  ", "o", "w", "ww", "www", "z", "zzz", "é", "É", "ß", "ßß", "k", "K", "K", ".", "t", "T", "𝒳", "aab", "aaab"]
+    words = ["\u212a", "\u017f", "ab", "Ab", "foo", "foO", "FOOO", "bar", "Bar", "x", "xx", "X", " ", "  ", "o", "w", "ww", "www", "z", "zzz", "é", "É", "ß", "ßß", "k", "K", "K", ".", "t", "T", "𝒳", "aab", "aaab"]
     said = [re.sub(r"\(\?i\)|\\|\[|\]|\+", "", p).replace("{1,2}", rnd.choice(["", "z", "zz"])).replace("{2}", rnd.choice(["", "w", "ww"])).split("|")[0] for p in patterns]
     text = lambda: "".join(rnd.choice(words) if rnd.random() < 0.7 else rnd.choice([str, str.lower, str.swapcase])(rnd.choice(said)) for _ in range(rnd.randint(0, 9)))
     return [None if k % 17 == 3 else text() for k in range(n)]
